@@ -4,9 +4,52 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandlake.llm import bpe
+from strandlake.llm import bpe, gam, html, linededup, mixing, mpeg, rules, sharding
 from strandlake.llm.common import table
 
+#: Target weights of the mixture: sources with a weight of their own, and one for all others.
+WEIGHTS, OTHERS, MIX_BLOCK, MIX_SEED = {"src0": 5, "src1": 3, "src2": 2}, 10, 8, 23
+#: Labelled documents that a fit takes at most.
+FIT_ROWS = 20_000
+
+
+def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html.extracted(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+def op2_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of every document and the verdict of a learned decision list."""
+    docs = table(spark, sf_dir, "documents")
+    return rules.judged(docs, rules.learned(docs, table(spark, sf_dir, "labels"), most_rows=FIT_ROWS))
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The time of every document in a mixture of sources by weight."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.scheduled(docs, WEIGHTS, OTHERS, MIX_BLOCK, MIX_SEED)
+
+
+def op5_mpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document stored in an MPEG audio stream and read back."""
+    return mpeg.digests(table(spark, sf_dir, "documents"))
+
+
+def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without lines that other documents share."""
+    return linededup.digests(table(spark, sf_dir, "documents"), least_chars=40, least_docs=5)
+
+
+def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard and slot of every document."""
+    return sharding.sharded(table(spark, sf_dir, "documents"), shards=8, seed=11)
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return gam.classified(docs, gam.trained(docs, table(spark, sf_dir, "labels"), most_rows=FIT_ROWS), 0.3)
+
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of every document under the public 50k byte-level vocabulary."""
@@ -17,6 +60,18 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html": op1_html,
+    "op2_rules": op2_rules,
+    "op3_mixing": op3_mixing,
+    "op5_mpeg": op5_mpeg,
+    "op6_lines": op6_lines,
+    "op7_shards": op7_shards,
+    "op8_quality": op8_quality,
     "op9_bpe": op9_bpe,
 }
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op1_html": html.ORACLE,
+    "op3_mixing": mixing.oracle(WEIGHTS, OTHERS, MIX_BLOCK, MIX_SEED),
+    "op6_lines": linededup.ORACLE,
+    "op7_shards": sharding.oracle(8, 11),
+}
