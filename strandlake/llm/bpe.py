@@ -176,7 +176,14 @@ class Codec:
                     rows.append((len(x), hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(coder.decode(x)).hexdigest()))
                 yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
-        self._encode, self._decode, self._digest = encode, decode, digest
+        @F.pandas_udf("token_ids array<int>, n_tokens long, decoded_sha256 string")
+        def both(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            coder = _encoder(shared, pattern)
+            for batch in texts:
+                rows = [(x := coder.encode(text), len(x), hashlib.sha256(coder.decode(x)).hexdigest()) for text in batch]
+                yield pd.DataFrame(rows, columns=["token_ids", "n_tokens", "decoded_sha256"])
+
+        self._encode, self._decode, self._digest, self._both = encode, decode, digest, both
 
     def encode(self, text: Column) -> Column:
         """Ids of a text; an empty text and a null have none."""
@@ -194,6 +201,11 @@ class Codec:
         return self._digest(ids)
 
 
+    def both(self, text: Column) -> Column:
+        """A struct of the ids, their number, and the SHA-256 of what they decode to."""
+        return self._both(text)
+
+
 def encoded(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", out: str = "token_ids") -> DataFrame:
     """Rows with the ids of their whole texts in a further column.
 
@@ -203,6 +215,12 @@ def encoded(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text",
     return docs.withColumn(out, Codec(docs.sparkSession, ranks_path, pattern).encode(F.col(text)))
 
 
+def tokenised(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """doc_id, source, token_ids, n_tokens and decoded_sha256 of each row; nulls, empty texts and tables as in digests()."""
+    codec = Codec(docs.sparkSession, ranks_path, pattern)
+    return docs.select("doc_id", "source", codec.both(F.col("text")).alias("t")).select("doc_id", "source", "t.*")
+
+
 def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each row, in the ids' and the decoded bytes' own order.
 

@@ -24,14 +24,25 @@ def key128(column):
     return F.struct(F.xxhash64(column).alias("a"), F.xxhash64(F.lit("second"), column).alias("b"))
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """The rows, written to the folder that all executors share, and read back: a lost executor loses nothing of it.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: the session's spark.checkpoint.dir.
 
-    The folder is the session's spark.checkpoint.dir; only where none is set (a local test), one under the
-    warehouse is taken.
+    Only where none is set (a local test), one under the warehouse is taken.
     """
+    found = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    return found or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints"
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """The rows, written to the shared folder and read back: a lost executor loses nothing of them."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or f"{df.sparkSession.conf.get('spark.sql.warehouse.dir')}/checkpoints-{uuid.uuid4().hex[:8]}")
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written as a Parquet table to the shared folder and read back."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandlake.llm import bpe, gam, html, linededup, mixing, mpeg, rules, sharding
+from strandlake.llm import bpe, gam, html, linededup, mixing, mpeg, ngramjoin, rules, sharding
 from strandlake.llm.common import table
 
 #: Target weights of the mixture: sources with a weight of their own, and one for all others.
@@ -30,6 +30,11 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.scheduled(docs, WEIGHTS, OTHERS, MIX_BLOCK, MIX_SEED)
 
 
+def op4_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of every document under links of nine tenths of their three-word shingles."""
+    return ngramjoin.joined(table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 def op5_mpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document stored in an MPEG audio stream and read back."""
     return mpeg.digests(table(spark, sf_dir, "documents"))
@@ -63,6 +68,7 @@ QUERIES = {
     "op1_html": op1_html,
     "op2_rules": op2_rules,
     "op3_mixing": op3_mixing,
+    "op4_ngrams": op4_ngrams,
     "op5_mpeg": op5_mpeg,
     "op6_lines": op6_lines,
     "op7_shards": op7_shards,
@@ -70,6 +76,7 @@ QUERIES = {
     "op9_bpe": op9_bpe,
 }
 ORACLE = {
+    "op4_ngrams": ngramjoin.oracle(words=3, percent=90),
     "op1_html": html.ORACLE,
     "op3_mixing": mixing.oracle(WEIGHTS, OTHERS, MIX_BLOCK, MIX_SEED),
     "op6_lines": linededup.ORACLE,
