@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandlake.llm import bpe, gam, html, linededup, mixing, mpeg, ngramjoin, rules, sharding
+from strandlake.llm import bpe, gam, html, linededup, mixing, mpeg, ngramjoin, rules, sharding, suffixes
 from strandlake.llm.common import table
 
 #: Target weights of the mixture: sources with a weight of their own, and one for all others.
@@ -64,6 +64,11 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without strings of 100 bytes that came before."""
+    return suffixes.digests(table(spark, sf_dir, "documents"), 100)
+
+
 QUERIES = {
     "op1_html": op1_html,
     "op2_rules": op2_rules,
@@ -74,6 +79,7 @@ QUERIES = {
     "op7_shards": op7_shards,
     "op8_quality": op8_quality,
     "op9_bpe": op9_bpe,
+    "op10_suffixes": op10_suffixes,
 }
 ORACLE = {
     "op4_ngrams": ngramjoin.oracle(words=3, percent=90),
