@@ -1,4 +1,9 @@
-"""All queries of the reference's operators."""
+"""All queries of the reference's operators, and their SQL."""
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+from __future__ import annotations
+
+from strandlake.jobs import annotation, intervals, territory, tracks
+
+_MODULES = (intervals, tracks, annotation, territory)
+QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
+ORACLE = {name: sql for m in _MODULES for name, sql in m.ORACLE.items()}
