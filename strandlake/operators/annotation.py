@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandlake.functions.columns import attribute, contig_key, first_attribute, overlaps_bed, within_bed
+from strandlake.functions.lineage import settled
 from strandlake.operators import intervals as iv
 
 FEATURE = ["seqname", "line_no", "feature", "start", "end", "strand", "attributes"]
@@ -80,7 +81,7 @@ def judged(features: DataFrame, classes: DataFrame, masks: DataFrame, rule: str
     rest = classed.where(F.col("class") != INSPECT)
     gone = F.col("class") == DROP_ALL
     rest = rest.withColumns({"hit": gone, "partial": F.lit(False), "on_y": F.lit(False), "reason": F.when(gone, F.when(F.col("off_genome"), F.lit("seqname_not_in_genome")).otherwise(F.lit("whole_contig_masked")))})
-    return inspected.unionByName(rest)
+    return settled(inspected.unionByName(rest))
 
 
 def _first(value: Column, when: Column) -> Column:

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandlake.functions.lineage import settled
+
 TILE = 1 << 20
 BIN = 1 << 14
 
@@ -33,7 +35,7 @@ def with_reach(intervals: DataFrame, keys: list[str], tile: int = TILE) -> DataF
 def merge(intervals: DataFrame, keys: list[str] | None = None, tile: int = TILE) -> DataFrame:
     """Overlapping and touching intervals of the same keys (default: chrom) become one."""
     keys = keys or ["chrom"]
-    opened = with_reach(intervals.select(*keys, "start", "end"), keys, tile).withColumn("_new", F.col("reach").isNull() | (F.col("start") > F.col("reach")))
+    opened = with_reach(intervals.select(*keys, "start", "end").distinct(), keys, tile).withColumn("_new", F.col("reach").isNull() | (F.col("start") > F.col("reach")))
     within = Window.partitionBy(*keys, "_tile").orderBy("start", "end").rangeBetween(Window.unboundedPreceding, Window.currentRow)  # equal rows together
     # the block that a row belongs to is named by its start; rows before the first block of a tile go on with one from before
     named = opened.withColumn("_block", F.max(F.when(F.col("_new"), F.col("start"))).over(within))
@@ -46,7 +48,7 @@ def merge(intervals: DataFrame, keys: list[str] | None = None, tile: int = TILE)
 
 def complement(contigs: DataFrame, intervals: DataFrame, tile: int = TILE) -> DataFrame:
     """What contigs (chrom, raw_bp) have outside of the intervals; a contig without any comes whole."""
-    blocks = with_reach(merge(clip(intervals, contigs), tile=tile), ["chrom"], tile)
+    blocks = with_reach(settled(merge(clip(intervals, contigs), tile=tile)), ["chrom"], tile)
     gaps = blocks.select("chrom", F.coalesce("reach", F.lit(0)).cast("long").alias("start"), F.col("start").alias("end"))
     ends = blocks.groupBy("chrom").agg(F.max("end").alias("_end"))
     tails = contigs.select("chrom", "raw_bp").join(ends, "chrom", "left").select("chrom", F.coalesce("_end", F.lit(0)).cast("long").alias("start"), F.col("raw_bp").alias("end"))

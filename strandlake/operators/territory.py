@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strandlake.functions.lineage import settled
 from strandlake.operators import intervals as iv
 from strandlake.operators import tracks
 
@@ -15,9 +16,9 @@ METRICS = ["raw_bp", "gap_bp", "nongap_bp", "structural_bp", "callable_bp", "eff
 
 def base_sets(contigs: DataFrame, gaps: DataFrame, bands: DataFrame, blacklist: DataFrame) -> dict[str, DataFrame]:
     """Merged gaps, what is outside of gaps and bands (structural), and what is outside of the blacklist too (callable)."""
-    gap = iv.merge(iv.clip(gaps, contigs))
-    excluded = iv.union(iv.clip(gaps, contigs), iv.clip(bands, contigs))
-    return {"gap": gap, "structural": iv.complement(contigs, excluded), "callable": iv.complement(contigs, iv.union(excluded, iv.clip(blacklist, contigs)))}
+    gap, band, black = (settled(iv.clip(x, contigs)) for x in (gaps, bands, blacklist))
+    excluded = gap.unionByName(band)
+    return {"gap": settled(iv.merge(gap)), "structural": settled(iv.complement(contigs, excluded)), "callable": settled(iv.complement(contigs, excluded.unionByName(black)))}
 
 
 def table(labels: DataFrame, by: list[str], sets: dict[str, DataFrame], runs: DataFrame, value: str, thresholds: dict, also: list[str] | None = None) -> DataFrame:
