@@ -5,11 +5,13 @@ first n - ceil(t n) + 1 shingles of either, its prefix. The orders here put rare
 sets hold them, and differ in how they break ties and how finely they tell counts apart. A pair is verified on its
 whole sets only if it shares prefix shingles under every one of the orders.
 
-To count is to shuffle, so only the shingles of the least hashes, somewhat more than a prefix needs, are counted and
-stand at the head of every order; they are a fixed part of all shingles, and the others follow by hash. Equal sets
-are one class from the start. Shingles in one set only can't link and stay behind; the others' prefixes tie classes
-into families, within which pairs are verified: large families in square tiles of bounded size, from which only
-links that connect are returned. No group and no list of pairs is gathered in one place.
+To count is to shuffle, so of large sets only the shingles of the least hashes, somewhat more than a prefix needs,
+are counted and stand at the head of every order; they are a fixed part of all shingles, and the others follow by
+hash. The part is larger for smaller sets, and all of the smallest: sets are dealt to bands of size with orders of
+their own, which overlap so far that any two sets that can link have one band in common. Equal sets are one class
+from the start. Shingles in one set only can't link and stay behind; the others' prefixes tie classes into families,
+within which pairs are verified: large families in square tiles of bounded size, from which only links that connect
+are returned. No group and no list of pairs is gathered in one place.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ from strandlake.llm.graph import components
 _K = np.uint64(0x9E3779B97F4A7C15)
 _M = np.uint64(0xFF51AFD7ED558CCD)
 _S = np.uint64(32)
+#: What shingles are multiplied by in each band.
+_SALTS = (1, 0x5851F42D4C957F2D, 0x14057B7EF767814F)
 #: Words whose hashes each Python worker remembers.
 REMEMBERED = 500_000
 #: Orders of shingles: fields of (count, log2 of the count, shingle, two other hashes) that sort them.
@@ -65,55 +69,73 @@ def prefix(n: int, percent: int) -> int:
     return n - (percent * n + 99) // 100 + 1 if n else 0
 
 
-def counted_share(percent: int) -> float:
-    """The part of all shingles, by hash, that is counted."""
-    return min(1.0, 1.2 * (1 - percent / 100) + 0.02)
+#: Bands: sets of up to so many shingles, and their counted part as a multiple of the part that a prefix takes.
+BANDS = ((64, 20.0), (256, 3.5), (1 << 62, 1.4))
 
 
-def _cut(percent: int) -> int:
-    return min((1 << 63) - 1, -(1 << 63) + int(counted_share(percent) * (1 << 64)))
+def bands(n: int, percent: int) -> list[int]:
+    """The bands of a set of n shingles: two sets of which the smaller is in a band by its limits have it in common."""
+    lows = (0, *(limit for limit, _ in BANDS))
+    return [k for k, (limit, _) in enumerate(BANDS) if lows[k] < n <= 100 * limit // percent]
+
+
+def _cut(band: int, percent: int) -> int:
+    share = min(1.0, BANDS[band][1] * (1 - percent / 100) + 0.02)
+    return min((1 << 63) - 1, -(1 << 63) + int(share * (1 << 64)))
 
 
 def _sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """doc_id, cid (hash of the set), n, counted (its shingles below the cut) and heads (these, and more up to a prefix)."""
-    cut = _cut(percent)
-    schema = pa.schema([("doc_id", pa.int64()), ("cid", pa.int64()), ("n", pa.int64()), ("counted", pa.int64()), ("heads", pa.list_(pa.int64()))])
+    """doc_id, cid (hash of the set), n, and for each band a row: counted (shingles below the cut) and heads (these, and more up to a prefix).
+
+    A document's first row is its main one; one without shingles has band -1.
+    """
+    cuts = [_cut(k, percent) for k in range(len(BANDS))]
+    schema = pa.schema([("doc_id", pa.int64()), ("cid", pa.int64()), ("n", pa.int64()), ("main", pa.bool_()), ("band", pa.int64()), ("counted", pa.int64()), ("heads", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, out = batch.column(0).to_pylist(), []
-            for text in batch.column(1).to_pylist():
+            out = []
+            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 s = shingles(text, words)
-                counted = int(np.searchsorted(s, cut))
-                out.append((xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) if len(s) else 0, len(s), counted, s[: max(counted, prefix(len(s), percent))]))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *(pa.array([r[k] for r in out], schema.field(k + 1).type) for k in range(4))], schema=schema)
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, cid long, n long, counted long, heads array<long>")
-
-
-def _prefixes(classes: DataFrame, percent: int) -> DataFrame:
-    """cid and, for each order, the shingles of its prefix that another class holds too; classes without any don't come."""
-    tokens = classes.select("cid", F.explode("heads").alias("tok"))
-    counts = tokens.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select(F.struct("tok").alias("key"), "df")
-    # joined by one struct, so that both sides are dealt anew and a very common shingle is split as a skewed join
-    shared = tokens.select("cid", F.struct("tok").alias("key")).join(counts, "key").select("cid", F.col("key.tok").alias("tok"), "df")
-    cut = _cut(percent)
-    lists = shared.groupBy("cid").agg(F.collect_list(F.struct("tok", "df")).alias("shared"))
-    sized = lists.join(classes.select("cid", "n", "counted"), "cid")
-    sized = sized.withColumn("low", F.expr(f"filter(shared, x -> x.tok < {cut}L)")).withColumn("p", F.expr(f"n - ({percent} * n + 99) div 100 + 1"))
+                cid, n = _class(s), len(s)
+                for j, k in enumerate(bands(n, percent) or [-1]):
+                    tokens = np.sort(s * np.int64(_SALTS[k]))
+                    counted = int(np.searchsorted(tokens, cuts[k]))
+                    out.append((i, cid, n, j == 0, k, counted, tokens[: max(counted, prefix(n, percent))]))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], schema.field(k).type) for k in range(len(schema))], schema=schema)
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, cid long, n long, main boolean, band long, counted long, heads array<long>")
+
+
+def _class(s: np.ndarray) -> int:
+    return xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) if len(s) else 0
+
+
+def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """cid and, for each order, the shingles of its prefixes that another class holds too; classes without any don't come."""
+    classes = sets.where("n > 0").groupBy("cid", "band").agg(F.first("n").alias("n"), F.first("counted").alias("counted"), F.first("heads").alias("heads"))
+    tokens = classes.select("cid", "band", F.explode("heads").alias("tok"))
+    # the key is another than the one counted by, so that both sides are dealt anew and a very common shingle is split as a skewed join
+    counts = tokens.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select(F.bitwise_not("tok").alias("key"), "df")
+    shared = tokens.select("cid", "band", F.bitwise_not("tok").alias("key")).join(counts, "key").select("cid", "band", F.bitwise_not("key").alias("tok"), "df")
+    lists = shared.groupBy("cid", "band").agg(F.collect_list(F.struct("tok", "df")).alias("shared"))
+    sized = lists.join(sets.where("n > 0").select("cid", "band", "n", "counted").distinct(), ["cid", "band"])
+    cut = F.element_at(F.array(*[F.lit(_cut(k, percent)) for k in range(len(BANDS))]), (F.col("band") + 1).cast("int"))
+    sized = sized.withColumn("cut", cut).withColumn("low", F.expr("filter(shared, x -> x.tok < cut)")).withColumn("p", F.expr(f"n - ({percent} * n + 99) div 100 + 1"))
     sized = sized.withColumn("take", F.expr("cast(p - (counted - size(low)) AS int)"))
     fields = {"tok": "x.tok", "df": "x.df", "lg": "cast(floor(log2(x.df)) AS long)", "h1": "xxhash64(x.tok, 1)", "h2": "xxhash64(x.tok, 2)"}
     for k, order in enumerate(ORDERS):
         ranked = f"transform(array_sort(transform(low, x -> struct({', '.join(f'{fields[f]} AS f{j}' for j, f in enumerate(order))}, x.tok AS tok))), x -> x.tok)"
         sized = sized.withColumn(f"prefix{k}", F.expr(f"if(counted >= p, if(take > 0, slice({ranked}, 1, take), cast(array() AS array<bigint>)), transform(shared, x -> x.tok))"))
-    return sized.where(" AND ".join(f"size(prefix{k}) > 0" for k in range(len(ORDERS)))).select("cid", *(f"prefix{k}" for k in range(len(ORDERS))))
+    kept = sized.where(" AND ".join(f"size(prefix{k}) > 0" for k in range(len(ORDERS))))
+    return kept.groupBy("cid").agg(*(F.flatten(F.collect_list(f"prefix{k}")).alias(f"prefix{k}") for k in range(len(ORDERS))))
 
 
 def _families(prefixes: DataFrame) -> DataFrame:
     """node and label: classes tied by shared prefix shingles of the first order, each to the least class that holds it."""
     rows = prefixes.select("cid", F.explode("prefix0").alias("tok"))
-    least = rows.groupBy("tok").agg(F.min("cid").alias("least")).select(F.struct("tok").alias("key"), "least")
-    ties = rows.select("cid", F.struct("tok").alias("key")).join(least, "key").where("cid <> least")
+    least = rows.groupBy("tok").agg(F.min("cid").alias("least")).select(F.bitwise_not("tok").alias("key"), "least")
+    ties = rows.select("cid", F.bitwise_not("tok").alias("key")).join(least, "key").where("cid <> least")
     return components(ties.select(F.col("cid").alias("a"), F.col("least").alias("b")).distinct())
 
 
@@ -184,7 +206,7 @@ def _links(placed: DataFrame, words: int, percent: int) -> DataFrame:
 
     def solve(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.assign(s=[shingles(t, words) for t in rows["text"]])
-        rows = rows[[cid == xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) for cid, s in zip(rows["cid"], rows["s"], strict=True)]]
+        rows = rows[[cid == _class(s) for cid, s in zip(rows["cid"], rows["s"], strict=True)]]
         rows = rows.drop_duplicates(["cid"])
         if len(rows) < 2:
             return pd.DataFrame({"a": [], "b": []}, dtype="int64")
@@ -218,8 +240,8 @@ def joined(docs: DataFrame, words: int = 5, percent: int = 80, tile: int = 1024)
     cannot matter; an empty table gives no rows; further columns play no part.
     """
     sets = settled(_sets(docs, words, percent))
-    classes = settled(sets.where("n > 0").groupBy("cid").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("counted").alias("counted"), F.first("heads").alias("heads")))
-    prefixes = settled(_prefixes(classes, percent))
+    classes = sets.where("main AND n > 0").groupBy("cid").agg(F.min("doc_id").alias("rep"))
+    prefixes = settled(_prefixes(sets, percent))
     families = _families(prefixes)
     sizes = families.groupBy("label").agg(F.expr(f"(count(1) + {tile - 1}L) div {tile}L").alias("tiles"))
     known = families.join(sizes, "label").select(F.col("node").alias("cid"), F.col("label").alias("family"), "tiles")
@@ -232,7 +254,7 @@ def joined(docs: DataFrame, words: int = 5, percent: int = 80, tile: int = 1024)
     least = named.groupBy("label").agg(F.min("rep").alias("component"))
     linked = named.join(least, "label").select("cid", "component")
     own = classes.select("cid", "rep").join(linked, "cid", "left").select(F.col("cid").alias("_cid"), F.coalesce("component", "rep").alias("component"))
-    rows = sets.select("doc_id", F.col("n").alias("n_shingles"), "cid")
+    rows = sets.where("main").select("doc_id", F.col("n").alias("n_shingles"), "cid")
     return rows.join(own, (F.col("n_shingles") > 0) & (F.col("cid") == F.col("_cid")), "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
