@@ -5,7 +5,10 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from strandlake.functions.lineage import settled, shared_folder
+
+__all__ = ["BLANKS", "LOWER", "UPPER", "WORD", "settled", "shared_folder", "table", "written"]
 
 #: Bytes 32 and 9 to 13, the white space that separates words and pads lines.
 BLANKS = " \t\n\x0b\f\r"
@@ -19,28 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def key128(column):
-    """Two 64-bit hashes of a value as a struct; null hashes like any other value."""
-    return F.struct(F.xxhash64(column).alias("a"), F.xxhash64(F.lit("second"), column).alias("b"))
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the session's spark.checkpoint.dir.
-
-    Only where none is set (a local test), one under the warehouse is taken.
-    """
-    found = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    return found or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints"
-
-
-def settled(df: DataFrame) -> DataFrame:
-    """The rows, written to the shared folder and read back: a lost executor loses nothing of them."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows, written as a Parquet table to the shared folder and read back."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"

@@ -77,7 +77,7 @@ def _step2(g: np.ndarray, h: np.ndarray, smooth: float = 1.0) -> np.ndarray:
     return out
 
 
-def fit(x: np.ndarray, y: np.ndarray, *, rounds: int = 120, rate: float = 0.1, depth: int = 2, bins: int = 48, pairs: int = 4, pair_bins: int = 8, pair_rounds: int = 30) -> Gam:
+def fit(x: np.ndarray, y: np.ndarray, *, rounds: int = 120, rate: float = 0.1, depth: int = 2, bins: int = 48, pairs: int = 4, pair_bins: int = 16, pair_rounds: int = 30) -> Gam:
     """The tables. Without rows every score is 1/2; with one label only, near that label."""
     share = (y.sum() + 1) / (len(y) + 2)
     model = Gam([_edges(x[:, f], bins) for f in range(x.shape[1])] if len(x) else [np.zeros(0)] * x.shape[1], [_edges(x[:, f], pair_bins) for f in range(x.shape[1])] if len(x) else [np.zeros(0)] * x.shape[1], float(np.log(share / (1 - share))))
