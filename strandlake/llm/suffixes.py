@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandlake.llm.common import settled
+from strandlake.llm.common import written
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
@@ -35,7 +35,6 @@ _PLACE = _U((1 << 32) - 1)
 CHUNK, ARRAY_BYTES = 2_000_000, 4_000_000
 #: A null doc_id counts as this one, the least.
 NO_ID = -(1 << 63)
-_START = (1 << 44) - 1
 
 
 def _random_bytes() -> np.ndarray:
@@ -104,18 +103,20 @@ def cut_cells(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
     return which[first], start - offsets[which[first]], size, grams[place].view(np.int64), content.view(np.int64)
 
 
-_CELL = pa.schema([("kind", pa.int8()), ("anchor", pa.int64()), ("cell", pa.int64()), ("doc", pa.int64()), ("at", pa.int64()), ("size", pa.int32())])
-_CELL_DDL = "kind tinyint, anchor long, cell long, doc long, at long, size int"
-#: Kinds of rows: repeated as a whole; a cell that may be the first of its content; one of the different cells of an anchor.
-WHOLE, OPEN, MIXED = 0, 1, 2
+_CELL = pa.schema([("anchor", pa.int64()), ("cell", pa.int64()), ("doc", pa.int64()), ("at", pa.int64())])
+_CELL_DDL = "anchor long, cell long, doc long, at long"
+#: In place of a cell's hash: the row is repeated as a whole, by what was seen where it was read.
+SEEN = 0
+#: The longest strings whose cells' sizes fit 16 bits of `at`, next to 15 bits of a text's hash and 32 of its start.
+MOST_LENGTH = 30_000
 
 
 def _tag(text: bytes) -> int:
-    return zlib.crc32(text) & 0xFFFF
+    return zlib.crc32(text) & 0x7FFF
 
 
-def _rows(kind, anchor, cell, doc, at, size) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.broadcast_to(kind, len(doc)).astype(np.int8)), *(pa.array(x.astype(np.int64)) for x in (anchor, cell, doc, at)), pa.array(size.astype(np.int32))], schema=_CELL)
+def _rows(*columns: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.asarray(x, np.int64)) for x in columns], schema=_CELL)
 
 
 def _cells(length: int):
@@ -124,15 +125,15 @@ def _cells(length: int):
         if not len(which):
             return
         doc = np.array(ids, np.int64)[which]
-        at = np.array([_tag(t) << 44 for t in texts], np.int64)[which] + start
+        at = np.array([_tag(t) << 48 for t in texts], np.int64)[which] + (start << 16) + size
+        cell[cell == SEEN] = 1
         order = np.lexsort((at, doc, cell, anchor))
-        doc, at, size, anchor, cell = doc[order], at[order], size[order], anchor[order], cell[order]
+        doc, at, anchor, cell = doc[order], at[order], anchor[order], cell[order]
         new = np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (cell[1:] != cell[:-1])))
         first = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
-        again = ~new & ((doc != doc[first]) | (at != at[first]))  # later than an equal one here: need not be sent on
+        again = ~new & ((doc != doc[first]) | (at != at[first]))  # later than an equal one here: need not be compared again
         kept = new | again
-        kind = np.where(again, WHOLE, OPEN)[kept]
-        yield _rows(kind, np.where(again, doc * -7046029254386353131, anchor)[kept], np.where(again, 0, cell)[kept], doc[kept], at[kept], size[kept])
+        yield _rows(np.where(again, doc * -7046029254386353131, anchor)[kept], np.where(again, SEEN, cell)[kept], doc[kept], at[kept])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -151,14 +152,25 @@ def _cells(length: int):
     return run
 
 
+_COMPARED = pa.schema([("anchor", pa.int64()), ("doc", pa.int64()), ("at", pa.int64())])
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted rows: passes WHOLE on; of OPEN rows, later ones of a content become WHOLE, firsts of an anchor with several contents MIXED."""
-    state = None  # anchor, cell, doc and at of the first of this cell, whether the anchor is mixed, the waiting row
+    """Sorted cells to those that repeat another as a whole (anchor null), and the firsts of the different cells of an anchor.
+
+    A cell alone under its anchor doesn't come. What is kept from batch to batch is one row.
+    """
+
+    def found(anchor, doc, at) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.nulls(len(doc), pa.int64()) if anchor is None else pa.array(anchor), pa.array(doc), pa.array(at)], schema=_COMPARED)
+
+    state = None  # anchor, cell, doc and at of the first of this cell, whether the anchor has several, the waiting row
     for batch in batches:
-        kind, anchor, cell, doc, at, size = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(6))
-        if n := int((kind == WHOLE).sum()):
-            yield _rows(WHOLE, anchor[:n], cell[:n], doc[:n], at[:n], size[:n])
-            anchor, cell, doc, at, size = (x[n:] for x in (anchor, cell, doc, at, size))
+        anchor, cell, doc, at = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(4))
+        seen = cell == SEEN
+        if seen.any():
+            yield found(None, doc[seen], at[seen])
+            anchor, cell, doc, at = (x[~seen] for x in (anchor, cell, doc, at))
         if not len(doc):
             continue
         lead = state[:4] if state else (None,) * 4
@@ -169,27 +181,23 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first_at = np.where(first >= 0, at[first], lead[3] if state else 0)
         again = same & ((doc != first_doc) | (at != first_at))
         if again.any():
-            yield _rows(WHOLE, anchor[again], cell[again], doc[again], at[again], size[again])
+            yield found(None, doc[again], at[again])
         new = np.flatnonzero(~same)
-        mixed, waiting = (state[4], state[5]) if state else (False, None)
+        several, waiting = (state[4], state[5]) if state else (False, None)
         if len(new):
-            group = np.cumsum(np.concatenate(([0], ~same_anchor[new[1:]]))) if len(new) > 1 else np.zeros(1, np.int64)
-            # a row that isn't at the start of its anchor follows a different cell of it
-            counts = np.bincount(group)
-            goes_on = bool(same_anchor[new[0]])
-            many = counts >= 2
+            group = np.concatenate(([0], np.cumsum(~same_anchor[new[1:]])))
+            goes_on = bool(same_anchor[new[0]])  # another cell of the anchor that the last batch ended with
+            many = np.bincount(group) >= 2
             many[0] |= goes_on
-            out = many[group]
-            tail = len(counts) - 1
-            if goes_on and not mixed and waiting is not None:
-                yield _rows(MIXED, *(np.array([x]) for x in waiting))
-            if out.any():
-                k = new[out]
-                yield _rows(MIXED, anchor[k], cell[k], doc[k], at[k], size[k])
+            if goes_on and not several and waiting is not None:
+                yield found(*(np.array([x]) for x in waiting))
+            k = new[many[group]]
+            if len(k):
+                yield found(anchor[k], doc[k], at[k])
             j = new[-1]
-            mixed = bool(many[tail])
-            waiting = None if mixed else (anchor[j], cell[j], doc[j], at[j], size[j])
-        state = (anchor[-1], cell[-1], first_doc[-1], first_at[-1], mixed, waiting)
+            several = bool(many[-1])
+            waiting = None if several else (anchor[j], doc[j], at[j])
+        state = (anchor[-1], cell[-1], first_doc[-1], first_at[-1], several, waiting)
 
 
 def _words(t: np.ndarray) -> np.ndarray:
@@ -277,11 +285,11 @@ def repeated_windows(pieces: list[bytes], doc: np.ndarray, at: np.ndarray, lengt
     return owner[sa[late]], offset[sa[late]]
 
 
-_SPAN = pa.schema([("doc", pa.int64()), ("at", pa.int64()), ("size", pa.int32())])
+_SPAN = pa.schema([("doc", pa.int64()), ("place", pa.int64()), ("size", pa.int32())])
 
 
 def _solve(length: int):
-    """Rows of anchor, doc, at, bytes, sorted by anchor, to spans (doc, at, size) of repeated windows in a row."""
+    """Rows of anchor, doc, place, bytes, sorted by anchor, to spans (doc, place, size) of repeated windows in a row."""
 
     def solve(pieces: list[bytes], docs: list[int], ats: list[int]) -> Iterator[pa.RecordBatch]:
         doc, at = np.array(docs, np.int64), np.array(ats, np.int64)
@@ -315,7 +323,7 @@ def _solve(length: int):
 def _keyed(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc (never null), tag, text (never null)."""
     t = F.coalesce(F.col(text), F.lit(""))
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.crc32(t.cast("binary")).bitwiseAND(F.lit(0xFFFF)).alias("tag"), t.alias("text"))
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.crc32(t.cast("binary")).bitwiseAND(F.lit(0x7FFF)).alias("tag"), t.alias("text"))
 
 
 def repeats(docs: DataFrame, length: int = 100, most_cells: int = 20_000) -> DataFrame:
@@ -324,28 +332,33 @@ def repeats(docs: DataFrame, length: int = 100, most_cells: int = 20_000) -> Dat
     Documents without any don't come. Strings are told equal by 64-bit hashes of anchor and cell (together 128 bits)
     and by their bytes; an anchor with more than `most_cells` different cells by 128-bit hashes of its windows.
     """
+    if not 0 < length <= MOST_LENGTH:
+        raise ValueError(f"a length from 1 to {MOST_LENGTH}")
     cells = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.coalesce(F.col("text"), F.lit("")).alias("text")).where(F.octet_length("text") >= length).mapInArrow(_cells(length), _CELL_DDL)
-    compared = settled(cells.repartition("anchor").sortWithinPartitions("kind", "anchor", "cell", "doc", "at").mapInArrow(_compare, _CELL_DDL))
-    whole = compared.where(F.col("kind") == WHOLE).select("doc", "at", "size")
-    mixed = compared.where(F.col("kind") == MIXED)
-    crowded = mixed.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most_cells).select(F.struct("anchor").alias("key"), F.lit(True).alias("crowded"))
-    place = F.expr(f"cast(at & {_START}L AS int)")
+    ordered = cells.repartition("anchor").sortWithinPartitions("anchor", "cell", "doc", "at")
+    compared = written(ordered.mapInArrow(_compare, "anchor long, doc long, at long"), "repeats")
+    place, size = F.expr("at >> 16").alias("place"), F.expr("cast(at & 65535 AS int)").alias("size")  # a place is a tag and a start
+    whole = compared.where("anchor IS NULL").select("doc", place, size)
+    mixed = compared.where("anchor IS NOT NULL").select("anchor", "doc", place, size)
+    crowded = mixed.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most_cells).select(F.bitwise_not("anchor").alias("key"), F.lit(True).alias("crowded"))
+    tag, start = F.expr("place >> 32").alias("tag"), F.expr("cast(place & 4294967295L AS int)")
     wanted = (
-        mixed.select(F.struct("anchor").alias("key"), "doc", F.expr("at >> 44").alias("tag"), "at", place.alias("start"), "size")
+        mixed.withColumn("key", F.bitwise_not("anchor"))
         .join(crowded, "key", "left")
+        .select("doc", tag, F.struct("anchor", "place", start.alias("start"), "size", F.coalesce("crowded", F.lit(False)).alias("crowded")).alias("w"))
         .groupBy("doc", "tag")
-        .agg(F.collect_list(F.struct(F.col("key.anchor").alias("anchor"), "at", "start", "size", F.coalesce("crowded", F.lit(False)).alias("crowded"))).alias("wanted"))
+        .agg(F.collect_list("w").alias("wanted"))
     )
-    texts = _keyed(docs)
-    pieces = texts.join(wanted.hint("shuffle_hash"), ["doc", "tag"]).select("doc", F.explode(F.expr("transform(wanted, w -> struct(w.anchor AS anchor, w.at AS at, w.crowded AS crowded, substring(cast(text AS binary), w.start + 1, w.size) AS piece))")).alias("p")).select("p.anchor", "doc", "p.at", "p.piece", "p.crowded")
-    sorted_ = pieces.where("NOT crowded").select("anchor", "doc", "at", "piece").repartition("anchor").sortWithinPartitions("anchor")
-    solved = sorted_.mapInArrow(_solve(length), "doc long, at long, size int")
-    windows = pieces.where("crowded").select("doc", "at", "piece", F.explode(F.expr(f"sequence(0, octet_length(piece) - {length})")).alias("o"))
-    windows = windows.select(F.expr(f"struct(xxhash64(substring(piece, o + 1, {length})) AS a, xxhash64('second', substring(piece, o + 1, {length})) AS b)").alias("w"), "doc", (F.col("at") + F.col("o")).alias("at"))
-    firsts = windows.groupBy("w").agg(F.min(F.struct("doc", "at")).alias("first")).select(F.struct("w").alias("key"), "first")
-    late = windows.select(F.struct("w").alias("key"), "doc", "at").join(firsts, "key").where(F.struct("doc", "at") != F.col("first")).select("doc", "at", F.lit(length).alias("size"))
+    pieces = _keyed(docs).join(wanted.hint("shuffle_hash"), ["doc", "tag"])
+    pieces = pieces.select("doc", F.explode(F.expr("transform(wanted, w -> struct(w.anchor AS anchor, w.place AS place, w.crowded AS crowded, substring(cast(text AS binary), w.start + 1, w.size) AS piece))")).alias("p"))
+    pieces = pieces.select("p.anchor", "doc", "p.place", "p.piece", "p.crowded")
+    solved = pieces.where("NOT crowded").select("anchor", "doc", "place", "piece").repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_solve(length), "doc long, place long, size int")
+    windows = pieces.where("crowded").select("doc", "place", "piece", F.explode(F.expr(f"sequence(0, octet_length(piece) - {length})")).alias("o"))
+    windows = windows.select(F.expr(f"struct(xxhash64(substring(piece, o + 1, {length})) AS a, xxhash64('second', substring(piece, o + 1, {length})) AS b)").alias("w"), "doc", (F.col("place") + F.col("o")).alias("place"))
+    firsts = windows.groupBy("w").agg(F.min(F.struct("doc", "place")).alias("first")).select(F.struct("w").alias("key"), "first")
+    late = windows.select(F.struct("w").alias("key"), "doc", "place").join(firsts, "key").where(F.struct("doc", "place") != F.col("first")).select("doc", "place", F.lit(length).alias("size"))
     spans = whole.unionByName(solved).unionByName(late)
-    ranged = spans.select("doc", F.expr("at >> 44").alias("tag"), F.struct(place.alias("s"), (place + F.col("size")).alias("e")).alias("span"))
+    ranged = spans.select("doc", tag, F.struct(start.alias("s"), (start + F.col("size")).alias("e")).alias("span"))
     return ranged.groupBy("doc", "tag").agg(F.array_sort(F.collect_set("span")).alias("spans"))
 
 
@@ -390,7 +403,7 @@ def digests(docs: DataFrame, length: int = 100) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of each row.
 
     A null or empty text has no bytes. Identical rows are one document; rows that share a doc_id but not a text are
-    told apart, and ordered, by a 16-bit hash of their texts; a null doc_id is the least. An empty table gives no
+    told apart, and ordered, by a 15-bit hash of their texts; a null doc_id is the least. An empty table gives no
     rows; further columns play no part.
     """
     spans = repeats(docs, length).hint("shuffle_hash")
