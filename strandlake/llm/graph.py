@@ -2,25 +2,65 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandlake.llm.common import settled
 
+#: Edges that one forest in memory takes.
+FOREST = 500_000
+
+
+def _stars(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Edges (a, b) to edges from each node to the least one that it is tied to by the edges of this piece."""
+
+    def flush(up: dict[int, int]) -> pd.DataFrame:
+        rows = []
+        for x in up:
+            r = x
+            while up[r] != r:
+                r = up[r]
+            up[x] = r
+            if r != x:
+                rows.append((x, r))
+        return pd.DataFrame(rows, columns=["a", "b"], dtype="int64")
+
+    up: dict[int, int] = {}
+    seen = 0
+    for batch in batches:
+        for x, y in zip(batch["a"].tolist(), batch["b"].tolist(), strict=True):
+            for z in (x, y):
+                up.setdefault(z, z)
+            while up[x] != x:
+                up[x] = x = up[up[x]]
+            while up[y] != y:
+                up[y] = y = up[up[y]]
+            up[max(x, y)] = min(x, y)
+        seen += len(batch)
+        if seen >= FOREST:
+            yield flush(up)
+            up, seen = {}, 0
+    yield flush(up)
+
 
 def components(edges: DataFrame) -> DataFrame:
     """node and label (the least node reachable) for each node of the edges (a, b).
 
-    Rounds of two joins: a node takes the least label among its neighbours and itself, then the label of that label.
-    Labels only fall, so that rounds end when none does; their number grows with the logarithm of the longest path.
-    The rows of each round are written to the shared folder.
+    Pieces of the edges are replaced by stars with the same components first, which leaves short paths only. Then
+    come rounds of joins: a node takes the least label among its neighbours and itself, then the label of that
+    label. Labels only fall, so that rounds end when none does. The rows of each round are written to the shared
+    folder.
     """
-    both = settled(edges.where("a <> b").select("a", "b").unionByName(edges.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    stars = settled(edges.where("a <> b").select("a", "b").distinct().mapInPandas(_stars, "a long, b long"))
+    both = stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     labels = settled(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")).select(F.col("a").alias("node"), "label"))
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         lower = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        jump = lower.select(F.col("node").alias("label"), F.col("label").alias("further"))
+        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
         moved = settled(lower.join(jump, "label").select("node", "old", F.least("label", "further").alias("label")))
         labels = moved.select("node", "label")
         if not moved.where("old <> label").take(1):
