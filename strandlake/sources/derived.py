@@ -41,9 +41,8 @@ def kind(spark: SparkSession, sf_dir: str, flag: str) -> DataFrame:
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """k, chrom, start, end, h (hundredths of the score), score (single precision)"""
-    n = table(spark, sf_dir, "supplier").agg(F.count(F.lit(1)).alias("n_supp"))
-    orders = table(spark, sf_dir, "orders").join(F.broadcast(n), F.lit(True))  # one row
-    o = orders.select((F.col("o_custkey") % F.col("n_supp")).alias("k"), "o_orderkey", (F.round(F.col("o_totalprice") * 100).cast("long") % 101).cast("int").alias("h"))
+    n = table(spark, sf_dir, "supplier").count()
+    o = table(spark, sf_dir, "orders").select((F.col("o_custkey") % n).alias("k"), "o_orderkey", (F.round(F.col("o_totalprice") * 100).cast("long") % 101).cast("int").alias("h"))
     rn = F.row_number().over(Window.partitionBy("k").orderBy("o_orderkey", "h")).cast("long")
     return o.withColumn("rn", rn).select("k", _chrom(F.col("k")).alias("chrom"), (700 * (F.col("rn") - 1)).alias("start"), (700 * F.col("rn")).alias("end"), "h", (F.col("h") / F.lit(100.0)).cast("float").alias("score"))
 

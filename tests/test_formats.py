@@ -24,3 +24,22 @@ def test_empty_interval_is_an_error(spark, tmp_path):
     (tmp_path / "a.bed").write_text("1\t9\t9\n")
     with pytest.raises(Exception, match="ends before it starts"):
         formats.bed(spark, str(tmp_path / "a.bed")).collect()
+
+
+def test_writers(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from strandlake.sources import sinks
+
+    contigs = spark.createDataFrame([("chrX", 5), ("chr10", 7), ("chr2", 9)], "chrom string, raw_bp long")
+    sinks.sizes(contigs, str(tmp_path / "sizes"))
+    assert [r["chrom"] for r in formats.sizes(spark, str(tmp_path / "sizes")).collect()] == ["chr2", "chr10", "chrX"]
+    with pytest.raises(Exception, match="(?i)exist"):
+        sinks.sizes(contigs, str(tmp_path / "sizes"))
+    sinks.sizes(contigs, str(tmp_path / "sizes"), force=True)
+    runs = spark.createDataFrame([("1", 0, 5, 0.25), ("1", 5, 9, 0.0), ("1", 9, 12, 1e-7), ("1", 12, 13, 1.0)], "chrom string, start long, end long, score double")
+    sinks.bedgraph(runs, str(tmp_path / "bg"))
+    assert sorted(r["value"].split("\t")[3] for r in spark.read.text(str(tmp_path / "bg")).collect()) == ["0.25", "1", "1e-07"]
+    sinks.checksums(spark.createDataFrame([("f", bytearray(b"x"))], "filename string, content binary"), str(tmp_path / "md5"))
+    assert spark.read.text(str(tmp_path / "md5")).first()["value"] == "9dd4e461268c8034f5c8564e155c67a6  f"
+    assert spark.range(1).select(sinks.six_digits(F.lit(1234567.0)).alias("x")).first()["x"] == "1.23457e+06"
