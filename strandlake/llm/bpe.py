@@ -125,12 +125,12 @@ class Encoder(dict):
         return b"".join(map(self.bytes.__getitem__, ids))
 
 
-_ENCODERS: dict[int, Encoder] = {}
+_ENCODERS: dict[tuple[int, str], Encoder] = {}
 
 
 def _encoder(shared, pattern: str) -> Encoder:
-    """One for each Python worker, not for each task."""
-    key = hash((getattr(shared, "_jbroadcast", None) and id(shared), pattern, len(shared.value)))
+    """One for each Python worker, not for each task; it holds the ranks, so that their id names them."""
+    key = (id(shared.value), pattern)
     if key not in _ENCODERS:
         _ENCODERS.clear()
         _ENCODERS[key] = Encoder(shared.value, pattern)
