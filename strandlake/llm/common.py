@@ -5,10 +5,14 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strandlake.functions.lineage import settled, shared_folder
 
-__all__ = ["BLANKS", "LOWER", "UPPER", "WORD", "settled", "shared_folder", "table", "written"]
+__all__ = ["BLANKS", "LOWER", "UPPER", "WORD", "marked", "settled", "shared_folder", "table", "written"]
+
+#: Bits of the bitmap of marked(): its table has a 64th as many rows at most, whatever the input.
+MARK_BITS = 1 << 22
 
 #: Bytes 32 and 9 to 13, the white space that separates words and pads lines.
 BLANKS = " \t\n\x0b\f\r"
@@ -27,3 +31,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def marked(rows: DataFrame, key: str, ids: DataFrame, name: str = "maybe") -> DataFrame:
+    """Rows with a further column: false if their key is not among ids (a column of the same name), else perhaps true.
+
+    Ids set bits of a bitmap of fixed size, which is broadcast; so large rows that have nothing to do with ids need
+    not be shuffled to join them. A full bitmap, where ids are very many, only saves nothing.
+    """
+    slot = F.pmod(F.xxhash64(key), F.lit(MARK_BITS))
+    words = ids.select(slot.alias("_slot")).groupBy(F.expr("_slot div 64").alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(_slot % 64 AS int))")).alias("_bits"))
+    placed = rows.withColumn("_slot", slot).withColumn("_word", F.expr("_slot div 64"))
+    # at most MARK_BITS / 64 rows of two numbers
+    joined = placed.join(F.broadcast(words), "_word", "left")
+    return joined.withColumn(name, F.expr("coalesce(shiftright(_bits, cast(_slot % 64 AS int)) & 1, 0) = 1")).drop("_slot", "_word", "_bits")

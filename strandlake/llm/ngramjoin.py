@@ -25,13 +25,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandlake.llm.common import settled
+from strandlake.llm.common import marked, settled
 from strandlake.llm.graph import components
 
 _K = np.uint64(0x9E3779B97F4A7C15)
 _M = np.uint64(0xFF51AFD7ED558CCD)
 _S = np.uint64(32)
-#: What shingles are multiplied by in each band.
+#: What shingles are multiplied by in each band; their last two bits then name the band.
 _SALTS = (1, 0x5851F42D4C957F2D, 0x14057B7EF767814F)
 #: Words whose hashes each Python worker remembers.
 REMEMBERED = 500_000
@@ -70,7 +70,7 @@ def prefix(n: int, percent: int) -> int:
 
 
 #: Bands: sets of up to so many shingles, and their counted part as a multiple of the part that a prefix takes.
-BANDS = ((64, 20.0), (256, 3.5), (1 << 62, 1.4))
+BANDS = ((64, 20.0), (256, 2.2), (1 << 62, 1.25))
 
 
 def bands(n: int, percent: int) -> list[int]:
@@ -99,7 +99,7 @@ def _sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 s = shingles(text, words)
                 cid, n = _class(s), len(s)
                 for j, k in enumerate(bands(n, percent) or [-1]):
-                    tokens = np.sort(s * np.int64(_SALTS[k]))
+                    tokens = np.unique((s * np.int64(_SALTS[k])) & ~np.int64(3) | np.int64(k))
                     counted = int(np.searchsorted(tokens, cuts[k]))
                     out.append((i, cid, n, j == 0, k, counted, tokens[: max(counted, prefix(n, percent))]))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], schema.field(k).type) for k in range(len(schema))], schema=schema)
@@ -112,13 +112,17 @@ def _class(s: np.ndarray) -> int:
 
 
 def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """cid and, for each order, the shingles of its prefixes that another class holds too; classes without any don't come."""
-    classes = sets.where("n > 0").groupBy("cid", "band").agg(F.first("n").alias("n"), F.first("counted").alias("counted"), F.first("heads").alias("heads"))
-    tokens = classes.select("cid", "band", F.explode("heads").alias("tok"))
+    """cid and, for each order, the shingles of its prefixes that another row holds too; classes without any don't come."""
+    small = sets.where("main AND n > 0").select("doc_id", "cid")
+    copies = small.join(small.groupBy("cid").agg(F.min("doc_id").alias("rep")), "cid").where("doc_id <> rep").select("doc_id", "cid")
+    # one row of each class goes on; only rows that may be copies are shuffled to find out
+    rows = marked(sets.where("n > 0").select("doc_id", "cid", "band", "heads"), "doc_id", copies.select("doc_id"))
+    ones = rows.where("NOT maybe").select("cid", "heads").unionByName(rows.where("maybe").join(copies, ["doc_id", "cid"], "left_anti").select("cid", "heads"))
+    tokens = ones.select("cid", F.explode("heads").alias("tok"))
     # the key is another than the one counted by, so that both sides are dealt anew and a very common shingle is split as a skewed join
     counts = tokens.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select(F.bitwise_not("tok").alias("key"), "df")
-    shared = tokens.select("cid", "band", F.bitwise_not("tok").alias("key")).join(counts, "key").select("cid", "band", F.bitwise_not("key").alias("tok"), "df")
-    lists = shared.groupBy("cid", "band").agg(F.collect_list(F.struct("tok", "df")).alias("shared"))
+    shared = tokens.select("cid", F.bitwise_not("tok").alias("key")).join(counts, "key").select("cid", F.bitwise_not("key").alias("tok"), "df")
+    lists = shared.groupBy("cid", F.col("tok").bitwiseAND(F.lit(3)).alias("band")).agg(F.collect_set(F.struct("tok", "df")).alias("shared"))
     sized = lists.join(sets.where("n > 0").select("cid", "band", "n", "counted").distinct(), ["cid", "band"])
     cut = F.element_at(F.array(*[F.lit(_cut(k, percent)) for k in range(len(BANDS))]), (F.col("band") + 1).cast("int"))
     sized = sized.withColumn("cut", cut).withColumn("low", F.expr("filter(shared, x -> x.tok < cut)")).withColumn("p", F.expr(f"n - ({percent} * n + 99) div 100 + 1"))
@@ -247,7 +251,8 @@ def joined(docs: DataFrame, words: int = 5, percent: int = 80, tile: int = 1024)
     known = families.join(sizes, "label").select(F.col("node").alias("cid"), F.col("label").alias("family"), "tiles")
     tiled = known.withColumn("own", F.expr("pmod(xxhash64(cid, 3), tiles)")).withColumn("other", F.explode(F.expr("sequence(0L, tiles - 1)")))
     tiled = tiled.select("cid", "family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.col("own").alias("side"))
-    texts = known.select("cid").join(classes.select("cid", "rep"), "cid").join(docs.select(F.col("doc_id").cast("long").alias("rep"), "text"), "rep").select("cid", "text")
+    wanted = settled(known.select("cid").join(classes, "cid"))
+    texts = marked(docs.select(F.col("doc_id").cast("long").alias("rep"), "text"), "rep", wanted.select("rep")).where("maybe").join(wanted, "rep").select("cid", "text")
     placed = tiled.join(prefixes, "cid").join(texts, "cid").repartition("family", "i", "j").sortWithinPartitions("family", "i", "j", "cid")
     labels = components(_links(placed, words, percent))
     named = labels.select(F.col("node").alias("cid"), "label").join(classes.select("cid", "rep"), "cid")
@@ -260,8 +265,10 @@ def joined(docs: DataFrame, words: int = 5, percent: int = 80, tile: int = 1024)
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """Rows and columns of docs without those whose component has a smaller doc_id."""
-    copies = joined(docs, **options).where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(copies.hint("shuffle_hash"), "doc_id", "left_anti")
+    copies = settled(joined(docs, **options).where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct())
+    rows = marked(docs, "doc_id", copies, "_maybe")
+    unsure = rows.where("_maybe").join(copies.hint("shuffle_hash"), "doc_id", "left_anti")
+    return rows.where("NOT _maybe").select(*docs.columns).unionByName(unsure.select(*docs.columns))
 
 
 def oracle(words: int, percent: int) -> str:
