@@ -2,7 +2,7 @@
 
 Each stage takes all that the stage before it kept, as a DataFrame with the columns of documents, and its decisions
 take effect on what it returns: low quality documents go; lines that many documents share go; of near copies one
-stays; the rest is put in the order of the mixture; its texts become token ids.
+stays; the rest is put in the order of the mixture; its texts become token ids, with their place in the mixture.
 """
 
 from __future__ import annotations
@@ -38,10 +38,14 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The token ids of all documents."""
+    """The token ids of all documents, with their slot and seq in the mixture and sorted by these.
+
+    Files that are read back don't keep the order of rows, so that the place is found again, from ids and sources.
+    """
     import public_tokenizers
 
-    return bpe.tokenised(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    placed = mixing.placed(docs, WEIGHTS, OTHERS, block_rows=MIX_BLOCK, seed=MIX_SEED)
+    return bpe.tokenised(placed, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, further=("slot", "seq"))
 
 
 STAGES = [

@@ -215,10 +215,10 @@ def encoded(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text",
     return docs.withColumn(out, Codec(docs.sparkSession, ranks_path, pattern).encode(F.col(text)))
 
 
-def tokenised(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """doc_id, source, token_ids, n_tokens and decoded_sha256 of each row; nulls, empty texts and tables as in digests()."""
+def tokenised(docs: DataFrame, ranks_path: str, pattern: str, further: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, source, token_ids, n_tokens and decoded_sha256 of each row, then further columns of docs; nulls, empty texts and tables as in digests()."""
     codec = Codec(docs.sparkSession, ranks_path, pattern)
-    return docs.select("doc_id", "source", codec.both(F.col("text")).alias("t")).select("doc_id", "source", "t.*")
+    return docs.select("doc_id", "source", codec.both(F.col("text")).alias("t"), *further).select("doc_id", "source", "t.*", *further)
 
 
 def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:

@@ -213,3 +213,17 @@ def test_pipeline_by_stages(spark):
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
     kept = [labels[i] for i in ids("quality") if i in labels]
     assert sum(kept) == sum(labels.values()) and len(kept) - sum(kept) <= 0.1 * len(labels)
+
+
+def test_tokens_carry_the_mixture(spark):
+    from pyspark.sql import functions as F
+
+    import corpus_pipeline as pipeline
+
+    r = random.Random(4)
+    docs = spark.createDataFrame([(i, f"text {i}", r.choice(["src0", "src0", "src1", "src2", "x", None])) for i in [*range(300), None]], "doc_id long, text string, source string")
+    want = mixing.scheduled(docs.select("doc_id", "source"), pipeline.WEIGHTS, pipeline.OTHERS, pipeline.MIX_BLOCK, pipeline.MIX_SEED)
+    mixed = pipeline.mixture(spark, docs, "").repartition(7, F.hash("text"))  # read back in any order
+    got = pipeline.tokens(spark, mixed, "").collect()
+    assert {(x["doc_id"], x["slot"], x["seq"]) for x in got} == {(x["doc_id"], x["slot"], x["seq"]) for x in want.collect()} and len(got) == 301
+    assert [(x["slot"], x["seq"]) for x in got] == sorted((x["slot"], x["seq"]) for x in got)
