@@ -5,8 +5,8 @@ headers, footers, sidebars, notices, adverts, forms and reader comments are neve
 of its characters in links, and the share of function words among its words. Blocks too short to tell, and blocks
 whose words tell nothing, stay open. In the second pass an open block takes the label of its nearest decided
 neighbours. Where a page names its article (an article or main element), blocks outside are no part of it, the ends
-of the article count as decided main text, and few function words alone leave a block open instead of rejecting it:
-articles also hold lists, formulas and headings.
+of the article count as decided main text, and few function words or many links alone leave a block open instead of
+rejecting it: articles also hold lists, formulas, references and headings.
 """
 
 from __future__ import annotations
@@ -44,6 +44,7 @@ NOT_ASIDE = frozenset("has with without no is js page body site wrapper layout m
 
 _MARKUP = re.compile(r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+_ANCHOR = re.compile(r"<(/?)a(?=[\s/>])", re.I)
 _TOKEN = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -82,21 +83,30 @@ def _place(tag: str, attributes: str, place: tuple[str, bool]) -> tuple[str, boo
     return place
 
 
+def _is_link(attributes: str) -> bool:
+    """Whether an anchor of these attributes leads anywhere; one with a name or id alone is the target of others."""
+    names = {k.lower() for k, _ in _ATTRIBUTE.findall(attributes)}
+    return "href" in names or bool(names) and names.isdisjoint(("name", "id"))
+
+
 def blocks(html: str) -> list[Block]:
     """The blocks of a page that have text, in their order."""
     out: list[Block] = []
     parts: list[str] = []
     linked, links = 0, 0
+    loose, depth = False, 0  # of the open link: whether its end tag is missing, and the stack where it began
     place, heading = ("", False), False
     stack: list[tuple[str, tuple[str, bool]]] = []
 
     def close() -> None:
-        nonlocal linked, heading
+        nonlocal linked, links, heading
         text = _SPACE.sub(" ", unescape("".join(parts))).strip() if parts else ""
         if text:
             out.append(Block(text, min(linked, len(text)), bool(place[0]), place[1], heading))
         parts.clear()
         linked, heading = 0, False
+        if loose:
+            links = 0
 
     at, n = 0, len(html)
     while at < n:
@@ -124,6 +134,8 @@ def blocks(html: str) -> list[Block]:
                     close()
                     place = stack[k][1]
                     del stack[k:]
+                    if k < depth:
+                        links = 0
                     break
             continue
         if tag in SILENT_TAGS or tag in RAW_TAGS:
@@ -139,13 +151,17 @@ def blocks(html: str) -> list[Block]:
             parts.append(" ")
             continue
         if tag == "a":
-            links = 1 if found[3].strip() else links
+            links, depth = int(_is_link(found[3])), len(stack)
+            end = _ANCHOR.search(html, at) if links else None
+            loose = not end or not end[1]
         elif tag == "br":
             parts.append("\n")
         if tag in BLOCK_TAGS:
             close()
             if stack and stack[-1][0] in ("p", "li", "dt", "dd", "td", "th", "option") and (stack[-1][0] == "p" or stack[-1][0] == tag):
                 place = stack.pop()[1]
+                if len(stack) < depth:
+                    links = 0
             heading = tag in ("h1", "h2", "h3", "h4", "h5", "h6")
         if tag not in VOID_TAGS and (tag in BLOCK_TAGS or found[3].strip()):
             new = _place(tag, found[3], place)
@@ -161,11 +177,11 @@ def blocks(html: str) -> list[Block]:
 def classify(found: list[Block], *, short: int = 70, long: int = 200, low: float = 0.25, high: float = 0.30, most_linked: float = 0.33) -> list[bool]:
     """Whether each block is main text.
 
-    First pass: a block beside the article, or outside it where the page names one, is bad; so is one with more than
-    `most_linked` of its characters in links. One shorter than `short` is open ("short"). A longer one is good if at
-    least `high` of its words are function words and it is longer than `long`, near good if it is not longer or the
-    share is `low` at least, and else bad, or open inside a named article. Second pass: open blocks, then near good
-    ones, take the label of the nearest decided blocks on both sides; where these differ, an open block is good only
+    First pass: a block beside the article, or outside it where the page names one, is bad; one with more than
+    `most_linked` of its characters in links is bad too, or open inside a named article. One shorter than `short` is
+    open ("short"). A longer one is good if at least `high` of its words are function words and it is longer than
+    `long`, near good if it is not longer or the share is `low` at least, and else bad, or open inside a named
+    article. Second pass: open blocks, then near good ones, take the label of the nearest decided blocks on both sides; where these differ, an open block is good only
     if a near good block is as near on the bad side, and a near good one is good. Outside of a named article the ends
     of the page are bad; inside, the ends are good. A heading goes with the next decided block.
     """
@@ -173,8 +189,11 @@ def classify(found: list[Block], *, short: int = 70, long: int = 200, low: float
     for b in found:
         words = _WORD.findall(b.text.lower())
         share = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
-        if b.aside or named and not b.inside or b.linked > most_linked * len(b.text):
+        dense = b.linked > most_linked * len(b.text)
+        if b.aside or named and not b.inside or dense and not named:
             b.label = "bad"
+        elif dense:
+            b.label = "short"
         elif len(b.text) < short:
             b.label = "short"
         elif share >= high:

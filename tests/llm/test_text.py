@@ -93,6 +93,21 @@ def test_pages_with_an_article():
     assert html.main_text(page)[0] == "one\n\nHi there all the people of it, from near and far, and from here\n\nXX YY ZZ"
 
 
+def test_links_inside_an_article():
+    links = "".join(f'<li><a href="{k}">Reference {k} of the list</a>' for k in range(4))
+    page = f'<nav><a href=0>Menu</a></nav><article><h1><a href="t">The title</a></h1><p><a href="1">{LONG}</a></p><p>XX <a href="2">YY</a></p><ul>{links}</ul><p><a href="3">Not closed</p><p>{LONG}</p><p>end</article><div><a href=9>{LONG}</a></div>'
+    want = ["The title", LONG, "XX YY", *(f"Reference {k} of the list" for k in range(4)), "Not closed", LONG, "end"]
+    assert html.main_text(page) == ("\n\n".join(want), len(want), len(want) + 2)
+
+
+@pytest.mark.parametrize("start", ["<p><a href=1>one</p>", "<p><a href=1>one", "<a href=1>one", '<a name="top">one'])
+def test_anchors_that_are_not_closed(start):
+    text = f"{LONG} {LONG}"
+    page = f"<body>{start}<p>{text}</p><p>{text}</p><div><a href=2><h3>{text}</h3><p>{text}</p></a></div>"
+    assert html.main_text(page)[0] == f"{text}\n\n{text}"
+    assert [b.linked > 0 for b in html.blocks(page) if b.text == text] == [False, False, True, True]
+
+
 def test_page_rows(spark):
     rows = [(1, "u", None), (2, "u", ""), (3, "u", "<p>a" * 3000), (4, "u", "<article>x"), (4, "u", "<article>x"), (5, "u", '<a title="' * 2000), (6, "u", "<script>x")]
     out = html.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
