@@ -11,7 +11,8 @@ hash. The part is larger for smaller sets, and all of the smallest: sets are dea
 their own, which overlap so far that any two sets that can link have one band in common. Equal sets are one class
 from the start. Shingles in one set only can't link and stay behind; the others' prefixes tie classes into families,
 within which pairs are verified: large families in square tiles of bounded size, from which only links that connect
-are returned. No group and no list of pairs is gathered in one place.
+are returned and, where links are counted, a number for each class; a pair of classes meets in one tile only. No group
+and no list of pairs is gathered in one place.
 """
 
 from __future__ import annotations
@@ -158,11 +159,12 @@ class _Forest:
         return x != y
 
 
-def connect(sets: list[np.ndarray], prefixes: list[list[np.ndarray]], percent: int, side: np.ndarray | None = None) -> list[tuple[int, int]]:
+def connect(sets: list[np.ndarray], prefixes: list[list[np.ndarray]], percent: int, side: np.ndarray | None = None, copies: np.ndarray | None = None) -> tuple[list[tuple[int, int]], np.ndarray]:
     """Links between sets that connect them as all links would; with sides, of pairs on different sides only.
 
     Pairs that share a prefix shingle under every order, and whose sizes allow it, are verified on the whole sets,
-    but for pairs that earlier links connect already.
+    but for pairs that earlier links connect already. With copies, the number of rows with each set, no pair is left
+    out, and the second result is how many rows each set links to.
     """
     m = len(sets)
     sizes = np.array([len(s) for s in sets])
@@ -175,6 +177,7 @@ def connect(sets: list[np.ndarray], prefixes: list[list[np.ndarray]], percent: i
                 index.setdefault(t, []).append(x)
         holders.append({t: np.array(xs) for t, xs in index.items()})
     forest, roots, links = _Forest(m), np.arange(m), []
+    counts = np.zeros(m, np.int64)
     flags = np.zeros(int(flat.max()) + 1 if len(flat) else 1, bool)
     for x in range(m):
         open_ = np.ones(m, bool)
@@ -184,7 +187,9 @@ def connect(sets: list[np.ndarray], prefixes: list[list[np.ndarray]], percent: i
                 hit[index[t]] = True
             open_ &= hit
         open_[: x + 1] = False
-        open_ &= (100 * np.minimum(sizes, sizes[x]) >= percent * np.maximum(sizes, sizes[x])) & (roots != roots[x])
+        open_ &= 100 * np.minimum(sizes, sizes[x]) >= percent * np.maximum(sizes, sizes[x])
+        if copies is None:
+            open_ &= roots != roots[x]
         if side is not None:
             open_ &= side != side[x]
         found = np.flatnonzero(open_)
@@ -197,27 +202,35 @@ def connect(sets: list[np.ndarray], prefixes: list[list[np.ndarray]], percent: i
         else:
             both = np.array([np.count_nonzero(flags[flat[starts[y] : starts[y] + sizes[y]]]) for y in found])
         flags[own] = False
-        for y in found[100 * both >= percent * (sizes[x] + sizes[found] - both)].tolist():
+        near = found[100 * both >= percent * (sizes[x] + sizes[found] - both)]
+        if copies is not None:
+            counts[x] += copies[near].sum()
+            counts[near] += copies[x]
+        for y in near.tolist():
             if forest.join(x, y):
                 links.append((x, y))
         if links and links[-1][0] == x:
             roots = np.array([forest.root(k) for k in range(m)])
-    return links
+    return links, counts
 
 
-def _links(placed: DataFrame, words: int, percent: int) -> DataFrame:
-    """a, b: connecting links. placed: family, i, j (tile), side, cid, text, prefixes; sorted by tile within partitions."""
+def _links(placed: DataFrame, words: int, percent: int, count: bool) -> DataFrame:
+    """a, b, n: connecting links with n 0; and to count, rows with a class as a and b and as n the rows it links to in a tile.
+
+    placed: family, i, j (tile), side, cid, copies (its rows), text, prefixes; sorted by tile within partitions.
+    """
 
     def solve(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.assign(s=[shingles(t, words) for t in rows["text"]])
         rows = rows[[cid == _class(s) for cid, s in zip(rows["cid"], rows["s"], strict=True)]]
         rows = rows.drop_duplicates(["cid"])
         if len(rows) < 2:
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+            return pd.DataFrame({"a": [], "b": [], "n": []}, dtype="int64")
         cids = rows["cid"].to_numpy()
         side = None if (rows["i"] == rows["j"]).all() else rows["side"].to_numpy()
-        links = connect(list(rows["s"]), [list(rows[f"prefix{k}"]) for k in range(len(ORDERS))], percent, side)
-        return pd.DataFrame([(cids[x], cids[y]) for x, y in links], columns=["a", "b"], dtype="int64")
+        links, counts = connect(list(rows["s"]), [list(rows[f"prefix{k}"]) for k in range(len(ORDERS))], percent, side, rows["copies"].to_numpy() if count else None)
+        found = [(cids[x], cids[y], 0) for x, y in links] + [(cids[x], cids[x], counts[x]) for x in np.flatnonzero(counts)]
+        return pd.DataFrame(found, columns=["a", "b", "n"], dtype="int64")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         waiting: list[pd.DataFrame] = []
@@ -232,7 +245,7 @@ def _links(placed: DataFrame, words: int, percent: int) -> DataFrame:
         if waiting:
             yield solve(pd.concat(waiting))
 
-    return placed.mapInPandas(run, "a long, b long")
+    return placed.mapInPandas(run, "a long, b long, n long")
 
 
 def joined(docs: DataFrame, words: int = 5, percent: int = 80, tile: int = 1024) -> DataFrame:
@@ -241,10 +254,23 @@ def joined(docs: DataFrame, words: int = 5, percent: int = 80, tile: int = 1024)
     Documents link when 100 * intersection >= percent * union of their sets of shingles. A null or empty text and
     one without words have no shingles and no links; equal sets link. Rows with the same doc_id but other texts
     count as documents of their own; a null doc_id has a null component unless a row of another id is in it; ties
-    cannot matter; an empty table gives no rows; further columns play no part.
+    cannot matter; an empty table gives no rows; further columns play no part. Only as many pairs are verified as
+    tell the components; linked() finds all links.
+    """
+    return _joined(docs, words, percent, tile, False).drop("n_links")
+
+
+def linked(docs: DataFrame, words: int = 5, percent: int = 80, tile: int = 1024) -> DataFrame:
+    """As joined(), with n_links: the other rows that a row links to, exact copies among them.
+
+    All pairs of different sets that may link are verified, each once; equal sets are counted, not paired.
     """
+    return _joined(docs, words, percent, tile, True)
+
+
+def _joined(docs: DataFrame, words: int, percent: int, tile: int, count: bool) -> DataFrame:
     sets = settled(_sets(docs, words, percent))
-    classes = sets.where("main AND n > 0").groupBy("cid").agg(F.min("doc_id").alias("rep"))
+    classes = sets.where("main AND n > 0").groupBy("cid").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     prefixes = settled(_prefixes(sets, percent))
     families = _families(prefixes)
     sizes = families.groupBy("label").agg(F.expr(f"(count(1) + {tile - 1}L) div {tile}L").alias("tiles"))
@@ -252,15 +278,23 @@ def joined(docs: DataFrame, words: int = 5, percent: int = 80, tile: int = 1024)
     tiled = known.withColumn("own", F.expr("pmod(xxhash64(cid, 3), tiles)")).withColumn("other", F.explode(F.expr("sequence(0L, tiles - 1)")))
     tiled = tiled.select("cid", "family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.col("own").alias("side"))
     wanted = settled(known.select("cid").join(classes, "cid"))
-    texts = marked(docs.select(F.col("doc_id").cast("long").alias("rep"), "text"), "rep", wanted.select("rep")).where("maybe").join(wanted, "rep").select("cid", "text")
+    texts = marked(docs.select(F.col("doc_id").cast("long").alias("rep"), "text"), "rep", wanted.select("rep")).where("maybe").join(wanted, "rep").select("cid", "copies", "text")
     placed = tiled.join(prefixes, "cid").join(texts, "cid").repartition("family", "i", "j").sortWithinPartitions("family", "i", "j", "cid")
-    labels = components(_links(placed, words, percent))
+    links = _links(placed, words, percent, count)
+    links = settled(links) if count else links
+    labels = components(links)
     named = labels.select(F.col("node").alias("cid"), "label").join(classes.select("cid", "rep"), "cid")
     least = named.groupBy("label").agg(F.min("rep").alias("component"))
-    linked = named.join(least, "label").select("cid", "component")
-    own = classes.select("cid", "rep").join(linked, "cid", "left").select(F.col("cid").alias("_cid"), F.coalesce("component", "rep").alias("component"))
+    tied = named.join(least, "label").select("cid", "component")
+    known = classes.join(tied, "cid", "left")
+    if count:
+        known = known.join(links.where("n > 0").groupBy(F.col("a").alias("cid")).agg(F.sum("n").alias("near")), "cid", "left").withColumn("n_links", F.expr("copies - 1 + coalesce(near, 0)"))
+    else:
+        known = known.withColumn("n_links", F.lit(None).cast("long"))
+    own = known.select(F.col("cid").alias("_cid"), F.coalesce("component", "rep").alias("component"), "n_links")
     rows = sets.where("main").select("doc_id", F.col("n").alias("n_shingles"), "cid")
-    return rows.join(own, (F.col("n_shingles") > 0) & (F.col("cid") == F.col("_cid")), "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    rows = rows.join(own, (F.col("n_shingles") > 0) & (F.col("cid") == F.col("_cid")), "left")
+    return rows.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
@@ -271,6 +305,12 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     return rows.where("NOT _maybe").select(*docs.columns).unionByName(unsure.select(*docs.columns))
 
 
+def oracle_links(words: int, percent: int) -> str:
+    """oracle() with the number of links of each document."""
+    head, tail = oracle(words, percent).rsplit(" AS component_id FROM documents d", 1)
+    return f"{head} AS component_id, (SELECT count(*) FROM z WHERE z.a = d.doc_id)::BIGINT AS n_links FROM documents d{tail}"
+
+
 def oracle(words: int, percent: int) -> str:
     """The same in DuckDB by brute force: all pairs that share a shingle, then the least id reachable, step by step."""
     return f"""

@@ -35,6 +35,11 @@ def op4_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngramjoin.joined(table(spark, sf_dir, "documents"), words=3, percent=90)
 
 
+def op4_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As op4_ngrams, with the number of links of every document, for which all links are verified."""
+    return ngramjoin.linked(table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 def op5_mpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document stored in an MPEG audio stream and read back."""
     return mpeg.digests(table(spark, sf_dir, "documents"))
@@ -74,6 +79,7 @@ QUERIES = {
     "op2_rules": op2_rules,
     "op3_mixing": op3_mixing,
     "op4_ngrams": op4_ngrams,
+    "op4_links": op4_links,
     "op5_mpeg": op5_mpeg,
     "op6_lines": op6_lines,
     "op7_shards": op7_shards,
@@ -83,6 +89,7 @@ QUERIES = {
 }
 ORACLE = {
     "op4_ngrams": ngramjoin.oracle(words=3, percent=90),
+    "op4_links": ngramjoin.oracle_links(words=3, percent=90),
     "op1_html": html.ORACLE,
     "op3_mixing": mixing.oracle(WEIGHTS, OTHERS, MIX_BLOCK, MIX_SEED),
     "op6_lines": linededup.ORACLE,

@@ -227,3 +227,23 @@ def test_tokens_carry_the_mixture(spark):
     got = pipeline.tokens(spark, mixed, "").collect()
     assert {(x["doc_id"], x["slot"], x["seq"]) for x in got} == {(x["doc_id"], x["slot"], x["seq"]) for x in want.collect()} and len(got) == 301
     assert [(x["slot"], x["seq"]) for x in got] == sorted((x["slot"], x["seq"]) for x in got)
+
+
+@pytest.mark.parametrize(("words", "percent", "tile"), [(3, 60, 1024), (2, 60, 3), (3, 90, 2)])
+def test_links_by_brute_force(spark, words, percent, tile):
+    r = random.Random(words * percent + tile)
+    rows = []
+    for _ in range(5):
+        base = [f"w{r.randrange(400)}" for _ in range(r.choice([30, 90, 300]))]
+        for _ in range(9):
+            copy = list(base)
+            for _ in range(r.choice([0, 0, 1, 2, 4])):
+                copy[r.randrange(len(copy))] = f"w{r.randrange(400)}"
+            rows.append((len(rows) * 7, " ".join(copy)))
+    rows += [(2000, None), (2001, ""), (2003, "w1"), (2004, "W1"), rows[3]]
+    sets = [{tuple(w[j : j + words]) for j in range(max(1, len(w) - words + 1))} if (w := (t or "").lower().split()) else set() for _, t in rows]
+    want = [(i, len(s), sum(bool(s & z) and 100 * len(s & z) >= percent * len(s | z) for k, z in enumerate(sets) if k != j)) for j, ((i, _), s) in enumerate(zip(rows, sets))]
+    got = ngramjoin.linked(_frame(spark, rows), words, percent, tile).collect()
+    assert sorted((x["doc_id"], x["n_shingles"], x["n_links"]) for x in got) == sorted(want)
+    assert sorted(tuple(x)[:3] for x in got) == _components(rows, words, percent)
+    assert max(n for _, _, n in want) > 2
