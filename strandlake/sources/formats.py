@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from strandlake.functions.lineage import settled
+
+#: Lines that are numbered in one task.
+BLOCK_LINES = 1 << 17
+
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).where(F.trim("value") != "")
@@ -62,25 +67,46 @@ def idxstats(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, sep="\t", schema="contig string, length long, mapped long, unmapped long")
 
 
-def _numbered(spark: SparkSession, path: str) -> DataFrame:
-    """value and line_no (from 1) of each line of each file (path).
+def _splits(spark: SparkSession, path: str) -> DataFrame:
+    """path, part and at (the place of a line) of each line with its value; a file may be read in many splits.
+
+    A split is named by where its block starts; its lines come in the order of the file, so that monotonic ids order
+    them within a partition. Compressed files are one split by their nature, but are still read line by line.
+    """
+    rows = spark.read.option("lineSep", "\n").text(path)
+    read = rows.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("part"), "value", F.monotonically_increasing_id().alias("at"))
+    return settled(read)
+
+
+def _numbered(lines: DataFrame) -> DataFrame:
+    """path, part, line_no (from 1, within the file) and value, cut at its end, of lines from _splits().
 
-    Each file is one row, so a file's text must fit a task; larger inputs are kept as tables with a line_no.
+    Lines are numbered within blocks of BLOCK_LINES; what is before a block comes from a summary with a row a block.
     """
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.posexplode(F.split("value", "\n")).alias("i", "value"))
-    return whole.select("path", (F.col("i") + 1).cast("long").alias("line_no"), F.rtrim("value").alias("value"))
+    blocks = lines.withColumn("block", F.expr(f"at div {BLOCK_LINES}L"))
+    counts = blocks.groupBy("path", "part", "block").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("path").orderBy("part", "block").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = counts.select("path", "part", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ahead"))
+    within = Window.partitionBy("path", "part", "block").orderBy("at")
+    placed = blocks.withColumn("i", F.row_number().over(within)).join(ahead, ["path", "part", "block"])
+    return placed.select("path", "part", "block", (F.col("ahead") + F.col("i")).alias("line_no"), F.rtrim("value").alias("value"))
 
 
 def gtf(spark: SparkSession, path: str) -> DataFrame:
     """seqname, line_no, feature, start, end, strand, attributes; lines with fewer than nine fields go."""
-    rows = _numbered(spark, path).where(~F.col("value").startswith("#")).select("line_no", F.split("value", "\t").alias("f")).where(F.size("f") >= 9)
+    rows = _numbered(_splits(spark, path)).where(~F.col("value").startswith("#")).select("line_no", F.split("value", "\t").alias("f")).where(F.size("f") >= 9)
     f = F.col("f")
     return rows.select(f[0].alias("seqname"), "line_no", f[2].alias("feature"), f[3].cast("long").alias("start"), f[4].cast("long").alias("end"), f[6].alias("strand"), f[8].alias("attributes"))
 
 
 def fasta(spark: SparkSession, path: str) -> DataFrame:
     """contig, line_no, seq; blank lines go, a contig is the first token of its header."""
-    rows = _numbered(spark, path).where("value <> ''")
-    head = F.when(F.col("value").startswith(">"), F.element_at(F.split(F.substring("value", 2, 1 << 30), r"\s+"), 1))
-    named = rows.withColumn("contig", F.last(head, ignorenulls=True).over(Window.partitionBy("path").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)))
-    return named.where(~F.col("value").startswith(">")).select("contig", "line_no", F.col("value").alias("seq"))
+    rows = _numbered(_splits(spark, path)).where("value <> ''")
+    rows = rows.withColumn("head", F.when(F.col("value").startswith(">"), F.element_at(F.split(F.substring("value", 2, 1 << 30), r"\s+"), 1)))
+    # the last header of each block, carried on to the blocks behind it; a row a block
+    last = rows.groupBy("path", "part", "block").agg(F.max_by("head", F.when(F.col("head").isNotNull(), F.col("line_no"))).alias("last"))
+    before = Window.partitionBy("path").orderBy("part", "block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = last.select("path", "part", "block", F.last("last", ignorenulls=True).over(before).alias("carried"))
+    own = F.last("head", ignorenulls=True).over(Window.partitionBy("path", "part", "block").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0))
+    named = rows.withColumn("own", own).join(carried, ["path", "part", "block"]).withColumn("contig", F.coalesce("own", "carried"))
+    return named.where("head IS NULL").select("contig", "line_no", F.col("value").alias("seq"))

@@ -43,3 +43,29 @@ def test_writers(spark, tmp_path):
     sinks.checksums(spark.createDataFrame([("f", bytearray(b"x"))], "filename string, content binary"), str(tmp_path / "md5"))
     assert spark.read.text(str(tmp_path / "md5")).first()["value"] == "9dd4e461268c8034f5c8564e155c67a6  f"
     assert spark.range(1).select(sinks.six_digits(F.lit(1234567.0)).alias("x")).first()["x"] == "1.23457e+06"
+
+
+def test_lines_of_files_in_many_splits(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(formats, "BLOCK_LINES", 16)
+    text, want, contig = [], [], None
+    for k in range(1, 3000):
+        line = f">c{k} note" if k % 97 == 1 else "" if k % 13 == 0 else "ACGT" * (k % 9 + 1) + " " * (k % 2)
+        contig = line[1:].split()[0] if line.startswith(">") else contig
+        if line and not line.startswith(">"):
+            want.append((contig, k, line.rstrip()))
+        text.append(line)
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.fa").write_text("\n".join(text))
+    (tmp_path / "in" / "b.fa").write_text(">only\nAC\n")
+    (tmp_path / "a.gtf").write_text("\n".join(f"1\ts\tgene\t{k}\t{k + 5}\t.\t+\t.\tx" if k % 3 else "# c" for k in range(1, 3000)))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k in old:
+            spark.conf.set(k, "1024")
+        assert formats._splits(spark, str(tmp_path / "in")).select("path", "part").distinct().count() > 20
+        got = formats.fasta(spark, str(tmp_path / "in")).collect()
+        assert sorted((r["contig"], r["line_no"], r["seq"]) for r in got) == sorted([*want, ("only", 2, "AC")])
+        assert sorted((r["start"], r["line_no"]) for r in formats.gtf(spark, str(tmp_path / "a.gtf")).collect()) == [(k, k) for k in range(1, 3000) if k % 3]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
