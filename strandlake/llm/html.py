@@ -1,17 +1,21 @@
 """Main text of web pages by block rules in two passes.
 
-A page is cut into blocks at block-level elements. The first pass looks at each block alone: its element (menus,
-headers, footers, sidebars, notices, adverts, forms and reader comments are never main text), its length, the share
-of its characters in links, and the share of function words among its words. Blocks too short to tell, and blocks
-whose words tell nothing, stay open. In the second pass an open block takes the label of its nearest decided
-neighbours. Where a page names its article (an article or main element), blocks outside are no part of it, the ends
-of the article count as decided main text, and few function words or many links alone leave a block open instead of
-rejecting it: articles also hold lists, formulas, references and headings.
+A page is cut into blocks at block-level elements. Elements that are beside the text by what they are or are called
+(menus, headers, footers, sidebars, notices, adverts, forms and reader comments) are out. The first pass looks at each
+other block alone, at its length, the share of its characters in links, and the share of function words among its
+words: long enough blocks with function words and few links are good, or near good; others stay open.
+
+The container is the innermost element that holds nearly all the characters of the good blocks. In the second pass an
+open block takes the label of its nearest decided neighbours, where the ends of the
+container count as good: so headings, lists, references and odd paragraphs of an article stay, whatever element it is
+in. Outside of the container, and where too little of it is good, long blocks without function words are bad, and so
+are the ends; blocks of links are good only in a named article. Where a page names its article (an article or main element), that is the container.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html import unescape
@@ -42,7 +46,12 @@ TALK_WORDS = frozenset("comment comments commentlist disqus reply replies respon
 #: An element named so has, or lacks, such a part; it isn't one.
 NOT_ASIDE = frozenset("has with without no is js page body site wrapper layout main content".split())
 
-_MARKUP = re.compile(r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
+_OPEN = re.compile(r"<(?:!--|!\[CDATA\[|[!?]|/?[a-zA-Z])")
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+#: The rest of a tag, with its quoted values; what a stray quote would take for a value is read plainly.
+_QUOTED = re.compile(r"((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+#: Tags of a page whose quotes may run to its end before quotes count no more, so that time is linear.
+STRAY = 16
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 _ANCHOR = re.compile(r"<(/?)a(?=[\s/>])", re.I)
 _TOKEN = re.compile(r"[a-z]+")
@@ -52,13 +61,14 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 @dataclass
 class Block:
-    """text: cut to single blanks; linked: characters in links; aside: never main text; inside: in the article."""
+    """text: cut to single blanks; linked: characters in links; aside: never main text; inside: in an article; path: the elements within the body that it is in, by number, from the outermost."""
 
     text: str
     linked: int
     aside: bool
     inside: bool
     heading: bool
+    path: tuple[int, ...] = ()
     label: str = ""
 
 
@@ -89,6 +99,54 @@ def _is_link(attributes: str) -> bool:
     return "href" in names or bool(names) and names.isdisjoint(("name", "id"))
 
 
+class _Entry:
+    """An open element: what was so before it, and for a block-level one its number and the inline elements open in it."""
+
+    __slots__ = ("tag", "place", "block", "number", "inline")
+
+    def __init__(self, tag: str, place: tuple[str, bool], block: bool, number: int) -> None:
+        self.tag, self.place, self.block, self.number, self.inline = tag, place, block, number, Counter()
+
+
+def _tokens(html: str) -> Iterator[tuple[str, str, str, int]]:
+    """(kind, name, content, end) of pieces of text ("text"), starts ("<") and ends ("/") of elements. send() a place to go on from there."""
+    at, n, stray = 0, len(html), 0
+    while at < n:
+        found = _OPEN.search(html, at)
+        start = found.start() if found else n
+        if start > at:
+            yield "text", "", html[at:start], start
+        if not found:
+            return
+        what = found[0]
+        if what == "<!--":
+            end = html.find("-->", start + 2)
+            at = n if end < 0 else end + 3
+            continue
+        if what == "<![CDATA[":
+            end = html.find("]]>", start)
+            yield "text", "", html[start + 9 : n if end < 0 else end], n if end < 0 else end + 3
+            at = n if end < 0 else end + 3
+            continue
+        if what in ("<!", "<?"):
+            end = html.find(">", start)
+            at = n if end < 0 else end + 1
+            continue
+        name = _NAME.match(html, start)
+        rest = _QUOTED.match(html, name.end()) if stray < STRAY else None
+        if rest:
+            attributes, at = rest[1], rest.end()
+        else:
+            stray += 1
+            end = html.find(">", name.end())
+            if end < 0:
+                return  # a tag that is not closed ends with the page
+            attributes, at = html[name.end() : end], end + 1
+        further = yield "/" if name[1] else "<", name[2].lower(), attributes, at
+        if further is not None:
+            at = further
+
+
 def blocks(html: str) -> list[Block]:
     """The blocks of a page that have text, in their order."""
     out: list[Block] = []
@@ -96,104 +154,149 @@ def blocks(html: str) -> list[Block]:
     linked, links = 0, 0
     loose, depth = False, 0  # of the open link: whether its end tag is missing, and the stack where it began
     place, heading = ("", False), False
-    stack: list[tuple[str, tuple[str, bool]]] = []
+    root = _Entry("", place, True, 0)
+    stack, levels, opened, numbers = [root], [0], Counter(), 1  # levels: where the open block-level elements are
+    endless: set[str] = set()  # elements that no end tag follows
 
     def close() -> None:
         nonlocal linked, links, heading
         text = _SPACE.sub(" ", unescape("".join(parts))).strip() if parts else ""
         if text:
-            out.append(Block(text, min(linked, len(text)), bool(place[0]), place[1], heading))
+            out.append(Block(text, min(linked, len(text)), bool(place[0]), place[1], heading, tuple(stack[k].number for k in levels[-DEEPEST:] if stack[k].tag not in ("", "html", "body"))))
         parts.clear()
         linked, heading = 0, False
         if loose:
             links = 0
 
-    at, n = 0, len(html)
-    while at < n:
-        found = _MARKUP.search(html, at)
-        piece = html[at : found.start()] if found else html[at:]
-        if piece:
-            parts.append(piece)
+    def pop(k: int) -> None:
+        """Ends the elements from place k of the stack on."""
+        nonlocal place, links
+        place = stack[k].place
+        while len(stack) > k:
+            entry = stack.pop()
+            if entry.block:
+                levels.pop()
+                opened[entry.tag] -= 1
+            elif levels[-1] < len(stack):
+                stack[levels[-1]].inline[entry.tag] -= 1
+        if len(stack) < depth:
+            links = 0
+
+    tokens = _tokens(html)
+    token = next(tokens, None)
+    while token is not None:
+        kind, tag, content, at = token
+        goto = None
+        if kind == "text":
+            parts.append(content)
             if links:
-                linked += len(piece.strip())
-        if not found:
-            break
-        at = found.end()
-        tag = (found[2] or "").lower()
-        if not tag:
-            if found[0].startswith("<![CDATA["):
-                parts.append(found[0][9:].removesuffix("]]>"))
-            continue
-        if found[1]:
+                linked += len(content.strip())
+        elif kind == "/":
             if tag == "a":
                 links = max(0, links - 1)
             if tag in BLOCK_TAGS:
                 close()
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
+                if opened[tag] > 0:
+                    k = next(k for k in reversed(levels) if stack[k].tag == tag)
+                    pop(k)
+            elif stack[levels[-1]].inline[tag] > 0:
+                k = len(stack) - 1
+                while stack[k].tag != tag:
+                    k -= 1
+                if stack[k].place != place:
                     close()
-                    place = stack[k][1]
-                    del stack[k:]
-                    if k < depth:
-                        links = 0
-                    break
-            continue
-        if tag in SILENT_TAGS or tag in RAW_TAGS:
-            if not found[3].endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(html, at)
+                pop(k)
+        elif tag in SILENT_TAGS or tag in RAW_TAGS:
+            if not content.endswith("/"):
+                end = None if tag in endless else re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(html, at)
                 if end:
-                    at = end.end()
+                    goto = end.end()
                 elif tag in RAW_TAGS:
-                    at = n
+                    goto = len(html)
                 elif tag == "head":
                     body = re.compile(r"<body[\s>]", re.I).search(html, at)
-                    at = body.start() if body else at
+                    goto = body.start() if body else None
+                if not end:
+                    endless.add(tag)
             parts.append(" ")
-            continue
-        if tag == "a":
-            links, depth = int(_is_link(found[3])), len(stack)
-            end = _ANCHOR.search(html, at) if links else None
-            loose = not end or not end[1]
-        elif tag == "br":
-            parts.append("\n")
-        if tag in BLOCK_TAGS:
-            close()
-            if stack and stack[-1][0] in ("p", "li", "dt", "dd", "td", "th", "option") and (stack[-1][0] == "p" or stack[-1][0] == tag):
-                place = stack.pop()[1]
-                if len(stack) < depth:
-                    links = 0
-            heading = tag in ("h1", "h2", "h3", "h4", "h5", "h6")
-        if tag not in VOID_TAGS and (tag in BLOCK_TAGS or found[3].strip()):
-            new = _place(tag, found[3], place)
-            if new != place or tag in BLOCK_TAGS:
+        else:
+            if tag == "a":
+                links, depth = int(_is_link(content)), len(stack)
+                end = _ANCHOR.search(html, at) if links else None
+                loose = not end or not end[1]
+            elif tag == "br":
+                parts.append("\n")
+            block = tag in BLOCK_TAGS
+            if block:
+                close()
+                last = stack[levels[-1]]
+                if last.tag == "p" or last.tag == tag and tag in ("li", "dt", "dd", "td", "th", "option"):
+                    pop(levels[-1])
+                heading = tag in ("h1", "h2", "h3", "h4", "h5", "h6")
+            if tag not in VOID_TAGS:
+                new = _place(tag, content, place) if block or content.strip() else place
                 if new != place and parts:
                     close()
-                stack.append((tag, place))
+                stack.append(_Entry(tag, place, block, numbers))
+                numbers += 1
+                if block:
+                    levels.append(len(stack) - 1)
+                    opened[tag] += 1
+                else:
+                    stack[levels[-1]].inline[tag] += 1
                 place = new
+        try:
+            token = tokens.send(goto)
+        except StopIteration:
+            token = None
     close()
     return out
 
 
-def classify(found: list[Block], *, short: int = 70, long: int = 200, low: float = 0.25, high: float = 0.30, most_linked: float = 0.33) -> list[bool]:
+#: Innermost elements of a block that its path names.
+DEEPEST = 32
+
+
+def container(found: list[Block], most: float = 0.8) -> tuple[int, bool]:
+    """The innermost element with this share of the characters of good blocks, and whether a quarter of its text or more is good; 0 is the whole page."""
+    good = Counter()
+    live = Counter()
+    for b in found:
+        if b.label == "out":
+            continue
+        for number in b.path:
+            live[number] += len(b.text)
+            if b.label in ("good", "near"):
+                good[number] += len(b.text)
+    total = sum(len(b.text) for b in found if b.label in ("good", "near"))
+    inside = [number for number, n in good.items() if n >= most * total]
+    if not total or not inside:
+        return 0, False
+    best = max(inside)  # elements are numbered as they begin, and of those with most of the text one is in the other
+    return best, 4 * good[best] > live[best]
+
+
+def classify(found: list[Block], *, short: int = 70, long: int = 200, low: float = 0.15, high: float = 0.25, most_linked: float = 0.33) -> list[bool]:
     """Whether each block is main text.
 
-    First pass: a block beside the article, or outside it where the page names one, is bad; one with more than
-    `most_linked` of its characters in links is bad too, or open inside a named article. One shorter than `short` is
-    open ("short"). A longer one is good if at least `high` of its words are function words and it is longer than
-    `long`, near good if it is not longer or the share is `low` at least, and else bad, or open inside a named
-    article. Second pass: open blocks, then near good ones, take the label of the nearest decided blocks on both sides; where these differ, an open block is good only
-    if a near good block is as near on the bad side, and a near good one is good. Outside of a named article the ends
-    of the page are bad; inside, the ends are good. A heading goes with the next decided block.
+    First pass: a block beside the text, or outside of the article where the page names one, is out. One with more
+    than `most_linked` of its characters in links is open ("links"), one shorter than `short` too ("short"). A longer
+    one is good if at least `high` of its words are function words and it is longer than `long`, near good if it is
+    not longer or the share is `low` at least, and else open ("odd"). Second pass: outside of the container (a named
+    article, or what container() finds) odd blocks are bad, as those of links are outside of a named article, and the
+    ends of the page are too; inside, they stay open and the ends are good. Open blocks, then near good ones, take the label of the nearest decided blocks on
+    both sides; where these differ, a short one is good only if a near good block is as near on the bad side, and a
+    near good one is good. A heading goes with the next decided block. On a page without any good or near good
+    block the odd ones count as near good, as their language may have other function words.
     """
     named = any(b.inside and not b.aside for b in found)
     for b in found:
         words = _WORD.findall(b.text.lower())
         share = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
-        dense = b.linked > most_linked * len(b.text)
-        if b.aside or named and not b.inside or dense and not named:
-            b.label = "bad"
-        elif dense:
-            b.label = "short"
+        if b.aside or named and not b.inside:
+            b.label = "out"
+        elif b.linked > most_linked * len(b.text):
+            b.label = "links"
         elif len(b.text) < short:
             b.label = "short"
         elif share >= high:
@@ -201,20 +304,32 @@ def classify(found: list[Block], *, short: int = 70, long: int = 200, low: float
         elif share >= low:
             b.label = "near"
         else:
-            b.label = "short" if named else "bad"
-    live = [k for k, b in enumerate(found) if not (b.aside or named and not b.inside)]
-    edge = "good" if named else "bad"
-    first = {k: found[k].label for k in live}
+            b.label = "odd"
+    if not any(b.label in ("good", "near") for b in found):
+        for b in found:
+            if b.label == "odd":
+                b.label = "near"  # of another language, if it is text at all
+    holder, mostly = container(found)
+    live = [k for k, b in enumerate(found) if b.label != "out"]
+    inner = {k for k in live if named or mostly and holder in found[k].path}
+    first = {}
+    for k in live:
+        label = found[k].label
+        bad = label == "links" and not named or label == "odd" and k not in inner
+        first[k] = "bad" if bad else "open" if label in ("links", "odd", "short") else label
 
     def nearest(order: list[int], decided: tuple[str, ...]) -> dict[int, str]:
-        last, out = edge, {}
+        last, within, out = "bad", False, {}
         for k in order:
+            if (k in inner) != within:  # an end of the container
+                within = not within
+                last = "good" if within else "bad"
             out[k] = last
             if first[k] in decided:
                 last = first[k]
         return out
 
-    for kind in ("short", "near"):
+    for kind in ("open", "near"):
         sure = ("good", "bad") if kind == "near" else ("good", "bad", "near")
         before, after = nearest(live, sure), nearest(live[::-1], sure)
         new = {}
@@ -222,13 +337,13 @@ def classify(found: list[Block], *, short: int = 70, long: int = 200, low: float
             if first[k] != kind:
                 continue
             sides = {before[k], after[k]}
-            if found[k].heading and kind == "short":
+            if found[k].heading and kind == "open":
                 new[k] = "good" if after[k] in ("good", "near") else "bad"
             elif len(sides) == 1:
                 (only,) = sides
                 new[k] = "good" if only == "near" else only
             else:
-                new[k] = "good" if kind == "near" or sides == {"good", "near"} or named else "bad"
+                new[k] = "good" if kind == "near" or sides == {"good", "near"} else "bad"
         first |= new
     return [first.get(k) in ("good", "near") for k in range(len(found))]
 

@@ -108,6 +108,44 @@ def test_anchors_that_are_not_closed(start):
     assert [b.linked > 0 for b in html.blocks(page) if b.text == text] == [False, False, True, True]
 
 
+def test_pages_whose_article_has_another_name():
+    import os
+
+    import pyarrow.parquet as pq
+
+    path = "/root/testdata/sf0.01/pages.parquet"
+    if not os.path.exists(path):
+        pytest.skip("no tables")
+    words = kept = more = 0
+    for page in pq.read_table(path).column("html").to_pylist():
+        own, other = (html.main_text(x)[0].split() for x in (page, page.replace("<article", "<div").replace("</article", "</div")))
+        both = sum((__import__("collections").Counter(own) & __import__("collections").Counter(other)).values())
+        words, kept, more = words + len(own), kept + both, more + len(other) - both
+    assert kept >= 0.97 * words and more == 0
+
+
+def test_inline_elements_end_where_they_began():
+    assert html.main_text(f'<article><p><span class="ad">BUY <span>x</span> NOW</span> {LONG}</p></article>')[0] == LONG
+    assert html.main_text(f"<article><p><b>{LONG}<br><p>{LONG}</i></b></div></article><div>{LONG}")[0] == f"{LONG}\n\n{LONG}"
+    assert html.main_text(f"<article><p title=x\">{LONG}</p><p title='a>b'>{LONG}</p></article>")[0] == f"{LONG}\n\n{LONG}"
+
+
+def test_odd_blocks_outside_of_the_text():
+    odd = "Zug bim orx " * 20
+    page = f"<body><div>{odd}</div><div><h2>Head</h2><p>{LONG} {LONG}</p><p>{odd}</p><p>Short.</p><p>{LONG}</p><p>end</p></div><div>{odd}</div><p>far</p></body>"
+    assert html.main_text(page)[0] == "\n\n".join(["Head", f"{LONG} {LONG}", odd.strip(), "Short.", LONG, "end"])
+
+
+@pytest.mark.parametrize("part", ['<a title="', "<a b='", "<div>", "<b><hr>", "<svg>", "<div><i>x</b>", "<p><b>x", "<a href=1>", "<!--", "<i></b>", '<a title=x">y</a>'])
+def test_hostile_pages_take_linear_time(part):
+    import time
+
+    page = part * (1_000_000 // len(part)) + ("</i>" * 1000 if part == "<div>" else "")
+    began = time.thread_time()
+    html.main_text(page)
+    assert time.thread_time() - began < 12
+
+
 def test_page_rows(spark):
     rows = [(1, "u", None), (2, "u", ""), (3, "u", "<p>a" * 3000), (4, "u", "<article>x"), (4, "u", "<article>x"), (5, "u", '<a title="' * 2000), (6, "u", "<script>x")]
     out = html.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
