@@ -91,6 +91,7 @@ ORACLE = {
     "op4_ngrams": ngramjoin.oracle(words=3, percent=90),
     "op4_links": ngramjoin.oracle_links(words=3, percent=90),
     "op1_html": html.ORACLE,
+    "op5_mpeg": mpeg.oracle(),
     "op3_mixing": mixing.oracle(WEIGHTS, OTHERS, MIX_BLOCK, MIX_SEED),
     "op6_lines": linededup.ORACLE,
     "op7_shards": sharding.oracle(8, 11),

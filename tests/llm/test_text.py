@@ -52,7 +52,7 @@ def test_bpe_rows(spark):
 def test_audio_round_trip(text):
     found = mpeg.read(mpeg.store(mpeg.payload_of(text)))
     assert found["payload"] == mpeg.payload_of(text) and found["junk"] == found["crc_bad"] == 0
-    assert found["crc_good"] == len(found["offsets"]) + 1 and found["samples"] == 576 * len(found["offsets"]) == 576 * found["table_frames"]
+    assert found["crc_good"] == len(found["offsets"]) + 1 and found["samples"] == 576 * len(found["offsets"]) == 576 * found["table"]["frames"] and found["table"]["right"]
 
 
 def test_audio_resynchronises():
@@ -69,7 +69,79 @@ def test_audio_resynchronises():
     vbri = bytearray(frame)
     vbri[36:40], vbri[50:54] = b"VBRI", (7).to_bytes(4, "big")
     found = mpeg.read(bytes(vbri) + frame * 7)
-    assert (found["table"], found["table_frames"], len(found["offsets"]), found["samples"]) == ("VBRI", 7, 7, 7 * 1152)
+    assert (found["table"]["name"], found["table"]["frames"], len(found["offsets"]), found["samples"]) == ("VBRI", 7, 7, 7 * 1152)
+
+
+def test_tags_are_parsed():
+    v3 = lambda key, raw: key + len(raw).to_bytes(4, "big") + b"\0\0" + raw
+    body = v3(b"TIT2", b"\x01" + "Tîtle".encode("utf-16")) + v3(b"TPE1", b"\0Caf\xe9") + v3(b"APIC", b"\0" * 40) + bytes(30)
+    tag = b"ID3\x03\0\0" + mpeg._synchsafe(len(body)) + body
+    item = b"Genre"
+    items = (3).to_bytes(4, "little") + bytes(4) + item + b"\0" + b"Pop"
+    footer = b"APETAGEX" + (2000).to_bytes(4, "little") + (len(items) + 32).to_bytes(4, "little") + (1).to_bytes(4, "little") + bytes(4) + bytes(8)
+    v1 = b"TAG" + b"One".ljust(30, b"\0") + b"Two".ljust(30, b" ") + bytes(65)
+    plain = mpeg.store(mpeg.payload_of("x" * 5000))
+    frames = plain[mpeg.read(plain)["table"]["at"] : -128]
+    found = mpeg.read(tag + frames + items + footer + v1)
+    assert found["tags"] == ["id3v2", "id3v1", "ape"] and found["junk"] == 0 and found["table"]["right"]
+    assert found["fields"] == {"TIT2": "Tîtle", "TPE1": "Café", "v1:title": "One", "v1:artist": "Two", "ape:Genre": "Pop"}
+    assert mpeg.read(mpeg.store(mpeg.payload_of("y"), "Näme"))["fields"]["TIT2"] == "Näme"
+    two = b"TT2" + (4).to_bytes(3, "big") + b"\0abc"
+    assert mpeg.read(b"ID3\x02\0\0" + mpeg._synchsafe(len(two)) + two)["fields"] == {"TT2": "abc"}
+
+
+def test_tables_are_held_against_the_frames():
+    good = mpeg.store(mpeg.payload_of("abc" * 9000))
+    r = mpeg.read(good)
+    assert r["table"]["right"] and len(r["table"]["points"]) == 100 and mpeg.runs(r["offsets"], r["sizes"]) == f"{r['offsets'][0]}+648x{len(r['offsets'])}"
+    point = good.index(b"Xing") + 16 + 50
+    for at in (good.index(b"Xing") + 11, good.index(b"Xing") + 15, point):
+        broken = bytearray(good)
+        broken[at] ^= 0x55
+        assert not mpeg.read(bytes(broken))["table"]["right"]
+    frame = b"\xff\xfb\x90\x64" + bytes(413)
+    vbri = bytearray(frame)
+    vbri[36:40], vbri[46:50], vbri[50:54] = b"VBRI", (8 * 417).to_bytes(4, "big"), (7).to_bytes(4, "big")
+    vbri[54:62] = b"".join(x.to_bytes(2, "big") for x in (3, 1, 2, 2))
+    vbri[62:68] = b"".join(x.to_bytes(2, "big") for x in (3 * 417, 2 * 417, 2 * 417))
+    assert mpeg.read(bytes(vbri) + frame * 7)["table"]["right"]
+    vbri[62:64] = (9000).to_bytes(2, "big")
+    assert not mpeg.read(bytes(vbri) + frame * 7)["table"]["right"]
+
+
+def _crc_bit_by_bit(bits):
+    c = 0xFFFF
+    for bit in bits:
+        c = (c << 1 & 0xFFFF) ^ (0x8005 if (c >> 15) ^ bit else 0)
+    return c
+
+
+@pytest.mark.parametrize(("head", "bits"), [(b"\xff\xfe\x90\xc0", 128), (b"\xff\xfe\x90\x00", 256), (b"\xff\xfe\x90\x50", 4 * (32 + 8)), (b"\xff\xfc\x90\xc0", None), (b"\xff\xfc\x90\x50", None), (b"\xff\xf4\x80\x00", None)])
+def test_checksums_of_layers_one_and_two(head, bits):
+    size = mpeg.header(head, 0)["size"]
+    r = random.Random(size)
+    body = bytes(r.randrange(256) for _ in range(size - 6))
+    if bits is None:  # Layer II: allocations, then two bits for each subband that has one
+        h = mpeg.header(head, 0)
+        one = h["kind"][0] == 3
+        channels = 1 if h["mono"] else 2
+        widths = [4] * 11 + [3] * 12 + [2] * (4 if h["hz"] == 48000 or h["kbits"] // channels <= 80 else 7) if one else [4] * 4 + [3] * 7 + [2] * 19
+        assert not one or h["kbits"] // channels > 48
+        stream = [b >> 7 - k & 1 for b in body for k in range(8)]
+        at = scales = 0
+        for band, w in enumerate(widths):
+            shared = h["bound"] is not None and band >= h["bound"]
+            for _ in range(1 if shared else channels):
+                scales += any(stream[at : at + w]) * (channels if shared else 1)
+                at += w
+        bits = at + 2 * scales
+    own = [b >> 7 - k & 1 for b in head[2:4] + body for k in range(8)][: 16 + bits]
+    frame = head + _crc_bit_by_bit(own).to_bytes(2, "big") + body
+    found = mpeg.read(frame * 3)
+    assert (found["crc_good"], found["crc_bad"], len(found["offsets"])) == (3, 0, 3)
+    wrong = bytearray(frame)
+    wrong[6 + bits // 8 - 1] ^= 16
+    assert mpeg.read(bytes(wrong) * 3)["crc_bad"] == 3
 
 
 def test_audio_rows(spark):
