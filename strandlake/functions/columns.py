@@ -11,10 +11,19 @@ from pyspark.sql import functions as F
 PRIMARY = [*(str(i) for i in range(1, 23)), "X", "Y"]
 #: File kinds by suffix, the first match wins (fixed values of the manifest format).
 KINDS = [
-    (".dropped_genes.tsv", "dropped_genes"), (".t2g.tsv", "t2g"), (".metadata.json", "provenance"), (".md5", "checksum_sidecar"),
-    (".gtf.gz", "annotation"), (".gtf", "annotation"), (".bw", "mappability"), (".bedgraph.gz", "mappability"), (".chrom.sizes", "chrom_sizes"),
-    (".masked.bed", "mask_bed"), (".fa.gz", "genome"), (".fa", "genome"),
-]
+    (".gtf.gz", "annotation"),
+    (".gtf", "annotation"),
+    (".fa.gz", "genome"),
+    (".fa", "genome"),
+    (".bw", "mappability"),
+    (".bigWig", "mappability"),
+    (".chrom.sizes", "chrom_sizes"),
+    (".masked.bed", "mask_bed"),
+    (".t2g.tsv", "t2g"),
+    (".dropped_genes.tsv", "dropped_genes"),
+    (".metadata.json", "provenance"),
+    (".md5", "checksum_sidecar"),
+]
 
 
 def contig_key(name: Column) -> Column:
@@ -44,14 +53,18 @@ def within_bed(start1: Column, end1: Column, start0: Column, end0: Column) -> Co
     return (start1 - 1 >= start0) & (end1 <= end0)
 
 
+def _attribute(key: str) -> str:
+    return f'(?:^|; ){key} "([^"]*)"'
+
+
 def attribute(attributes: Column, key: str) -> Column:
     """Value of a key of a packed attribute column, at its start or right after "; "; null if missing or empty."""
-    return F.nullif(F.regexp_extract(attributes, f'(?:^|; ){key} "([^"]*)"', 1), F.lit(""))
+    return F.nullif(F.regexp_extract(attributes, _attribute(key), 1), F.lit(""))
 
 
 def first_attribute(attributes: Column, *keys: str) -> Column:
-    """The first of several keys that has a value; else an empty string."""
-    return F.coalesce(*(attribute(attributes, k) for k in keys), F.lit(""))
+    """Value of the first of several keys that is there, be it empty; an empty string if none is."""
+    return F.coalesce(*(F.when(attributes.rlike(_attribute(k)), F.regexp_extract(attributes, _attribute(k), 1)) for k in keys), F.lit(""))
 
 
 def hard_mask(sequence: Column, offset: Column, masks: Column) -> Column:
@@ -101,9 +114,40 @@ def release_of(name: Column) -> Column:
     return F.coalesce(F.get(F.filter(F.split(name, r"\."), lambda x: x.rlike("^[0-9]+$")), F.lit(0)), F.lit("NA"))
 
 
-def notes(*parts: tuple[str, Column]) -> Column:
-    """`label value` of the parts that have a value, joined by "; "; "-" if none has."""
-    return F.coalesce(F.nullif(F.concat_ws("; ", *(F.when(v.isNotNull() & (v != ""), F.concat(F.lit(f"{k}="), v)) for k, v in parts)), F.lit("")), F.lit("-"))
+def notes(*parts: Column) -> Column:
+    """The parts that have a value, joined by "; "; "-" if none has."""
+    return F.coalesce(F.nullif(F.concat_ws("; ", *(F.nullif(p, F.lit("")) for p in parts)), F.lit("")), F.lit("-"))
+
+
+def basename(path: Column) -> Column:
+    """What follows the last slash."""
+    return F.substring_index(path, "/", -1)
+
+
+def product_prefix(name: Column, suffix: str) -> Column:
+    """A file name up to the first `suffix`, such as .fa or .gtf; the name itself without one."""
+    return F.substring_index(name, suffix, 1)
+
+
+def first_present(*values: Column) -> Column:
+    """The first value that is neither null nor empty."""
+    return F.coalesce(*(F.nullif(v, F.lit("")) for v in values))
+
+
+def territory_of(key: Column) -> Column:
+    """X and Y by themselves, all other contigs as autosomes."""
+    return F.when(key == "X", F.lit("chrX")).when(key == "Y", F.lit("chrY")).otherwise(F.lit("Autosomes"))
+
+
+def label_rank(label: Column, order: list[str], first_seen: Column) -> Column:
+    """Place of a label in an order of its own; labels that it lacks follow as they were first seen."""
+    at = F.array_position(F.array(*[F.lit(x) for x in dict.fromkeys(order)]), label)
+    return F.when(at > 0, at).otherwise(F.lit(len(order)).cast("long") + 1 + first_seen)
+
+
+def three_places(value: Column) -> Column:
+    """A number with three decimals, as C's %.3f prints it; what is no number as nan."""
+    return F.when(value.isNull() | F.isnan(value), F.lit("nan")).otherwise(F.format_string("%.3f", value))
 
 
 def whole_metric(value: Column) -> Column:
@@ -121,6 +165,6 @@ def bin_edge(index: Column, bins: int, length: Column) -> Column:
     return F.when(index == bins, length).otherwise((index * (length / F.lit(float(bins)))).cast("long"))
 
 
-def safe_ratio(a: Column, b: Column) -> Column:
-    """a / b, or 0 where b is 0."""
-    return F.when(b == 0, F.lit(0.0)).otherwise(a / F.when(b == 0, F.lit(None)).otherwise(b))
+def safe_ratio(a: Column, b: Column, without: float = 0.0) -> Column:
+    """a / b; where a is missing, or b is missing or 0, `without`."""
+    return F.coalesce(F.try_divide(a, b), F.lit(without))

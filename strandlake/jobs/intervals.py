@@ -26,8 +26,8 @@ QUERIES = {
     "iv_lengths": lambda s, p: iv.lengths(iv.merge(d.ivals(s, p))),
     "iv_lengths_label": lambda s, p: iv.lengths(d.ivals(s, p), "kind"),
     "iv_coverage_bins": lambda s, p: iv.coverage_bins(d.contigs(s, p).select("chrom", "raw_bp"), d.ivals(s, p), BINS),
-    "iv_semi": lambda s, p: iv.overlap_pairs(_features0(s, p), d.masks(s, p)).select("chrom", "start", "end", "line_no", "feature").distinct(),
-    "iv_anti": lambda s, p: _features0(s, p).join(iv.overlap_pairs(_features0(s, p), d.masks(s, p)).select("chrom", "start", "end").distinct(), ["chrom", "start", "end"], "left_anti"),
+    "iv_semi": lambda s, p: iv.semi(_features0(s, p), d.masks(s, p)).distinct(),
+    "iv_anti": lambda s, p: iv.anti(_features0(s, p), d.masks(s, p)),
     "iv_contained": lambda s, p: iv.overlap_pairs(_features0(s, p), d.masks(s, p))
     .groupBy("chrom")
     .agg(F.count(F.lit(1)).alias("n_overlaps"), F.count_if(fc.within_bed(F.col("start") + 1, F.col("end"), F.col("r_start"), F.col("r_end"))).alias("n_contained")),

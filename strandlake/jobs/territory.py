@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strandlake.jobs.tracks import _SUMS, THRESHOLDS, conditions
+from strandlake.functions.columns import label_rank
+from strandlake.operators import intervals as iv
 from strandlake.operators import territory as te
 from strandlake.sources import derived as d
 
@@ -50,7 +52,34 @@ def _additivity(s, p):
     return te.additivity(_region(s, p).join(owners, "region"), _faulty(s, p), "chrom")
 
 
+_XY = [d.X_KEY, f"chr{d.Y_KEY}"]
+
+
+def _levels(s, p):
+    names = d.regions(s, p).select("chrom", "region", "region_group")
+    return te.three_levels(_chrom(s, p), _copy(s, p).join(names, "region"), _XY)
+
+
+def _ordered(s, p):
+    """The table by region in an order of its own: two labels first, the rest as contigs come."""
+    seen = d.contigs(s, p).select(F.explode(F.array("chrom", F.concat("chrom", F.lit(":0")), F.concat("chrom", F.lit(":1")), F.concat("chrom", F.lit(":2")))).alias("region_group"), "k")
+    rows = _levels(s, p)["region_group"].join(seen, "region_group")
+    return rows.select("region_group", "raw_bp", label_rank(F.col("region_group"), [f"{d.X_KEY}:2", f"chr{d.Y_KEY}:0", f"{d.X_KEY}:2"], F.col("k").cast("long")).alias("rank"))
+
+
+def _bands(s, p):
+    """Bands of territory by stain."""
+    bands = d.ivals(s, p).withColumn("gieStain", F.when(F.col("kind") == "A", "acen").when(F.col("kind") == "R", "stalk").otherwise("gneg"))
+    return iv.lengths(iv.merge(te.structural_bands(iv.clip(bands, d.contigs(s, p)))), "chrom", "structural_bp")
+
+
 QUERIES = {
+    "te_whole_xy": lambda s, p: _levels(s, p)["chrom"],
+    "te_by_group": lambda s, p: _levels(s, p)["region"],
+    "te_by_region": lambda s, p: _levels(s, p)["region_group"],
+    "te_ordered": _ordered,
+    "te_bands": _bands,
+    "te_named": lambda s, p: te.named_metrics(_chrom(s, p), 100),
     "te_chrom": _chrom,
     "te_region": _region,
     "te_group": _group,
@@ -79,7 +108,16 @@ FROM {labels} l LEFT JOIN {out}_g g USING ({by}) LEFT JOIN {out}_s s USING ({by}
 _CH, _RE = _table("whole", "chrom", "ct"), _table("regions", "region", "rt")
 _METRICS = ", ".join(te.METRICS)
 _FAULT = "ft AS (SELECT * REPLACE (CASE WHEN chrom LIKE '%3' THEN t50_bp + 1 ELSE t90_bp END AS t90_bp, CASE WHEN chrom LIKE '%4' THEN -1 ELSE gap_bp END AS gap_bp) FROM ct)"
+_COPIED = f"""pr AS (SELECT chrom || ':0' AS source, chrom || ':2' AS target FROM contigs WHERE k % 5 = 1), rc AS (SELECT rt.* REPLACE ({', '.join(f'coalesce(s.{c}, rt.{c}) AS {c}' for c in ('effective', 't50_bp', 't70_bp', 't90_bp'))}), g.chrom, g.region_group FROM rt JOIN regions g ON g.region = rt.region LEFT JOIN pr ON pr.target = rt.region LEFT JOIN rt s ON s.region = pr.source),
+xy AS (SELECT * FROM rc WHERE chrom IN ('{d.X_KEY}', 'chr{d.Y_KEY}')), au AS (SELECT * FROM ct WHERE chrom NOT IN ('{d.X_KEY}', 'chr{d.Y_KEY}'))"""
+_SUMMED = ", ".join(f"sum({m})::BIGINT AS {m}" for m in te.METRICS)
 ORACLE = {
+    "te_whole_xy": f"{_BASE}, {_CH}, {_RE}, {_COPIED} SELECT chrom, {_METRICS} FROM au UNION ALL SELECT chrom, {_SUMMED} FROM xy GROUP BY chrom",
+    "te_by_group": f"{_BASE}, {_CH}, {_RE}, {_COPIED} SELECT chrom AS region, {_METRICS} FROM au UNION ALL SELECT region_group, {_SUMMED} FROM xy GROUP BY region_group",
+    "te_by_region": f"{_BASE}, {_CH}, {_RE}, {_COPIED} SELECT chrom AS region_group, {_METRICS} FROM au UNION ALL SELECT region, {_METRICS} FROM xy",
+    "te_ordered": f"""{_BASE} SELECT region_group, raw_bp, CASE region_group WHEN '{d.X_KEY}:2' THEN 1 WHEN 'chr{d.Y_KEY}:0' THEN 2 ELSE 4 + k END::BIGINT AS rank FROM (SELECT chrom AS region_group, raw_bp, k FROM contigs WHERE k NOT IN ({d.X_KEY}, {d.Y_KEY}) UNION ALL SELECT region, "end" - r.start, k FROM regions r JOIN contigs USING (chrom) WHERE k IN ({d.X_KEY}, {d.Y_KEY}))""",
+    "te_bands": f"{_BASE} SELECT chrom, sum(\"end\" - start)::BIGINT AS structural_bp FROM xm GROUP BY chrom",
+    "te_named": f"{_BASE}, {_CH} SELECT * RENAME (t50_bp AS mappable_k100_t50_bp, t70_bp AS mappable_k100_t70_bp, t90_bp AS mappable_k100_t90_bp, effective AS effective_mappable_k100_bp) FROM ct",
     "te_chrom": f"{_BASE}, {_CH} SELECT * FROM ct",
     "te_region": f"{_BASE}, {_RE} SELECT * FROM rt",
     "te_group": f"{_BASE}, {_RE} SELECT region_group, {', '.join(f'sum(rt.{m})::BIGINT AS {m}' for m in te.METRICS)} FROM rt JOIN regions USING (region) GROUP BY region_group",

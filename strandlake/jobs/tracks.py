@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from strandlake.functions.columns import territory_of
 from strandlake.operators import intervals as iv
 from strandlake.operators import tracks as tr
 from strandlake.sources import derived as d
@@ -44,7 +45,18 @@ def _means(s, p):
     return _bins(s, p).groupBy("track", "chrom").agg(F.sum("covered_bp").alias("_v"), F.sum(F.col("end") - F.col("start")).alias("_w")).select("track", "chrom", (F.col("_v") / F.col("_w")).alias("mean"))
 
 
+def _territory_means(s, p):
+    """Means by track and territory, rounded as they are shown, of bins with their middles."""
+    shown = tr.middles(_bins(s, p)).withColumn("territory", territory_of(F.when(F.col("chrom") == d.X_KEY, "X").when(F.col("chrom") == f"chr{d.Y_KEY}", "Y").otherwise(F.col("chrom"))))
+    width = F.col("end") - F.col("start")
+    by = ["track", "territory"]
+    means = tr.weighted_mean(shown.withColumn("share", F.col("covered_bp") / width), by, "share", width)
+    return means.join(shown.groupBy(*by).agg(F.max("mid_mb").alias("last_mid_mb")), by).select(*by, F.round("mean", 5).alias("mean"), "last_mid_mb")
+
+
 QUERIES = {
+    "tr_multi_mean": lambda s, p: (lambda c: tr.multi_mean(iv.merge(iv.clip(tr.passing(d.runs(s, p), 0.5), c)), c, K))(d.contigs(s, p).select("chrom", "raw_bp")),
+    "tr_territory_mean": _territory_means,
     "tr_rle": lambda s, p: tr.run_length(d.runs(s, p), "h"),
     "tr_islands": lambda s, p: tr.islands(d.runs(s, p), 0.9),
     "tr_minlen": lambda s, p: tr.islands(d.runs(s, p), 0.5, 2000),
@@ -73,6 +85,10 @@ ea AS (SELECT chrom, pos, sum(d)::BIGINT AS d FROM ev JOIN contigs USING (chrom)
 es AS (SELECT chrom, pos AS start, lead(pos) OVER w AS "end", sum(d) OVER w AS slope, sum(d * pos) OVER w AS mm FROM ea WINDOW w AS (PARTITION BY chrom ORDER BY pos)),
 seg AS (SELECT chrom, start, "end", (slope * (start + 1) - mm)::BIGINT AS at_start, slope::BIGINT AS slope FROM es WHERE "end" IS NOT NULL)"""
 ORACLE = {
+    "tr_multi_mean": f"""{_EVENTS}, v AS (SELECT chrom, greatest(start, {K - 1}) AS start, "end", (at_start::DOUBLE / {K})::FLOAT AS score FROM seg WHERE slope = 0 AND "end" > {K - 1} AND at_start <> 0
+UNION ALL SELECT chrom, i, i + 1, ((at_start + slope * (i - start))::DOUBLE / least(i + 1, {K}))::FLOAT FROM (SELECT *, unnest(range(start, CASE WHEN slope = 0 THEN least("end", {K - 1}) ELSE "end" END)) AS i FROM seg)),
+z AS (SELECT * FROM v WHERE score <> 0), {d.merged('z', 'zm', 'chrom, score')} SELECT chrom, start, "end", score FROM zm""",
+    "tr_territory_mean": f"""{_MEANS} SELECT track, CASE chrom WHEN '{d.X_KEY}' THEN 'chrX' WHEN 'chr{d.Y_KEY}' THEN 'chrY' ELSE 'Autosomes' END AS territory, round(sum(covered_bp)::DOUBLE / sum("end" - start)::DOUBLE, 5) AS mean, max((start + "end") / 2e6::DOUBLE) AS last_mid_mb FROM b GROUP BY ALL""",
     "tr_rle": f"{d.with_('runs')}, z AS (SELECT * FROM runs WHERE h <> 0), {d.merged('z', 'm', 'chrom, h')} SELECT * FROM m",
     "tr_islands": f"{d.with_('runs')}, z AS (SELECT * FROM runs WHERE score >= 0.9::FLOAT), {d.merged('z', 'm')} SELECT * FROM m",
     "tr_minlen": f"{d.with_('runs')}, z AS (SELECT * FROM runs WHERE score >= 0.5::FLOAT), {d.merged('z', 'm')} SELECT * FROM m WHERE \"end\" - start >= 2000",

@@ -1,28 +1,28 @@
 """Order-aware filtering of an annotation against a mask, and gene and transcript aggregation.
 
-Features are rows (seqname, line_no, feature, start, end, strand, attributes), 1-based inclusive, with contig_key.
-What a sequential reader would see first is decided by line_no, and among rows with equal line_no by value.
+Features are rows of line_no, which no two share, and the nine fields of the format (seqname, source, feature, start,
+end, score, strand, frame, attributes), 1-based inclusive. What a sequential reader would see first is decided by
+line_no. A feature without a gene_id belongs to the gene "" of its seqname.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandlake.functions.columns import attribute, contig_key, first_attribute, overlaps_bed, within_bed
+from strandlake.functions.columns import attribute, contig_key, first_attribute, is_y_side, overlaps_bed, within_bed
 from strandlake.functions.lineage import settled
 from strandlake.operators import intervals as iv
 
-FEATURE = ["seqname", "line_no", "feature", "start", "end", "strand", "attributes"]
+FIELDS = ["seqname", "source", "feature", "start", "end", "score", "strand", "frame", "attributes"]
 KEEP, DROP_ALL, INSPECT = "KEEP", "DROP_ALL", "INSPECT"
 
 
 def parsed(features: DataFrame) -> DataFrame:
-    """Distinct features with `n` (how often), contig_key and the attributes that the operators read."""
-    counted = features.groupBy(*FEATURE).agg(F.count(F.lit(1)).alias("n"))
+    """Features with `n` (1), contig_key and the attributes that the operators read."""
     a = F.col("attributes")
-    return counted.select(
-        *FEATURE, "n", contig_key(F.col("seqname")).alias("contig_key"), attribute(a, "gene_id").alias("gene_id"), attribute(a, "transcript_id").alias("transcript_id"),
+    return features.select(
+        "line_no", *FIELDS, F.lit(1).cast("long").alias("n"), contig_key(F.col("seqname")).alias("contig_key"), first_attribute(a, "gene_id").alias("gene_id"), attribute(a, "transcript_id").alias("transcript_id"),
         first_attribute(a, "gene_name", "gene").alias("gene_name"), first_attribute(a, "gene_biotype", "gene_type").alias("gene_biotype"),
     )
 
@@ -46,19 +46,19 @@ def classify(features: DataFrame, masks: DataFrame, genome: DataFrame, unknown:
     return joined.select("seqname", "contig_key", kind.alias("class"), F.col("raw_bp").isNull().alias("off_genome"))
 
 
-def mask_test(features: DataFrame, masks: DataFrame, rule: str = "any") -> DataFrame:
-    """parsed() features with hit, partial and on_y (the deciding mask is no extra one).
+def mask_test(features: DataFrame, masks: DataFrame, rule: str = "any", y_key: str = "Y") -> DataFrame:
+    """parsed() features with hit, partial and on_y (the deciding mask is no extra one, and the contig is on the Y side).
 
     Masks that overlap a feature count in the order (start, end, name). Rule any: the first one decides; partial if
     it does not contain the feature. Rule contained: the first that contains it decides; partial if another one
     overlapped before, or if some overlap but none contains it.
     """
-    zero = features.withColumn("_start", F.col("start") - 1)
-    left = zero.select(F.col("contig_key").alias("chrom"), F.col("_start").alias("start"), "end", *[F.col(c).alias(f"f_{c}") for c in FEATURE])
+    left = features.select("line_no", F.col("contig_key").alias("chrom"), (F.col("start") - 1).alias("start"), "end")
     pairs = iv.overlap_pairs(left, masks.select(contig_key(F.col("chrom")).alias("chrom"), "start", "end", "name"))
     mask = F.struct(F.col("r_start").alias("start"), F.col("r_end").alias("end"), F.col("r_name").alias("name"))
-    inside = within_bed(F.col("f_start"), F.col("f_end"), F.col("r_start"), F.col("r_end"))
-    found = pairs.where(overlaps_bed(F.col("f_start"), F.col("f_end"), F.col("r_start"), F.col("r_end"))).groupBy(*[f"f_{c}" for c in FEATURE]).agg(
+    one = F.col("start") + 1  # 1-based again
+    inside = within_bed(one, F.col("end"), F.col("r_start"), F.col("r_end"))
+    found = pairs.where(overlaps_bed(one, F.col("end"), F.col("r_start"), F.col("r_end"))).groupBy("line_no").agg(
         F.min(mask).alias("first"), F.min(F.when(inside, mask)).alias("first_in"), F.min(F.when(~inside, mask)).alias("first_over")
     )
     f = F.col("first")
@@ -67,15 +67,15 @@ def mask_test(features: DataFrame, masks: DataFrame, rule: str = "any") -> DataF
     else:
         hit = F.col("first_in").isNotNull()
         partial, name = F.coalesce(F.col("first_over") < F.col("first_in"), F.col("first_in").isNull()), F.col("first_in")["name"]
-    verdict = found.select(*[F.col(f"f_{c}").alias(c) for c in FEATURE], hit.alias("hit"), partial.alias("partial"), (hit & ~F.coalesce(name.startswith("extra:"), F.lit(True))).alias("on_y"))
-    joined = features.join(verdict, FEATURE, "left")
+    verdict = found.select("line_no", hit.alias("hit"), partial.alias("partial"), (hit & ~F.coalesce(name.startswith("extra:"), F.lit(True))).alias("on_y"))
+    joined = features.join(verdict, "line_no", "left").withColumn("on_y", F.col("on_y") & is_y_side(F.col("contig_key"), F.lit(y_key)))
     return joined.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("hit", "partial", "on_y")})
 
 
-def judged(features: DataFrame, classes: DataFrame, masks: DataFrame, rule: str = "any") -> DataFrame:
-    """Features with hit, partial and reason, by the class of their contig; only INSPECT contigs meet the masks."""
+def judged(features: DataFrame, classes: DataFrame, masks: DataFrame, rule: str = "any", y_key: str = "Y") -> DataFrame:
+    """Features with class, hit, partial and reason, by the class of their contig; only INSPECT contigs meet the masks."""
     classed = features.join(classes.select("seqname", "class", "off_genome"), "seqname")
-    inspected = mask_test(classed.where(F.col("class") == INSPECT), masks, rule)
+    inspected = mask_test(classed.where(F.col("class") == INSPECT), masks, rule, y_key)
     why = F.when(F.col("hit"), F.when(~F.col("on_y"), F.lit("extra_mask_overlap")).when(F.col("partial"), F.lit("y_par_overlap_partial")).otherwise(F.lit("y_par_overlap")))
     inspected = inspected.withColumn("reason", why)
     rest = classed.where(F.col("class") != INSPECT)
@@ -89,10 +89,13 @@ def _first(value: Column, when: Column) -> Column:
 
 
 def genes(features: DataFrame) -> DataFrame:
-    """One row for each (seqname, gene_id): span, first non-empty name and biotype, first strand but ".", counts; with reasons if judged."""
+    """One row for each (seqname, gene_id): span, first non-empty name and biotype, first strand but ".", counts; with reasons if judged.
+
+    A gene's reason is the first one in the order of lines that is more than a whole overlap on the Y side.
+    """
     judged_ = "reason" in features.columns
     strong = F.col("reason").isNotNull() & (F.col("reason") != "y_par_overlap") if judged_ else None
-    return features.where("gene_id IS NOT NULL").groupBy("seqname", "gene_id").agg(
+    return features.groupBy("seqname", "gene_id").agg(
         F.sum("n").alias("n_features"), F.min("start").alias("start"), F.max("end").alias("end"),
         F.coalesce(_first(F.col("gene_name"), F.col("gene_name") != ""), F.lit("")).alias("gene_name"),
         F.coalesce(_first(F.col("gene_biotype"), F.col("gene_biotype") != ""), F.lit("")).alias("gene_biotype"),
@@ -108,29 +111,38 @@ def genes(features: DataFrame) -> DataFrame:
 
 def exonic(features: DataFrame) -> DataFrame:
     """Bases in the union of the exons of each (seqname, gene_id)."""
-    exons = features.where("feature = 'exon' AND gene_id IS NOT NULL").select("seqname", "gene_id", (F.col("start") - 1).alias("start"), "end")
+    exons = features.where("feature = 'exon'").select("seqname", "gene_id", (F.col("start") - 1).alias("start"), "end")
     return iv.lengths(iv.merge(exons, ["seqname", "gene_id"]), ["seqname", "gene_id"], "exonic_bp")
 
 
 def dropped_genes(judged_: DataFrame) -> DataFrame:
-    """The drop set by gene, as its report has it."""
+    """The genes with a hit, as their report has them."""
     gone = genes(judged_).where("hit")
     return gone.join(exonic(judged_), ["seqname", "gene_id"], "left").select("seqname", "gene_id", "gene_name", "gene_biotype", "start", "end", "strand", "n_transcripts", "n_exons", F.coalesce("exonic_bp", F.lit(0)).cast("long").alias("exonic_bp"), "reason", "n_features")
 
 
 def kept_by_gene(judged_: DataFrame) -> DataFrame:
     """Features of genes that no feature condemned; the key is (seqname, gene_id), never the id alone."""
-    gone = judged_.where("hit AND gene_id IS NOT NULL").select("seqname", "gene_id").distinct()
+    gone = judged_.where("hit").select("seqname", "gene_id").distinct()
     return judged_.join(gone, ["seqname", "gene_id"], "left_anti")
 
 
-def kept_by_transcript(judged_: DataFrame) -> DataFrame:
-    """Features of transcripts without a hit; rows without one go with their gene, which goes if it has none or all are hit."""
-    by_transcript = judged_.where("transcript_id IS NOT NULL").groupBy("seqname", "gene_id", "transcript_id").agg(F.bool_or("hit").alias("gone"))
+def _by_transcript(judged_: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The genes and the transcripts that go, by seqname."""
+    by_transcript = judged_.where("transcript_id IS NOT NULL").groupBy("seqname", "gene_id", "transcript_id").agg(F.bool_or("hit").alias("hit_here"))
+    some = by_transcript.where("hit_here").select("seqname", "transcript_id").distinct()
+    # a transcript id that another gene of the seqname shares goes for both
+    lost = by_transcript.join(some.withColumn("lost", F.lit(True)), ["seqname", "transcript_id"], "left").groupBy("seqname", "gene_id").agg(F.bool_and(F.coalesce("lost", F.lit(False))).alias("all_lost"))
     condemned = judged_.groupBy("seqname", "gene_id").agg(F.bool_or("hit").alias("any_hit"))
-    whole = condemned.join(by_transcript.groupBy("seqname", "gene_id").agg(F.bool_and("gone").alias("all_gone")), ["seqname", "gene_id"], "left").where("any_hit AND coalesce(all_gone, true)").select("seqname", "gene_id")
-    some = by_transcript.where("gone").select("seqname", "transcript_id").distinct()
-    return judged_.join(whole, ["seqname", "gene_id"], "left_anti").join(some, ["seqname", "transcript_id"], "left_anti")
+    whole = condemned.where("any_hit").join(lost, ["seqname", "gene_id"], "left").where("coalesce(all_lost, true)").select("seqname", "gene_id")
+    return whole, some
+
+
+def kept_by_transcript(judged_: DataFrame) -> DataFrame:
+    """Features of transcripts without a hit; rows without one go with their gene, which goes if it has none or all go."""
+    whole, some = _by_transcript(judged_)
+    inside = judged_.where(F.col("class") != DROP_ALL)
+    return inside.join(whole, ["seqname", "gene_id"], "left_anti").join(some, ["seqname", "transcript_id"], "left_anti")
 
 
 def kept_by_feature(judged_: DataFrame) -> DataFrame:
@@ -138,17 +150,59 @@ def kept_by_feature(judged_: DataFrame) -> DataFrame:
     return judged_.where("NOT hit")
 
 
+#: How features are dropped: with their gene, with their transcript, or one by one.
+UNITS = {"gene": kept_by_gene, "transcript": kept_by_transcript, "feature": kept_by_feature}
+
+
+def predicted(judged_: DataFrame, unit: str = "gene") -> DataFrame:
+    """One row: n_in, genes_dropped, and n_predicted, the features that ought to be left as told from whole genes (null by feature)."""
+    if unit == "feature":
+        return judged_.agg(F.count(F.lit(1)).alias("n_in"), F.lit(0).cast("long").alias("genes_dropped"), F.lit(None).cast("long").alias("n_predicted"))
+    totals = genes(judged_).select("seqname", "gene_id", "n_features", "hit")
+    if unit == "transcript":
+        whole, _ = _by_transcript(judged_)
+        totals = totals.drop("hit").join(whole.withColumn("hit", F.lit(True)), ["seqname", "gene_id"], "left").withColumn("hit", F.coalesce("hit", F.lit(False)))
+    return totals.agg(
+        F.coalesce(F.sum("n_features"), F.lit(0)).alias("n_in"), F.count_if("hit").alias("genes_dropped"),
+        (F.coalesce(F.sum("n_features"), F.lit(0)) - F.coalesce(F.sum(F.when(F.col("hit"), F.col("n_features"))), F.lit(0))).alias("n_predicted"),
+    )
+
+
+def counts(judged_: DataFrame, kept: DataFrame) -> DataFrame:
+    """Features of each seqname: n_in, max_end, and n_out of those that are left."""
+    before = judged_.groupBy("seqname").agg(F.sum("n").alias("n_in"), F.max("end").alias("max_end"))
+    after = kept.groupBy("seqname").agg(F.sum("n").alias("n_out"))
+    return before.join(after, "seqname", "left").select("seqname", "n_in", "max_end", F.coalesce("n_out", F.lit(0)).cast("long").alias("n_out"))
+
+
 def survivors_on_mask(kept: DataFrame, masks: DataFrame) -> DataFrame:
     """Kept features that still overlap a mask."""
-    left = kept.select(*FEATURE, "n", "contig_key").withColumn("_s", F.col("start") - 1)
-    return mask_test(left.drop("_s"), masks).where("hit").select(*FEATURE, "n")
+    spans = kept.select("line_no", F.col("contig_key").alias("chrom"), (F.col("start") - 1).alias("start"), "end")
+    found = iv.overlap_pairs(spans, iv.merge(masks.withColumn("chrom", contig_key(F.col("chrom"))))).select("line_no").distinct()
+    return kept.join(found, "line_no", "left_semi").select("line_no", *FIELDS, "n")
+
+
+def summary(judged_: DataFrame, kept: DataFrame, masks: DataFrame, x_key: str = "X", y_key: str = "Y") -> DataFrame:
+    """One row of what a variant's report states: features and genes dropped and why, X and Y counts, survivors on the mask.
+
+    Genes on names that the genome lacks are counted apart: they tell nothing of the mask.
+    """
+    x, y = F.col("contig_key") == x_key, F.col("contig_key") == y_key
+    before = judged_.agg(F.sum("n").alias("features_in"), F.coalesce(F.sum(F.when(x, F.col("n"))), F.lit(0)).alias("x_in"))
+    after = kept.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("features_out"), F.coalesce(F.sum(F.when(x, F.col("n"))), F.lit(0)).alias("x_out"), F.coalesce(F.sum(F.when(y, F.col("n"))), F.lit(0)).alias("y_out"))
+    off = F.col("reason") == "seqname_not_in_genome"
+    g = genes(judged_).agg(F.count_if(F.col("hit") & ~off).alias("genes_dropped_sexaware"), F.count_if(F.col("hit") & off).alias("genes_dropped_off_genome"), F.count_if("partial").alias("genes_partial"))
+    on_mask = survivors_on_mask(kept, masks).agg(F.count(F.lit(1)).alias("kept_on_mask"))
+    one = before.withColumn("_one", F.lit(1))
+    for part in (after, g, on_mask):  # a row each
+        one = one.join(part.withColumn("_one", F.lit(1)), "_one")
+    return one.drop("_one").withColumn("identical_to_standard", F.col("genes_dropped_sexaware") == 0)
 
 
 def t2g(kept: DataFrame) -> DataFrame:
     """For each transcript the first gene_id and gene_name, where it was first seen, and whether other genes claim it."""
-    rows = kept.where("transcript_id IS NOT NULL AND gene_id IS NOT NULL")
     first = F.min(F.struct("line_no", "gene_id", "gene_name"))
-    return rows.groupBy("transcript_id").agg(first.alias("f"), (F.count_distinct("gene_id") > 1).alias("collision")).select("transcript_id", "f.gene_id", "f.gene_name", F.col("f.line_no").alias("first_line"), "collision")
+    return kept.where("transcript_id IS NOT NULL").groupBy("transcript_id").agg(first.alias("f"), (F.count_distinct("gene_id") > 1).alias("collision")).select("transcript_id", "f.gene_id", "f.gene_name", F.col("f.line_no").alias("first_line"), "collision")
 
 
 def unknown_names(features: DataFrame, genome: DataFrame, most: int = 20) -> DataFrame:
@@ -170,12 +224,16 @@ def naming_votes(features: DataFrame) -> DataFrame:
     return names.agg(F.count(F.lit(1)).alias("n_names"), F.count_if(F.col("seqname").startswith("chr")).alias("n_prefixed")).withColumn("prefixed", 2 * F.col("n_prefixed") > F.col("n_names"))
 
 
-def zero_filled(universe: DataFrame, counts: DataFrame, key: list[str], value: str) -> DataFrame:
+def zero_filled(universe: DataFrame, counts_: DataFrame, key: list[str], value: str) -> DataFrame:
     """A count for each key of the universe, 0 where there is none."""
-    return universe.select(*key).distinct().join(counts.select(*key, value), key, "left").select(*key, F.coalesce(value, F.lit(0)).alias(value))
+    return universe.select(*key).distinct().join(counts_.select(*key, value), key, "left").select(*key, F.coalesce(value, F.lit(0)).alias(value))
+
+
+def examples(rows: DataFrame, column: str, order: str, most: int) -> DataFrame:
+    """The first `most` values of a column by an order, for a report."""
+    return rows.orderBy(order, column).limit(most).select(column)
 
 
-def first_seen(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """The first row of each key by an order column."""
-    w = Window.partitionBy(*keys).orderBy(order)
-    return rows.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+def provenance(facts: dict[str, object], notes: list[str] = ()) -> list[str]:
+    """Comment lines for the head of an annotation: `#!key value` of the facts that have a value, then the notes."""
+    return [f"#!sexaware-{k} {v}" for k, v in facts.items() if v is not None] + [f"#!sexaware-note {n}" for n in notes]

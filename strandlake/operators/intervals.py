@@ -9,9 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandlake.functions.lineage import settled
-
-TILE = 1 << 20
+TILE = 1 << 17
 BIN = 1 << 14
 
 
@@ -22,35 +20,39 @@ def clip(intervals: DataFrame, contigs: DataFrame) -> DataFrame:
     return cut.where("start < end").drop("_bp")
 
 
-def with_reach(intervals: DataFrame, keys: list[str], tile: int = TILE) -> DataFrame:
-    """Rows with `_tile`, and `reach`: the largest end of all rows ordered before by (start, end); null for the first."""
-    tiled = intervals.withColumn("_tile", F.expr(f"start div {tile}"))
-    before = Window.partitionBy(*keys).orderBy("_tile").rowsBetween(Window.unboundedPreceding, -1)
-    far = tiled.groupBy(*keys, "_tile").agg(F.max("end").alias("_end")).withColumn("_far", F.max("_end").over(before)).drop("_end")
-    within = Window.partitionBy(*keys, "_tile").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
-    near = tiled.withColumn("_near", F.max("end").over(within))
-    return near.join(far, [*keys, "_tile"]).withColumn("reach", F.greatest("_near", "_far")).drop("_near", "_far")
+def _blocks(intervals: DataFrame, keys: list[str], tile: int) -> DataFrame:
+    """Merged intervals of each tile: keys, start, end, reach (the largest end of all that is before it, or null), and joins.
+
+    joins is the start of the last block that none before it reaches, of earlier tiles: what a block that begins
+    within the reach goes on with. Rows of one start are one before they are shuffled by tile, so that a tile has no
+    more rows than bases.
+    """
+    firsts = intervals.withColumn("_tile", F.expr(f"start div {tile}")).groupBy(*keys, "_tile", "start").agg(F.max("end").alias("end"))
+    within = Window.partitionBy(*keys, "_tile").orderBy("start")
+    ahead = F.max("end").over(within.rowsBetween(Window.unboundedPreceding, -1))
+    opened = firsts.withColumn("_new", F.coalesce((F.col("start") > ahead).cast("int"), F.lit(1)))
+    blocks = opened.withColumn("_block", F.sum("_new").over(within)).groupBy(*keys, "_tile", "_block").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    blocks = blocks.withColumn("_near", F.lag("end").over(within))
+    tiles = Window.partitionBy(*keys).orderBy("_tile").rowsBetween(Window.unboundedPreceding, -1)
+    sums = blocks.groupBy(*keys, "_tile").agg(F.max("start").alias("_start"), F.max("end").alias("_end")).withColumn("_far", F.max("_end").over(tiles))
+    last = F.when(F.col("_far").isNull() | (F.col("_start") > F.col("_far")), F.col("_start"))
+    sums = sums.withColumn("_last", last).withColumn("joins", F.max("_last").over(tiles)).select(*keys, "_tile", "_far", "joins")
+    return blocks.join(sums, [*keys, "_tile"]).select(*keys, "start", "end", F.greatest("_near", "_far").alias("reach"), "joins")
 
 
 def merge(intervals: DataFrame, keys: list[str] | None = None, tile: int = TILE) -> DataFrame:
     """Overlapping and touching intervals of the same keys (default: chrom) become one."""
     keys = keys or ["chrom"]
-    opened = with_reach(intervals.select(*keys, "start", "end").distinct(), keys, tile).withColumn("_new", F.col("reach").isNull() | (F.col("start") > F.col("reach")))
-    within = Window.partitionBy(*keys, "_tile").orderBy("start", "end").rangeBetween(Window.unboundedPreceding, Window.currentRow)  # equal rows together
-    # the block that a row belongs to is named by its start; rows before the first block of a tile go on with one from before
-    named = opened.withColumn("_block", F.max(F.when(F.col("_new"), F.col("start"))).over(within))
-    before = Window.partitionBy(*keys).orderBy("_tile").rowsBetween(Window.unboundedPreceding, -1)
-    pieces = named.groupBy(*keys, "_tile", "_block").agg(F.max("end").alias("end"))
-    lasts = pieces.groupBy(*keys, "_tile").agg(F.max("_block").alias("_last")).withColumn("_from", F.max("_last").over(before)).drop("_last")
-    joined = pieces.join(lasts, [*keys, "_tile"]).withColumn("start", F.coalesce("_block", "_from"))
-    return joined.groupBy(*keys, "start").agg(F.max("end").alias("end"))
+    named = _blocks(intervals.select(*keys, "start", "end"), keys, tile).withColumn("start", F.when(F.col("start") <= F.col("reach"), F.col("joins")).otherwise(F.col("start")))
+    return named.groupBy(*keys, "start").agg(F.max("end").alias("end"))
 
 
 def complement(contigs: DataFrame, intervals: DataFrame, tile: int = TILE) -> DataFrame:
     """What contigs (chrom, raw_bp) have outside of the intervals; a contig without any comes whole."""
-    blocks = with_reach(settled(merge(clip(intervals, contigs), tile=tile)), ["chrom"], tile)
+    inside = clip(intervals, contigs).select("chrom", "start", "end")
+    blocks = _blocks(inside, ["chrom"], tile)
     gaps = blocks.select("chrom", F.coalesce("reach", F.lit(0)).cast("long").alias("start"), F.col("start").alias("end"))
-    ends = blocks.groupBy("chrom").agg(F.max("end").alias("_end"))
+    ends = inside.groupBy("chrom").agg(F.max("end").alias("_end"))
     tails = contigs.select("chrom", "raw_bp").join(ends, "chrom", "left").select("chrom", F.coalesce("_end", F.lit(0)).cast("long").alias("start"), F.col("raw_bp").alias("end"))
     return gaps.unionByName(tails).where("start < end")
 
@@ -72,6 +74,20 @@ def overlap_pairs(left: DataFrame, right: DataFrame, how: str = "inner", key: st
     return _binned(left, width).join(r, on, how).drop("_bin", "_r_bin")
 
 
+def semi(left: DataFrame, right: DataFrame, width: int = BIN) -> DataFrame:
+    """Rows of left that share a base with right; only whether counts, so that right is merged first."""
+    return left.join(_touched(left, right, width), ["chrom", "start", "end"], "left_semi")
+
+
+def anti(left: DataFrame, right: DataFrame, width: int = BIN) -> DataFrame:
+    """Rows of left that share no base with right."""
+    return left.join(_touched(left, right, width), ["chrom", "start", "end"], "left_anti")
+
+
+def _touched(left: DataFrame, right: DataFrame, width: int) -> DataFrame:
+    return overlap_pairs(left.select("chrom", "start", "end"), merge(right), width=width).select("chrom", "start", "end").distinct()
+
+
 def intersect(left: DataFrame, right: DataFrame, labels: list[str] | None = None, width: int = BIN) -> DataFrame:
     """Each overlap as a piece of its own, with `labels` of the right side."""
     pairs = overlap_pairs(left, right, width=width)

@@ -21,6 +21,20 @@ def base_sets(contigs: DataFrame, gaps: DataFrame, bands: DataFrame, blacklist:
     return {"gap": settled(iv.merge(gap)), "structural": settled(iv.complement(contigs, excluded)), "callable": settled(iv.complement(contigs, excluded.unionByName(black)))}
 
 
+#: Stains of bands that are no usable territory (fixed values).
+STRUCTURAL_STAINS = ("acen", "gvar", "stalk")
+
+
+def structural_bands(bands: DataFrame, stains: tuple[str, ...] = STRUCTURAL_STAINS) -> DataFrame:
+    """The bands of these stains."""
+    return bands.where(F.col("gieStain").isin(*stains))
+
+
+def named_metrics(wide: DataFrame, k: int) -> DataFrame:
+    """Columns of scores under the names that say by which read length they were found."""
+    return wide.withColumnsRenamed({c: f"mappable_k{k}_{c}" for c in ("t50_bp", "t70_bp", "t90_bp")} | {"effective": f"effective_mappable_k{k}_bp"})
+
+
 def table(labels: DataFrame, by: list[str], sets: dict[str, DataFrame], runs: DataFrame, value: str, thresholds: dict, also: list[str] | None = None) -> DataFrame:
     """METRICS for each label. labels: by, chrom, start, end; scores are summed over the structural set."""
     pieces = {k: iv.intersect(s, labels, [x for x in by if x != "chrom"]) for k, s in sets.items()}
@@ -43,6 +57,29 @@ def copied(regions: DataFrame, pairs: DataFrame, columns: list[str]) -> DataFram
     return joined.select(*(F.coalesce(f"_{c}", c).alias(c) if c in columns else F.col(c) for c in regions.columns))
 
 
+def whole_rows(regions: DataFrame, owner: str, contigs: list[str]) -> DataFrame:
+    """Rows of whole contigs as sums of their regions, so that they agree with what was done to these."""
+    return grouped(regions.where(F.col(owner).isin(contigs)), owner)
+
+
+def autosome_rows(contigs: DataFrame, others: list[str], label: str = "chrom") -> DataFrame:
+    """Rows of the contigs that are neither X nor Y, their name under a label of choice."""
+    return contigs.where(~F.col("chrom").isin(others)).withColumnRenamed("chrom", label).select(label, *METRICS)
+
+
+def three_levels(contigs: DataFrame, regions: DataFrame, xy: list[str]) -> dict[str, DataFrame]:
+    """Tables by contig, by group of regions and by region; those of X and Y come from their regions.
+
+    regions: chrom, region, region_group and METRICS.
+    """
+    own = regions.where(F.col("chrom").isin(xy))
+    return {
+        "chrom": autosome_rows(contigs, xy).unionByName(whole_rows(own, "chrom", xy)),
+        "region": autosome_rows(contigs, xy, "region").unionByName(grouped(own, "region_group").withColumnRenamed("region_group", "region")),
+        "region_group": autosome_rows(contigs, xy, "region_group").unionByName(own.select(F.col("region").alias("region_group"), *METRICS)),
+    }
+
+
 def long_form(wide: DataFrame, by: list[str]) -> DataFrame:
     """A row for each label and metric, with mb as well."""
     return wide.unpivot(by, METRICS, "territory_metric", "bp").withColumn("mb", F.col("bp") / 1e6)

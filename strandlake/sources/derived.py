@@ -55,24 +55,38 @@ def masks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return high.unionByName(whole)
 
 
+#: Contigs in the roles of X and Y.
+X_KEY, Y_KEY = "5", "4"
+
+
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """seqname, line_no, feature, start, end (1-based inclusive), strand, attributes"""
-    li = table(spark, sf_dir, "lineitem")
+    """line_no (a number of its own for each row) and the nine fields, 1-based inclusive; some lack a gene_id or have an empty name"""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("long").alias("q"), "l_returnflag", "l_linestatus")
+    p = F.col("l_partkey")
+    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "q", "l_returnflag", "l_linestatus"))
     start = (F.col("l_orderkey") * 7919 + F.col("l_linenumber") * 104729) % 210000 + 1
     kind_ = F.when(F.col("l_returnflag") == "A", "gene").when(F.col("l_returnflag") == "N", "transcript").otherwise("exon")
-    p = F.col("l_partkey")
     attributes = F.concat(
-        F.lit('ref_gene_id "D'), (p % 7).cast("string"), F.lit('"; gene_id "G'), (p % 20).cast("string"), F.lit('"'),
-        F.when(kind_ != "gene", F.concat(F.lit('; transcript_id "T'), (p % 60).cast("string"), F.lit('"'))).otherwise(""),
-        F.when(F.col("l_linenumber") != 1, F.concat(F.when(p % 2 == 0, F.lit('; gene_name "N')).otherwise(F.lit('; gene "N')), (p % 23).cast("string"), F.lit('"'))).otherwise(""),
-        F.lit('; gene_biotype "'), F.when(p % 3 == 0, "lncRNA").otherwise("protein_coding"), F.lit('";'),
+        F.lit('ref_gene_id "D'), (p % 7).cast("string"), F.lit('"; '),
+        F.when(p % 31 == 0, F.lit("")).otherwise(F.concat(F.lit('gene_id "G'), (p % 20).cast("string"), F.lit('"; '))),
+        F.when(kind_ != "gene", F.concat(F.lit('transcript_id "T'), (p % 60).cast("string"), F.lit('"; '))).otherwise(""),
+        F.when(p % 37 == 0, F.lit('gene_name ""; ')).otherwise(F.lit("")),
+        F.when(F.col("l_linenumber") != 1, F.concat(F.when(p % 2 == 0, F.lit('gene_name "N')).otherwise(F.lit('gene "N')), (p % 23).cast("string"), F.lit('"; '))).otherwise(""),
+        F.lit('gene_biotype "'), F.when(p % 3 == 0, "lncRNA").otherwise("protein_coding"), F.lit('";'),
     )
     return li.select(
-        _chrom(F.col("l_suppkey")).alias("seqname"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("long").alias("line_no"), kind_.alias("feature"),
-        start.cast("long").alias("start"), (start + F.col("l_quantity").cast("long") * 40).cast("long").alias("end"), F.when(F.col("l_linestatus") == "O", "+").otherwise("-").alias("strand"), attributes.alias("attributes"),
+        (F.col("l_orderkey") * 1000 + place).cast("long").alias("line_no"), _chrom(F.col("l_suppkey")).alias("seqname"), F.concat(F.lit("s"), (p % 3).cast("string")).alias("source"), kind_.alias("feature"),
+        start.cast("long").alias("start"), (start + F.col("q") * 40).cast("long").alias("end"), F.lit(".").alias("score"), F.when(F.col("l_linestatus") == "O", "+").otherwise("-").alias("strand"),
+        F.when(kind_ == "exon", (p % 3).cast("string")).otherwise(".").alias("frame"), attributes.alias("attributes"),
     )
 
 
+def par(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """chrom, start, end, name: low-scoring runs on the contigs in the roles of X and Y, the Y side named Y in any case"""
+    r = runs(spark, sf_dir).where(F.col("k").isin(int(X_KEY), int(Y_KEY)) & (F.col("h") < 30))
+    return r.select(F.when(F.col("k") == int(Y_KEY), F.when(F.col("h") % 2 == 0, "chrY").otherwise("y")).otherwise(F.col("chrom")).alias("chrom"), "start", "end", F.concat(F.lit("PAR"), F.col("h").cast("string")).alias("name"))
+
+
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """contig, line_no, seq: documents as sequences of lines"""
     return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("contig"), F.posexplode(F.split("text", "\n", -1)).alias("line_no", "seq"))
@@ -92,17 +106,20 @@ CTES = {
     "ivals": f"SELECT {_C.format('l_suppkey')} AS chrom, ((l_orderkey * 7919 + l_linenumber * 104729) % 210000)::BIGINT AS start, ((l_orderkey * 7919 + l_linenumber * 104729) % 210000 + l_quantity::BIGINT)::BIGINT AS \"end\", l_returnflag AS kind FROM lineitem",
     "runs": f"SELECT k, {_C.format('k')} AS chrom, 700 * (rn - 1) AS start, 700 * rn AS \"end\", h, (h / 100.0::DOUBLE)::FLOAT AS score FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY o_orderkey, h) AS rn FROM (SELECT o_custkey % (SELECT count(*) FROM supplier) AS k, o_orderkey, (round(o_totalprice * 100)::BIGINT % 101)::INT AS h FROM orders))",
     "masks": "SELECT chrom, start, \"end\", (CASE WHEN h >= 98 THEN 'extra:' ELSE '' END) || 'm' || start AS name FROM runs WHERE h >= 90 UNION ALL SELECT chrom, 0, raw_bp, 'whole' FROM contigs WHERE k % 10 = 3",
-    "features": f"""SELECT {_C.format('l_suppkey')} AS seqname, (l_orderkey * 10 + l_linenumber)::BIGINT AS line_no, CASE l_returnflag WHEN 'A' THEN 'gene' WHEN 'N' THEN 'transcript' ELSE 'exon' END AS feature,
-      ((l_orderkey * 7919 + l_linenumber * 104729) % 210000 + 1)::BIGINT AS start, ((l_orderkey * 7919 + l_linenumber * 104729) % 210000 + 1 + l_quantity::BIGINT * 40)::BIGINT AS "end", CASE WHEN l_linestatus = 'O' THEN '+' ELSE '-' END AS strand,
-      'ref_gene_id "D' || (l_partkey % 7) || '"; gene_id "G' || (l_partkey % 20) || '"' || CASE WHEN l_returnflag <> 'A' THEN '; transcript_id "T' || (l_partkey % 60) || '"' ELSE '' END
-        || CASE WHEN l_linenumber <> 1 THEN CASE WHEN l_partkey % 2 = 0 THEN '; gene_name "N' ELSE '; gene "N' END || (l_partkey % 23) || '"' ELSE '' END || '; gene_biotype "' || CASE WHEN l_partkey % 3 = 0 THEN 'lncRNA' ELSE 'protein_coding' END || '";' AS attributes FROM lineitem""",
-    "parsed": """SELECT seqname, line_no, feature, start, "end", strand, attributes, count(*) AS n, regexp_replace(seqname, '^chr', '') AS contig_key, nullif(regexp_extract(attributes, '(?:^|; )gene_id "([^"]*)"', 1), '') AS gene_id,
-      nullif(regexp_extract(attributes, '(?:^|; )transcript_id "([^"]*)"', 1), '') AS transcript_id, coalesce(nullif(regexp_extract(attributes, '(?:^|; )gene_name "([^"]*)"', 1), ''), nullif(regexp_extract(attributes, '(?:^|; )gene "([^"]*)"', 1), ''), '') AS gene_name,
-      coalesce(nullif(regexp_extract(attributes, '(?:^|; )gene_biotype "([^"]*)"', 1), ''), nullif(regexp_extract(attributes, '(?:^|; )gene_type "([^"]*)"', 1), ''), '') AS gene_biotype FROM features GROUP BY ALL""",
+    "par": f"SELECT CASE WHEN k = {Y_KEY} THEN CASE WHEN h % 2 = 0 THEN 'chrY' ELSE 'y' END ELSE chrom END AS chrom, start, \"end\", 'PAR' || h AS name FROM runs WHERE k IN ({X_KEY}, {Y_KEY}) AND h < 30",
+    "features": f"""SELECT (l_orderkey * 1000 + row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity::BIGINT, l_returnflag, l_linestatus))::BIGINT AS line_no,
+      {_C.format('l_suppkey')} AS seqname, 's' || (l_partkey % 3) AS source, CASE l_returnflag WHEN 'A' THEN 'gene' WHEN 'N' THEN 'transcript' ELSE 'exon' END AS feature,
+      ((l_orderkey * 7919 + l_linenumber * 104729) % 210000 + 1)::BIGINT AS start, ((l_orderkey * 7919 + l_linenumber * 104729) % 210000 + 1 + l_quantity::BIGINT * 40)::BIGINT AS "end", '.' AS score, CASE WHEN l_linestatus = 'O' THEN '+' ELSE '-' END AS strand,
+      CASE WHEN l_returnflag NOT IN ('A', 'N') THEN (l_partkey % 3)::VARCHAR ELSE '.' END AS frame,
+      'ref_gene_id "D' || (l_partkey % 7) || '"; ' || CASE WHEN l_partkey % 31 = 0 THEN '' ELSE 'gene_id "G' || (l_partkey % 20) || '"; ' END || CASE WHEN l_returnflag <> 'A' THEN 'transcript_id "T' || (l_partkey % 60) || '"; ' ELSE '' END
+        || CASE WHEN l_partkey % 37 = 0 THEN 'gene_name ""; ' ELSE '' END || CASE WHEN l_linenumber <> 1 THEN CASE WHEN l_partkey % 2 = 0 THEN 'gene_name "N' ELSE 'gene "N' END || (l_partkey % 23) || '"; ' ELSE '' END || 'gene_biotype "' || CASE WHEN l_partkey % 3 = 0 THEN 'lncRNA' ELSE 'protein_coding' END || '";' AS attributes FROM lineitem""",
+    "parsed": """SELECT *, 1::BIGINT AS n, regexp_replace(seqname, '^chr', '') AS contig_key, regexp_extract(attributes, '(?:^|; )gene_id "([^"]*)"', 1) AS gene_id, nullif(regexp_extract(attributes, '(?:^|; )transcript_id "([^"]*)"', 1), '') AS transcript_id,
+      CASE WHEN regexp_matches(attributes, '(?:^|; )gene_name "([^"]*)"') THEN regexp_extract(attributes, '(?:^|; )gene_name "([^"]*)"', 1) ELSE regexp_extract(attributes, '(?:^|; )gene "([^"]*)"', 1) END AS gene_name,
+      CASE WHEN regexp_matches(attributes, '(?:^|; )gene_biotype "([^"]*)"') THEN regexp_extract(attributes, '(?:^|; )gene_biotype "([^"]*)"', 1) ELSE regexp_extract(attributes, '(?:^|; )gene_type "([^"]*)"', 1) END AS gene_biotype FROM features""",
     "lines": "SELECT doc_id AS contig, unnest(string_split(text, chr(10))) AS seq, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM documents",
     "regions": "SELECT chrom, chrom || ':' || i AS region, 'g' || (k % 4) || '_' || i AS region_group, (i * raw_bp) // 3 AS start, ((i + 1) * raw_bp) // 3 AS \"end\" FROM contigs, range(3) t(i)",
 }
-_NEEDS = {"genome": ["contigs"], "masks": ["runs", "contigs"], "parsed": ["features"], "regions": ["contigs"]}
+_NEEDS = {"par": ["runs"], "genome": ["contigs"], "masks": ["runs", "contigs"], "parsed": ["features"], "regions": ["contigs"]}
 
 
 def with_(*names: str) -> str:

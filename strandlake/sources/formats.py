@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from strandlake.functions.columns import PRIMARY, basename, contig_key
 from strandlake.functions.lineage import settled
 
 #: Lines that are numbered in one task.
@@ -30,9 +31,35 @@ def bed3(spark: SparkSession, path: str) -> DataFrame:
 
 
 def sizes(spark: SparkSession, path: str) -> DataFrame:
-    """chrom, raw_bp from the first two fields."""
-    rows = _lines(spark, path).select(F.split(F.trim("value"), r"\s+").alias("f"))
-    return rows.select(F.col("f")[0].alias("chrom"), F.col("f")[1].cast("long").alias("raw_bp"))
+    """chrom, raw_bp from the first two fields, and ord, its line; of a name that comes twice the last line counts."""
+    rows = _numbered(_splits(spark, path)).where(F.trim("value") != "").select("line_no", F.split(F.trim("value"), r"\s+").alias("f"))
+    last = rows.groupBy(F.col("f")[0].alias("chrom")).agg(F.max(F.struct("line_no", F.col("f")[1].cast("long").alias("bp"))).alias("r"), F.min("line_no").alias("ord"))
+    return last.select("chrom", F.col("r.bp").alias("raw_bp"), "ord")
+
+
+def primary_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """chrom, raw_bp of the primary chromosomes alone, by their keys."""
+    rows = sizes(spark, path).select(contig_key(F.col("chrom")).alias("chrom"), "raw_bp")
+    return rows.where(F.col("chrom").isin(PRIMARY))
+
+
+def plain_bed(spark: SparkSession, path: str) -> DataFrame:
+    """chrom, start, end of the first three fields, as they are: an interval may end before it starts."""
+    rows = _lines(spark, path).where(~F.col("value").rlike("^(#|track|browser)")).select(F.split("value", r"\s+").alias("f"))
+    return rows.select(F.col("f")[0].alias("chrom"), F.col("f")[1].cast("long").alias("start"), F.col("f")[2].cast("long").alias("end"))
+
+
+def assembly_report(spark: SparkSession, path: str) -> DataFrame:
+    """row_no, role, molecule, accession of an assembly report; rows without an accession go."""
+    rows = _numbered(_splits(spark, path)).where((F.col("value") != "") & ~F.col("value").startswith("#")).select("line_no", F.split("value", "\t").alias("f"))
+    named = rows.select(F.col("line_no").alias("row_no"), F.get("f", F.lit(1)).alias("role"), F.get("f", F.lit(2)).alias("molecule"), F.get("f", F.lit(6)).alias("accession"))
+    return named.where("accession IS NOT NULL AND accession NOT IN ('na', '')")
+
+
+def files(spark: SparkSession, path: str, skip: str = "genmap_index") -> DataFrame:
+    """path, filename and content of all files under a folder, but for those below folders named `*skip`, indexes and logs."""
+    rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return rows.where(~F.col("path").rlike(f"{skip}/") & ~F.col("path").rlike(r"\.(fai|log)$")).select("path", basename(F.col("path")).alias("filename"), "content")
 
 
 def gaps(spark: SparkSession, path: str) -> DataFrame:
@@ -57,9 +84,14 @@ def bedgraph(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.col("f")[0].alias("chrom"), F.col("f")[1].cast("long").alias("start"), F.col("f")[2].cast("long").alias("end"), F.col("f")[3].cast("float").alias("score"))
 
 
-def registry(spark: SparkSession, path: str) -> DataFrame:
-    """A commented table of strings with a header."""
-    return spark.read.csv(path, sep="\t", header=True, comment="#", inferSchema=False)
+def registry(spark: SparkSession, path: str, key: str | None = None) -> DataFrame:
+    """A commented table of strings with a header; with a key, of rows that share it the last one."""
+    rows = spark.read.csv(path, sep="\t", header=True, comment="#", inferSchema=False)
+    if key is None:
+        return rows
+    rest = [c for c in rows.columns if c != key]
+    ordered = rows.withColumn("_at", F.monotonically_increasing_id())  # a registry is a file of one split
+    return ordered.groupBy(key).agg(F.max(F.struct("_at", *rest)).alias("r")).select(key, *(F.col(f"r.{c}").alias(c) for c in rest))
 
 
 def idxstats(spark: SparkSession, path: str) -> DataFrame:
@@ -92,11 +124,32 @@ def _numbered(lines: DataFrame) -> DataFrame:
     return placed.select("path", "part", "block", (F.col("ahead") + F.col("i")).alias("line_no"), F.rtrim("value").alias("value"))
 
 
+def _gtf_lines(spark: SparkSession, path: str) -> DataFrame:
+    return _numbered(_splits(spark, path)).withColumn("f", F.split("value", "\t"))
+
+
 def gtf(spark: SparkSession, path: str) -> DataFrame:
-    """seqname, line_no, feature, start, end, strand, attributes; lines with fewer than nine fields go."""
-    rows = _numbered(_splits(spark, path)).where(~F.col("value").startswith("#")).select("line_no", F.split("value", "\t").alias("f")).where(F.size("f") >= 9)
+    """line_no and the nine fields; comments and lines with fewer than nine fields go."""
+    rows = _gtf_lines(spark, path).where(~F.col("value").startswith("#") & (F.size("f") >= 9))
     f = F.col("f")
-    return rows.select(f[0].alias("seqname"), "line_no", f[2].alias("feature"), f[3].cast("long").alias("start"), f[4].cast("long").alias("end"), f[6].alias("strand"), f[8].alias("attributes"))
+    return rows.select(
+        "line_no", f[0].alias("seqname"), f[1].alias("source"), f[2].alias("feature"), f[3].cast("long").alias("start"), f[4].cast("long").alias("end"),
+        f[5].alias("score"), f[6].alias("strand"), f[7].alias("frame"), f[8].alias("attributes"),
+    )
+
+
+def gtf_header(spark: SparkSession, path: str) -> DataFrame:
+    """line_no and value of the comments ahead of the first line that has fields."""
+    rows = _gtf_lines(spark, path)
+    first = rows.where(~F.col("value").startswith("#") & (F.size("f") > 1)).agg(F.min("line_no").alias("_first"))
+    comments = rows.where(F.col("value").startswith("#")).withColumn("_one", F.lit(1)).join(F.broadcast(first.withColumn("_one", F.lit(1))), "_one")  # one row
+    return comments.where("_first IS NULL OR line_no < _first").select("line_no", "value")
+
+
+def gtf_malformed(spark: SparkSession, path: str) -> DataFrame:
+    """One row: how many lines are neither comments nor have nine fields; blank lines don't count."""
+    rows = _gtf_lines(spark, path).where("value <> ''")
+    return rows.agg(F.count_if(~F.col("value").startswith("#") & (F.size("f") < 9)).alias("n_malformed"))
 
 
 def fasta(spark: SparkSession, path: str) -> DataFrame:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandlake.functions.columns import chrom_rank, contig_key
+from strandlake.operators.annotation import FIELDS
+from strandlake.operators.assemblies import MANIFEST
 
 
 def _tsv(df: DataFrame, path: str, header: bool, force: bool, compression: str | None = None) -> None:
@@ -27,8 +29,9 @@ def six_digits(value: Column) -> Column:
 
 
 def sizes(contigs: DataFrame, path: str, force: bool = False) -> None:
-    """chrom and raw_bp, in canonical order."""
-    _tsv(contigs.orderBy(chrom_rank(contig_key(F.col("chrom"))), "chrom").select("chrom", "raw_bp"), path, False, force)
+    """chrom and raw_bp, in the order of `ord` (that of the sequences) if it is there, else in canonical order."""
+    by = ["ord"] if "ord" in contigs.columns else [chrom_rank(contig_key(F.col("chrom"))), "chrom"]
+    _tsv(contigs.orderBy(*by).select("chrom", "raw_bp"), path, False, force)
 
 
 def bed(intervals: DataFrame, path: str, force: bool = False) -> None:
@@ -54,10 +57,27 @@ def dropped(genes: DataFrame, path: str, force: bool = False) -> None:
     _tsv(genes.orderBy("seqname", "start", "gene_id").select(*columns), path, True, force)
 
 
-def annotation(kept: DataFrame, path: str, source: str = ".", force: bool = False) -> None:
-    """Nine-column lines of the features that stay, each as often as it was there, in their order."""
-    rows = kept.withColumn("_copy", F.explode(F.expr("sequence(1, cast(n AS int))"))).orderBy("line_no", "seqname", "start", "attributes")
-    _tsv(rows.select("seqname", F.lit(source).alias("source"), "feature", "start", "end", F.lit(".").alias("score"), "strand", F.lit(".").alias("frame"), "attributes"), path, False, force, "gzip")
+def annotation(kept: DataFrame, path: str, header: Sequence[str] = (), force: bool = False) -> None:
+    """The header's lines, then the nine fields of the features that stay, in their order."""
+    head = kept.sparkSession.createDataFrame([(0, k, line) for k, line in enumerate(header)], "part int, at long, value string")
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit(".")) for c in FIELDS]
+    rows = head.unionByName(kept.select(F.lit(1).alias("part"), F.col("line_no").alias("at"), F.concat_ws("\t", *fields).alias("value")))
+    _text(rows.orderBy("part", "at").select("value"), path, force, "gzip")
+
+
+def _text(rows: DataFrame, path: str, force: bool, compression: str | None = None) -> None:
+    writer = rows.write.mode("overwrite" if force else "errorifexists")
+    (writer.option("compression", compression) if compression else writer).text(path)
+
+
+def fasta(lines: DataFrame, order: DataFrame, path: str, force: bool = False, compression: str | None = None) -> None:
+    """Sequences as lines (contig, line_no, seq) with a header ahead of each contig, in the order of its `ord`; line breaks stay.
+
+    order: contig, ord. Lines are sorted by ranges, so that a contig is written by many tasks.
+    """
+    heads = order.select("ord", F.lit(-1).cast("long").alias("line_no"), F.concat(F.lit(">"), "contig").alias("value"))
+    rows = lines.join(order, "contig").select("ord", F.col("line_no").cast("long").alias("line_no"), F.col("seq").alias("value")).unionByName(heads)
+    _text(rows.orderBy("ord", "line_no").select("value"), path, force, compression)
 
 
 def territory(wide: DataFrame, label: str, path: str, force: bool = False) -> None:
@@ -65,6 +85,23 @@ def territory(wide: DataFrame, label: str, path: str, force: bool = False) -> No
     _tsv(wide.orderBy(chrom_rank(contig_key(F.col(label))), label), path, True, force)
 
 
+def long_territory(long_form: DataFrame, label: str, path: str, force: bool = False) -> None:
+    """A territory table in long form with a header."""
+    _tsv(long_form.orderBy(chrom_rank(contig_key(F.col(label))), label, "territory_metric"), path, True, force)
+
+
+def manifest(rows: DataFrame, path: str, force: bool = False) -> None:
+    """The columns of a manifest with a header, in the order of paths."""
+    _tsv(rows.orderBy("path").select(*MANIFEST), path, True, force)
+
+
+def report(facts: DataFrame, path: str, force: bool = False) -> None:
+    """One row's columns as lines of key and value."""
+    keys = facts.columns
+    pairs = facts.select(F.posexplode(F.array(*(F.struct(F.lit(k).alias("key"), F.col(k).cast("string").alias("value")) for k in keys))).alias("at", "kv"))
+    _tsv(pairs.orderBy("at").select("kv.key", "kv.value"), path, False, force)
+
+
 def metadata(table: DataFrame, path: str, force: bool = False) -> None:
     """Each row as one JSON document."""
     table.select(F.to_json(F.struct("*")).alias("value")).write.mode("overwrite" if force else "errorifexists").text(path)

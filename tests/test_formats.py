@@ -10,8 +10,16 @@ def test_readers(spark, tmp_path):
     assert [tuple(r) for r in formats.bed(spark, str(tmp_path / "a.bed")).collect()] == [("chr1", 3, 9, "chr1:3-9"), ("chr1", 10, 12, "n")]
     (tmp_path / "b.bed").write_text("1\t2\t5 # note\n# all\n")
     assert [tuple(r) for r in formats.bed3(spark, str(tmp_path / "b.bed")).collect()] == [("1", 2, 5)]
-    (tmp_path / "s").write_text("chr1 100 x\nchr2\t7\n")
-    assert [tuple(r) for r in formats.sizes(spark, str(tmp_path / "s")).collect()] == [("chr1", 100), ("chr2", 7)]
+    (tmp_path / "s").write_text("chr1 100 x\nchr2\t7\n\nchrUn 5\nchr1 90\n")
+    assert sorted(tuple(r) for r in formats.sizes(spark, str(tmp_path / "s")).collect()) == [("chr1", 90, 1), ("chr2", 7, 2), ("chrUn", 5, 4)]
+    assert sorted(tuple(r) for r in formats.primary_sizes(spark, str(tmp_path / "s")).collect()) == [("1", 90), ("2", 7)]
+    (tmp_path / "p.bed").write_text("#x\nX 9 3 extra\n")
+    assert [tuple(r) for r in formats.plain_bed(spark, str(tmp_path / "p.bed")).collect()] == [("X", 9, 3)]
+    (tmp_path / "rep").write_text("# head\n1\tassembled-molecule\t1\t\t\t\tNC_1\nu\tunplaced\tna\t\t\t\tNT_2\nv\tunplaced\tna\t\t\t\tna\n")
+    assert [tuple(r) for r in formats.assembly_report(spark, str(tmp_path / "rep")).orderBy("row_no").collect()] == [(2, "assembled-molecule", "1", "NC_1"), (3, "unplaced", "na", "NT_2")]
+    (tmp_path / "reg").write_text("#c\nassembly\turl\nA\tu1\nB\tu2\nA\tu3\n")
+    assert sorted(tuple(r) for r in formats.registry(spark, str(tmp_path / "reg"), "assembly").collect()) == [("A", "u3"), ("B", "u2")]
+    assert formats.registry(spark, str(tmp_path / "reg")).count() == 3
     (tmp_path / "r").write_text("#c\nchrom\tregion\tregion_group\tstart\tend\nX\tPAR1\tPAR\t1\t10\n")
     assert [tuple(r) for r in formats.regions(spark, str(tmp_path / "r")).collect()] == [("X", "PAR1", "PAR", 0, 10)]
     (tmp_path / "f.fa").write_text(">a one\nACG\n\nTT\n>b\nN\n")
@@ -33,7 +41,11 @@ def test_writers(spark, tmp_path):
 
     contigs = spark.createDataFrame([("chrX", 5), ("chr10", 7), ("chr2", 9)], "chrom string, raw_bp long")
     sinks.sizes(contigs, str(tmp_path / "sizes"))
-    assert [r["chrom"] for r in formats.sizes(spark, str(tmp_path / "sizes")).collect()] == ["chr2", "chr10", "chrX"]
+    assert [r["value"] for r in spark.read.text(str(tmp_path / "sizes")).collect()] == ["chr2\t9", "chr10\t7", "chrX\t5"]
+    sinks.sizes(contigs.withColumn("ord", F.col("raw_bp")), str(tmp_path / "in_order"))
+    assert [r["value"][:4] for r in spark.read.text(str(tmp_path / "in_order")).collect()] == ["chrX", "chr1", "chr2"]
+    sinks.report(spark.createDataFrame([("s1", 0.25, "XX")], "sample string, ratio double, call string"), str(tmp_path / "said"))
+    assert [r["value"] for r in spark.read.text(str(tmp_path / "said")).collect()] == ["sample\ts1", "ratio\t0.25", "call\tXX"]
     with pytest.raises(Exception, match="(?i)exist"):
         sinks.sizes(contigs, str(tmp_path / "sizes"))
     sinks.sizes(contigs, str(tmp_path / "sizes"), force=True)
@@ -69,3 +81,64 @@ def test_lines_of_files_in_many_splits(spark, tmp_path, monkeypatch):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_genome_round_trip_over_many_splits(spark, tmp_path, monkeypatch):
+    from strandlake.operators import masking as ma
+    from strandlake.operators import sequences as sq
+    from strandlake.sources import sinks
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(formats, "BLOCK_LINES", 64)
+    contigs = {"chr9": 4000, "chrY": 2500, "scaffold": 300}
+    text = "".join(f">{c} some note\n" + "".join("ACGTACGTAC\n" for _ in range(n // 10)) for c, n in contigs.items())
+    (tmp_path / "in.fa").write_text(text)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k in old:
+            spark.conf.set(k, "1024")
+        lines = sq.with_offsets(ma.allowed(formats.fasta(spark, str(tmp_path / "in.fa")), ["9", "Y"], "contig"))
+        sized = lines.groupBy("contig").agg(F.min("line_no").alias("ord"), F.sum(F.length("seq")).alias("raw_bp")).withColumnRenamed("contig", "chrom")
+        bed = "chrom string, start long, end long, name string"
+        par, extra = spark.createDataFrame([("y", 5, 15, "P")], bed), spark.createDataFrame([("9", 3995, 9999, "tail")], bed)
+        for complement, want in (("XY", {("chr9", 3995, 4000, "extra:tail"), ("chrY", 5, 15, "P_masked")}), ("XX", {("chr9", 3995, 4000, "extra:tail"), ("chrY", 0, 2500, "whole_Y_mask")})):
+            plan = ma.applied(ma.plan(complement, par, extra, "Y"), sized)
+            assert {tuple(r) for r in plan.collect()} == want
+            out = str(tmp_path / complement)
+            sinks.fasta(sq.masked(lines, plan.withColumnRenamed("chrom", "contig")), sized.select(F.col("chrom").alias("contig"), "ord"), out)
+            written = [x for f in sorted((tmp_path / complement).glob("part-*")) for x in f.read_text().splitlines()]
+            expected, own = [], {c: sorted((s, e) for k, s, e, _ in want if k == c) for c in contigs}
+            for c in ("chr9", "chrY"):
+                bases = list("ACGTACGTAC" * (contigs[c] // 10))
+                for s, e in own[c]:
+                    bases[s:e] = "N" * (e - s)
+                expected += [f">{c}"] + ["".join(bases[k : k + 10]) for k in range(0, contigs[c], 10)]
+            assert written == expected
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_manifest_of_a_folder(spark, tmp_path):
+    from strandlake.operators import assemblies as am
+    from strandlake.sources import sinks
+
+    refs = tmp_path / "refs" / "A1"
+    (tmp_path / "refs" / "A1" / "A1.XX.genmap_index").mkdir(parents=True)
+    (refs / "A1.XX.genmap_index" / "big.bin").write_text("x")
+    (refs / "A1.XX.fa").write_text(">a\nN\n")
+    (refs / "A1.XX.fa.fai").write_text("x")
+    (refs / "A1.XX.metadata.json").write_text('{\n "assembly": "A1", "complement": "XX", "tool_version": "9", "par_status": "approximate"\n}')
+    (refs / "A1.XY.ensembl-7.gtf.gz").write_text("g")
+    (refs / "A1.XY.ensembl-7.metadata.json").write_text("{ broken")
+    (refs / "A1.XX.k24.multi_read.bw").write_text("b")
+    (refs / "unknown.txt").write_text("u")
+    files = formats.files(spark, str(tmp_path)).selectExpr("filename", f"replace(path, 'file:{tmp_path}/', '') AS path", "content")
+    rows = {r["filename"]: r for r in am.manifest(files, ["A1"]).collect()}
+    assert set(rows) == {"A1.XX.fa", "A1.XX.metadata.json", "A1.XY.ensembl-7.gtf.gz", "A1.XY.ensembl-7.metadata.json", "A1.XX.k24.multi_read.bw", "unknown.txt"}
+    fa, bw, gtf = rows["A1.XX.fa"], rows["A1.XX.k24.multi_read.bw"], rows["A1.XY.ensembl-7.gtf.gz"]
+    assert (fa["kind"], fa["assembly"], fa["variant"], fa["source"], fa["tool"], fa["tool_version"], fa["notes"]) == ("genome", "A1", "XX", "-", am.MASKER, "9", "PAR intervals are approximate")
+    assert (bw["variant"], bw["tool"], bw["notes"]) == ("XX", am.MAPPER, f"k=24, multi_read; PAR intervals are approximate; {am.NOTES['mapped']}")
+    assert (gtf["assembly"], gtf["tool"], gtf["notes"]) == ("", "", "") and rows["unknown.txt"]["assembly"] == "-"
+    sinks.manifest(am.manifest(files, ["A1"]), str(tmp_path / "out"))
+    assert spark.read.text(str(tmp_path / "out")).first()["value"].split("\t") == am.MANIFEST

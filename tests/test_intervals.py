@@ -56,6 +56,11 @@ def test_sets_of_bases(spark):
     assert _rows(iv.complement(contigs, _df(spark, left), tile=9)) == _runs(whole - a)
     assert _bases(_rows(iv.subtract(_df(spark, left), _df(spark, right), contigs))) == a - b
     assert _rows(iv.union(_df(spark, left), _df(spark, right))) == _runs(_bases(left) | _bases(right))
+    rows = sorted(left)
+    assert _rows(iv.semi(_df(spark, rows), _df(spark, right), 5)) == [r for r in rows if _bases([r]) & _bases(right)]
+    assert _rows(iv.anti(_df(spark, rows), _df(spark, right), 5)) == [r for r in rows if not _bases([r]) & _bases(right)]
+    beyond = _df(spark, [("a", 97, 120), ("c", 200, 210)])
+    assert _rows(iv.complement(contigs, beyond, tile=9)) == sorted((c, 0, bp) for c, bp in CONTIGS)
     pieces = iv.intersect(iv.merge(_df(spark, left)), iv.merge(_df(spark, right)), width=5)
     assert _bases(_rows(pieces)) == _bases(left) & _bases(right)
     assert pieces.count() == len(_rows(pieces))
@@ -86,6 +91,23 @@ def test_multi_read_against_bases(spark):
         assert got == {i: sum(ind[max(0, i - k + 1) : i + 1]) for i in range(60)}
 
 
+def test_mean_tracks_against_bases(spark):
+    import numpy as np
+
+    contigs = spark.createDataFrame([("a", 90)], "chrom string, raw_bp long")
+    for k, tile in ((5, 1 << 20), (11, 13), (200, 16)):
+        unique = [("a", 0, 2), ("a", 3, 9), ("a", 20, 61), ("a", 85, 90)]
+        ind = [int(any(s <= i < e for _, s, e in unique)) for i in range(90)]
+        mean = [float(np.float32(sum(ind[max(0, i - k + 1) : i + 1]) / min(i + 1, k))) for i in range(90)]
+        want, i = [], 0
+        while i < 90:
+            j = next((j for j in range(i, 90) if mean[j] != mean[i]), 90)
+            want += [("a", i, j, mean[i])] if mean[i] else []
+            i = j
+        got = tr.multi_mean(_df(spark, unique), contigs, k, tile).collect()
+        assert sorted((r["chrom"], r["start"], r["end"], r["score"]) for r in got) == want
+
+
 def test_thresholds_are_single_precision(spark):
     runs = spark.createDataFrame([("a", 0, 5, 0.9), ("a", 5, 8, float("nan")), ("a", 8, 12, 0.95)], "chrom string, start long, end long, score float")
     assert _rows(tr.islands(runs, 0.9)) == [("a", 0, 5), ("a", 8, 12)]
