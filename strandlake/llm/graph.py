@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 from strandlake.llm.common import settled
 
 #: Edges that one forest in memory takes.
-FOREST = 500_000
+FOREST = 200_000
 
 
 def _stars(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Edges (a, b) to edges from each node to the least one that it is tied to by the edges of this piece."""
 
-    def flush(up: dict[int, int]) -> pd.DataFrame:
+    def flush(up: dict) -> pd.DataFrame:
         rows = []
         for x in up:
             r = x
@@ -26,9 +26,9 @@ def _stars(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             up[x] = r
             if r != x:
                 rows.append((x, r))
-        return pd.DataFrame(rows, columns=["a", "b"], dtype="int64")
+        return pd.DataFrame(rows, columns=["a", "b"])
 
-    up: dict[int, int] = {}
+    up: dict = {}
     seen = 0
     for batch in batches:
         for x, y in zip(batch["a"].tolist(), batch["b"].tolist(), strict=True):
@@ -43,18 +43,22 @@ def _stars(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if seen >= FOREST:
             yield flush(up)
             up, seen = {}, 0
-    yield flush(up)
+    if up:
+        yield flush(up)
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node and label (the least node reachable) for each node of the edges (a, b).
+    """node and label (the least node reachable) for each node of the edges (a, b), of any one type that has an order.
 
-    Pieces of the edges are replaced by stars with the same components first, which leaves short paths only. Then
-    come rounds of joins: a node takes the least label among its neighbours and itself, then the label of that
-    label. Labels only fall, so that rounds end when none does. The rows of each round are written to the shared
-    folder.
+    Where edges are made, before they are shuffled, and once more after that, pieces of them are replaced by stars
+    with the same components, which leaves few edges and short paths. Then come rounds of joins: a node takes the
+    least label among its neighbours and itself, then the label of that label. Labels only fall, so that rounds end
+    when none does. The rows of each round are written to the shared folder.
     """
-    stars = settled(edges.where("a <> b").select("a", "b").distinct().mapInPandas(_stars, "a long, b long"))
+    kind = dict(edges.dtypes)["a"]
+    schema = f"a {kind}, b {kind}"
+    stars = edges.where("a <> b").select("a", "b").mapInPandas(_stars, schema).distinct()
+    stars = settled(stars.repartition("b").mapInPandas(_stars, schema).distinct())  # by the least node: a piece sees whole stars
     both = stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     labels = settled(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")).select(F.col("a").alias("node"), "label"))
     while True:

@@ -9,10 +9,15 @@ To count is to shuffle, so of large sets only the shingles of the least hashes,
 are counted and stand at the head of every order; they are a fixed part of all shingles, and the others follow by
 hash. The part is larger for smaller sets, and all of the smallest: sets are dealt to bands of size with orders of
 their own, which overlap so far that any two sets that can link have one band in common. Equal sets are one class
-from the start. Shingles in one set only can't link and stay behind; the others' prefixes tie classes into families,
-within which pairs are verified: large families in square tiles of bounded size, from which only links that connect
-are returned and, where links are counted, a number for each class; a pair of classes meets in one tile only. No group
-and no list of pairs is gathered in one place.
+from the start. Shingles in one set only can't link and stay behind.
+
+Candidates meet at the prefix shingles of the first order, in tiles of bounded size. There a pair must also fit by
+its sizes, by the places of the shingle in both prefixes, by bitmaps of the prefixes under the other orders, and by
+the parity of its shingles in 256 bits: sets whose parities differ in more bits than sets that link may differ in
+shingles don't link. What is left is verified on the texts. Of a crowded tile only candidates enough to tie it
+together as likely links would come first; classes that true links connect need not meet again, so that a large group
+of near copies costs some pairs for each member, not their square. Further rounds take what is still apart, until a
+round leaves nothing out.
 """
 
 from __future__ import annotations
@@ -35,9 +40,13 @@ _S = np.uint64(32)
 #: What shingles are multiplied by in each band; their last two bits then name the band.
 _SALTS = (1, 0x5851F42D4C957F2D, 0x14057B7EF767814F)
 #: Words whose hashes each Python worker remembers.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 #: Orders of shingles: fields of (count, log2 of the count, shingle, two other hashes) that sort them.
 ORDERS = (("df", "tok"), ("df", "h1"), ("lg", "h2"))
+#: A null doc_id counts as this one, the largest.
+NO_ID = (1 << 63) - 1
+#: Bits of a set's parity; rows of a side of a tile; holders of a shingle of which all pairs are looked at at once; pairs for each row of a tile.
+PARITY, TILE, FEW, CROWD = 256, 1024, 8, 4
 
 
 class _Hashes(dict):
@@ -71,7 +80,7 @@ def prefix(n: int, percent: int) -> int:
 
 
 #: Bands: sets of up to so many shingles, and their counted part as a multiple of the part that a prefix takes.
-BANDS = ((64, 20.0), (256, 2.2), (1 << 62, 1.25))
+BANDS = ((64, 5.0), (256, 1.8), (1 << 62, 1.15))
 
 
 def bands(n: int, percent: int) -> list[int]:
@@ -85,40 +94,63 @@ def _cut(band: int, percent: int) -> int:
     return min((1 << 63) - 1, -(1 << 63) + int(share * (1 << 64)))
 
 
+def class_name(s: np.ndarray) -> bytes:
+    """The 128-bit name of a set, which stands for it."""
+    return xxhash.xxh3_128_digest(s.tobytes())
+
+
+def short_name(name: bytes) -> int:
+    """64 bits of it, by which candidates are looked for; classes that share them only meet more often."""
+    return int.from_bytes(name[:8], "big", signed=True)
+
+
+def parity(s: np.ndarray) -> bytes:
+    """For each of 256 values of a hash whether an odd number of shingles have it."""
+    return np.packbits((np.bincount(s & (PARITY - 1), minlength=PARITY) & 1).astype(bool)).tobytes()
+
+
+_SETS = "id long, version long, name binary, cid long, n long, main boolean, parity binary, band long, counted long, heads array<long>"
+
+
 def _sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """doc_id, cid (hash of the set), n, and for each band a row: counted (shingles below the cut) and heads (these, and more up to a prefix).
+    """id, version (of the text), name, cid, n, and for each band a row: counted (shingles below the cut) and heads (these, and more up to a prefix).
 
-    A document's first row is its main one; one without shingles has band -1.
+    A document's first row is its main one, and has the parity; one without shingles has band -1.
     """
     cuts = [_cut(k, percent) for k in range(len(BANDS))]
-    schema = pa.schema([("doc_id", pa.int64()), ("cid", pa.int64()), ("n", pa.int64()), ("main", pa.bool_()), ("band", pa.int64()), ("counted", pa.int64()), ("heads", pa.list_(pa.int64()))])
+    types = {"long": pa.int64(), "binary": pa.binary(), "boolean": pa.bool_(), "array<long>": pa.list_(pa.int64())}
+    schema = pa.schema([(c, types[t]) for c, t in (x.split() for x in _SETS.split(", "))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for i, v, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 s = shingles(text, words)
-                cid, n = _class(s), len(s)
+                name, n = class_name(s), len(s)
                 for j, k in enumerate(bands(n, percent) or [-1]):
                     tokens = np.unique((s * np.int64(_SALTS[k])) & ~np.int64(3) | np.int64(k))
                     counted = int(np.searchsorted(tokens, cuts[k]))
-                    out.append((i, cid, n, j == 0, k, counted, tokens[: max(counted, prefix(n, percent))]))
+                    out.append((i, v, name, short_name(name), n, j == 0, None if j else parity(s), k, counted, tokens[: max(counted, prefix(n, percent))].copy()))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], schema.field(k).type) for k in range(len(schema))], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, cid long, n long, main boolean, band long, counted long, heads array<long>")
+    return _keyed(docs).mapInArrow(run, _SETS)
 
 
-def _class(s: np.ndarray) -> int:
-    return xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) if len(s) else 0
+def _keyed(docs: DataFrame) -> DataFrame:
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(text).alias("version"), text.alias("text"))
 
 
 def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """cid and, for each order, the shingles of its prefixes that another row holds too; classes without any don't come."""
-    small = sets.where("main AND n > 0").select("doc_id", "cid")
-    copies = small.join(small.groupBy("cid").agg(F.min("doc_id").alias("rep")), "cid").where("doc_id <> rep").select("doc_id", "cid")
+    """For each class that may link: cid, n, parity, prefix0 (tok, pos), prefix1, prefix2, and bitmaps of the last two in 64 bits.
+
+    Prefixes hold shingles that another row holds too; pos is the place in the whole set's order, from 1, or less.
+    """
+    small = sets.where("main AND n > 0").select("id", "name")
+    copies = small.join(small.groupBy("name").agg(F.min("id").alias("rep")), "name").where("id <> rep").select("id", "name")
     # one row of each class goes on; only rows that may be copies are shuffled to find out
-    rows = marked(sets.where("n > 0").select("doc_id", "cid", "band", "heads"), "doc_id", copies.select("doc_id"))
-    ones = rows.where("NOT maybe").select("cid", "heads").unionByName(rows.where("maybe").join(copies, ["doc_id", "cid"], "left_anti").select("cid", "heads"))
+    rows = marked(sets.where("n > 0").select("id", "name", "cid", "band", "heads"), "id", copies.select("id"))
+    ones = rows.where("NOT maybe").select("cid", "heads").unionByName(rows.where("maybe").join(copies, ["id", "name"], "left_anti").select("cid", "heads"))
     tokens = ones.select("cid", F.explode("heads").alias("tok"))
     # the key is another than the one counted by, so that both sides are dealt anew and a very common shingle is split as a skewed join
     counts = tokens.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select(F.bitwise_not("tok").alias("key"), "df")
@@ -127,182 +159,341 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
     sized = lists.join(sets.where("n > 0").select("cid", "band", "n", "counted").distinct(), ["cid", "band"])
     cut = F.element_at(F.array(*[F.lit(_cut(k, percent)) for k in range(len(BANDS))]), (F.col("band") + 1).cast("int"))
     sized = sized.withColumn("cut", cut).withColumn("low", F.expr("filter(shared, x -> x.tok < cut)")).withColumn("p", F.expr(f"n - ({percent} * n + 99) div 100 + 1"))
-    sized = sized.withColumn("take", F.expr("cast(p - (counted - size(low)) AS int)"))
+    sized = sized.withColumn("alone", F.expr("counted - size(low)")).withColumn("take", F.expr("cast(p - alone AS int)"))
     fields = {"tok": "x.tok", "df": "x.df", "lg": "cast(floor(log2(x.df)) AS long)", "h1": "xxhash64(x.tok, 1)", "h2": "xxhash64(x.tok, 2)"}
     for k, order in enumerate(ORDERS):
         ranked = f"transform(array_sort(transform(low, x -> struct({', '.join(f'{fields[f]} AS f{j}' for j, f in enumerate(order))}, x.tok AS tok))), x -> x.tok)"
         sized = sized.withColumn(f"prefix{k}", F.expr(f"if(counted >= p, if(take > 0, slice({ranked}, 1, take), cast(array() AS array<bigint>)), transform(shared, x -> x.tok))"))
     kept = sized.where(" AND ".join(f"size(prefix{k}) > 0" for k in range(len(ORDERS))))
-    return kept.groupBy("cid").agg(*(F.flatten(F.collect_list(f"prefix{k}")).alias(f"prefix{k}") for k in range(len(ORDERS))))
+    kept = kept.withColumn("prefix0", F.expr("transform(prefix0, (x, i) -> struct(x AS tok, if(counted >= p, alone + i + 1, 1L) AS pos))"))
+    whole = kept.groupBy("cid").agg(*(F.flatten(F.collect_list(f"prefix{k}")).alias(f"prefix{k}") for k in range(len(ORDERS))))
+    bits = "aggregate({0}, 0L, (m, x) -> m | shiftleft(1L, cast(pmod(xxhash64(x, 3), 64) AS int)))"
+    return whole.join(sets.where("main AND n > 0").select("cid", "n", "parity").distinct(), "cid").select("cid", "n", "parity", "prefix0", "prefix1", "prefix2", F.expr(bits.format("prefix1")).alias("bits1"), F.expr(bits.format("prefix2")).alias("bits2"))
+
+
+_HOLDER = ("cid", "n", "pos", "parity", "bits1", "bits2")
+
+
+def _holders(prefixes: DataFrame) -> DataFrame:
+    """A row for each class and prefix shingle of the first order that other classes have there too: tok, df (how many), _HOLDER."""
+    rows = prefixes.select("cid", "n", "parity", "bits1", "bits2", F.explode("prefix0").alias("x")).select(F.bitwise_not("x.tok").alias("key"), F.col("x.pos").alias("pos"), "cid", "n", "parity", "bits1", "bits2")
+    counts = prefixes.select(F.explode("prefix0.tok").alias("tok")).groupBy("tok").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select(F.bitwise_not("tok").alias("key"), "df")
+    return settled(rows.join(counts, "key").select(F.bitwise_not("key").alias("tok"), "df", *_HOLDER))
+
 
+class _Side:
+    """Rows of a tile as arrays."""
 
-def _families(prefixes: DataFrame) -> DataFrame:
-    """node and label: classes tied by shared prefix shingles of the first order, each to the least class that holds it."""
-    rows = prefixes.select("cid", F.explode("prefix0").alias("tok"))
-    least = rows.groupBy("tok").agg(F.min("cid").alias("least")).select(F.bitwise_not("tok").alias("key"), "least")
-    ties = rows.select("cid", F.bitwise_not("tok").alias("key")).join(least, "key").where("cid <> least")
-    return components(ties.select(F.col("cid").alias("a"), F.col("least").alias("b")).distinct())
+    def __init__(self, rows: pd.DataFrame) -> None:
+        self.cid, self.n, self.pos = (rows[c].to_numpy() for c in ("cid", "n", "pos"))
+        self.bits = [rows[c].to_numpy() for c in ("bits1", "bits2")]
+        self.parity = np.frombuffer(b"".join(rows["parity"]), np.uint64).reshape(len(rows), PARITY // 64)
+        self.label = rows["code"].to_numpy()
+        self.apart = rows["apart"].to_numpy()
 
 
-class _Forest:
-    def __init__(self, n: int) -> None:
-        self.up = list(range(n))
+def _fits(a: _Side, x, b: _Side, y, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the pairs of rows x of a and y of b may link, and in how many bits their parities differ."""
+    small, large = np.minimum(a.n[x], b.n[y]), np.maximum(a.n[x], b.n[y])
+    need = (percent * (small + large) + 99 + percent) // (100 + percent)  # least size of the intersection
+    ok = (100 * small >= percent * large) & (1 + np.minimum(a.n[x] - a.pos[x], b.n[y] - b.pos[y]) >= need) & (a.cid[x] != b.cid[y])
+    for p, q in zip(a.bits, b.bits, strict=True):
+        ok &= (p[x] & q[y]) != 0
+    away = np.zeros(len(ok), np.int64)
+    at = np.flatnonzero(ok)
+    if len(at):
+        left = a.parity[x] if np.ndim(x) == 0 else a.parity[x[at]]
+        away[at] = np.bitwise_count(left ^ b.parity[y[at]]).sum(axis=1)
+        ok[at] = away[at] <= (small + large - 2 * need)[at]
+    return ok, away
 
+
+class _Forest(dict):
     def root(self, x: int) -> int:
-        while self.up[x] != x:
-            self.up[x] = x = self.up[self.up[x]]
+        while (up := self.setdefault(x, x)) != x:
+            self[x] = x = self.setdefault(up, up)
         return x
 
-    def join(self, x: int, y: int) -> bool:
+    def tie(self, x: int, y: int) -> bool:
         x, y = self.root(x), self.root(y)
-        self.up[max(x, y)] = min(x, y)
+        self[max(x, y)] = min(x, y)
         return x != y
 
 
-def connect(sets: list[np.ndarray], prefixes: list[list[np.ndarray]], percent: int, side: np.ndarray | None = None, copies: np.ndarray | None = None) -> tuple[list[tuple[int, int]], np.ndarray]:
-    """Links between sets that connect them as all links would; with sides, of pairs on different sides only.
+def _candidates(tiles: DataFrame, percent: int, crowd: int) -> DataFrame:
+    """a, b: pairs of classes that may link, a < b, of rows that meet in a tile and have different labels; and a null pair if that is not all.
 
-    Pairs that share a prefix shingle under every order, and whose sizes allow it, are verified on the whole sets,
-    but for pairs that earlier links connect already. With copies, the number of rows with each set, no pair is left
-    out, and the second result is how many rows each set links to.
-    """
-    m = len(sets)
-    sizes = np.array([len(s) for s in sets])
-    flat, starts = np.unique(np.concatenate(sets), return_inverse=True)[1], np.concatenate(([0], np.cumsum(sizes)[:-1]))
-    holders = []
-    for lists in prefixes:
-        index: dict[int, list[int]] = {}
-        for x, tokens in enumerate(lists):
-            for t in tokens.tolist():
-                index.setdefault(t, []).append(x)
-        holders.append({t: np.array(xs) for t, xs in index.items()})
-    forest, roots, links = _Forest(m), np.arange(m), []
-    counts = np.zeros(m, np.int64)
-    flags = np.zeros(int(flat.max()) + 1 if len(flat) else 1, bool)
-    for x in range(m):
-        open_ = np.ones(m, bool)
-        for lists, index in zip(prefixes, holders, strict=True):
-            hit = np.zeros(m, bool)
-            for t in lists[x].tolist():
-                hit[index[t]] = True
-            open_ &= hit
-        open_[: x + 1] = False
-        open_ &= 100 * np.minimum(sizes, sizes[x]) >= percent * np.maximum(sizes, sizes[x])
-        if copies is None:
-            open_ &= roots != roots[x]
-        if side is not None:
-            open_ &= side != side[x]
-        found = np.flatnonzero(open_)
-        if not len(found):
-            continue
-        own = flat[starts[x] : starts[x] + sizes[x]]
-        flags[own] = True
-        if 4 * len(found) > m:
-            both = np.add.reduceat(flags[flat], starts)[found]
-        else:
-            both = np.array([np.count_nonzero(flags[flat[starts[y] : starts[y] + sizes[y]]]) for y in found])
-        flags[own] = False
-        near = found[100 * both >= percent * (sizes[x] + sizes[found] - both)]
-        if copies is not None:
-            counts[x] += copies[near].sum()
-            counts[near] += copies[x]
-        for y in near.tolist():
-            if forest.join(x, y):
-                links.append((x, y))
-        if links and links[-1][0] == x:
-            roots = np.array([forest.root(k) for k in range(m)])
-    return links, counts
-
-
-def _links(placed: DataFrame, words: int, percent: int, count: bool) -> DataFrame:
-    """a, b, n: connecting links with n 0; and to count, rows with a class as a and b and as n the rows it links to in a tile.
-
-    placed: family, i, j (tile), side, cid, copies (its rows), text, prefixes; sorted by tile within partitions.
+    tiles: tok, i, j, side, label, apart, _HOLDER. In tiles of one side (0) each pair of rows is one; else those of
+    side 0 with those of side 1, and of two rows that are apart the one of side 0 must be less. Of a tile where more
+    than `crowd` pairs for each row may link come only those that tie labels together as all of them would.
     """
 
-    def solve(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.assign(s=[shingles(t, words) for t in rows["text"]])
-        rows = rows[[cid == _class(s) for cid, s in zip(rows["cid"], rows["s"], strict=True)]]
-        rows = rows.drop_duplicates(["cid"])
-        if len(rows) < 2:
-            return pd.DataFrame({"a": [], "b": [], "n": []}, dtype="int64")
-        cids = rows["cid"].to_numpy()
-        side = None if (rows["i"] == rows["j"]).all() else rows["side"].to_numpy()
-        links, counts = connect(list(rows["s"]), [list(rows[f"prefix{k}"]) for k in range(len(ORDERS))], percent, side, rows["copies"].to_numpy() if count else None)
-        found = [(cids[x], cids[y], 0) for x, y in links] + [(cids[x], cids[x], counts[x]) for x in np.flatnonzero(counts)]
-        return pd.DataFrame(found, columns=["a", "b", "n"], dtype="int64")
+    def few(rows: pd.DataFrame) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        side, key = _Side(rows), rows["group"].to_numpy()
+        lefts, rights = [], []
+        for d in range(1, FEW):
+            x = np.flatnonzero(key[d:] == key[:-d])
+            if not len(x):
+                break
+            x = x[side.label[x] != side.label[x + d]]
+            ok = _fits(side, x, side, x + d, percent)[0]
+            lefts.append(side.cid[x[ok]])
+            rights.append(side.cid[x[ok] + d])
+        return lefts, rights
+
+    def many(rows: pd.DataFrame) -> tuple[list[tuple[int, int]], bool]:
+        zero = rows["side"].to_numpy() == 0
+        one = zero.all()
+        a = _Side(rows if one else rows[zero])
+        b = a if one else _Side(rows[~zero])
+        forest, found, tree = _Forest(), [], []
+        room = crowd * len(rows)
+        for x in range(len(a.cid)):
+            y = np.arange(x + 1, len(b.cid)) if one else np.arange(len(b.cid))
+            y = y[b.label[y] != a.label[x]]
+            if not one and a.apart[x]:
+                y = y[~b.apart[y] | (b.cid[y] > a.cid[x])]
+            if not len(y):
+                continue
+            ok, away = _fits(a, x, b, y, percent)
+            y, away = y[ok], away[ok]
+            if room >= 0:
+                found += [(int(a.cid[x]), k) for k in b.cid[y].tolist()]
+                room -= len(y)
+            y = y[np.argsort(away, kind="stable")]
+            tree += [(int(a.cid[x]), int(b.cid[k])) for k in y.tolist() if forest.tie(int(a.label[x]), int(b.label[k]))]
+        return (found, True) if room >= 0 else (tree, False)
+
+    def solve(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        rows = rows.reset_index(drop=True)
+        rows["code"] = pd.factorize(rows["label"])[0]
+        group = (rows[["tok", "i", "j"]] != rows[["tok", "i", "j"]].shift()).any(axis=1).cumsum().to_numpy()
+        rows["group"] = group
+        sizes = np.bincount(group)[group]
+        small = (sizes <= FEW) & (rows.groupby("group")["side"].transform("max").to_numpy() == 0)
+        lefts, rights = few(rows[small].reset_index(drop=True)) if small.any() else ([], [])
+        whole = True
+        for _, part in rows[~small].groupby("group", sort=False):
+            pairs, fully = many(part)
+            whole &= fully
+            if pairs:
+                x, y = np.array(pairs, np.int64).T
+                lefts.append(x)
+                rights.append(y)
+        if lefts:
+            x, y = np.concatenate(lefts), np.concatenate(rights)
+            yield pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)}).drop_duplicates()
+        if not whole:
+            yield pd.DataFrame({"a": [None], "b": [None]}, dtype="Int64")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        waiting: list[pd.DataFrame] = []
-        tile = None
+        held: list[pd.DataFrame] = []
         for batch in batches:
-            for key, rows in batch.groupby(["family", "i", "j"], sort=False):
-                if key != tile and waiting:
-                    yield solve(pd.concat(waiting))
-                    waiting = []
-                tile = key
-                waiting.append(rows)
-        if waiting:
-            yield solve(pd.concat(waiting))
+            if not len(batch):
+                continue
+            last = tuple(batch[["tok", "i", "j"]].iloc[-1])
+            if held and tuple(held[-1][["tok", "i", "j"]].iloc[-1]) == last == tuple(batch[["tok", "i", "j"]].iloc[0]):
+                held.append(batch)
+                continue
+            ends = (batch[["tok", "i", "j"]] == last).all(axis=1).to_numpy()
+            yield from solve(pd.concat([*held, batch[~ends]]))
+            held = [batch[ends]]
+        if held:
+            yield from solve(pd.concat(held))
+
+    dealt = tiles.repartition("tok", "i", "j").sortWithinPartitions("tok", "i", "j", "side", "cid")
+    return dealt.mapInPandas(run, "a long, b long").distinct()
+
 
-    return placed.mapInPandas(run, "a long, b long, n long")
+def _first_tiles(holders: DataFrame) -> DataFrame:
+    """The holders of each shingle, in tiles of one side."""
+    i = F.expr(f"pmod(xxhash64(cid, tok), (df + {TILE - 1}L) div {TILE}L)").alias("i")  # other classes meet at each shingle
+    return holders.select("tok", i, F.lit(0).cast("long").alias("j"), F.lit(0).alias("side"), F.col("cid").alias("label"), F.lit(False).alias("apart"), *_HOLDER)
 
 
-def joined(docs: DataFrame, words: int = 5, percent: int = 80, tile: int = 1024) -> DataFrame:
+def _later_tiles(holders: DataFrame, labels: DataFrame) -> DataFrame:
+    """Tiles of the shingles whose holders have different labels: those without the most frequent label (apart) by all of them.
+
+    labels: cid, label; a class that is not there is its own. Of shingles with FEW holders all pairs have been seen.
+    """
+    named = holders.where(F.col("df") > min(FEW, TILE)).join(labels, "cid", "left").withColumn("label", F.coalesce("label", F.col("cid").cast("string").cast("binary")))
+    counts = named.groupBy("tok", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("tok").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("kinds"))
+    counts = counts.where("kinds > 1").select(F.bitwise_not("tok").alias("key"), F.col("top.label").alias("top"), F.expr(f"(all + {TILE - 1}L) div {TILE}L").alias("js"), F.expr(f"(all - top.n + {TILE - 1}L) div {TILE}L").alias("is"))
+    rows = named.withColumn("key", F.bitwise_not("tok")).join(counts, "key").withColumn("apart", F.col("label") != F.col("top"))
+    left = rows.where("apart").withColumn("i", F.expr("pmod(xxhash64(cid, 7), is)")).withColumn("j", F.explode(F.expr("sequence(0L, js - 1)"))).withColumn("side", F.lit(0))
+    right = rows.withColumn("j", F.expr("pmod(xxhash64(cid, 5), js)")).withColumn("i", F.explode(F.expr("sequence(0L, is - 1)"))).withColumn("side", F.lit(1))
+    columns = ["tok", "i", "j", "side", "label", "apart", *_HOLDER]
+    return left.select(*columns).unionByName(right.select(*columns))
+
+
+def _verified(pairs: DataFrame, prefixes: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """a, b (names) of the pairs (a, b) that share prefix shingles under the other orders and link by their whole sets.
+
+    A class a and those that it is paired with meet, a first, and the others' sets pass by; as pairs come from tiles,
+    a class is not paired with many times the rows of a tile.
+    """
+    roles = pairs.select(F.col("b").alias("cid"), F.col("a").alias("hub"), F.lit(1).alias("side")).unionByName(pairs.select(F.col("a").alias("cid"), F.col("a").alias("hub"), F.lit(0).alias("side")).distinct())
+    cast = settled(roles.join(classes.select("cid", "rep"), "cid").join(prefixes.select("cid", "prefix1", "prefix2"), "cid"))
+    texts = marked(_keyed(docs).select(F.col("id").alias("rep"), "text"), "rep", cast.select("rep")).where("maybe").select("rep", "text")
+    rows = texts.join(cast, "rep").select("hub", "side", "cid", "prefix1", "prefix2", "text")
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub, firsts, orders = None, {}, []
+        for batch in batches:
+            found = []
+            hubs, sides, cids = (batch.column(k).to_numpy() for k in range(3))
+            for k in range(len(batch)):
+                s = shingles(batch.column(5)[k].as_py(), words)
+                name = class_name(s)
+                if short_name(name) != cids[k]:
+                    continue  # another text with the same id
+                both = [batch.column(c)[k].as_py() for c in (3, 4)]
+                if not sides[k]:
+                    if hub != hubs[k]:
+                        hub, firsts, orders = hubs[k], {}, [set(x) for x in both]
+                    firsts[name] = s
+                elif hub == hubs[k] and not any(x.isdisjoint(y) for x, y in zip(orders, both, strict=True)):
+                    for other, t in firsts.items():
+                        common = len(np.intersect1d(s, t, assume_unique=True))
+                        if 100 * common >= percent * (len(s) + len(t) - common) and other != name:
+                            found.append((other, name))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.binary()) for k in range(2)], schema=schema)
+
+    met = rows.repartition("hub").sortWithinPartitions("hub", "side")
+    return met.mapInArrow(run, "a binary, b binary")
+
+
+def _labels(links: DataFrame) -> DataFrame:
+    """name, label: of classes that links connect, the least name that they reach."""
+    return components(links).select(F.col("node").alias("name"), "label")
+
+
+def _tied(docs: DataFrame, sets: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
+    """name, label of the classes with links to others: what links connect has one label."""
+    prefixes = settled(_prefixes(sets, percent))
+    holders = _holders(prefixes)
+    found = settled(_candidates(_first_tiles(holders), percent, 0))
+    seen = found.where("a IS NOT NULL")
+    links = settled(_verified(seen, prefixes, classes, docs, words, percent))
+    labels = _labels(links)
+    crowd = CROWD
+    while True:
+        by_cid = labels.join(classes.select("name", "cid"), "name").select("cid", "label").distinct()
+        found = settled(_candidates(_later_tiles(holders, by_cid), percent, crowd).join(seen, ["a", "b"], "left_anti"))
+        pairs = found.where("a IS NOT NULL")
+        more = settled(_verified(pairs, prefixes, classes, docs, words, percent)) if not pairs.isEmpty() else None
+        tied = more is not None and not more.isEmpty()
+        if tied:
+            links, seen = links.unionByName(more), seen.unionByName(pairs)
+            labels = _labels(links)
+        if found.where("a IS NULL").isEmpty():
+            return labels
+        if not tied:
+            crowd = 1 << 40  # nothing more to tie: all that is left
+
+
+def joined(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """One row for each row: doc_id, n_shingles, component_id (the smallest doc_id reachable by links, itself included).
 
     Documents link when 100 * intersection >= percent * union of their sets of shingles. A null or empty text and
     one without words have no shingles and no links; equal sets link. Rows with the same doc_id but other texts
-    count as documents of their own; a null doc_id has a null component unless a row of another id is in it; ties
-    cannot matter; an empty table gives no rows; further columns play no part. Only as many pairs are verified as
-    tell the components; linked() finds all links.
+    count as documents of their own; a null doc_id counts as the largest, so that its component is null only if no
+    other id is in it; ties cannot matter; an empty table gives no rows; further columns play no part. Only as many
+    pairs are verified as tell the components; linked() finds all links.
     """
-    return _joined(docs, words, percent, tile, False).drop("n_links")
+    return _rows(*_joined(docs, words, percent))
 
 
-def linked(docs: DataFrame, words: int = 5, percent: int = 80, tile: int = 1024) -> DataFrame:
+def linked(docs: DataFrame, words: int = 5, percent: int = 80, tile: int = TILE) -> DataFrame:
     """As joined(), with n_links: the other rows that a row links to, exact copies among them.
 
-    All pairs of different sets that may link are verified, each once; equal sets are counted, not paired.
+    Links lie within components: all pairs of the different sets of a component are verified, in tiles of bounded
+    size, each pair in one; equal sets are counted, not paired.
     """
-    return _joined(docs, words, percent, tile, True)
+    sets, known = _joined(docs, words, percent)
+    near = _linked(docs, known, words, percent, tile)
+    return _rows(sets, known.join(near, "name", "left").withColumn("n_links", F.expr("copies - 1 + coalesce(near, 0)")))
 
 
-def _joined(docs: DataFrame, words: int, percent: int, tile: int, count: bool) -> DataFrame:
+def _joined(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The sets, and for each class name, cid, rep (least id), copies (rows), label (null without links to others), component (least id)."""
     sets = settled(_sets(docs, words, percent))
-    classes = sets.where("main AND n > 0").groupBy("cid").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
-    prefixes = settled(_prefixes(sets, percent))
-    families = _families(prefixes)
-    sizes = families.groupBy("label").agg(F.expr(f"(count(1) + {tile - 1}L) div {tile}L").alias("tiles"))
-    known = families.join(sizes, "label").select(F.col("node").alias("cid"), F.col("label").alias("family"), "tiles")
-    tiled = known.withColumn("own", F.expr("pmod(xxhash64(cid, 3), tiles)")).withColumn("other", F.explode(F.expr("sequence(0L, tiles - 1)")))
-    tiled = tiled.select("cid", "family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.col("own").alias("side"))
-    wanted = settled(known.select("cid").join(classes, "cid"))
-    texts = marked(docs.select(F.col("doc_id").cast("long").alias("rep"), "text"), "rep", wanted.select("rep")).where("maybe").join(wanted, "rep").select("cid", "copies", "text")
-    placed = tiled.join(prefixes, "cid").join(texts, "cid").repartition("family", "i", "j").sortWithinPartitions("family", "i", "j", "cid")
-    links = _links(placed, words, percent, count)
-    links = settled(links) if count else links
-    labels = components(links)
-    named = labels.select(F.col("node").alias("cid"), "label").join(classes.select("cid", "rep"), "cid")
-    least = named.groupBy("label").agg(F.min("rep").alias("component"))
-    tied = named.join(least, "label").select("cid", "component")
-    known = classes.join(tied, "cid", "left")
-    if count:
-        known = known.join(links.where("n > 0").groupBy(F.col("a").alias("cid")).agg(F.sum("n").alias("near")), "cid", "left").withColumn("n_links", F.expr("copies - 1 + coalesce(near, 0)"))
-    else:
-        known = known.withColumn("n_links", F.lit(None).cast("long"))
-    own = known.select(F.col("cid").alias("_cid"), F.coalesce("component", "rep").alias("component"), "n_links")
-    rows = sets.where("main").select("doc_id", F.col("n").alias("n_shingles"), "cid")
-    rows = rows.join(own, (F.col("n_shingles") > 0) & (F.col("cid") == F.col("_cid")), "left")
-    return rows.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
-
-
-def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """Rows and columns of docs without those whose component has a smaller doc_id."""
-    copies = settled(joined(docs, **options).where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct())
-    rows = marked(docs, "doc_id", copies, "_maybe")
-    unsure = rows.where("_maybe").join(copies.hint("shuffle_hash"), "doc_id", "left_anti")
-    return rows.where("NOT _maybe").select(*docs.columns).unionByName(unsure.select(*docs.columns))
+    classes = settled(sets.where("main AND n > 0").groupBy("name").agg(F.first("cid").alias("cid"), F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies")))
+    tied = classes.select("name", "rep").join(_tied(docs, sets, classes, words, percent), "name")
+    least = tied.groupBy("label").agg(F.min("rep").alias("least"))
+    known = classes.join(tied.join(least, "label").select("name", "label", "least"), "name", "left")
+    return sets, known.select("name", "cid", "rep", "copies", "label", F.coalesce("least", "rep").alias("component"))
+
+
+def _rows(sets: DataFrame, known: DataFrame) -> DataFrame:
+    columns = [c for c in ("component", "n_links") if c in known.columns]
+    rows = sets.where("main").select("id", F.col("n").alias("n_shingles"), "name")
+    rows = rows.join(known.select(F.col("name").alias("_name"), *columns), (F.col("n_shingles") > 0) & (F.col("name") == F.col("_name")), "left")
+    out = rows.select(F.nullif("id", F.lit(NO_ID)).alias("doc_id"), "n_shingles", F.nullif(F.coalesce("component", "id"), F.lit(NO_ID)).alias("component_id"), *columns[1:])
+    return out.withColumn("n_links", F.coalesce("n_links", F.lit(0)).cast("long")) if "n_links" in columns else out
+
+
+def _linked(docs: DataFrame, known: DataFrame, words: int, percent: int, tile: int) -> DataFrame:
+    """name, near: for the classes of components of several, the rows of other classes that each links to."""
+    members = settled(known.where("label IS NOT NULL").select("name", "rep", "copies", "label"))
+    sizes = members.groupBy("label").agg(F.expr(f"(count(1) + {tile - 1}L) div {tile}L").alias("tiles"))
+    tiled = members.join(sizes, "label").withColumn("own", F.expr("pmod(xxhash64(name, 3), tiles)")).withColumn("other", F.explode(F.expr("sequence(0L, tiles - 1)")))
+    tiled = tiled.select("label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.col("own").alias("side"), "name", "rep", "copies")
+    texts = marked(_keyed(docs).select(F.col("id").alias("rep"), "text"), "rep", members.select("rep")).where("maybe")
+
+    def solve(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.assign(s=[shingles(t, words) for t in rows["text"]]).drop(columns="text")
+        rows = rows[[name == class_name(s) for name, s in zip(rows["name"], rows["s"], strict=True)]].drop_duplicates("name")
+        if len(rows) < 2:
+            return pd.DataFrame({"name": pd.Series([], dtype=object), "near": pd.Series([], dtype="int64")})
+        n, side, copies = rows["s"].map(len).to_numpy(), rows["side"].to_numpy(), rows["copies"].to_numpy()
+        flat, starts = np.unique(np.concatenate(list(rows["s"])), return_inverse=True)[1], np.concatenate(([0], np.cumsum(n)[:-1]))
+        flags, near, across = np.zeros(flat.max() + 1, bool), np.zeros(len(rows), np.int64), (rows["i"] != rows["j"]).to_numpy()[0]
+        for x in range(len(rows)):
+            own = flat[starts[x] : starts[x] + n[x]]
+            flags[own] = True
+            both = np.add.reduceat(flags[flat], starts)
+            flags[own] = False
+            near[x] = copies[(100 * both >= percent * (n + n[x] - both)) & (np.arange(len(rows)) != x) & ((side != side[x]) | (not across))].sum()
+        return pd.DataFrame({"name": rows["name"].to_numpy()[near > 0], "near": near[near > 0]})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        waiting: list[pd.DataFrame] = []
+        current = None
+        for batch in batches:
+            for key, rows in batch.groupby(["label", "i", "j"], sort=False):
+                if key != current and waiting:
+                    yield solve(pd.concat(waiting))
+                    waiting = []
+                current = key
+                waiting.append(rows)
+        if waiting:
+            yield solve(pd.concat(waiting))
+
+    met = tiled.join(texts, "rep").select("label", "i", "j", "side", "name", "copies", "text").repartition("label", "i", "j").sortWithinPartitions("label", "i", "j", "name")
+    return met.mapInPandas(run, "name binary, near long").groupBy("name").agg(F.sum("near").alias("near"))
+
+
+def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """Rows and columns of docs, of each component only its row with the least (doc_id, hash of the text).
+
+    Rows with the same doc_id and another text are judged apart; a null doc_id is the largest; of rows with the same
+    id and text one stays. Rows without a shingle all stay.
+    """
+    sets, known = _joined(docs, words, percent)
+    rows = sets.where("main AND n > 0").select("id", "version", "name")
+    named = rows.join(known.select("name", F.coalesce("label", "name").alias("label")), "name").select("id", "version", "label")
+    ones = named.groupBy("label").agg(F.min(F.struct("id", "version")).alias("one"), F.count(F.lit(1)).alias("n")).where("n > 1").select("label", "one")
+    several = settled(named.join(ones, "label").select("id", "version", F.expr("id = one.id AND version = one.version").alias("stays")).distinct())
+    own = [c for c in docs.columns]
+    keyed = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
+    checked = marked(keyed, "_id", several.select(F.col("id").alias("_id")), "_maybe")
+    unsure = checked.where("_maybe").withColumn("_version", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    stays = several.select(F.col("id").alias("_id"), F.col("version").alias("_version"), "stays").hint("shuffle_hash")
+    judged = unsure.join(stays, ["_id", "_version"], "left").where("coalesce(stays, true)")
+    left = judged.where("stays IS NULL").select(*own).unionByName(judged.where("stays").dropDuplicates(["_id", "_version"]).select(*own))
+    return checked.where("NOT _maybe").select(*own).unionByName(left)
 
 
 def oracle_links(words: int, percent: int) -> str:

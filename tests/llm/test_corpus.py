@@ -78,7 +78,8 @@ def _components(rows, words, percent):
 
 
 @pytest.mark.parametrize(("words", "percent", "tile"), [(3, 90, 1024), (3, 90, 3), (2, 60, 2), (5, 80, 1024)])
-def test_components_by_brute_force(spark, words, percent, tile):
+def test_components_by_brute_force(spark, words, percent, tile, monkeypatch):
+    monkeypatch.setattr(ngramjoin, "TILE", tile)
     r = random.Random(words * percent)
     vocabulary = [f"w{k}" for k in range(40)]
     rows = []
@@ -90,7 +91,7 @@ def test_components_by_brute_force(spark, words, percent, tile):
                 copy[r.randrange(len(copy))] = r.choice(vocabulary)
             rows.append((len(rows) * 7 % 1000, "  ".join(x.upper() if r.random() < 0.1 else x for x in copy)))
     rows += [(2000, None), (2001, ""), (2002, " \n\t"), (2003, "w1"), (2004, "W1")]
-    got = ngramjoin.joined(_frame(spark, rows), words, percent, tile)
+    got = ngramjoin.joined(_frame(spark, rows), words, percent)
     assert sorted(map(tuple, got.collect())) == _components(rows, words, percent)
 
 
@@ -128,6 +129,30 @@ def test_repeats_by_brute_force(spark, length, crowd, monkeypatch):
     assert got == _spans(rows, length)
 
 
+def test_long_texts_are_cut(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "CHUNK", 300)
+    r = random.Random(12)
+    shared = "".join(r.choice("abcé") for _ in range(900))
+    rows = [(k, "".join(r.choice("xyz") for _ in range(r.randint(0, 500))) + shared[r.randint(0, 200) :] + "q" * k) for k in range(6)]
+    got = {x[0]: tuple(x[1:]) for x in suffixes.digests(_frame(spark, rows), 40).collect()}
+    assert got == _spans(rows, 40)
+
+
+def test_memory_of_a_very_long_text():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    r = np.random.default_rng(3)
+    text = r.integers(97, 123, 20_000_000, np.uint8).tobytes().decode()
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text])], ["doc", "text"])
+    tracemalloc.start()
+    assert sum(len(b) for b in suffixes._cells(100, 16)(iter([batch]))) > 1000
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 500_000_000
+
+
 def test_repeated_rows_and_ids(spark):
     rows = [(1, "abcdefghij" * 30), (1, "abcdefghij" * 30), (None, "0123456789" * 30), (2, "0123456789" * 30)]
     out = suffixes.digests(_frame(spark, rows), 100).collect()
@@ -226,7 +251,64 @@ def test_tokens_carry_the_mixture(spark):
     mixed = pipeline.mixture(spark, docs, "").repartition(7, F.hash("text"))  # read back in any order
     got = pipeline.tokens(spark, mixed, "").collect()
     assert {(x["doc_id"], x["slot"], x["seq"]) for x in got} == {(x["doc_id"], x["slot"], x["seq"]) for x in want.collect()} and len(got) == 301
-    assert [(x["slot"], x["seq"]) for x in got] == sorted((x["slot"], x["seq"]) for x in got)
+    order = [x["doc_id"] for x in sorted(got, key=lambda x: (x["slot"], x["seq"]))]
+    assert order == [x["doc_id"] for x in pipeline.mixture(spark, docs, "").collect()]
+
+
+def test_stages_on_odd_rows(spark, tmp_path):
+    import corpus_pipeline as pipeline
+
+    line = "a line that is long enough to be looked at, and many hold it"
+    long = " ".join(f"w{k % 977}" for k in range(30_000))
+    schema = "doc_id long, text string, lang string, source string, n_chars long, slot string, copies int, n_lines int"
+    rows = [(k, f"{line}\nown {k} " + " ".join(f"x{k}y{j}" for j in range(40)), "en", "src0", 0, "clash", 1, 2) for k in range(8)]
+    rows += [(20, None, None, None, None, None, None, None), (21, "", "en", "src1", 0, "", 0, 0), (None, "some text of no id", "en", "src2", 0, "", 0, 0), (22, long, "de", "x", 0, "", 0, 0), (23, long, "de", "x", 0, "", 0, 0)]
+    rows += [rows[3], (4, "another text of a taken id", "en", "src0", 0, "", 0, 0)]
+    spark.createDataFrame([], "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs = spark.createDataFrame(rows, schema)
+    for name, stage in pipeline.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+        if name != "tokens":
+            assert out.columns == docs.columns
+        got = [r.asDict() for r in out.collect()]
+        ids = [r["doc_id"] for r in got]
+        if name == "quality":
+            assert len(got) == len(rows)
+        elif name == "line_dedup":
+            assert len(got) == len(rows) and {r["doc_id"] for r in got if line in (r["text"] or "")} == {7} and [r["text"] for r in got if r["doc_id"] == 20] == [None]
+        elif name == "near_duplicates":
+            assert sorted(ids, key=str) == sorted([*range(8), 4, 20, 21, 22, None], key=str)  # 23 is a copy of 22; of the two rows 3 one stays
+        else:
+            assert len(got) == len(rows)
+            if name == "tokens":
+                assert {r["doc_id"] for r in got if not r["token_ids"]} == {20, 21} and all(r["slot"] is not None for r in got)
+
+
+def test_one_of_each_by_id_and_text(spark):
+    a, b = " ".join(f"a{k}" for k in range(30)), " ".join(f"b{k}" for k in range(30))
+    docs = _frame(spark, [(3, a), (7, a), (7, b), (None, a), (None, "c " * 9), (9, b), (9, b)])
+    left = sorted((r["doc_id"] or -1, r["text"][:1]) for r in ngramjoin.one_of_each(docs).collect())
+    assert left == [(-1, "c"), (3, "a"), (7, "b")]
+
+
+def test_a_large_group_of_near_copies(spark):
+    """Chains of small changes, all of one component, and as many texts that share their words but don't link."""
+    r = random.Random(6)
+    base = [f"w{k}" for k in range(120)]
+    rows = []
+    for k in range(5000):
+        copy = list(base)
+        copy[r.randrange(120)] = f"u{k}"
+        rows.append((k, " ".join(copy)))
+    apart = []
+    for k in range(1500):
+        copy = list(base)
+        for j in range(0, 120, 12):
+            copy[j] = f"v{k}_{j}"
+        apart.append((10_000 + k, " ".join(copy)))
+    got = {x["doc_id"]: x["component_id"] for x in ngramjoin.joined(_frame(spark, rows + apart), 3, 90).collect()}
+    assert {got[k] for k, _ in rows} == {0} and all(got[k] == k for k, _ in apart)
 
 
 @pytest.mark.parametrize(("words", "percent", "tile"), [(3, 60, 1024), (2, 60, 3), (3, 90, 2)])
