@@ -4,12 +4,13 @@ Windows of `length` bytes are sent to where equal ones meet without sending each
 window, its anchor, depends on the window only, so equal windows have equal anchors, and the consecutive windows of
 one anchor are one cell, a stretch of text known by its hash. Cells of equal content collapse at once: all but the
 first are repeated as a whole. Only cells that share an anchor but differ need their bytes; one text of each is
-sorted with the others of its anchor in suffix arrays of bounded size.
+sorted with the others of its anchor in a suffix array. An anchor with more cells than an array holds is dealt out
+again by longer grams: their windows have anchors of twice the bytes, and so on; equal windows stay together, and a
+gram as long as a window leaves nothing that differs.
 
 A suffix array is built by two-stage sorting: the suffixes smaller than their successors are sorted directly, to the
 depth that matters; the others are induced by one scan over the buckets of first bytes; then adjacent common
-prefixes tell the classes of equal windows. Anchors with more cells than a suffix array may hold are resolved window
-by window, by aggregation of window hashes.
+prefixes tell the classes of equal windows.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -64,14 +66,16 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(32))
 
 
-def gram(length: int) -> int:
-    """Bytes of an anchor."""
-    return max(1, min(16, length // 4))
+def grams(length: int) -> list[int]:
+    """Bytes of an anchor at each level, up to a whole window."""
+    out = [max(1, min(16, length // 4))]
+    while out[-1] < length:
+        out.append(min(length, 2 * out[-1]))
+    return out
 
 
-def cut_cells(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
-    """(text, start, bytes, anchor, hash) of each cell of some texts. No cell holds windows of two texts."""
-    k = gram(length)
+def cut_cells(texts: list[bytes], length: int, k: int) -> tuple[np.ndarray, ...]:
+    """(text, start, bytes, anchor, hash) of each cell of some texts, by anchors of k bytes. No cell holds windows of two texts."""
     w = length - k + 1
     sizes = np.array([len(t) for t in texts])
     t = np.frombuffer(b"".join(texts), np.uint8)
@@ -119,13 +123,19 @@ def _rows(*columns: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.asarray(x, np.int64)) for x in columns], schema=_CELL)
 
 
-def _cells(length: int):
-    def some(ids: list[int], texts: list[bytes]) -> Iterator[pa.RecordBatch]:
-        which, start, size, anchor, cell = cut_cells(texts, length)
+def _cells(length: int, k: int, pieces: bool = False):
+    """A function of batches from rows of doc and text, or of doc, place (tag and start) and piece, to cells.
+
+    Texts longer than CHUNK are cut into stretches that overlap by less than a window, so that each window is in one.
+    """
+
+    def some(held: list[tuple[int, int, bytes]]) -> Iterator[pa.RecordBatch]:
+        ids, places, texts = zip(*held, strict=True)
+        which, start, size, anchor, cell = cut_cells(list(texts), length, k)
         if not len(which):
             return
         doc = np.array(ids, np.int64)[which]
-        at = np.array([_tag(t) << 48 for t in texts], np.int64)[which] + (start << 16) + size
+        at = ((np.array(places, np.int64)[which] + start) << 16) + size
         cell[cell == SEEN] = 1
         order = np.lexsort((at, doc, cell, anchor))
         doc, at, anchor, cell = doc[order], at[order], anchor[order], cell[order]
@@ -135,19 +145,27 @@ def _cells(length: int):
         kept = new | again
         yield _rows(np.where(again, doc * -7046029254386353131, anchor)[kept], np.where(again, SEEN, cell)[kept], doc[kept], at[kept])
 
+    def rows(batch: pa.RecordBatch) -> Iterator[tuple[int, int, bytes]]:
+        if pieces:
+            yield from zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True)
+            return
+        for row in range(len(batch)):  # one text at a time, as texts may be long
+            raw = batch.column(1)[row].as_py().encode("utf-8", "surrogatepass")
+            place = _tag(raw) << 32
+            for start in range(0, max(1, len(raw) - length + 1), CHUNK):
+                yield batch.column(0)[row].as_py(), place + start, raw[start : start + CHUNK + length - 1]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts, held = [], [], 0
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                raw = t.encode("utf-8", "surrogatepass")
-                if held and held + len(raw) > CHUNK:
-                    yield from some(ids, texts)
-                    ids, texts, held = [], [], 0
-                ids.append(i)
-                texts.append(raw)
-                held += len(raw)
-            if texts:
-                yield from some(ids, texts)
+            held, size = [], 0
+            for row in rows(batch):
+                if held and size + len(row[2]) > CHUNK:
+                    yield from some(held)
+                    held, size = [], 0
+                held.append(row)
+                size += len(row[2])
+            if held:
+                yield from some(held)
 
     return run
 
@@ -326,39 +344,41 @@ def _keyed(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.crc32(t.cast("binary")).bitwiseAND(F.lit(0x7FFF)).alias("tag"), t.alias("text"))
 
 
-def repeats(docs: DataFrame, length: int = 100, most_cells: int = 20_000) -> DataFrame:
+def repeats(docs: DataFrame, length: int = 100, crowd: int = 20_000) -> DataFrame:
     """doc, tag, spans: the byte ranges [start, end) of each document that repeat an earlier string of `length` bytes.
 
     Documents without any don't come. Strings are told equal by 64-bit hashes of anchor and cell (together 128 bits)
-    and by their bytes; an anchor with more than `most_cells` different cells by 128-bit hashes of its windows.
+    and by their bytes. An anchor with more than `crowd` different cells is dealt out again by longer grams.
     """
     if not 0 < length <= MOST_LENGTH:
         raise ValueError(f"a length from 1 to {MOST_LENGTH}")
-    cells = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.coalesce(F.col("text"), F.lit("")).alias("text")).where(F.octet_length("text") >= length).mapInArrow(_cells(length), _CELL_DDL)
-    ordered = cells.repartition("anchor").sortWithinPartitions("anchor", "cell", "doc", "at")
-    compared = written(ordered.mapInArrow(_compare, "anchor long, doc long, at long"), "repeats")
+    texts = _keyed(docs)
+    rows = texts.where(F.octet_length("text") >= length).select("doc", "text")
     place, size = F.expr("at >> 16").alias("place"), F.expr("cast(at & 65535 AS int)").alias("size")  # a place is a tag and a start
-    whole = compared.where("anchor IS NULL").select("doc", place, size)
-    mixed = compared.where("anchor IS NOT NULL").select("anchor", "doc", place, size)
-    crowded = mixed.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most_cells).select(F.bitwise_not("anchor").alias("key"), F.lit(True).alias("crowded"))
     tag, start = F.expr("place >> 32").alias("tag"), F.expr("cast(place & 4294967295L AS int)")
-    wanted = (
-        mixed.withColumn("key", F.bitwise_not("anchor"))
-        .join(crowded, "key", "left")
-        .select("doc", tag, F.struct("anchor", "place", start.alias("start"), "size", F.coalesce("crowded", F.lit(False)).alias("crowded")).alias("w"))
-        .groupBy("doc", "tag")
-        .agg(F.collect_list("w").alias("wanted"))
-    )
-    pieces = _keyed(docs).join(wanted.hint("shuffle_hash"), ["doc", "tag"])
-    pieces = pieces.select("doc", F.explode(F.expr("transform(wanted, w -> struct(w.anchor AS anchor, w.place AS place, w.crowded AS crowded, substring(cast(text AS binary), w.start + 1, w.size) AS piece))")).alias("p"))
-    pieces = pieces.select("p.anchor", "doc", "p.place", "p.piece", "p.crowded")
-    solved = pieces.where("NOT crowded").select("anchor", "doc", "place", "piece").repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_solve(length), "doc long, place long, size int")
-    windows = pieces.where("crowded").select("doc", "place", "piece", F.explode(F.expr(f"sequence(0, octet_length(piece) - {length})")).alias("o"))
-    windows = windows.select(F.expr(f"struct(xxhash64(substring(piece, o + 1, {length})) AS a, xxhash64('second', substring(piece, o + 1, {length})) AS b)").alias("w"), "doc", (F.col("place") + F.col("o")).alias("place"))
-    firsts = windows.groupBy("w").agg(F.min(F.struct("doc", "place")).alias("first")).select(F.struct("w").alias("key"), "first")
-    late = windows.select(F.struct("w").alias("key"), "doc", "place").join(firsts, "key").where(F.struct("doc", "place") != F.col("first")).select("doc", "place", F.lit(length).alias("size"))
-    spans = whole.unionByName(solved).unionByName(late)
-    ranged = spans.select("doc", tag, F.struct(start.alias("s"), (start + F.col("size")).alias("e")).alias("span"))
+    spans = []
+    for level, k in enumerate(grams(length)):
+        cells = rows.mapInArrow(_cells(length, k, level > 0), _CELL_DDL)
+        ordered = cells.repartition("anchor").sortWithinPartitions("anchor", "cell", "doc", "at")
+        compared = written(ordered.mapInArrow(_compare, "anchor long, doc long, at long"), "repeats")
+        spans.append(compared.where("anchor IS NULL").select("doc", place, size))
+        mixed = compared.where("anchor IS NOT NULL").select("anchor", "doc", place, size)
+        crowded = mixed.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > (crowd if k < length else 1 << 62)).select(F.bitwise_not("anchor").alias("key"), F.lit(True).alias("crowded"))
+        wanted = (
+            mixed.withColumn("key", F.bitwise_not("anchor"))
+            .join(crowded, "key", "left")
+            .select("doc", tag, F.struct("anchor", "place", start.alias("start"), "size", F.coalesce("crowded", F.lit(False)).alias("crowded")).alias("w"))
+            .groupBy("doc", "tag")
+            .agg(F.collect_list("w").alias("wanted"))
+        )
+        pieces = texts.join(wanted.hint("shuffle_hash"), ["doc", "tag"])
+        pieces = pieces.select("doc", F.explode(F.expr("transform(wanted, w -> struct(w.anchor AS anchor, w.place AS place, w.crowded AS crowded, substring(cast(text AS binary), w.start + 1, w.size) AS piece))")).alias("p"))
+        pieces = pieces.select("p.anchor", "doc", "p.place", "p.piece", "p.crowded")
+        spans.append(pieces.where("NOT crowded").select("anchor", "doc", "place", "piece").repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_solve(length), "doc long, place long, size int"))
+        if crowded.isEmpty():
+            break
+        rows = pieces.where("crowded").select("doc", "place", "piece")
+    ranged = reduce(DataFrame.unionByName, spans).select("doc", tag, F.struct(start.alias("s"), (start + F.col("size")).alias("e")).alias("span"))
     return ranged.groupBy("doc", "tag").agg(F.array_sort(F.collect_set("span")).alias("spans"))
 
 
