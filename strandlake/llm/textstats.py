@@ -47,7 +47,10 @@ def measure(text: str | None) -> tuple:
     distinct = len(seen)
     repeated = 0
     if n > 2:
-        windows = (ids[:-2] * distinct + ids[1:-1]) * distinct + ids[2:]
+        pairs = ids[:-1] * distinct + ids[1:]
+        if distinct > 2_000_000:  # three numbers no longer fit 64 bits: number the pairs first
+            pairs = np.unique(pairs, return_inverse=True)[1]
+        windows = pairs[:-1] * distinct + ids[2:]
         order = np.argsort(windows, kind="stable")
         same = np.diff(windows[order]) == 0
         again = np.zeros(n - 2, bool)
