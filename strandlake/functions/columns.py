@@ -80,7 +80,7 @@ def hard_mask(sequence: Column, offset: Column, masks: Column) -> Column:
 
 def parse_list(text: Column) -> Column:
     """Items of a comma list, trimmed, without empty ones."""
-    return F.filter(F.transform(F.split(text, ","), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(text, ","), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def file_stem(name: Column, assemblies: list[str]) -> Column:

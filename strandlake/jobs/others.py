@@ -158,6 +158,8 @@ QUERIES = {
     "sc_edges": lambda s, p: d.contigs(s, p).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(7)))).select("chrom", "i", fc.bin_edge(F.col("i"), 7, F.col("raw_bp")).alias("edge")),
     "sc_stem_kind": lambda s, p: _files(s, p).select("filename", fc.file_stem(F.col("filename"), ASSEMBLIES).alias("stem"), fc.file_kind(F.col("filename")).alias("kind"), fc.release_of(F.col("filename")).alias("release")),
     "sc_notes": lambda s, p: _files(s, p).select("filename", fc.notes(F.concat(F.lit("k="), fc.kmer_of(F.col("filename")).cast("string")), fc.track_of(F.col("filename"))).alias("notes")),
+    "sc_names": lambda s, p: _files(s, p).select("path", fc.basename(F.col("path")).alias("base"), fc.product_prefix(F.col("filename"), ".fa").alias("prefix"), F.substring_index("filename", ".", 1).alias("first")),
+    "sc_lists": lambda s, p: d.table(s, p, "part").select("p_partkey", F.explode(fc.parse_list(F.concat(F.lit(" a"), (F.col("p_partkey") % 5).cast("string"), F.when(F.col("p_partkey") % 2 == 0, " , ,b,").otherwise(",c ,")))).alias("item")),
     "sc_metric": lambda s, p: d.table(s, p, "lineitem").select("l_orderkey", "l_linenumber", fc.whole_metric((F.col("l_quantity") / 2).cast("string")).alias("metric")),
     "sq_offsets": lambda s, p: sq.with_offsets(d.lines(s, p)).select("contig", F.col("line_no").cast("long").alias("line_no"), "offset"),
     "sq_mask": _masked,
@@ -219,6 +221,8 @@ ORACLE = {
     "sc_edges": f"{d.with_('contigs')} SELECT chrom, i::INT AS i, CASE WHEN i = 7 THEN raw_bp ELSE floor(i * (raw_bp / 7.0::DOUBLE))::BIGINT END AS edge FROM contigs, range(8) t(i)",
     "sc_stem_kind": f"WITH {_FILES} SELECT filename, stem, kind, release FROM nn",
     "sc_notes": f"WITH {_FILES} SELECT filename, notes FROM nn",
+    "sc_names": f"WITH {_FILES} SELECT path, filename AS base, string_split(filename, '.fa')[1] AS prefix, w[1] AS first FROM nm JOIN (SELECT k, w FROM g) USING (k)",
+    "sc_lists": "SELECT p_partkey, unnest(CASE WHEN p_partkey % 2 = 0 THEN ['a' || (p_partkey % 5), 'b'] ELSE ['a' || (p_partkey % 5), 'c'] END) AS item FROM part",
     "sc_metric": "SELECT l_orderkey, l_linenumber, round_even(l_quantity / 2, 0)::BIGINT AS metric FROM lineitem",
     "sq_offsets": f"{_OFFSETS} SELECT contig, line_no, \"offset\" FROM o",
     "sq_mask": f"""{_OFFSETS}, dn AS (SELECT doc_id AS contig, length(text) AS n FROM documents), mk AS (SELECT contig, n // 10 AS s, n // 5 AS e FROM dn UNION ALL SELECT contig, n // 6, n // 4 FROM dn UNION ALL SELECT contig, n - n // 8, 1000000000 FROM dn WHERE n - n // 8 <> -1),

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strandlake.functions.columns import territory_of
+from strandlake.functions.columns import territory_of, threshold_label
 from strandlake.operators import intervals as iv
+from strandlake.operators import territory as te
 from strandlake.operators import tracks as tr
 from strandlake.sources import derived as d
 
 K = 100
-THRESHOLDS = {"t50_bp": 0.5, "t70_bp": 0.7, "t90_bp": 0.9}
+THRESHOLDS = {threshold_label(t): t for t in te.THRESHOLDS}
 
 
 def conditions():

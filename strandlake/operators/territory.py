@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strandlake.functions.columns import threshold_label
 from strandlake.functions.lineage import settled
 from strandlake.operators import intervals as iv
 from strandlake.operators import tracks
@@ -21,6 +22,8 @@ def base_sets(contigs: DataFrame, gaps: DataFrame, bands: DataFrame, blacklist:
     return {"gap": settled(iv.merge(gap)), "structural": settled(iv.complement(contigs, excluded)), "callable": settled(iv.complement(contigs, excluded.unionByName(black)))}
 
 
+#: Scores from which bases count as mappable.
+THRESHOLDS = (0.5, 0.7, 0.9)
 #: Stains of bands that are no usable territory (fixed values).
 STRUCTURAL_STAINS = ("acen", "gvar", "stalk")
 
@@ -32,7 +35,7 @@ def structural_bands(bands: DataFrame, stains: tuple[str, ...] = STRUCTURAL_STAI
 
 def named_metrics(wide: DataFrame, k: int) -> DataFrame:
     """Columns of scores under the names that say by which read length they were found."""
-    return wide.withColumnsRenamed({c: f"mappable_k{k}_{c}" for c in ("t50_bp", "t70_bp", "t90_bp")} | {"effective": f"effective_mappable_k{k}_bp"})
+    return wide.withColumnsRenamed({c: f"mappable_k{k}_{c}" for c in map(threshold_label, THRESHOLDS)} | {"effective": f"effective_mappable_k{k}_bp"})
 
 
 def table(labels: DataFrame, by: list[str], sets: dict[str, DataFrame], runs: DataFrame, value: str, thresholds: dict, also: list[str] | None = None) -> DataFrame:

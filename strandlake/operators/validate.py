@@ -69,3 +69,21 @@ def untouched(judged: DataFrame, kept: DataFrame, classes: DataFrame) -> DataFra
     after = kept.groupBy("seqname").agg(F.sum("n").alias("n_out"))
     free = classes.where("class = 'KEEP'").select("seqname")
     return before.join(free, "seqname").join(after, "seqname", "left").where("n_in <> coalesce(n_out, 0)")
+
+
+class Refused(ValueError):
+    """A constraint that a job was told to stop at does not hold."""
+
+
+def policy(broken: DataFrame, what: str, on: str = "fail", most: int = 20) -> DataFrame:
+    """The rows that break a constraint, by what a job does about them: "fail" stops it, "warn" and "drop" let it go on.
+
+    To stop, at most `most` of the rows are looked at, which the message shows.
+    """
+    if on not in ("fail", "warn", "drop"):
+        raise ValueError("a policy is fail, warn or drop")
+    if on == "fail":
+        shown = [str(tuple(r)) for r in broken.limit(most).collect()]
+        if shown:
+            raise Refused(f"{what}: {', '.join(shown)}")
+    return broken

@@ -28,6 +28,50 @@ def test_readers(spark, tmp_path):
     assert [(r["seqname"], r["line_no"], r["start"]) for r in formats.gtf(spark, str(tmp_path / "g.gtf")).collect()] == [("1", 2, 5)]
 
 
+def test_readers_of_tables(spark, tmp_path):
+    (tmp_path / "gap").write_text("585\tchr1\t0\t10\t1\tN\t10\ttelomere\tno\n")
+    assert [tuple(r) for r in formats.gaps(spark, str(tmp_path / "gap")).collect()] == [("chr1", 0, 10, "telomere")]
+    (tmp_path / "band").write_text("chr1\t0\t10\tp36\tgneg\nchr1\t10\t30\tp35\tacen\n")
+    from strandlake.operators import territory as te
+
+    assert [r["name"] for r in te.structural_bands(formats.cytobands(spark, str(tmp_path / "band"))).collect()] == ["p35"]
+    (tmp_path / "bg").write_text("track x\n#c\nchr1\t0\t4\t0.5\n\nchr1\t4\t6\t1\n")
+    assert [tuple(r) for r in formats.bedgraph(spark, str(tmp_path / "bg")).collect()] == [("chr1", 0, 4, 0.5), ("chr1", 4, 6, 1.0)]
+    (tmp_path / "idx").write_text("chr1\t100\t7\t0\n*\t0\t0\t3\n")
+    assert [tuple(r) for r in formats.idxstats(spark, str(tmp_path / "idx")).collect()] == [("chr1", 100, 7, 0), ("*", 0, 0, 3)]
+
+
+def test_writers_of_reports(spark, tmp_path):
+    from strandlake.sources import sinks
+
+    read = lambda name: [r["value"] for r in spark.read.text(str(tmp_path / name)).collect()]
+    sinks.bed(spark.createDataFrame([("b", 5, 9, "z"), ("a", 7, 8, "y"), ("a", 1, 2, "x")], "chrom string, start long, end long, name string"), str(tmp_path / "bed"))
+    assert read("bed") == ["a\t1\t2\tx", "a\t7\t8\ty", "b\t5\t9\tz"]
+    sinks.transcripts(spark.createDataFrame([("t2", "g", "", 9), ("t1", "g", "n", 4)], "transcript_id string, gene_id string, gene_name string, first_line long"), str(tmp_path / "t2g"))
+    assert read("t2g") == ["t1\tg\tn", "t2\tg\t"]
+    dropped = spark.createDataFrame([("g2", "", "", "1", 5, 9, "+", 0, 0, 0, "r"), ("g1", "n", "b", "1", 2, 3, "-", 1, 2, 3, "r")], "gene_id string, gene_name string, gene_biotype string, seqname string, start long, end long, strand string, n_transcripts long, n_exons long, exonic_bp long, reason string")
+    sinks.dropped(dropped, str(tmp_path / "dropped"))
+    assert [x.split("\t")[0] for x in read("dropped")] == ["gene_id", "g1", "g2"]
+    wide = spark.createDataFrame([("chr10", 5), ("chrX", 7), ("chr2", 1)], "chrom string, raw_bp long")
+    sinks.territory(wide, "chrom", str(tmp_path / "wide"))
+    assert read("wide") == ["chrom\traw_bp", "chr2\t1", "chr10\t5", "chrX\t7"]
+    sinks.long_territory(spark.createDataFrame([("chr10", "b", 5), ("chr2", "a", 1)], "chrom string, territory_metric string, bp long"), "chrom", str(tmp_path / "long"))
+    assert read("long") == ["chrom\tterritory_metric\tbp", "chr2\ta\t1", "chr10\tb\t5"]
+    sinks.metadata(wide.where("chrom = 'chr2'"), str(tmp_path / "meta"))
+    assert read("meta") == ['{"chrom":"chr2","raw_bp":1}']
+
+
+def test_policies(spark):
+    from strandlake.operators import validate as va
+
+    rows = spark.createDataFrame([("a", 1)], "name string, n long")
+    assert va.policy(rows, "odd", "warn").count() == 1 and va.policy(rows.limit(0), "odd", "fail").count() == 0
+    with pytest.raises(va.Refused, match="odd: .*a"):
+        va.policy(rows, "odd", "fail")
+    with pytest.raises(ValueError):
+        va.policy(rows, "odd", "guess")
+
+
 def test_empty_interval_is_an_error(spark, tmp_path):
     (tmp_path / "a.bed").write_text("1\t9\t9\n")
     with pytest.raises(Exception, match="ends before it starts"):
