@@ -82,21 +82,21 @@ def scheduled(docs: DataFrame, weights: dict[str, int], others: int, block_rows:
 
 
 def placed(docs: DataFrame, weights: dict[str, int], others: int, **options) -> DataFrame:
-    """The rows of docs with slot and seq as further columns, which replace others of these names, sorted by them.
+    """The rows of docs with slot and seq, their place in the mixture, as further columns, which replace others of these names.
 
     The order is found on ids and sources alone and joined to the rows, so that it is the same for the same ids. Rows
-    with the same doc_id share a place, by the least of their sources, and follow each other.
+    with the same doc_id share a place, by the least of their sources (null first).
     """
     light = docs.groupBy("doc_id").agg(F.min(F.struct("source")).alias("_s")).select("doc_id", "_s.source")
     order = scheduled(light, weights, others, **options).select(F.col("doc_id").alias("_id"), "slot", "seq")
     rows = docs.drop("slot", "seq")
-    return rows.join(order, F.col("doc_id").eqNullSafe(F.col("_id"))).orderBy("slot", "seq").select(*rows.columns, "slot", "seq")
+    return rows.join(order, F.col("doc_id").eqNullSafe(F.col("_id"))).select(*rows.columns, "slot", "seq")
 
 
 def mixed(docs: DataFrame, weights: dict[str, int], others: int, **options) -> DataFrame:
-    """The rows and columns of docs, sorted into the mixture."""
+    """The rows and columns of docs, sorted into the mixture; rows with the same doc_id follow each other."""
     kept = docs.withColumnsRenamed({c: f"_own_{c}" for c in docs.columns if c in ("slot", "seq")})
-    return placed(kept, weights, others, **options).select(*[F.col(k).alias(c) for k, c in zip(kept.columns, docs.columns, strict=True)])
+    return placed(kept, weights, others, **options).orderBy("slot", "seq").select(*[F.col(k).alias(c) for k, c in zip(kept.columns, docs.columns, strict=True)])
 
 
 def oracle(weights: dict[str, int], others: int, block_rows: int, seed: int) -> str:
