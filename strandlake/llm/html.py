@@ -34,6 +34,8 @@ VOID_TAGS = frozenset("area base br col embed hr img input link meta param sourc
 #: Elements whose content is no text of the page.
 SILENT_TAGS = frozenset("head title script style noscript template iframe object svg math canvas audio video select textarea button datalist noembed noframes".split())
 #: Elements whose content is read as characters up to their end tag.
+#: Elements that may hold the text of a page.
+HOLDER_TAGS = frozenset("article main section div center details td".split())
 RAW_TAGS = frozenset("script style textarea title noscript iframe noembed noframes xmp".split())
 ASIDE_TAGS = frozenset("nav footer aside form menu dialog search".split())
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
@@ -61,7 +63,7 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 @dataclass
 class Block:
-    """text: cut to single blanks; linked: characters in links; aside: never main text; inside: in an article; path: the elements within the body that it is in, by number, from the outermost."""
+    """text: cut to single blanks; linked: characters in links; aside: never main text; inside: in an article; path: the elements that may hold the text and that it is in, by number, from the outermost."""
 
     text: str
     linked: int
@@ -162,7 +164,7 @@ def blocks(html: str) -> list[Block]:
         nonlocal linked, links, heading
         text = _SPACE.sub(" ", unescape("".join(parts))).strip() if parts else ""
         if text:
-            out.append(Block(text, min(linked, len(text)), bool(place[0]), place[1], heading, tuple(stack[k].number for k in levels[-DEEPEST:] if stack[k].tag not in ("", "html", "body"))))
+            out.append(Block(text, min(linked, len(text)), bool(place[0]), place[1], heading, tuple(stack[k].number for k in levels[-DEEPEST:] if stack[k].tag in HOLDER_TAGS)))
         parts.clear()
         linked, heading = 0, False
         if loose:
@@ -253,7 +255,7 @@ def blocks(html: str) -> list[Block]:
     return out
 
 
-#: Innermost elements of a block that its path names.
+#: Innermost block-level elements of a block among which its path is looked for.
 DEEPEST = 32
 
 
@@ -284,8 +286,8 @@ def classify(found: list[Block], *, short: int = 70, long: int = 200, low: float
     one is good if at least `high` of its words are function words and it is longer than `long`, near good if it is
     not longer or the share is `low` at least, and else open ("odd"). Second pass: outside of the container (a named
     article, or what container() finds) odd blocks are bad, as those of links are outside of a named article, and the
-    ends of the page are too; inside, they stay open and the ends are good. Open blocks, then near good ones, take the label of the nearest decided blocks on
-    both sides; where these differ, a short one is good only if a near good block is as near on the bad side, and a
+    ends of the page are too; inside, they stay open and the ends are good. Open blocks, then near good ones, take the
+    label of the nearest decided blocks on both sides; where these differ, a short one is good only if a near good block is as near on the bad side, and a
     near good one is good. A heading goes with the next decided block. On a page without any good or near good
     block the odd ones count as near good, as their language may have other function words.
     """
