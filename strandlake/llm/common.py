@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandlake.functions.lineage import settled, shared_folder
 
-__all__ = ["BLANKS", "LOWER", "UPPER", "WORD", "marked", "settled", "shared_folder", "table", "written"]
+__all__ = ["BLANKS", "LOWER", "UPPER", "WORD", "marked", "released", "settled", "shared_folder", "table", "written"]
 
 #: Bits of the bitmap of marked(): its table has a 64th as many rows at most, whatever the input.
 MARK_BITS = 1 << 22
@@ -33,6 +34,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def released() -> None:
+    """At the end of a Python task: gives memory that Arrow keeps back to the system, as workers live on for other tasks."""
+    pa.default_memory_pool().release_unused()
+
+
 def marked(rows: DataFrame, key: str, ids: DataFrame, name: str = "maybe") -> DataFrame:
     """Rows with a further column: false if their key is not among ids (a column of the same name), else perhaps true.
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from strandlake.llm.common import settled
 
 #: Edges that one forest in memory takes.
-FOREST = 200_000
+FOREST = 100_000
 
 
 def _stars(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandlake.llm.common import marked, settled
+from strandlake.llm.common import marked, released, settled
 from strandlake.llm.graph import components
 
 _K = np.uint64(0x9E3779B97F4A7C15)
@@ -40,11 +40,13 @@ _S = np.uint64(32)
 #: What shingles are multiplied by in each band; their last two bits then name the band.
 _SALTS = (1, 0x5851F42D4C957F2D, 0x14057B7EF767814F)
 #: Words whose hashes each Python worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 #: Orders of shingles: fields of (count, log2 of the count, shingle, two other hashes) that sort them.
 ORDERS = (("df", "tok"), ("df", "h1"), ("lg", "h2"))
 #: A null doc_id counts as this one, the largest.
 NO_ID = (1 << 63) - 1
+#: Texts whose sets a Python task holds at a time.
+SETS = 1000
 #: Bits of a set's parity; rows of a side of a tile; holders of a shingle of which all pairs are looked at at once; pairs for each row of a tile.
 PARITY, TILE, FEW, CROWD = 256, 1024, 8, 4
 
@@ -80,7 +82,7 @@ def prefix(n: int, percent: int) -> int:
 
 
 #: Bands: sets of up to so many shingles, and their counted part as a multiple of the part that a prefix takes.
-BANDS = ((64, 5.0), (256, 1.8), (1 << 62, 1.15))
+BANDS = ((64, 3.0), (256, 1.5), (1 << 62, 1.05))
 
 
 def bands(n: int, percent: int) -> list[int]:
@@ -90,7 +92,7 @@ def bands(n: int, percent: int) -> list[int]:
 
 
 def _cut(band: int, percent: int) -> int:
-    share = min(1.0, BANDS[band][1] * (1 - percent / 100) + 0.02)
+    share = min(1.0, BANDS[band][1] * (1 - percent / 100) + 0.01)
     return min((1 << 63) - 1, -(1 << 63) + int(share * (1 << 64)))
 
 
@@ -123,15 +125,17 @@ def _sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for i, v, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                s = shingles(text, words)
-                name, n = class_name(s), len(s)
-                for j, k in enumerate(bands(n, percent) or [-1]):
-                    tokens = np.unique((s * np.int64(_SALTS[k])) & ~np.int64(3) | np.int64(k))
-                    counted = int(np.searchsorted(tokens, cuts[k]))
-                    out.append((i, v, name, short_name(name), n, j == 0, None if j else parity(s), k, counted, tokens[: max(counted, prefix(n, percent))].copy()))
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], schema.field(k).type) for k in range(len(schema))], schema=schema)
+            for at in range(0, len(batch), SETS):
+                out = []
+                for i, v, text in zip(*(batch.column(k).slice(at, SETS).to_pylist() for k in range(3)), strict=True):
+                    s = shingles(text, words)
+                    name, n = class_name(s), len(s)
+                    for j, k in enumerate(bands(n, percent) or [-1]):
+                        tokens = np.unique((s * np.int64(_SALTS[k])) & ~np.int64(3) | np.int64(k))
+                        counted = int(np.searchsorted(tokens, cuts[k]))
+                        out.append((i, v, name, short_name(name), n, j == 0, None if j else parity(s), k, counted, tokens[: max(counted, prefix(n, percent))].copy()))
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], schema.field(k).type) for k in range(len(schema))], schema=schema)
+        released()
 
     return _keyed(docs).mapInArrow(run, _SETS)
 
@@ -300,6 +304,7 @@ def _candidates(tiles: DataFrame, percent: int, crowd: int) -> DataFrame:
             held = [batch[ends]]
         if held:
             yield from solve(pd.concat(held))
+        released()
 
     dealt = tiles.repartition("tok", "i", "j").sortWithinPartitions("tok", "i", "j", "side", "cid")
     return dealt.mapInPandas(run, "a long, b long").distinct()
@@ -359,6 +364,7 @@ def _verified(pairs: DataFrame, prefixes: DataFrame, classes: DataFrame, docs: D
                         if 100 * common >= percent * (len(s) + len(t) - common) and other != name:
                             found.append((other, name))
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.binary()) for k in range(2)], schema=schema)
+        released()
 
     met = rows.repartition("hub").sortWithinPartitions("hub", "side")
     return met.mapInArrow(run, "a binary, b binary")
@@ -485,7 +491,8 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     rows = sets.where("main AND n > 0").select("id", "version", "name")
     named = rows.join(known.select("name", F.coalesce("label", "name").alias("label")), "name").select("id", "version", "label")
     ones = named.groupBy("label").agg(F.min(F.struct("id", "version")).alias("one"), F.count(F.lit(1)).alias("n")).where("n > 1").select("label", "one")
-    several = settled(named.join(ones, "label").select("id", "version", F.expr("id = one.id AND version = one.version").alias("stays")).distinct())
+    judged = named.join(ones, "label").groupBy("id", "version").agg(F.bool_or((F.col("id") == F.col("one.id")) & (F.col("version") == F.col("one.version"))).alias("stays"), F.count(F.lit(1)).alias("n"))
+    several = settled(judged.where("NOT stays OR n > 1").select("id", "version", "stays"))  # a row that stays alone needs no look
     own = [c for c in docs.columns]
     keyed = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
     checked = marked(keyed, "_id", several.select(F.col("id").alias("_id")), "_maybe")
