@@ -30,6 +30,22 @@ def test_bpe_as_the_library(coders, text):
     assert ids == other.encode_ordinary(text) and own.decode(ids) == text.encode()
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.binary(min_size=1, max_size=64))
+def test_merges_of_words_and_lists_agree(coders, piece):
+    own, _ = coders
+    ids = bpe.merge_word(piece, own.ranks, own.pairs)
+    assert ids == bpe.merge(piece, own.ranks) and own.decode(ids) == piece
+
+
+def test_bpe_memory_in_two_halves(coders, monkeypatch):
+    own, other = coders
+    monkeypatch.setattr(bpe, "REMEMBERED", 50)
+    for k in range(400):
+        text = f"word{k} common again and word{k // 3}xyz"
+        assert own.encode(text) == other.encode_ordinary(text)
+
+
 def test_bpe_of_long_pretokens(coders):
     own, other = coders
     for text in ("ab" * 3000, "é" * 999, " " * 5000 + "x", "!?" * 2000, "<|endoftext|>"):
@@ -42,6 +58,15 @@ def test_bpe_rows(spark):
     rows = [(1, "the cat"), (2, None), (3, ""), (1, "the cat"), (4, "x" * 50_000)]
     out = bpe.digests(spark.createDataFrame(rows, "doc_id long, text string"), PATH, tokenizers.PATTERN).collect()
     assert len(out) == 5 and {r["n_tokens"] for r in out if r["doc_id"] in (2, 3)} == {0}
+    import hashlib
+
+    import tiktoken
+
+    coder = tiktoken.Encoding("own", pat_str=tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(PATH), special_tokens={})
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    for i, text in rows:
+        ids = coder.encode_ordinary(text or "")
+        assert (i, len(ids), sha(" ".join(map(str, ids))), sha(text or "")) in {tuple(r) for r in out}
     both = bpe.encoded(spark.createDataFrame([(1, "a b", 9)], "doc_id long, text string, token_ids int"), PATH, tokenizers.PATTERN)
     assert both.columns == ["doc_id", "text", "token_ids"] and len(both.first()["token_ids"]) == 2
     assert bpe.digests(spark.createDataFrame([], "doc_id long, text string"), PATH, tokenizers.PATTERN).count() == 0
@@ -144,6 +169,22 @@ def test_checksums_of_layers_one_and_two(head, bits):
     assert mpeg.read(bytes(wrong) * 3)["crc_bad"] == 3
 
 
+def test_audio_rows_repeated_clashing_and_none(spark):
+    rows = [(1, "a b", "x"), (1, "a b", "y"), (2, None, "z"), (3, "long " * 40_000, "w")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, feature string")
+    out = mpeg.digests(docs).collect()
+    assert len(out) == 4 and len({tuple(r)[1:] for r in out if r["doc_id"] == 1}) == 1
+    assert mpeg.digests(docs.limit(0)).count() == 0
+    for r in out:
+        text = next(t for i, t, _ in rows if i == r["doc_id"])
+        payload = mpeg.payload_of(text)
+        sha = __import__("hashlib").sha256
+        assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (len((text or "").encode()), len(payload), sha(payload).hexdigest(), zlib.crc32(payload[-32:]))
+        assert r["media_sha256"] == sha(mpeg.store(payload)).hexdigest()
+    both = mpeg.media_columns(docs).where("doc_id = 3").first()
+    assert len(both["media_features"]["seek_offsets"]) == both["media_features"]["n_frames"] == -(-200_000 // 576) and both["media_features"]["table_right"]
+
+
 def test_audio_rows(spark):
     out = {r["doc_id"]: r for r in mpeg.digests(spark.createDataFrame([(1, None), (2, ""), (3, "x" * 576), (4, "x" * 577)], "doc_id long, text string")).collect()}
     assert [out[i]["payload_bytes"] for i in (1, 2, 3, 4)] == [576, 576, 576, 1152]
@@ -221,6 +262,7 @@ def test_hostile_pages_take_linear_time(part):
 def test_page_rows(spark):
     rows = [(1, "u", None), (2, "u", ""), (3, "u", "<p>a" * 3000), (4, "u", "<article>x"), (4, "u", "<article>x"), (5, "u", '<a title="' * 2000), (6, "u", "<script>x")]
     out = html.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert html.extracted(spark.createDataFrame([], "page_id long, url string, html string, text int")).count() == 0
     assert len(out) == 7 and [r["text"] for r in out if r["page_id"] in (1, 2, 4, 6)] == ["", "", "x", "x", ""]
 
 
@@ -255,6 +297,36 @@ def test_rules_learn_and_judge(spark):
     assert rules.learned(docs, labels.limit(0)) == [] and rules.judged(docs.limit(0), []).count() == 0
 
 
+def test_verdicts_by_brute_force(spark):
+    docs, labels = _docs(spark)
+    docs = docs.unionByName(docs.where("doc_id < 4")).withColumn("rule", docs.doc_id).withColumn("n_words", docs.doc_id)  # repeated rows, clashing names
+    found = rules.learned(docs, labels, least=3)
+    measured = {r["doc_id"]: textstats.measure(r["text"]) for r in docs.collect()}
+    out = rules.judged(docs, found).collect()
+    assert len(out) == docs.count()
+    for r in out:
+        counts, features = measured[r["doc_id"]][: len(textstats.COUNTS)], dict(zip(textstats.FEATURES, measured[r["doc_id"]][len(textstats.COUNTS) :]))
+        failed = counts[0] < 50 or 100 * counts[4] > 50 * counts[0]
+        first = next((k for k, rule in enumerate(found, 1) if all((features[c.feature] > c.threshold) == c.above for c in rule.conditions)), 0)
+        assert tuple(r[c] for c in textstats.COUNTS) == counts and (r["base_failed"], r["rule"], r["kept"]) == (failed, first, not failed and not first)
+
+
+def test_scores_by_brute_force(spark):
+    import math
+
+    docs, labels = _docs(spark)
+    docs = docs.unionByName(docs.where("doc_id < 4")).withColumn("score", docs.doc_id)
+    model = gam.trained(docs, labels)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    out = gam.classified(docs, model).collect()
+    assert len(out) == docs.count()
+    for r in out:
+        x = textstats.measure(texts[r["doc_id"]])[len(textstats.COUNTS) :]
+        place = lambda edges, f: sum(e < x[f] for e in edges[f])
+        total = model.base + sum(t[place(model.edges, f)] for f, t in enumerate(model.tables)) + sum(t[place(model.coarse, a), place(model.coarse, b)] for (a, b), t in zip(model.pairs, model.pair_tables))
+        assert abs(r["score"] - 1 / (1 + math.exp(-max(-30, min(30, total))))) < 1e-9 and r["predicted"] == int(r["score"] >= 0.3)
+
+
 def test_rules_prune_noise():
     g = np.random.default_rng(0)
     x = g.random((900, len(textstats.FEATURES)))
