@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandlake.llm.common import BLANKS, LOWER, UPPER
+from strandlake.llm.common import BLANKS, LOWER, UPPER, marked, settled
 
 
 def _lines(text: Column) -> Column:
@@ -49,18 +49,25 @@ def keep_bitmaps(docs: DataFrame, least_chars: int = 40, least_docs: int = 5) ->
 
 
 def applied(docs: DataFrame, bitmaps: DataFrame, text: str = "text") -> DataFrame:
-    """Rows with the lines that stay in place of their text, and n_lines and n_dropped as further columns."""
-    b = bitmaps.select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"), F.col("words").alias("_words")).hint("shuffle_hash")
-    joined = docs.withColumn("_v", _version(F.col(text))).join(b, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_v") == F.col("_version")), "left")
+    """Rows with the lines that stay in place of their text, and n_lines and n_dropped as further columns.
+
+    Only texts whose id may have a bitmap are shuffled to it.
+    """
+    known = settled(bitmaps.select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"), F.col("words").alias("_words")))
+    rows = marked(docs.withColumn("_id", F.col("doc_id")), "_id", known.select("_id"), "_maybe").drop("_id")
+    own = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    whole = rows.where("NOT _maybe").withColumn("n_lines", F.size(_lines(F.col(text))).cast("long")).withColumn("n_dropped", F.lit(0).cast("long"))
+    found = rows.where("_maybe").withColumn("_v", _version(F.col(text)))
+    joined = found.join(known.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_v") == F.col("_version")), "left")
     cut = joined.withColumn("_lines", _lines(F.col(text))).withColumn(
         "_kept", F.expr("if(_words IS NULL, _lines, filter(_lines, (x, i) -> coalesce(shiftright(try_element_at(_words, cast(i div 64 AS int)), cast(i % 64 AS int)) & 1, 1) = 1))")
     )
-    return (
+    cut = (
         cut.withColumn("n_lines", F.size("_lines").cast("long"))
         .withColumn("n_dropped", (F.size("_lines") - F.size("_kept")).cast("long"))
         .withColumn(text, F.when(F.col("_words").isNull(), F.col(text)).otherwise(F.array_join("_kept", "\n")))
-        .drop("_v", "_id", "_version", "_words", "_lines", "_kept")
     )
+    return whole.select(*own, "n_lines", "n_dropped").unionByName(cut.select(*own, "n_lines", "n_dropped"))
 
 
 def digests(docs: DataFrame, **options) -> DataFrame:
