@@ -125,7 +125,7 @@ def _of_variant(variant: str, masks: str) -> str:
     """One row of gt_variants."""
     return f"""(WITH mv AS ({masks}),{_verdicts('mv')},{_reasons()}, g AS ({_genes('j', True)})
 SELECT '{variant}' AS variant, (SELECT count(*) FROM j) AS features_in, (SELECT count(*) FROM j WHERE contig_key = '{d.X_KEY}') AS x_in, (SELECT count(*) FROM kept) AS features_out, (SELECT count(*) FROM kept WHERE contig_key = '{d.X_KEY}') AS x_out, (SELECT count(*) FROM kept WHERE contig_key = '{d.Y_KEY}') AS y_out,
-(SELECT count(*) FROM g WHERE hit AND reason <> 'seqname_not_in_genome') AS genes_dropped_sexaware, (SELECT count(*) FROM g WHERE hit AND reason = 'seqname_not_in_genome') AS genes_dropped_off_genome, (SELECT count(*) FROM g WHERE partial) AS genes_partial,
+(SELECT count(*) FROM g WHERE hit AND reason <> 'seqname_not_in_genome') AS genes_dropped_by_mask, (SELECT count(*) FROM g WHERE hit AND reason = 'seqname_not_in_genome') AS genes_dropped_off_genome, (SELECT count(*) FROM g WHERE partial) AS genes_partial,
 (SELECT count(*) FROM kept WHERE a_hit) AS kept_on_mask, (SELECT count(*) FROM g WHERE hit AND reason <> 'seqname_not_in_genome') = 0 AS identical_to_standard)"""
 
 

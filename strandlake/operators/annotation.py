@@ -191,12 +191,12 @@ def summary(judged_: DataFrame, kept: DataFrame, masks: DataFrame, x_key: str =
     before = judged_.agg(F.sum("n").alias("features_in"), F.coalesce(F.sum(F.when(x, F.col("n"))), F.lit(0)).alias("x_in"))
     after = kept.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("features_out"), F.coalesce(F.sum(F.when(x, F.col("n"))), F.lit(0)).alias("x_out"), F.coalesce(F.sum(F.when(y, F.col("n"))), F.lit(0)).alias("y_out"))
     off = F.col("reason") == "seqname_not_in_genome"
-    g = genes(judged_).agg(F.count_if(F.col("hit") & ~off).alias("genes_dropped_sexaware"), F.count_if(F.col("hit") & off).alias("genes_dropped_off_genome"), F.count_if("partial").alias("genes_partial"))
+    g = genes(judged_).agg(F.count_if(F.col("hit") & ~off).alias("genes_dropped_by_mask"), F.count_if(F.col("hit") & off).alias("genes_dropped_off_genome"), F.count_if("partial").alias("genes_partial"))
     on_mask = survivors_on_mask(kept, masks).agg(F.count(F.lit(1)).alias("kept_on_mask"))
     one = before.withColumn("_one", F.lit(1))
     for part in (after, g, on_mask):  # a row each
         one = one.join(part.withColumn("_one", F.lit(1)), "_one")
-    return one.drop("_one").withColumn("identical_to_standard", F.col("genes_dropped_sexaware") == 0)
+    return one.drop("_one").withColumn("identical_to_standard", F.col("genes_dropped_by_mask") == 0)
 
 
 def t2g(kept: DataFrame) -> DataFrame:
@@ -234,6 +234,6 @@ def examples(rows: DataFrame, column: str, order: str, most: int) -> DataFrame:
     return rows.orderBy(order, column).limit(most).select(column)
 
 
-def provenance(facts: dict[str, object], notes: list[str] = ()) -> list[str]:
-    """Comment lines for the head of an annotation: `#!key value` of the facts that have a value, then the notes."""
-    return [f"#!sexaware-{k} {v}" for k, v in facts.items() if v is not None] + [f"#!sexaware-note {n}" for n in notes]
+def provenance(facts: dict[str, object], notes: list[str] = (), prefix: str = "filter") -> list[str]:
+    """Comment lines for the head of an annotation: `#!prefix-key value` of the facts that have a value, then the notes."""
+    return [f"#!{prefix}-{k} {v}" for k, v in facts.items() if v is not None] + [f"#!{prefix}-note {n}" for n in notes]

@@ -56,7 +56,7 @@ def assembly_report(spark: SparkSession, path: str) -> DataFrame:
     return named.where("accession IS NOT NULL AND accession NOT IN ('na', '')")
 
 
-def files(spark: SparkSession, path: str, skip: str = "genmap_index") -> DataFrame:
+def files(spark: SparkSession, path: str, skip: str = "kmer_index") -> DataFrame:
     """path, filename and content of all files under a folder, but for those below folders named `*skip`, indexes and logs."""
     rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     return rows.where(~F.col("path").rlike(f"{skip}/") & ~F.col("path").rlike(r"\.(fai|log)$")).select("path", basename(F.col("path")).alias("filename"), "content")

@@ -125,7 +125,7 @@ def test_reports(frames):
     assert report["chr7", "extra"]["reason"] == "extra_mask_overlap" and report["chr7", "extra"]["gene_biotype"] == "kind" and report["chrW", "edge"]["exonic_bp"] == 501 + 201
     summary = an.summary(j, kept, masks, "X", Y).first()
     assert (summary["features_in"], summary["x_in"], summary["x_out"], summary["kept_on_mask"], summary["genes_partial"]) == (len(LINES), 2, 2, 0, 1)
-    assert summary["genes_dropped_sexaware"] == len(report) and not summary["identical_to_standard"]
+    assert summary["genes_dropped_by_mask"] == len(report) and not summary["identical_to_standard"]
     assert an.summary(*_judged(frames, "XX")[:1], an.kept_by_gene(_judged(frames, "XX")[0]), masks, "X", Y).first()["y_out"] == 0
     assert {r["seqname"]: (r["n_in"], r["n_out"]) for r in an.counts(j, kept).collect()}["chrX"] == (2, 2)
     features, genome, _, _ = frames
@@ -161,4 +161,4 @@ def test_annotation_round_trip(spark, tmp_path):
     sinks.annotation(an.parsed(features), str(tmp_path / "out"), header=[*head, *said])
     assert spark.read.text(str(tmp_path / "out")).count() == len(LINES) + 5
     written = [x for f in sorted((tmp_path / "out").glob("part-*")) for x in __import__("gzip").open(f, "rt").read().splitlines()]
-    assert written == ["#!build 1", "#made up", "#!sexaware-variant XX", "#!sexaware-features-in 17", "#!sexaware-note a note", *lines]
+    assert written == ["#!build 1", "#made up", "#!filter-variant XX", "#!filter-features-in 17", "#!filter-note a note", *lines]

@@ -168,8 +168,8 @@ def test_manifest_of_a_folder(spark, tmp_path):
     from strandlake.sources import sinks
 
     refs = tmp_path / "refs" / "A1"
-    (tmp_path / "refs" / "A1" / "A1.XX.genmap_index").mkdir(parents=True)
-    (refs / "A1.XX.genmap_index" / "big.bin").write_text("x")
+    (tmp_path / "refs" / "A1" / "A1.XX.kmer_index").mkdir(parents=True)
+    (refs / "A1.XX.kmer_index" / "big.bin").write_text("x")
     (refs / "A1.XX.fa").write_text(">a\nN\n")
     (refs / "A1.XX.fa.fai").write_text("x")
     (refs / "A1.XX.metadata.json").write_text('{\n "assembly": "A1", "complement": "XX", "tool_version": "9", "par_status": "approximate"\n}')
