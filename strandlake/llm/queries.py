@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandlake.llm import bpe, gam, html, linededup, mixing, mpeg, ngramjoin, rules, sharding, suffixes
+from strandlake.llm import alignment, bpe, divergence, gam, html, linededup, mixing, mpeg, ngramjoin, rules, sharding, suffixes, topk
 from strandlake.llm.common import table
 
 #: Target weights of the mixture: sources with a weight of their own, and one for all others.
@@ -74,6 +74,24 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.digests(table(spark, sf_dir, "documents"), 100)
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens under two public vocabularies, aligned, and how often linked ids meet in the corpus."""
+    import public_tokenizers
+
+    paths = (public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.aligned(table(spark, sf_dir, "documents"), *paths)
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of sources of each language by how far their words are apart, and each source's own words."""
+    return divergence.audited(table(spark, sf_dir, "documents"), least_docs=10, most_terms=10)
+
+
+def op13_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth one, by exact inner product with all others."""
+    return topk.searched(table(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
 QUERIES = {
     "op1_html": op1_html,
     "op2_rules": op2_rules,
@@ -86,6 +104,9 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_bpe": op9_bpe,
     "op10_suffixes": op10_suffixes,
+    "op11_alignment": op11_alignment,
+    "op12_divergence": op12_divergence,
+    "op13_topk": op13_topk,
 }
 ORACLE = {
     "op4_ngrams": ngramjoin.oracle(words=3, percent=90),
@@ -95,4 +116,6 @@ ORACLE = {
     "op3_mixing": mixing.oracle(WEIGHTS, OTHERS, MIX_BLOCK, MIX_SEED),
     "op6_lines": linededup.ORACLE,
     "op7_shards": sharding.oracle(8, 11),
+    "op12_divergence": divergence.oracle(10, 10),
+    "op13_topk": topk.oracle(50, 5),
 }
