@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from strandlake.functions import columns as fc
 from strandlake.operators import assemblies as am
+from strandlake.operators import intervals as iv
+from strandlake.operators import kmers as km
 from strandlake.operators import masking as ma
 from strandlake.operators import sequences as sq
+from strandlake.operators import tracks as tr
 from strandlake.sources import derived as d
 
 ASSEMBLIES = ["GRCh38", "GRCm39", "T2T-CHM13v2"]
@@ -71,6 +74,11 @@ def _masked(s, p):
     return out.select("contig", F.col("line_no").cast("long").alias("line_no"), "offset", F.md5(F.col("seq").cast("binary")).alias("seq_md5"))
 
 
+def _uniqueness(s, p):
+    """The score of each place of the contigs that bases make, as runs."""
+    return km.counted(d.bases(s, p), K).withColumn("score", km.score(F.col("n")))
+
+
 def _idx(s, p):
     """Reads by sample and contig: orders by priority and customer."""
     key = (F.col("o_custkey") % 24).cast("int")
@@ -164,6 +172,8 @@ QUERIES = {
     "sq_offsets": lambda s, p: sq.with_offsets(d.lines(s, p)).select("contig", F.col("line_no").cast("long").alias("line_no"), "offset"),
     "sq_mask": _masked,
     "sq_kmers": lambda s, p: sq.kmers(d.table(s, p, "documents"), F.col("text"), K).groupBy("n").agg(F.count(F.lit(1)).alias("kmers"), F.max("value").alias("value")),
+    "sq_uniqueness": _uniqueness,
+    "tr_single_bases": lambda s, p: iv.lengths(tr.unique_indicator(_uniqueness(s, p)), "chrom", "unique_bp"),
     "sq_allowed": lambda s, p: ma.allowed(d.lines(s, p).withColumn("chrom", F.concat(F.when(F.col("contig") % 2 == 0, "chr").otherwise(""), (F.col("contig") % 30).cast("string"))), ["chr1", "2", "28"]).groupBy("chrom").agg(F.count(F.lit(1)).alias("n_lines"), F.sum(F.length("seq")).alias("bp")),
     "pl_nonpar": lambda s, p: am.ploidy(d.contigs(s, p), _par(s, p), "1", "2"),
     "cc_call": lambda s, p: _rounded(am.coverage_call(_idx(s, p), ["sample"])),
@@ -216,6 +226,10 @@ c AS (SELECT *, CASE WHEN isnan(x) THEN 'OTHER/CHECK' WHEN x >= 0.8 AND y <= 0.0
 
 _IDX = "i AS (SELECT sample, i, count(*)::DOUBLE AS n, (1000 + 10 * i)::DOUBLE AS length FROM (SELECT o_orderpriority AS sample, o_custkey % 24 AS i FROM orders) GROUP BY sample, i)"
 _OFFSETS = f"{d.with_('lines')}, o AS (SELECT contig, line_no, seq, coalesce(sum(length(seq)) OVER (PARTITION BY contig ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS \"offset\" FROM lines)"
+_PLACES = f"""{d.with_('bases')}, l AS MATERIALIZED (SELECT contig, string_agg(seq, '' ORDER BY line_no) AS s FROM bases GROUP BY contig),
+t AS MATERIALIZED (SELECT contig, pos, substr(s, pos + 1, {1000 + K - 1}) AS t FROM (SELECT contig, s, unnest(range(0, length(s), 1000)) AS pos FROM l)),
+k AS MATERIALIZED (SELECT contig AS chrom, pos + i - 1 AS start, substr(t, i, {K}) AS kmer FROM (SELECT *, unnest(range(1, length(t) - {K} + 2)) AS i FROM t)),
+c AS (SELECT chrom, start, start + 1 AS "end", count(*) OVER (PARTITION BY kmer) AS n FROM k WHERE NOT contains(kmer, 'N')), {d.merged('c', 'm', 'chrom, n')}"""
 ORACLE = {
     "sc_strip_chr": f"{d.with_('contigs')} SELECT chrom, replace(chrom, 'chr', '') AS contig_key, replace(chrom, 'chr', '') = '4' AS y_side, CASE WHEN k BETWEEN 1 AND 22 THEN k ELSE 25 END::INT AS rank FROM contigs",
     "sc_edges": f"{d.with_('contigs')} SELECT chrom, i::INT AS i, CASE WHEN i = 7 THEN raw_bp ELSE floor(i * (raw_bp / 7.0::DOUBLE))::BIGINT END AS edge FROM contigs, range(8) t(i)",
@@ -229,6 +243,8 @@ ORACLE = {
 z AS (SELECT contig, line_no, "offset", seq, list({{'s': greatest(s - "offset", 0), 'e': least(e - "offset", length(seq))}}) FILTER (s IS NOT NULL) AS ms FROM o LEFT JOIN (SELECT * FROM mk WHERE s < e) mk USING (contig) GROUP BY ALL)
 SELECT contig, line_no, "offset", md5(coalesce(array_to_string(list_transform(range(1, length(seq) + 1), lambda i: CASE WHEN len(list_filter(ms, lambda m: m.s < i AND i <= m.e)) > 0 THEN 'N' ELSE substr(seq, i, 1) END), ''), '')) AS seq_md5 FROM z""",
     "sq_kmers": f"WITH k AS (SELECT unnest(list_transform(range(1, length(text) - {K} + 2), lambda i: substr(text, i, {K}))) AS kmer FROM documents WHERE length(text) >= {K}), c AS (SELECT kmer, count(*) AS n FROM k WHERE NOT contains(kmer, 'N') GROUP BY kmer) SELECT n, count(*) AS kmers, 1.0::DOUBLE / n AS value FROM c GROUP BY n",
+    "sq_uniqueness": f'{_PLACES} SELECT chrom, start, "end", n, (1.0::DOUBLE / n)::FLOAT AS score FROM m',
+    "tr_single_bases": f'{_PLACES} SELECT chrom, sum("end" - start)::BIGINT AS unique_bp FROM m WHERE n = 1 GROUP BY chrom',
     "sq_allowed": f"{d.with_('lines')} SELECT chrom, count(*) AS n_lines, sum(length(seq))::BIGINT AS bp FROM (SELECT (CASE WHEN contig % 2 = 0 THEN 'chr' ELSE '' END) || (contig % 30) AS chrom, contig % 30 AS k, seq FROM lines) WHERE k IN (1, 2, 28) GROUP BY chrom",
     "pl_nonpar": f"""{d.with_('contigs', 'ivals')}, xy AS (SELECT * FROM contigs WHERE k IN (1, 2)), par AS (SELECT chrom, start, "end" FROM ivals JOIN xy USING (chrom) WHERE kind = 'A'), {d.clipped('par', 'pc', 'xy')}, {d.merged('pc', 'pm')}, {d.complemented('pm', 'np', 'xy')}
 SELECT chrom, start, "end", 'PAR' AS part, chrom AS raw_name FROM par UNION ALL SELECT chrom, start, "end", replace(chrom, 'chr', '') || '_nonPAR', NULL FROM np UNION ALL SELECT chrom, start, "end", 'haploid', NULL FROM np""",

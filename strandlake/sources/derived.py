@@ -92,6 +92,18 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("contig"), F.posexplode(F.split("text", "\n", -1)).alias("line_no", "seq"))
 
 
+#: What letters become as bases; a space becomes nothing, all else N.
+_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz "
+_BASES = "".join("ACGT"[(i % 26 * 5 + i % 26 // 3) % 4] for i in range(52))
+
+
+def bases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """contig, line_no, seq: the lines of the documents of a source as the bases of a contig"""
+    rows = table(spark, sf_dir, "documents").select("source", "doc_id", F.posexplode(F.split("text", "\n", -1)).alias("i", "line"))
+    seq = F.regexp_replace(F.translate("line", _LETTERS, _BASES), "[^ACGT]", "N")
+    return rows.select(F.col("source").alias("contig"), (F.col("doc_id") * (1 << 20) + F.col("i")).alias("line_no"), seq.alias("seq"))
+
+
 def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """chrom, region, region_group, start, end: thirds of each contig"""
     c = contigs(spark, sf_dir).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(2))))
@@ -117,6 +129,7 @@ CTES = {
       CASE WHEN regexp_matches(attributes, '(?:^|; )gene_name "([^"]*)"') THEN regexp_extract(attributes, '(?:^|; )gene_name "([^"]*)"', 1) ELSE regexp_extract(attributes, '(?:^|; )gene "([^"]*)"', 1) END AS gene_name,
       CASE WHEN regexp_matches(attributes, '(?:^|; )gene_biotype "([^"]*)"') THEN regexp_extract(attributes, '(?:^|; )gene_biotype "([^"]*)"', 1) ELSE regexp_extract(attributes, '(?:^|; )gene_type "([^"]*)"', 1) END AS gene_biotype FROM features""",
     "lines": "SELECT doc_id AS contig, unnest(string_split(text, chr(10))) AS seq, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM documents",
+    "bases": f"SELECT contig, doc_id * {1 << 20} + i AS line_no, regexp_replace(translate(line, '{_LETTERS}', '{_BASES}'), '[^ACGT]', 'N', 'g') AS seq FROM (SELECT source AS contig, doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents)",
     "regions": "SELECT chrom, chrom || ':' || i AS region, 'g' || (k % 4) || '_' || i AS region_group, (i * raw_bp) // 3 AS start, ((i + 1) * raw_bp) // 3 AS \"end\" FROM contigs, range(3) t(i)",
 }
 _NEEDS = {"par": ["runs"], "genome": ["contigs"], "masks": ["runs", "contigs"], "parsed": ["features"], "regions": ["contigs"]}
