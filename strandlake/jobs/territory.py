@@ -24,7 +24,7 @@ def _chrom(s, p):
 
 
 def _scored(labels, by, sets, runs):
-    return te.table(labels, by, sets, runs, "h", conditions(), ["score"])
+    return te.table(labels, by, sets, runs, "h", conditions())
 
 
 def _region(s, p):
@@ -37,9 +37,16 @@ def _group(s, p):
     return te.grouped(_region(s, p).join(names, "region"), "region_group")
 
 
+_COPIED_METRICS = ["effective", "t50_bp", "t70_bp", "t90_bp"]
+
+
+def _pairs(s, p):
+    """Some contigs' first regions as the sources of their last ones."""
+    return d.contigs(s, p).where("k % 5 IN (0, 1)").select(F.concat("chrom", F.lit(":0")).alias("source"), F.concat("chrom", F.lit(":2")).alias("target"))
+
+
 def _copy(s, p):
-    pairs = d.contigs(s, p).where("k % 5 = 1").select(F.concat("chrom", F.lit(":0")).alias("source"), F.concat("chrom", F.lit(":2")).alias("target"))
-    return te.copied(_region(s, p), pairs, ["effective", "t50_bp", "t70_bp", "t90_bp"])
+    return te.copied(_region(s, p), _pairs(s, p), _COPIED_METRICS)
 
 
 def _faulty(s, p):
@@ -56,14 +63,20 @@ _XY = [d.X_KEY, f"chr{d.Y_KEY}"]
 
 
 def _levels(s, p):
-    names = d.regions(s, p).select("chrom", "region", "region_group")
-    return te.three_levels(_chrom(s, p), _copy(s, p).join(names, "region"), _XY)
+    """The tables of all levels, from metrics computed once, some regions copied from others before they are summed."""
+    c, sets, runs = _inputs(s, p)
+    rows = _scored(te.level_labels(c, d.regions(s, p), _XY), ["chrom", "region_group", "region"], sets, runs)
+    return te.three_levels(te.copied(rows, _pairs(s, p), _COPIED_METRICS))
+
+
+def _level(s, p, name):
+    return _levels(s, p).where(F.col("level") == name).withColumnRenamed("label", name).drop("level")
 
 
 def _ordered(s, p):
     """The table by region in an order of its own: two labels first, the rest as contigs come."""
     seen = d.contigs(s, p).select(F.explode(F.array("chrom", F.concat("chrom", F.lit(":0")), F.concat("chrom", F.lit(":1")), F.concat("chrom", F.lit(":2")))).alias("region_group"), "k")
-    rows = _levels(s, p)["region_group"].join(seen, "region_group")
+    rows = _level(s, p, "region_group").join(seen, "region_group")
     return rows.select("region_group", "raw_bp", label_rank(F.col("region_group"), [f"{d.X_KEY}:2", f"chr{d.Y_KEY}:0", f"{d.X_KEY}:2"], F.col("k").cast("long")).alias("rank"))
 
 
@@ -74,9 +87,10 @@ def _bands(s, p):
 
 
 QUERIES = {
-    "te_whole_xy": lambda s, p: _levels(s, p)["chrom"],
-    "te_by_group": lambda s, p: _levels(s, p)["region"],
-    "te_by_region": lambda s, p: _levels(s, p)["region_group"],
+    "te_rollup": _levels,
+    "te_whole_xy": lambda s, p: _level(s, p, "chrom"),
+    "te_by_group": lambda s, p: _level(s, p, "region"),
+    "te_by_region": lambda s, p: _level(s, p, "region_group"),
     "te_ordered": _ordered,
     "te_bands": _bands,
     "te_named": lambda s, p: te.named_metrics(_chrom(s, p), 100),
@@ -108,10 +122,12 @@ FROM {labels} l LEFT JOIN {out}_g g USING ({by}) LEFT JOIN {out}_s s USING ({by}
 _CH, _RE = _table("whole", "chrom", "ct"), _table("regions", "region", "rt")
 _METRICS = ", ".join(te.METRICS)
 _FAULT = "ft AS (SELECT * REPLACE (CASE WHEN chrom LIKE '%3' THEN t50_bp + 1 ELSE t90_bp END AS t90_bp, CASE WHEN chrom LIKE '%4' THEN -1 ELSE gap_bp END AS gap_bp) FROM ct)"
-_COPIED = f"""pr AS (SELECT chrom || ':0' AS source, chrom || ':2' AS target FROM contigs WHERE k % 5 = 1), rc AS (SELECT rt.* REPLACE ({', '.join(f'coalesce(s.{c}, rt.{c}) AS {c}' for c in ('effective', 't50_bp', 't70_bp', 't90_bp'))}), g.chrom, g.region_group FROM rt JOIN regions g ON g.region = rt.region LEFT JOIN pr ON pr.target = rt.region LEFT JOIN rt s ON s.region = pr.source),
+_COPIED = f"""pr AS (SELECT chrom || ':0' AS source, chrom || ':2' AS target FROM contigs WHERE k % 5 IN (0, 1)), rc AS (SELECT rt.* REPLACE ({', '.join(f'coalesce(s.{c}, rt.{c}) AS {c}' for c in ('effective', 't50_bp', 't70_bp', 't90_bp'))}), g.chrom, g.region_group FROM rt JOIN regions g ON g.region = rt.region LEFT JOIN pr ON pr.target = rt.region LEFT JOIN rt s ON s.region = pr.source),
 xy AS (SELECT * FROM rc WHERE chrom IN ('{d.X_KEY}', 'chr{d.Y_KEY}')), au AS (SELECT * FROM ct WHERE chrom NOT IN ('{d.X_KEY}', 'chr{d.Y_KEY}'))"""
 _SUMMED = ", ".join(f"sum({m})::BIGINT AS {m}" for m in te.METRICS)
 ORACLE = {
+    "te_rollup": f"""{_BASE}, {_CH}, {_RE}, {_COPIED} SELECT 'chrom' AS level, chrom AS label, {_METRICS} FROM au UNION ALL SELECT 'chrom', chrom, {_SUMMED} FROM xy GROUP BY chrom UNION ALL SELECT 'region', chrom, {_METRICS} FROM au UNION ALL SELECT 'region', region_group, {_SUMMED} FROM xy GROUP BY region_group
+UNION ALL SELECT 'region_group', chrom, {_METRICS} FROM au UNION ALL SELECT 'region_group', region, {_METRICS} FROM xy""",
     "te_whole_xy": f"{_BASE}, {_CH}, {_RE}, {_COPIED} SELECT chrom, {_METRICS} FROM au UNION ALL SELECT chrom, {_SUMMED} FROM xy GROUP BY chrom",
     "te_by_group": f"{_BASE}, {_CH}, {_RE}, {_COPIED} SELECT chrom AS region, {_METRICS} FROM au UNION ALL SELECT region_group, {_SUMMED} FROM xy GROUP BY region_group",
     "te_by_region": f"{_BASE}, {_CH}, {_RE}, {_COPIED} SELECT chrom AS region_group, {_METRICS} FROM au UNION ALL SELECT region, {_METRICS} FROM xy",
@@ -121,7 +137,7 @@ ORACLE = {
     "te_chrom": f"{_BASE}, {_CH} SELECT * FROM ct",
     "te_region": f"{_BASE}, {_RE} SELECT * FROM rt",
     "te_group": f"{_BASE}, {_RE} SELECT region_group, {', '.join(f'sum(rt.{m})::BIGINT AS {m}' for m in te.METRICS)} FROM rt JOIN regions USING (region) GROUP BY region_group",
-    "te_copy_pair": f"""{_BASE}, {_RE}, pr AS (SELECT chrom || ':0' AS source, chrom || ':2' AS target FROM contigs WHERE k % 5 = 1)
+    "te_copy_pair": f"""{_BASE}, {_RE}, pr AS (SELECT chrom || ':0' AS source, chrom || ':2' AS target FROM contigs WHERE k % 5 IN (0, 1))
 SELECT rt.* REPLACE ({', '.join(f'coalesce(s.{c}, rt.{c}) AS {c}' for c in ('effective', 't50_bp', 't70_bp', 't90_bp'))}) FROM rt LEFT JOIN pr ON pr.target = rt.region LEFT JOIN rt s ON s.region = pr.source""",
     "te_long": f"{_BASE}, {_CH} SELECT chrom, territory_metric, bp, bp / 1e6::DOUBLE AS mb FROM (UNPIVOT ct ON {_METRICS} INTO NAME territory_metric VALUE bp)",
     "te_violations": f"{_BASE}, {_CH}, {_FAULT} " + " UNION ALL ".join(f"SELECT chrom, '{n}' AS rule FROM ft WHERE {c}" for n, c in te.RULES),

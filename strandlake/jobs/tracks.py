@@ -20,7 +20,7 @@ def conditions():
 
 def scored(pieces, runs, by):
     """Hundredths of scores summed, and bases by threshold."""
-    return tr.sums(pieces, runs, "h", conditions(), by, ["score"])
+    return tr.sums(pieces, runs, "h", conditions(), by)
 
 
 def _multi(s, p):

@@ -109,14 +109,15 @@ def lengths(intervals: DataFrame, by: str | list[str] = "chrom", name: str = "bp
     return intervals.groupBy(*([by] if isinstance(by, str) else by)).agg(F.sum(F.col("end") - F.col("start")).alias(name))
 
 
-def coverage_bins(contigs: DataFrame, intervals: DataFrame, bins: int, width: int = BIN) -> DataFrame:
+def coverage_bins(contigs: DataFrame, intervals: DataFrame, bins: int) -> DataFrame:
     """Bases that intervals cover in each of equal bins of each contig; bins without any count 0. Overlaps are merged first."""
     from strandlake.functions.columns import bin_edge
+    from strandlake.operators.integrals import between
 
     edges = contigs.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     edges = edges.select("chrom", "bin", bin_edge(F.col("bin"), bins, F.col("raw_bp")).alias("start"), bin_edge(F.col("bin") + 1, bins, F.col("raw_bp")).alias("end"))
-    covered = intersect(merge(clip(intervals, contigs)), edges, ["bin"], width).groupBy("chrom", "bin").agg(F.sum(F.col("end") - F.col("start")).alias("_bp"))
-    return edges.join(covered, ["chrom", "bin"], "left").select("chrom", "bin", "start", "end", F.coalesce("_bp", F.lit(0)).cast("long").alias("covered_bp"))
+    covered = (merge(clip(intervals, contigs)), {"covered": F.lit(1)})
+    return between([covered], edges, ["chrom", "bin", "start", "end"], {"covered_bp": lambda s: s("covered")})
 
 
 def closed_span(intervals: DataFrame, contigs: DataFrame, tile: int = TILE) -> DataFrame:

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandlake.functions.columns import threshold_label
 from strandlake.functions.lineage import settled
 from strandlake.operators import intervals as iv
-from strandlake.operators import tracks
+from strandlake.operators.integrals import between
 
 METRICS = ["raw_bp", "gap_bp", "nongap_bp", "structural_bp", "callable_bp", "effective", "t50_bp", "t70_bp", "t90_bp"]
 
@@ -38,14 +38,27 @@ def named_metrics(wide: DataFrame, k: int) -> DataFrame:
     return wide.withColumnsRenamed({c: f"mappable_k{k}_{c}" for c in map(threshold_label, THRESHOLDS)} | {"effective": f"effective_mappable_k{k}_bp"})
 
 
-def table(labels: DataFrame, by: list[str], sets: dict[str, DataFrame], runs: DataFrame, value: str, thresholds: dict, also: list[str] | None = None) -> DataFrame:
-    """METRICS for each label. labels: by, chrom, start, end; scores are summed over the structural set."""
-    pieces = {k: iv.intersect(s, labels, [x for x in by if x != "chrom"]) for k, s in sets.items()}
-    raw = iv.lengths(labels, by, "raw_bp")
-    joined = reduce(lambda t, k: t.join(iv.lengths(pieces[k], by, f"{k}_bp"), by, "left"), sets, raw)
-    joined = joined.join(tracks.sums(pieces["structural"], runs, value, thresholds, by, also), by, "left")
-    filled = joined.select(*by, *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in joined.columns if c not in by))
-    return filled.withColumn("nongap_bp", F.col("raw_bp") - F.col("gap_bp")).select(*by, *METRICS)
+def table(labels: DataFrame, by: list[str], sets: dict[str, DataFrame], runs: DataFrame, value: str, thresholds: dict[str, Column]) -> DataFrame:
+    """METRICS for each label. labels: by, chrom, start, end; scores are summed over the structural set.
+
+    Sets and scores are tracks of one sweep over their edges: no set meets the labels in a join.
+    """
+    scores = (runs, {"_value": F.col(value)} | {f"_{n}": F.coalesce(c, F.lit(False)).cast("long") for n, c in thresholds.items()})
+    measures = {f"{n}_bp": (lambda s, n=n: s(n)) for n in sets}
+    measures |= {"effective": lambda s: s("structural") * s("_value")} | {n: (lambda s, n=n: s("structural") * s(f"_{n}")) for n in thresholds}
+    sums = between([*((x, {n: F.lit(1)}) for n, x in sets.items()), scores], labels, by, measures)
+    joined = iv.lengths(labels, by, "raw_bp").join(sums, by)
+    return joined.withColumn("nongap_bp", F.col("raw_bp") - F.col("gap_bp")).select(*by, *METRICS)
+
+
+def rollup(regions: DataFrame, levels: dict[str, str]) -> DataFrame:
+    """level, label and METRICS: the regions summed by each of several columns at once. levels: name of a level -> its column."""
+    columns = list(levels.values())
+    sums = regions.groupingSets([[c] for c in columns], *columns).agg(F.grouping_id().alias("_set"), *(F.sum(m).alias(m) for m in METRICS))
+    # the bits of grouping_id are those columns that a set leaves out
+    at = {n: (1 << len(columns)) - 1 - (1 << len(columns) - 1 - k) for k, n in enumerate(levels)}
+    level = reduce(lambda c, n: c.when(F.col("_set") == at[n], F.lit(n)), levels, F)
+    return sums.select(level.alias("level"), F.coalesce(*columns).alias("label"), *METRICS)
 
 
 def grouped(regions: DataFrame, by: str) -> DataFrame:
@@ -60,27 +73,20 @@ def copied(regions: DataFrame, pairs: DataFrame, columns: list[str]) -> DataFram
     return joined.select(*(F.coalesce(f"_{c}", c).alias(c) if c in columns else F.col(c) for c in regions.columns))
 
 
-def whole_rows(regions: DataFrame, owner: str, contigs: list[str]) -> DataFrame:
-    """Rows of whole contigs as sums of their regions, so that they agree with what was done to these."""
-    return grouped(regions.where(F.col(owner).isin(contigs)), owner)
-
+def level_labels(contigs: DataFrame, regions: DataFrame, xy: list[str]) -> DataFrame:
+    """chrom, region_group, region, start, end: the regions of X and Y, and each other contig as its own region and group."""
+    own = regions.where(F.col("chrom").isin(xy)).select("chrom", "region_group", "region", "start", "end")
+    whole = contigs.where(~F.col("chrom").isin(xy)).select("chrom", F.col("chrom").alias("region_group"), F.col("chrom").alias("region"), F.lit(0).cast("long").alias("start"), F.col("raw_bp").alias("end"))
+    return own.unionByName(whole)
 
-def autosome_rows(contigs: DataFrame, others: list[str], label: str = "chrom") -> DataFrame:
-    """Rows of the contigs that are neither X nor Y, their name under a label of choice."""
-    return contigs.where(~F.col("chrom").isin(others)).withColumnRenamed("chrom", label).select(label, *METRICS)
 
+#: The tables of three_levels(), and the column of regions that labels each.
+LEVELS = {"chrom": "chrom", "region": "region_group", "region_group": "region"}
 
-def three_levels(contigs: DataFrame, regions: DataFrame, xy: list[str]) -> dict[str, DataFrame]:
-    """Tables by contig, by group of regions and by region; those of X and Y come from their regions.
 
-    regions: chrom, region, region_group and METRICS.
-    """
-    own = regions.where(F.col("chrom").isin(xy))
-    return {
-        "chrom": autosome_rows(contigs, xy).unionByName(whole_rows(own, "chrom", xy)),
-        "region": autosome_rows(contigs, xy, "region").unionByName(grouped(own, "region_group").withColumnRenamed("region_group", "region")),
-        "region_group": autosome_rows(contigs, xy, "region_group").unionByName(own.select(F.col("region").alias("region_group"), *METRICS)),
-    }
+def three_levels(regions: DataFrame) -> DataFrame:
+    """level, label and METRICS of the tables by contig, by group of regions and by region, from one table of level_labels()."""
+    return rollup(regions, LEVELS)
 
 
 def long_form(wide: DataFrame, by: list[str]) -> DataFrame:

@@ -64,7 +64,7 @@ def test_sets_of_bases(spark):
     pieces = iv.intersect(iv.merge(_df(spark, left)), iv.merge(_df(spark, right)), width=5)
     assert _bases(_rows(pieces)) == _bases(left) & _bases(right)
     assert pieces.count() == len(_rows(pieces))
-    cover = iv.coverage_bins(contigs, _df(spark, left), 7, width=8).collect()
+    cover = iv.coverage_bins(contigs, _df(spark, left), 7).collect()
     assert len(cover) == 7 * len(CONTIGS)
     for r in cover:
         assert r["covered_bp"] == len([i for i in range(r["start"], r["end"]) if (r["chrom"], i) in a])
