@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+import gzip
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import functions as F
 
 from strandlake.functions import columns as fc
@@ -13,6 +16,7 @@ from strandlake.operators import masking as ma
 from strandlake.operators import sequences as sq
 from strandlake.operators import tracks as tr
 from strandlake.sources import derived as d
+from strandlake.sources import release
 
 ASSEMBLIES = ["GRCh38", "GRCm39", "T2T-CHM13v2"]
 K = 24
@@ -23,14 +27,15 @@ SUFFIXES = ("fa.gz", "chrom.sizes", "gtf.gz", "gtf.gz.md5", "bw", "masked.bed",
 
 
 def _files(s, p):
-    """File names made of the keys of parts: assembly, complement, and suffixes by turns; some in folders of their own."""
+    """File names made of the keys of parts: twelve by twelve, one of each suffix, they are the products of one assembly and complement, some in folders of their own."""
     k = F.col("p_partkey")
+    g = F.expr(f"p_partkey div {len(SUFFIXES)}")
     name = F.concat_ws(
         ".",
-        F.element_at(F.array(*[F.lit(x) for x in [*ASSEMBLIES, "GRCh99"]]), (k % 4 + 1).cast("int")),
-        F.element_at(F.array(*[F.lit(x) for x in ("XX", "XY", "XZ")]), (k % 3 + 1).cast("int")),
-        F.when(k % 5 == 0, F.lit("noYPAR")),
-        F.when(k % 2 == 0, F.concat(F.lit("ensembl-"), (k % 8).cast("string"))),
+        F.element_at(F.array(*[F.lit(x) for x in [*ASSEMBLIES, "GRCh99"]]), (g % 4 + 1).cast("int")),
+        F.element_at(F.array(*[F.lit(x) for x in ("XX", "XY", "XZ")]), (g % 3 + 1).cast("int")),
+        F.when(g % 5 == 0, F.lit("noYPAR")),
+        F.concat(F.lit("ensembl-"), g.cast("string")),
         F.when(k % 7 == 0, F.concat(F.lit("k"), (k % 100).cast("string"), F.lit(".single_read"))),
         F.element_at(F.array(*[F.lit(x) for x in SUFFIXES]), (k % len(SUFFIXES) + 1).cast("int")),
     )
@@ -52,10 +57,18 @@ def _contents(s, p):
 
 
 def _manifest(s, p):
-    # paths are no key here: of metadata documents with the same path the one of the least key describes
-    files = _contents(s, p)
-    first = files.withColumn("_n", F.row_number().over(Window.partitionBy("path").orderBy("k"))).where("_n = 1").drop("_n", "k")
-    return am.manifest(first, ASSEMBLIES)
+    return am.manifest(release.digested(_contents(s, p).drop("k")), ASSEMBLIES)
+
+
+def _zipped(s, p):
+    """Documents as contents of files, every second one packed, some of these in two members."""
+
+    @F.pandas_udf("binary")
+    def packed(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in texts:
+            yield batch.map(lambda x: gzip.compress(x[: len(x) // 3].encode(), mtime=0) + gzip.compress(x[len(x) // 3 :].encode(), mtime=0))
+
+    return d.table(s, p, "documents").select("doc_id", F.when(F.col("doc_id") % 2 == 0, packed(F.coalesce("text", F.lit("")))).otherwise(F.coalesce("text", F.lit("")).cast("binary")).alias("content"))
 
 
 def _masks(s, p):
@@ -188,14 +201,18 @@ QUERIES = {
     "rg_preference": lambda s, p: am.preferred(_registry(s, p).select("assembly", "source", "row_no", "url"), ["assembly"], "source", ["ensembl", "ucsc", "ncbi"]),
     "rg_select": lambda s, p: am.selected(_registry(s, p), F.lit("asm1"), F.lit("ensembl"), F.lit("primary"), "latest"),
     "rg_rename": _renamed,
+    "mf_content": lambda s, p: release.digested(_zipped(s, p)).select("doc_id", "content_md5"),
     "mf_digest": lambda s, p: d.table(s, p, "documents").select("doc_id", F.octet_length("text").cast("long").alias("bytes"), F.md5(F.col("text").cast("binary")).alias("md5"), F.sha2(F.col("text").cast("binary"), 256).alias("sha256")),
     "mf_inventory": lambda s, p: am.inventory(_contents(s, p), ASSEMBLIES).select("filename", "path", "bytes", "md5", "kind", "stem", "k", "track", "release"),
 }
 
-_SQL_SUFFIXES = ", ".join(f"'{x}'" for x in SUFFIXES)
-_KIND = " ".join(f"WHEN ends_with(filename, '{x}') THEN '{k}'" for x, k in fc.KINDS)
-_FILES = f"""f AS (SELECT p_partkey AS k, concat_ws('.', ['GRCh38', 'GRCm39', 'T2T-CHM13v2', 'GRCh99'][p_partkey % 4 + 1], ['XX', 'XY', 'XZ'][p_partkey % 3 + 1], CASE WHEN p_partkey % 5 = 0 THEN 'noYPAR' END, CASE WHEN p_partkey % 2 = 0 THEN 'ensembl-' || (p_partkey % 8) END,
-  CASE WHEN p_partkey % 7 = 0 THEN 'k' || (p_partkey % 100) || '.single_read' END, [{_SQL_SUFFIXES}][p_partkey % {len(SUFFIXES)} + 1]) AS filename FROM part),
+_SQL_SUFFIXES = "'fa.gz', 'chrom.sizes', 'gtf.gz', 'gtf.gz.md5', 'bw', 'masked.bed', 't2g.tsv', 'dropped_genes.tsv', 'metadata.json', 'bigWig', 'txt', 'fa.fai'"
+#: Kinds by suffix, as the format has them, stated again.
+_KIND = """WHEN ends_with(filename, '.gtf.gz') OR ends_with(filename, '.gtf') THEN 'annotation' WHEN ends_with(filename, '.fa.gz') OR ends_with(filename, '.fa') THEN 'genome' WHEN ends_with(filename, '.bw') OR ends_with(filename, '.bigWig') THEN 'mappability'
+  WHEN ends_with(filename, '.chrom.sizes') THEN 'chrom_sizes' WHEN ends_with(filename, '.masked.bed') THEN 'mask_bed' WHEN ends_with(filename, '.t2g.tsv') THEN 't2g' WHEN ends_with(filename, '.dropped_genes.tsv') THEN 'dropped_genes'
+  WHEN ends_with(filename, '.metadata.json') THEN 'provenance' WHEN ends_with(filename, '.md5') THEN 'checksum_sidecar'"""
+_FILES = f"""f AS (SELECT k, concat_ws('.', ['GRCh38', 'GRCm39', 'T2T-CHM13v2', 'GRCh99'][g % 4 + 1], ['XX', 'XY', 'XZ'][g % 3 + 1], CASE WHEN g % 5 = 0 THEN 'noYPAR' END, 'ensembl-' || g,
+  CASE WHEN k % 7 = 0 THEN 'k' || (k % 100) || '.single_read' END, [{_SQL_SUFFIXES}][k % 12 + 1]) AS filename FROM (SELECT p_partkey AS k, p_partkey // 12 AS g FROM part)),
 g AS (SELECT *, string_split(filename, '.') AS w, CASE WHEN k % 6 < 4 THEN 'refs/' || string_split(filename, '.')[1] ELSE 'map' END || '/' || filename AS path FROM f),
 h AS (SELECT *, CASE WHEN w[3] = 'noYPAR' THEN w[4] ELSE w[3] END AS src FROM g),
 nm AS (SELECT k, filename, path, CASE WHEN w[1] IN ('GRCh38', 'GRCm39', 'T2T-CHM13v2') AND w[2] IN ('XX', 'XY') THEN concat_ws('.', w[1], w[2], CASE WHEN w[3] = 'noYPAR' THEN 'noYPAR' END, CASE WHEN regexp_matches(src, '-[0-9]') THEN src END) END AS stem,
@@ -205,16 +222,16 @@ nn AS (SELECT *, coalesce(nullif(concat_ws('; ', 'k=' || kk, track), ''), '-') A
 cc AS (SELECT nn.*, CASE WHEN filename LIKE '%.metadata.json' THEN '{{"assembly": "A' || (k % 4) || '", "' || CASE WHEN k % 2 = 0 THEN 'variant' ELSE 'complement' END || '": "V' || (k % 3) || '", "annotation_source": "' || CASE WHEN k % 5 = 0 THEN '' ELSE 'ens' END
   || '", "tool_version": "' || (k % 6) || '", "par_status": "' || CASE WHEN k % 4 = 0 THEN 'verified' ELSE 'approximate' END || '", "restrict_to_genome": ' || CASE WHEN k % 9 = 0 THEN 'true' ELSE 'false' END || ', "genes_dropped_off_genome": ' || (k % 50)
   || ', "genes_partially_overlapping": ' || (k % 3) || ', "identical_to_standard_xy": ' || CASE WHEN k % 11 = 0 THEN 'true' ELSE 'false' END || CASE WHEN k % 13 = 0 THEN '' ELSE '}}' END ELSE coalesce(text, filename) END AS content FROM nn LEFT JOIN documents ON doc_id = k)"""
-_MANIFEST = f"""WITH {_FILES}, fi AS (SELECT * FROM cc QUALIFY row_number() OVER (PARTITION BY path ORDER BY k) = 1),
+_MANIFEST = f"""WITH {_FILES}, fi AS (SELECT * FROM cc),
 md AS (SELECT path AS mpath, json_valid(content) AS fine, CASE WHEN json_valid(content) THEN content END AS m FROM fi WHERE filename LIKE '%.metadata.json'),
 jj AS (SELECT fi.*, coalesce(a.mpath, b.mpath) IS NOT NULL AS has, coalesce(a.fine, b.fine) AS fine, coalesce(CASE WHEN a.mpath IS NULL THEN b.m ELSE a.m END, NULL) AS m, kind = 'mappability' AS mapped
   FROM fi LEFT JOIN md a ON a.mpath = regexp_replace(path, '[^/]*$', '') || stem || '.metadata.json' LEFT JOIN md b ON b.mpath = 'refs/' || string_split(stem, '.')[1] || '/' || stem || '.metadata.json'),
 v AS (SELECT *, nullif(m ->> '$.assembly', '') AS s_asm, coalesce(nullif(m ->> '$.variant', ''), nullif(m ->> '$.complement', '')) AS s_var, nullif(m ->> '$.annotation_source', '') AS s_src, nullif(m ->> '$.tool_version', '') AS s_ver,
-  nullif(concat_ws('; ', CASE WHEN mapped AND kk IS NOT NULL THEN 'k=' || kk || ', ' || track END, CASE WHEN m ->> '$.identical_to_standard_xy' = 'true' THEN '{am.NOTES["identical"]}' END, CASE WHEN m ->> '$.restrict_to_genome' = 'true' THEN replace('{am.NOTES["restricted"]}', '%d', m ->> '$.genes_dropped_off_genome') END,
-  CASE WHEN m ->> '$.par_status' <> 'verified' THEN replace('{am.NOTES["par"]}', '%s', m ->> '$.par_status') END, CASE WHEN (m ->> '$.genes_partially_overlapping')::INT > 0 THEN replace('{am.NOTES["straddle"]}', '%d', m ->> '$.genes_partially_overlapping') END, CASE WHEN mapped THEN '{am.NOTES["mapped"]}' END), '') AS said FROM jj),
+  nullif(concat_ws('; ', CASE WHEN mapped AND kk IS NOT NULL THEN 'k=' || kk || ', ' || track END, CASE WHEN m ->> '$.identical_to_standard_xy' = 'true' THEN 'same as XY: no gene lies on the masked parts of Y' END, CASE WHEN m ->> '$.restrict_to_genome' = 'true' THEN replace('%d gene(s) left out that the genome has no contig for', '%d', m ->> '$.genes_dropped_off_genome') END,
+  CASE WHEN m ->> '$.par_status' <> 'verified' THEN replace('pseudo-autosomal parts: %s', '%s', m ->> '$.par_status') END, CASE WHEN (m ->> '$.genes_partially_overlapping')::INT > 0 THEN replace('%d gene(s) across an edge of the mask, left out whole', '%d', m ->> '$.genes_partially_overlapping') END, CASE WHEN mapped THEN 'scores of the genome masked for this variant' END), '') AS said FROM jj),
 o AS (SELECT *, CASE WHEN NOT has THEN '-' WHEN NOT fine THEN '' END AS none FROM v)
 SELECT filename, strlen(content) AS bytes, md5(content) AS md5, sha256(content) AS sha256, kind, coalesce(none, s_asm, '') AS assembly, coalesce(none, s_var, '') AS variant, coalesce(none, CASE WHEN mapped THEN '-' ELSE s_src END, '-') AS source, coalesce(none, '-') AS release, coalesce(none, '-') AS flavour,
-coalesce(none, CASE WHEN mapped THEN '{am.MAPPER}' ELSE '{am.MASKER}' END) AS tool, coalesce(none, s_ver, '-') AS tool_version, coalesce(none, '-') AS repo_revision, coalesce(none, said, '-') AS notes, path FROM o WHERE NOT regexp_matches(filename, '\\.(fai|log)$')"""
+coalesce(none, CASE WHEN mapped THEN 'mappability' ELSE 'masking' END) AS tool, coalesce(none, s_ver, '-') AS tool_version, coalesce(none, '-') AS repo_revision, coalesce(none, said, '-') AS notes, path FROM o WHERE NOT regexp_matches(filename, '\\.(fai|log)$')"""
 _ANNOTATIONS = """an AS (SELECT s_suppkey AS row_no, 's' || (s_suppkey % 3) AS source, (s_suppkey % 6 + 90)::VARCHAR AS release, CASE WHEN s_suppkey % 2 = 0 THEN 'primary' ELSE 'chr' END AS flavour, s_suppkey % 5 = 0 AS restricted,
   'Sp.A' || (s_suppkey % 4) || '.' || (s_suppkey % 6 + 90) || CASE WHEN s_suppkey % 8 = 0 THEN '.abinitio' WHEN s_suppkey % 10 = 0 THEN '.chr_patch_hapl_scaff' ELSE '' END || '.gtf.gz' AS name, 'https://host/' || (s_suppkey % 7) || '/' AS folder FROM supplier)"""
 
@@ -261,6 +278,7 @@ SELECT chrom, start, "end", 'PAR' AS part, chrom AS raw_name FROM par UNION ALL
 SELECT assembly, source, row_no, url FROM q WHERE pos > 0 QUALIFY row_number() OVER (PARTITION BY assembly ORDER BY pos, source, row_no) = 1""",
     "rg_select": "SELECT 'asm1' AS assembly, 'ensembl' AS source, 'primary' AS flavour, '1' AS is_latest, (s_suppkey % 9 + 100)::VARCHAR AS release, 'url' || s_suppkey AS url, s_suppkey AS row_no FROM supplier WHERE s_nationkey % 5 = 1 AND s_suppkey % 4 = 0 AND s_suppkey % 2 = 0 AND s_suppkey % 3 = 0",
     "rg_rename": f"{d.with_('contigs')} SELECT k, coalesce('NC_' || n_regionkey || '_' || n_name, chrom) AS name FROM contigs LEFT JOIN nation ON chrom = n_nationkey::VARCHAR",
+    "mf_content": "SELECT doc_id, md5(coalesce(text, '')) AS content_md5 FROM documents",
     "mf_digest": "SELECT doc_id, strlen(text) AS bytes, md5(text) AS md5, sha256(text) AS sha256 FROM documents",
     "mf_inventory": f"WITH {_FILES} SELECT filename, path, strlen(content) AS bytes, md5(content) AS md5, kind, stem, kk AS k, track, release FROM cc WHERE NOT regexp_matches(filename, '\\.(fai|log)$')",
 }

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandlake.functions.columns import attribute, contig_key, first_attribute, is_y_side, overlaps_bed, within_bed
+from strandlake.functions.columns import attribute, contig_key, first_attribute, is_y_side
 from strandlake.functions.lineage import settled
 from strandlake.operators import intervals as iv
 
@@ -51,22 +51,22 @@ def mask_test(features: DataFrame, masks: DataFrame, rule: str = "any", y_key: s
 
     Masks that overlap a feature count in the order (start, end, name). Rule any: the first one decides; partial if
     it does not contain the feature. Rule contained: the first that contains it decides; partial if another one
-    overlapped before, or if some overlap but none contains it.
+    overlapped before, or if some overlap but none contains it. So it is partial, by either rule, if the first that
+    overlaps does not contain it, and both are found in an index of masks rather than among all that overlap.
     """
-    left = features.select("line_no", F.col("contig_key").alias("chrom"), (F.col("start") - 1).alias("start"), "end")
-    pairs = iv.overlap_pairs(left, masks.select(contig_key(F.col("chrom")).alias("chrom"), "start", "end", "name"))
-    mask = F.struct(F.col("r_start").alias("start"), F.col("r_end").alias("end"), F.col("r_name").alias("name"))
-    one = F.col("start") + 1  # 1-based again
-    inside = within_bed(one, F.col("end"), F.col("r_start"), F.col("r_end"))
-    found = pairs.where(overlaps_bed(one, F.col("end"), F.col("r_start"), F.col("r_end"))).groupBy("line_no").agg(
-        F.min(mask).alias("first"), F.min(F.when(inside, mask)).alias("first_in"), F.min(F.when(~inside, mask)).alias("first_over")
-    )
+    index = iv.reaching(masks.select(contig_key(F.col("chrom")).alias("chrom"), "start", "end", "name"), ["name"])
+    # the first mask that ends behind a feature's start, and the first that ends at or behind its end
+    ends = F.array(F.struct(F.lit(False).alias("inside"), F.col("start").alias("at")), F.struct(F.lit(True).alias("inside"), F.col("end").alias("at")))
+    points = features.select("line_no", F.col("contig_key").alias("chrom"), (F.col("start") - 1).alias("start"), "end", F.explode(ends).alias("e"))
+    met = iv.first_reaching(points.select("line_no", "chrom", "start", "end", "e.inside", "e.at"), index, "mask")
+    mask = F.col("mask")
+    over = ~F.col("inside") & (mask["start"] < F.col("end"))
+    whole = F.col("inside") & (mask["start"] <= F.col("start"))
+    found = met.where(over | whole).groupBy("line_no").agg(F.min(F.when(~F.col("inside"), mask)).alias("first"), F.min(F.when(F.col("inside"), mask)).alias("first_in"))
     f = F.col("first")
-    if rule == "any":
-        hit, partial, name = F.lit(True), ~F.coalesce(f == F.col("first_in"), F.lit(False)), f["name"]
-    else:
-        hit = F.col("first_in").isNotNull()
-        partial, name = F.coalesce(F.col("first_over") < F.col("first_in"), F.col("first_in").isNull()), F.col("first_in")["name"]
+    straddles = ~F.coalesce(f == F.col("first_in"), F.lit(False))
+    hit, name = (F.lit(True), f["name"]) if rule == "any" else (F.col("first_in").isNotNull(), F.col("first_in")["name"])
+    partial = straddles
     verdict = found.select("line_no", hit.alias("hit"), partial.alias("partial"), (hit & ~F.coalesce(name.startswith("extra:"), F.lit(True))).alias("on_y"))
     joined = features.join(verdict, "line_no", "left").withColumn("on_y", F.col("on_y") & is_y_side(F.col("contig_key"), F.lit(y_key)))
     return joined.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("hit", "partial", "on_y")})

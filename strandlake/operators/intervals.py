@@ -74,6 +74,39 @@ def overlap_pairs(left: DataFrame, right: DataFrame, how: str = "inner", key: st
     return _binned(left, width).join(r, on, how).drop("_bin", "_r_bin")
 
 
+def reaching(intervals: DataFrame, order: list[str], tile: int = TILE) -> DataFrame:
+    """Intervals that end behind all that come before them by (start, end, order): from a contig's first to its last, both ends ascend.
+
+    Whatever lies inside an earlier one can't be the first that reaches a place or contains a span, so that those which
+    are left are an index in which either is found by a search for one end.
+    """
+    ones = intervals.groupBy("chrom", "start", "end").agg(F.min(F.struct(*order)).alias("_o")).select("chrom", "start", "end", "_o.*")
+    tiled = ones.withColumn("_tile", F.expr(f"start div {tile}"))
+    within = Window.partitionBy("chrom", "_tile").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("chrom").orderBy("_tile").rowsBetween(Window.unboundedPreceding, -1)
+    far = tiled.groupBy("chrom", "_tile").agg(F.max("end").alias("_end")).select("chrom", "_tile", F.max("_end").over(before).alias("_far"))
+    known = tiled.withColumn("_near", F.max("end").over(within)).join(far, ["chrom", "_tile"])
+    return known.where(F.col("end") > F.coalesce(F.greatest("_near", "_far"), F.lit(-1))).select("chrom", "start", "end", *order)
+
+
+def first_reaching(points: DataFrame, index: DataFrame, name: str = "found", tile: int = TILE) -> DataFrame:
+    """Points (chrom, at, ...) with the first interval of a reaching() index that ends at `at` or behind it, as a struct, or null.
+
+    Points and ends are ordered together, from the last to the first, within tiles; what a tile lacks is the first end of
+    the next one that has any. No pairs are made, however many intervals a point lies in.
+    """
+    kept = [c for c in points.columns if c not in ("chrom", "at")]
+    found = F.struct(*(c for c in index.columns if c != "chrom"))
+    rows = index.select("chrom", F.col("end").alias("at"), found.alias(name)).unionByName(points, allowMissingColumns=True)
+    rows = rows.withColumn("_tile", F.expr(f"at div {tile}")).withColumn("_point", F.col(name).isNull())
+    within = Window.partitionBy("chrom", "_tile").orderBy(F.desc("at"), "_point").rowsBetween(Window.unboundedPreceding, 0)
+    behind = Window.partitionBy("chrom").orderBy(F.desc("_tile")).rowsBetween(Window.unboundedPreceding, -1)
+    firsts = rows.groupBy("chrom", "_tile").agg(F.min_by(name, F.when(F.col(name).isNotNull(), F.col("at"))).alias("_first"))
+    firsts = firsts.select("chrom", "_tile", F.last("_first", ignorenulls=True).over(behind).alias("_next"))
+    known = rows.withColumn("_near", F.last(name, ignorenulls=True).over(within)).join(firsts, ["chrom", "_tile"])
+    return known.where("_point").select("chrom", "at", *kept, F.coalesce("_near", "_next").alias(name))
+
+
 def semi(left: DataFrame, right: DataFrame, width: int = BIN) -> DataFrame:
     """Rows of left that share a base with right; only whether counts, so that right is merged first."""
     return left.join(_touched(left, right, width), ["chrom", "start", "end"], "left_semi")

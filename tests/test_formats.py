@@ -94,8 +94,8 @@ def test_writers(spark, tmp_path):
         sinks.sizes(contigs, str(tmp_path / "sizes"))
     sinks.sizes(contigs, str(tmp_path / "sizes"), force=True)
     runs = spark.createDataFrame([("1", 0, 5, 0.25), ("1", 5, 9, 0.0), ("1", 9, 12, 1e-7), ("1", 12, 13, 1.0)], "chrom string, start long, end long, score double")
-    sinks.bedgraph(runs, str(tmp_path / "bg"))
-    assert sorted(r["value"].split("\t")[3] for r in spark.read.text(str(tmp_path / "bg")).collect()) == ["0.25", "1", "1e-07"]
+    sinks.bedgraph(runs, str(tmp_path / "bg.gz"))
+    assert sorted(r["value"].split("\t")[3] for r in spark.read.text(str(tmp_path / "bg.gz")).collect()) == ["0.25", "1", "1e-07"]
     sinks.checksums(spark.createDataFrame([("f", bytearray(b"x"))], "filename string, content binary"), str(tmp_path / "md5"))
     assert spark.read.text(str(tmp_path / "md5")).first()["value"] == "9dd4e461268c8034f5c8564e155c67a6  f"
     assert spark.range(1).select(sinks.six_digits(F.lit(1234567.0)).alias("x")).first()["x"] == "1.23457e+06"
@@ -150,7 +150,7 @@ def test_genome_round_trip_over_many_splits(spark, tmp_path, monkeypatch):
             assert {tuple(r) for r in plan.collect()} == want
             out = str(tmp_path / complement)
             sinks.fasta(sq.masked(lines, plan.withColumnRenamed("chrom", "contig")), sized.select(F.col("chrom").alias("contig"), "ord"), out)
-            written = [x for f in sorted((tmp_path / complement).glob("part-*")) for x in f.read_text().splitlines()]
+            written = (tmp_path / complement).read_text().splitlines()
             expected, own = [], {c: sorted((s, e) for k, s, e, _ in want if k == c) for c in contigs}
             for c in ("chr9", "chrY"):
                 bases = list("ACGTACGTAC" * (contigs[c] // 10))
@@ -164,12 +164,14 @@ def test_genome_round_trip_over_many_splits(spark, tmp_path, monkeypatch):
 
 
 def test_manifest_of_a_folder(spark, tmp_path):
+    from pyspark.sql import functions as F
+
     from strandlake.operators import assemblies as am
-    from strandlake.sources import sinks
+    from strandlake.sources import release, sinks
 
     refs = tmp_path / "refs" / "A1"
-    (tmp_path / "refs" / "A1" / "A1.XX.kmer_index").mkdir(parents=True)
-    (refs / "A1.XX.kmer_index" / "big.bin").write_text("x")
+    (tmp_path / "refs" / "A1" / "A1.XX.genmap_index").mkdir(parents=True)
+    (refs / "A1.XX.genmap_index" / "big.bin").write_text("x")
     (refs / "A1.XX.fa").write_text(">a\nN\n")
     (refs / "A1.XX.fa.fai").write_text("x")
     (refs / "A1.XX.metadata.json").write_text('{\n "assembly": "A1", "complement": "XX", "tool_version": "9", "par_status": "approximate"\n}')
@@ -177,12 +179,12 @@ def test_manifest_of_a_folder(spark, tmp_path):
     (refs / "A1.XY.ensembl-7.metadata.json").write_text("{ broken")
     (refs / "A1.XX.k24.multi_read.bw").write_text("b")
     (refs / "unknown.txt").write_text("u")
-    files = formats.files(spark, str(tmp_path)).selectExpr("filename", f"replace(path, 'file:{tmp_path}/', '') AS path", "content")
+    files = release.files(spark, str(tmp_path)).withColumn("path", F.replace("path", F.lit(f"file:{tmp_path}/"), F.lit("")))
     rows = {r["filename"]: r for r in am.manifest(files, ["A1"]).collect()}
     assert set(rows) == {"A1.XX.fa", "A1.XX.metadata.json", "A1.XY.ensembl-7.gtf.gz", "A1.XY.ensembl-7.metadata.json", "A1.XX.k24.multi_read.bw", "unknown.txt"}
     fa, bw, gtf = rows["A1.XX.fa"], rows["A1.XX.k24.multi_read.bw"], rows["A1.XY.ensembl-7.gtf.gz"]
-    assert (fa["kind"], fa["assembly"], fa["variant"], fa["source"], fa["tool"], fa["tool_version"], fa["notes"]) == ("genome", "A1", "XX", "-", am.MASKER, "9", "PAR intervals are approximate")
-    assert (bw["variant"], bw["tool"], bw["notes"]) == ("XX", am.MAPPER, f"k=24, multi_read; PAR intervals are approximate; {am.NOTES['mapped']}")
+    assert (fa["kind"], fa["assembly"], fa["variant"], fa["source"], fa["tool"], fa["tool_version"], fa["notes"]) == ("genome", "A1", "XX", "-", am.MASKER, "9", am.NOTES["par"] % "approximate")
+    assert (bw["variant"], bw["tool"], bw["notes"]) == ("XX", am.MAPPER, f"k=24, multi_read; {am.NOTES['par'] % 'approximate'}; {am.NOTES['mapped']}")
     assert (gtf["assembly"], gtf["tool"], gtf["notes"]) == ("", "", "") and rows["unknown.txt"]["assembly"] == "-"
     sinks.manifest(am.manifest(files, ["A1"]), str(tmp_path / "out"))
     assert spark.read.text(str(tmp_path / "out")).first()["value"].split("\t") == am.MANIFEST
