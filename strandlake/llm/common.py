@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from strandlake.functions.lineage import settled, shared_folder
 
-__all__ = ["BLANKS", "LOWER", "UPPER", "WORD", "marked", "released", "settled", "shared_folder", "table", "written"]
+__all__ = ["BLANKS", "LOWER", "UPPER", "WORD", "carried", "marked", "released", "restored", "settled", "shared_folder", "table", "written"]
 
 #: Bits of the bitmap of marked(): its table has a 64th as many rows at most, whatever the input.
 MARK_BITS = 1 << 22
@@ -34,6 +34,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def carried(rows: DataFrame, *needed: str) -> DataFrame:
+    """The needed columns, and all of a row's own in the struct _row, so that no name among them can clash with another."""
+    return rows.select(*needed, F.struct(*(F.col(f"`{c}`") for c in rows.columns)).alias("_row"))
+
+
+def restored(rows: DataFrame, columns: list[str], *new: str) -> DataFrame:
+    """Rows of carried() with the columns that they had, and new ones, which replace those of the same names in either case."""
+    taken = {c.lower() for c in new}
+    return rows.select(*(F.col("_row").getField(c).alias(c) for c in columns if c.lower() not in taken), *new)
+
+
 def released() -> None:
     """At the end of a Python task: gives memory that Arrow keeps back to the system, as workers live on for other tasks."""
     pa.default_memory_pool().release_unused()

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strandlake.llm.common import carried, restored
 from strandlake.llm.ordering import ranked, shuffle_key
 
 #: The component of all sources without a weight of their own.
@@ -57,14 +58,14 @@ def scheduled(docs: DataFrame, weights: dict[str, int], others: int, block_rows:
     if len(weights) > MOST_SOURCES or sum(weights.values()) + others > MOST_WEIGHT or min([others, *weights.values()]) < 1:
         raise ValueError(f"at most {MOST_SOURCES} weights from 1 on, with a sum of at most {MOST_WEIGHT}")
     new = ["component", "block", "slot", "seq", "release", "deadline"]
-    rows = docs.drop(*new).withColumn("component", _component(weights)).withColumn("_key", shuffle_key(F.col("doc_id"), seed))
+    known_columns = [c for c in ("doc_id", "source", "text") if c in docs.columns]
+    rows = carried(docs, *known_columns).withColumn("component", _component(weights)).withColumn("_key", shuffle_key(F.col("doc_id"), seed))
     weight = F.create_map(*[F.lit(x) for k, v in {**weights, OTHERS: others}.items() for x in (k, v)])
     components = rows.groupBy("component").agg(F.count(F.lit(1)).alias("n")).select("component", F.element_at(weight, F.col("component")).cast("long").alias("a"), F.expr(f"(n + {block_rows - 1}L) div {block_rows}L").alias("b"))
     known = components.agg(F.collect_list(F.struct("component", "a", "b")).alias("_cs")).select("_cs", F.explode("_cs").alias("c"))
     known = known.select("_cs", F.col("c.component").alias("component"), F.col("c.a").alias("_a"), F.expr("array_sort(array_distinct(concat(array(0L), transform(_cs, c -> c.b div c.a), transform(_cs, c -> c.b div c.a + 1))))").alias("_firsts"))
-    ties = [c for c in ("doc_id", "source", "text") if c in rows.columns]
     placed = (
-        ranked(rows, "component", "_key", ties)
+        ranked(rows, "component", "_key", known_columns)
         .withColumn("block", F.expr(f"(rank - 1) div {block_rows}L"))
         .withColumn("seq", F.expr(f"cast((rank - 1) % {block_rows}L as int)"))
         .join(F.broadcast(known), "component")  # a row for each weight
@@ -78,7 +79,7 @@ def scheduled(docs: DataFrame, weights: dict[str, int], others: int, block_rows:
     timed = placed.join(F.broadcast(slots), (F.col("component") == F.col("_c")) & (F.col("_first") == F.col("_f")) & (F.col("_i") == F.col("_n")))
     for c in ("slot", "release", "deadline"):
         timed = timed.withColumn(c, F.col("_start") + F.col(f"_{c}"))
-    return timed.select(*[c for c in docs.columns if c not in new], *new)
+    return restored(timed, docs.columns, *new)
 
 
 def placed(docs: DataFrame, weights: dict[str, int], others: int, **options) -> DataFrame:
@@ -87,16 +88,18 @@ def placed(docs: DataFrame, weights: dict[str, int], others: int, **options) ->
     The order is found on ids and sources alone and joined to the rows, so that it is the same for the same ids. Rows
     with the same doc_id share a place, by the least of their sources (null first).
     """
+    return restored(_placed(docs, weights, others, **options), docs.columns, "slot", "seq")
+
+
+def _placed(docs: DataFrame, weights: dict[str, int], others: int, **options) -> DataFrame:
     light = docs.groupBy("doc_id").agg(F.min(F.struct("source")).alias("_s")).select("doc_id", "_s.source")
     order = scheduled(light, weights, others, **options).select(F.col("doc_id").alias("_id"), "slot", "seq")
-    rows = docs.drop("slot", "seq")
-    return rows.join(order, F.col("doc_id").eqNullSafe(F.col("_id"))).select(*rows.columns, "slot", "seq")
+    return carried(docs, "doc_id").join(order, F.col("doc_id").eqNullSafe(F.col("_id")))
 
 
 def mixed(docs: DataFrame, weights: dict[str, int], others: int, **options) -> DataFrame:
     """The rows and columns of docs, sorted into the mixture; rows with the same doc_id follow each other."""
-    kept = docs.withColumnsRenamed({c: f"_own_{c}" for c in docs.columns if c in ("slot", "seq")})
-    return placed(kept, weights, others, **options).orderBy("slot", "seq").select(*[F.col(k).alias(c) for k, c in zip(kept.columns, docs.columns, strict=True)])
+    return restored(_placed(docs, weights, others, **options).orderBy("slot", "seq"), docs.columns)
 
 
 def oracle(weights: dict[str, int], others: int, block_rows: int, seed: int) -> str:

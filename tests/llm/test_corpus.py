@@ -285,6 +285,34 @@ def test_stages_on_odd_rows(spark, tmp_path):
                 assert {r["doc_id"] for r in got if not r["token_ids"]} == {20, 21} and all(r["slot"] is not None for r in got)
 
 
+#: Names that operators and stages give to columns of their own.
+INNER = ["_row", "_id", "_text", "_bucket", "_key", "_n", "_at", "_ahead", "_word", "_slot", "_bits", "_maybe", "_version", "_v", "_words", "_lines", "_kept", "_cs", "_a", "_firsts", "_frame", "_i", "_first", "_start", "_c", "_f", "_release",
+         "_deadline", "_source", "_piece", "_all", "_pos", "_label", "_s", "id", "version", "name", "cid", "n", "main", "parity", "band", "counted", "heads", "tok", "df", "key", "label", "least", "component", "block", "seq", "release", "deadline", "rank", "group_rows", "maybe", "SLOT", "rows", "t", "d", "s", "a", "b"]
+
+
+def test_columns_with_inner_names(spark, tmp_path):
+    """No column of the input, whatever its name, makes a stage or operator fail or is changed by it."""
+    import corpus_pipeline as pipeline
+
+    from pyspark.sql import functions as F
+
+    line = "a line that is long enough to be looked at, and many hold it"
+    rows = [(k, f"{line}\nown {k} " + " ".join(f"x{k % 5}y{j}" for j in range(40)), "en", "src0", 0) for k in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.select("*", *(F.concat(F.lit(c), F.col("doc_id").cast("string")).alias(c) for c in INNER))
+    spark.createDataFrame([(0, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    for given in (docs, docs.limit(0)):
+        for name, stage in pipeline.STAGES:
+            out = stage(spark, given, str(tmp_path))
+            got = out.collect()
+            if name != "tokens":
+                assert out.columns == docs.columns
+                assert all(r[c] == f"{c}{r['doc_id']}" for r in got for c in INNER), name
+        new = {"component", "block", "slot", "seq", "release", "deadline"}
+        for out in (mixing.scheduled(given, {"src0": 2}, 1), linededup.applied(given, linededup.keep_bitmaps(given))):
+            assert all(r[c] == f"{c}{r['doc_id']}" for r in out.collect() for c in INNER if c.lower() not in new)
+
+
 def test_one_of_each_by_id_and_text(spark):
     a, b = " ".join(f"a{k}" for k in range(30)), " ".join(f"b{k}" for k in range(30))
     docs = _frame(spark, [(3, a), (7, a), (7, b), (None, a), (None, "c " * 9), (9, b), (9, b)])
