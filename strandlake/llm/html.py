@@ -33,9 +33,9 @@ BLOCK_TAGS = frozenset(
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is no text of the page.
 SILENT_TAGS = frozenset("head title script style noscript template iframe object svg math canvas audio video select textarea button datalist noembed noframes".split())
-#: Elements whose content is read as characters up to their end tag.
 #: Elements that may hold the text of a page.
 HOLDER_TAGS = frozenset("article main section div center details td".split())
+#: Elements whose content is read as characters up to their end tag.
 RAW_TAGS = frozenset("script style textarea title noscript iframe noembed noframes xmp".split())
 ASIDE_TAGS = frozenset("nav footer aside form menu dialog search".split())
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
@@ -44,16 +44,16 @@ ASIDE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertisements advertising sponsor sponsored promo promos promotion banner nav navbar navigation menu menus submenu breadcrumb breadcrumbs sidebar sidebars aside widget widgets footer masthead topbar toolbar header"
     " cookie cookies consent gdpr notice notices notification popup modal overlay newsletter subscribe subscription signup login paywall share sharing social related recommended recommendations teaser teasers pagination pager skip copyright disclaimer tags".split()
 )
+#: Those of them that name nothing beside the text where they are within a named article, as an article has tags and references of its own.
+OWN_WORDS = frozenset("related recommended recommendations teaser teasers skip copyright disclaimer tags".split())
 TALK_WORDS = frozenset("comment comments commentlist disqus reply replies respond discussion".split())
 #: An element named so has, or lacks, such a part; it isn't one.
 NOT_ASIDE = frozenset("has with without no is js page body site wrapper layout main content".split())
 
 _OPEN = re.compile(r"<(?:!--|!\[CDATA\[|[!?]|/?[a-zA-Z])")
 _NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
-#: The rest of a tag, with its quoted values; what a stray quote would take for a value is read plainly.
-_QUOTED = re.compile(r"((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
-#: Tags of a page whose quotes may run to its end before quotes count no more, so that time is linear.
-STRAY = 16
+#: What ends a tag, or begins a quoted value in it: a quote elsewhere than behind = is a character like others.
+_MARK = re.compile(r">|=\s*+[\"']")
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 _ANCHOR = re.compile(r"<(/?)a(?=[\s/>])", re.I)
 _TOKEN = re.compile(r"[a-z]+")
@@ -63,14 +63,15 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 @dataclass
 class Block:
-    """text: cut to single blanks; linked: characters in links; aside: never main text; inside: in an article; path: the elements that may hold the text and that it is in, by number, from the outermost."""
+    """text: cut to single blanks; linked: characters in links; aside: why it is never main text, or ''; inside: in an article; holder: the innermost element that it is in of those that may hold the text, by number; above: the next outer one of each."""
 
     text: str
     linked: int
-    aside: bool
+    aside: str
     inside: bool
     heading: bool
-    path: tuple[int, ...] = ()
+    holder: int
+    above: dict[int, int]
     label: str = ""
 
 
@@ -81,16 +82,18 @@ def _place(tag: str, attributes: str, place: tuple[str, bool]) -> tuple[str, boo
     names = _TOKEN.findall(f"{found.get('class', '')} {found.get('id', '')}")
     talk = not TALK_WORDS.isdisjoint(names)
     if tag in ("article", "main"):
-        if why in ("", "name"):  # a name on a wrapper of the article says nothing of it
+        if why in ("", "name", "form"):  # a name or a form around the article says nothing of it
             return ("talk" if talk else "", True)
         return place
-    if why:
+    if why not in ("", "form"):  # in a form there may be other things beside the text
         return place
+    if tag == "form":
+        return ("form", inside)
     if tag in ASIDE_TAGS or tag == "header" and not inside or found.get("role", "") in ASIDE_ROLES or "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", ""):
         return ("element", inside)
     if tag not in ("html", "body") and talk and NOT_ASIDE.isdisjoint(names):
         return ("talk", inside)
-    if tag not in ("html", "body") and not ASIDE_WORDS.isdisjoint(names) and NOT_ASIDE.isdisjoint(names) and not (inside and tag in ("h1", "header")):
+    if tag not in ("html", "body") and not (ASIDE_WORDS - OWN_WORDS if inside else ASIDE_WORDS).isdisjoint(names) and NOT_ASIDE.isdisjoint(names) and not (inside and tag in ("h1", "header")):
         return ("name", inside)
     return place
 
@@ -104,15 +107,34 @@ def _is_link(attributes: str) -> bool:
 class _Entry:
     """An open element: what was so before it, and for a block-level one its number and the inline elements open in it."""
 
-    __slots__ = ("tag", "place", "block", "number", "inline")
+    __slots__ = ("tag", "place", "block", "holder", "inline")
+
+    def __init__(self, tag: str, place: tuple[str, bool], block: bool, holder: int) -> None:
+        self.tag, self.place, self.block, self.holder, self.inline = tag, place, block, holder, Counter()
 
-    def __init__(self, tag: str, place: tuple[str, bool], block: bool, number: int) -> None:
-        self.tag, self.place, self.block, self.number, self.inline = tag, place, block, number, Counter()
+
+def _tag_end(html: str, at: int, dead: set[int]) -> int:
+    """Where the > is that ends a tag, with its quoted values; -1 if a value has no end or all > are in values.
+
+    dead: quotes from which no end was found. One that is met outside of values begins one whenever it is, so that no part of a page is looked through in vain again.
+    """
+    seen = []
+    while mark := _MARK.search(html, at):
+        if mark[0] == ">":
+            return mark.start()
+        k = mark.end() - 1
+        seen.append(k)
+        at = 0 if k in dead else html.find(html[k], k + 1) + 1
+        if not at:
+            break
+    dead.update(seen)
+    return -1
 
 
 def _tokens(html: str) -> Iterator[tuple[str, str, str, int]]:
     """(kind, name, content, end) of pieces of text ("text"), starts ("<") and ends ("/") of elements. send() a place to go on from there."""
-    at, n, stray = 0, len(html), 0
+    at, n = 0, len(html)
+    dead: set[int] = set()
     while at < n:
         found = _OPEN.search(html, at)
         start = found.start() if found else n
@@ -135,15 +157,12 @@ def _tokens(html: str) -> Iterator[tuple[str, str, str, int]]:
             at = n if end < 0 else end + 1
             continue
         name = _NAME.match(html, start)
-        rest = _QUOTED.match(html, name.end()) if stray < STRAY else None
-        if rest:
-            attributes, at = rest[1], rest.end()
-        else:
-            stray += 1
+        end = _tag_end(html, name.end(), dead)
+        if end < 0:  # what a stray quote would take for a value is read plainly
             end = html.find(">", name.end())
-            if end < 0:
-                return  # a tag that is not closed ends with the page
-            attributes, at = html[name.end() : end], end + 1
+        if end < 0:
+            return  # a tag that is not closed ends with the page
+        attributes, at = html[name.end() : end], end + 1
         further = yield "/" if name[1] else "<", name[2].lower(), attributes, at
         if further is not None:
             at = further
@@ -159,12 +178,13 @@ def blocks(html: str) -> list[Block]:
     root = _Entry("", place, True, 0)
     stack, levels, opened, numbers = [root], [0], Counter(), 1  # levels: where the open block-level elements are
     endless: set[str] = set()  # elements that no end tag follows
+    above: dict[int, int] = {}
 
     def close() -> None:
         nonlocal linked, links, heading
         text = _SPACE.sub(" ", unescape("".join(parts))).strip() if parts else ""
         if text:
-            out.append(Block(text, min(linked, len(text)), bool(place[0]), place[1], heading, tuple(stack[k].number for k in levels[-DEEPEST:] if stack[k].tag in HOLDER_TAGS)))
+            out.append(Block(text, min(linked, len(text)), place[0], place[1], heading, stack[levels[-1]].holder, above))
         parts.clear()
         linked, heading = 0, False
         if loose:
@@ -239,7 +259,11 @@ def blocks(html: str) -> list[Block]:
                 new = _place(tag, content, place) if block or content.strip() else place
                 if new != place and parts:
                     close()
-                stack.append(_Entry(tag, place, block, numbers))
+                holder = stack[levels[-1]].holder
+                if block and tag in HOLDER_TAGS:
+                    above[numbers] = holder
+                    holder = numbers
+                stack.append(_Entry(tag, place, block, holder))
                 numbers += 1
                 if block:
                     levels.append(len(stack) - 1)
@@ -255,27 +279,28 @@ def blocks(html: str) -> list[Block]:
     return out
 
 
-#: Innermost block-level elements of a block among which its path is looked for.
-DEEPEST = 32
-
-
-def container(found: list[Block], most: float = 0.8) -> tuple[int, bool]:
-    """The innermost element with this share of the characters of good blocks, and whether a quarter of its text or more is good; 0 is the whole page."""
-    good = Counter()
-    live = Counter()
+def container(found: list[Block], most: float = 0.8) -> tuple[set[int], bool]:
+    """The innermost element with this share of the characters of good blocks, with those in it, and whether a quarter of its text or more is good; 0 is the whole page."""
+    good, live = Counter(), Counter()
     for b in found:
-        if b.label == "out":
-            continue
-        for number in b.path:
-            live[number] += len(b.text)
+        if b.label != "out":
+            live[b.holder] += len(b.text)
             if b.label in ("good", "near"):
-                good[number] += len(b.text)
-    total = sum(len(b.text) for b in found if b.label in ("good", "near"))
-    inside = [number for number, n in good.items() if n >= most * total]
+                good[b.holder] += len(b.text)
+    total, above = sum(good.values()), found[0].above if found else {}
+    numbers = sorted(above)  # elements are numbered as they begin, so that an outer one comes before those in it
+    for n in reversed(numbers):
+        good[above[n]] += good[n]
+        live[above[n]] += live[n]
+    inside = [n for n in numbers if good[n] >= most * total]
     if not total or not inside:
-        return 0, False
-    best = max(inside)  # elements are numbered as they begin, and of those with most of the text one is in the other
-    return best, 4 * good[best] > live[best]
+        return {0, *numbers}, False
+    best = max(inside)  # of those with most of the text one is in the other
+    within = {best}
+    for n in numbers:
+        if above[n] in within:
+            within.add(n)
+    return within, 4 * good[best] > live[best]
 
 
 def classify(found: list[Block], *, short: int = 70, long: int = 200, low: float = 0.15, high: float = 0.25, most_linked: float = 0.33) -> list[bool]:
@@ -291,29 +316,32 @@ def classify(found: list[Block], *, short: int = 70, long: int = 200, low: float
     near good one is good. A heading goes with the next decided block. On a page without any good or near good
     block the odd ones count as near good, as their language may have other function words.
     """
-    named = any(b.inside and not b.aside for b in found)
-    for b in found:
+    def alone(b: Block) -> str:
         words = _WORD.findall(b.text.lower())
         share = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
-        if b.aside or named and not b.inside:
-            b.label = "out"
-        elif b.linked > most_linked * len(b.text):
-            b.label = "links"
-        elif len(b.text) < short:
-            b.label = "short"
-        elif share >= high:
-            b.label = "good" if len(b.text) > long else "near"
-        elif share >= low:
-            b.label = "near"
-        else:
-            b.label = "odd"
+        if b.linked > most_linked * len(b.text):
+            return "links"
+        if len(b.text) < short:
+            return "short"
+        if share >= high:
+            return "good" if len(b.text) > long else "near"
+        return "near" if share >= low else "odd"
+
+    named = any(b.inside and not b.aside for b in found)
+    for b in found:
+        b.label = "out" if b.aside not in ("", "form") or named and not b.inside else alone(b)
+    size = lambda forms: sum(len(b.text) for b in found if b.label in ("good", "near") and (b.aside == "form") == forms)
+    if named or size(True) <= size(False):  # a form around most of the text is the page's, not a part beside it
+        for b in found:
+            if b.aside:
+                b.label = "out"
     if not any(b.label in ("good", "near") for b in found):
         for b in found:
             if b.label == "odd":
                 b.label = "near"  # of another language, if it is text at all
-    holder, mostly = container(found)
+    holders, mostly = container(found)
     live = [k for k, b in enumerate(found) if b.label != "out"]
-    inner = {k for k in live if named or mostly and holder in found[k].path}
+    inner = {k for k in live if named or mostly and found[k].holder in holders}
     first = {}
     for k in live:
         label = found[k].label

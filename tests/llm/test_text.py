@@ -1,6 +1,7 @@
 """Operators on single texts: tokens, audio, pages, statistics, rules and scores."""
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -363,3 +364,49 @@ def test_held_out_accuracy(spark):
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
     rows = gam.classified(docs, gam.trained(docs, labels)).join(labels, "doc_id").where("held_out").collect()
     assert rows and sum(r["predicted"] == r["quality"] for r in rows) >= 0.95 * len(rows)
+
+
+_PROSE = "<p>This is one of the paragraphs that the article has, and it is long enough to be good text of its own, as it goes on for a while with the words that are in all of them, number {}.</p>"
+
+
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_a_form_around_the_page(tag):
+    text = "".join(_PROSE.format(k) for k in range(4))
+    menu, ask = "<nav><a href=x>Home</a> <a href=y>About</a></nav>", "<form><p>Leave us your address and we will write to you as soon as there is something that is new.</p><input></form>"
+    page = f"<html><body><form id=all>{menu}<{tag}>{text}</{tag}></form></body></html>"
+    want = "\n\n".join(re.sub("<.*?>", "", _PROSE.format(k)) for k in range(4))
+    assert html.main_text(page)[0] == want
+    assert html.main_text(f"<html><body>{menu}<{tag}>{text}{ask}</{tag}></body></html>")[0] == want
+
+
+def test_depth_has_no_limit():
+    inner = _PROSE.format(1) + _PROSE.format(2) + "<p>Ends so.</p>"
+    want = html.main_text(f"<html><body><div>{inner}</div></body></html>")[0]
+    assert want.endswith("Ends so.")
+    for n in (1, 31, 32, 200, 5000):
+        assert html.main_text("<html><body>" + "<div>" * n + inner + "</div>" * n + "</body></html>")[0] == want
+
+
+def test_stray_quotes_have_no_limit():
+    part = '<p title="it>is">' + _PROSE.format(3)[3:]
+    for n in (1, 16, 17, 100):
+        page = "<html><body><article>" + part + "<i title=a\">x</i>" * n + part + "</article></body></html>"
+        assert html.main_text(page)[0].count("number 3.") == 2 and "is\">" not in html.main_text(page)[0] and "x" * n in html.main_text(page)[0]
+
+
+def test_hostile_quotes_take_linear_time():
+    import time
+
+    for unit in ("<a \"", "<a '\"", "<a \"x'>", "'<b \"", "<a x=\"'><"):
+        times = []
+        for n in (20_000, 80_000):
+            began = time.process_time()
+            html.main_text(unit * n)
+            times.append(time.process_time() - began)
+        assert times[1] < 12 * times[0] + 0.5
+
+
+def test_names_within_an_article():
+    page = "<html><body><article>" + _PROSE.format(1) + '<div class="tags related copyright">' + _PROSE.format(2) + '</div><div class="newsletter">' + _PROSE.format(3) + "</div></article></body></html>"
+    got = html.main_text(page)[0]
+    assert "number 1" in got and "number 2" in got and "number 3" not in got
