@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from strandlake.functions import columns as fc
+from strandlake.functions.lineage import settled
 from strandlake.operators import assemblies as am
 from strandlake.operators import intervals as iv
 from strandlake.operators import kmers as km
@@ -92,6 +93,22 @@ def _uniqueness(s, p):
     return km.counted(d.bases(s, p), K).withColumn("score", km.score(F.col("n")))
 
 
+def _genome(s, p):
+    """The contigs that bases make, masked for both complements, src4 in the role of Y."""
+    lines = settled(sq.with_offsets(d.bases(s, p)))
+    sizes = lines.groupBy(F.col("contig").alias("chrom")).agg(F.sum(F.length("seq")).alias("raw_bp"))
+    k, n = F.col("s_suppkey"), F.col("n_nationkey")
+    par = d.table(s, p, "supplier").select(F.when(k % 2 == 0, "Y").otherwise("src5").alias("chrom"), (k * 7919 % 40000).cast("long").alias("start"), (k * 7919 % 40000 + 50 + k).cast("long").alias("end"), F.concat(F.lit("P"), k.cast("string")).alias("name"))
+    extra = d.table(s, p, "nation").select(F.concat(F.lit("src"), (n % 20).cast("string")).alias("chrom"), (n * 1000).cast("long").alias("start"), (n * 1000 + 500).cast("long").alias("end"), F.lit("x").alias("name"))
+
+    def one(complement):
+        plan = ma.applied(ma.plan(complement, par, extra, "src4"), sizes)
+        out = sq.masked_in_place(lines, plan.withColumnRenamed("chrom", "contig"))
+        return out.select(F.lit(complement).alias("complement"), "contig", "line_no", F.col("offset").cast("long").alias("offset"), F.md5(F.col("seq").cast("binary")).alias("seq_md5"))
+
+    return one("XX").unionByName(one("XY"))
+
+
 def _idx(s, p):
     """Reads by sample and contig: orders by priority and customer."""
     key = (F.col("o_custkey") % 24).cast("int")
@@ -185,6 +202,7 @@ QUERIES = {
     "sq_offsets": lambda s, p: sq.with_offsets(d.lines(s, p)).select("contig", F.col("line_no").cast("long").alias("line_no"), "offset"),
     "sq_mask": _masked,
     "sq_kmers": lambda s, p: sq.kmers(d.table(s, p, "documents"), F.col("text"), K).groupBy("n").agg(F.count(F.lit(1)).alias("kmers"), F.max("value").alias("value")),
+    "mk_genome": _genome,
     "sq_uniqueness": _uniqueness,
     "tr_single_bases": lambda s, p: iv.lengths(tr.unique_indicator(_uniqueness(s, p)), "chrom", "unique_bp"),
     "sq_allowed": lambda s, p: ma.allowed(d.lines(s, p).withColumn("chrom", F.concat(F.when(F.col("contig") % 2 == 0, "chr").otherwise(""), (F.col("contig") % 30).cast("string"))), ["chr1", "2", "28"]).groupBy("chrom").agg(F.count(F.lit(1)).alias("n_lines"), F.sum(F.length("seq")).alias("bp")),
@@ -260,6 +278,10 @@ ORACLE = {
 z AS (SELECT contig, line_no, "offset", seq, list({{'s': greatest(s - "offset", 0), 'e': least(e - "offset", length(seq))}}) FILTER (s IS NOT NULL) AS ms FROM o LEFT JOIN (SELECT * FROM mk WHERE s < e) mk USING (contig) GROUP BY ALL)
 SELECT contig, line_no, "offset", md5(coalesce(array_to_string(list_transform(range(1, length(seq) + 1), lambda i: CASE WHEN len(list_filter(ms, lambda m: m.s < i AND i <= m.e)) > 0 THEN 'N' ELSE substr(seq, i, 1) END), ''), '')) AS seq_md5 FROM z""",
     "sq_kmers": f"WITH k AS (SELECT unnest(list_transform(range(1, length(text) - {K} + 2), lambda i: substr(text, i, {K}))) AS kmer FROM documents WHERE length(text) >= {K}), c AS (SELECT kmer, count(*) AS n FROM k WHERE NOT contains(kmer, 'N') GROUP BY kmer) SELECT n, count(*) AS kmers, 1.0::DOUBLE / n AS value FROM c GROUP BY n",
+    "mk_genome": f"""{d.with_('bases')}, o AS (SELECT complement, contig, line_no, seq, coalesce(sum(length(seq)) OVER (PARTITION BY complement, contig ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset" FROM bases, (VALUES ('XX'), ('XY')) v(complement)),
+pl AS (SELECT 'XX' AS complement, 'src4' AS contig, 0 AS s, 1000000000 AS e UNION ALL SELECT 'XY', 'src4', s_suppkey * 7919 % 40000, s_suppkey * 7919 % 40000 + 50 + s_suppkey FROM supplier WHERE s_suppkey % 2 = 0 UNION ALL SELECT c, 'src' || (n_nationkey % 20), n_nationkey * 1000, n_nationkey * 1000 + 500 FROM nation, (VALUES ('XX'), ('XY')) v(c)),
+z AS (SELECT o.complement, o.contig, line_no, "offset", seq, list({{'s': s - "offset", 'e': e - "offset"}}) FILTER (s IS NOT NULL) AS ms FROM o LEFT JOIN pl ON pl.complement = o.complement AND pl.contig = o.contig AND s < "offset" + length(seq) AND e > "offset" GROUP BY ALL)
+SELECT complement, contig, line_no, "offset", md5(CASE WHEN ms IS NULL THEN seq ELSE array_to_string(list_transform(range(1, length(seq) + 1), lambda i: CASE WHEN len(list_filter(ms, lambda m: m.s < i AND i <= m.e)) > 0 THEN 'N' ELSE substr(seq, i, 1) END), '') END) AS seq_md5 FROM z""",
     "sq_uniqueness": f'{_PLACES} SELECT chrom, start, "end", n, (1.0::DOUBLE / n)::FLOAT AS score FROM m',
     "tr_single_bases": f'{_PLACES} SELECT chrom, sum("end" - start)::BIGINT AS unique_bp FROM m WHERE n = 1 GROUP BY chrom',
     "sq_allowed": f"{d.with_('lines')} SELECT chrom, count(*) AS n_lines, sum(length(seq))::BIGINT AS bp FROM (SELECT (CASE WHEN contig % 2 = 0 THEN 'chr' ELSE '' END) || (contig % 30) AS chrom, contig % 30 AS k, seq FROM lines) WHERE k IN (1, 2, 28) GROUP BY chrom",

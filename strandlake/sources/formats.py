@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -157,3 +160,77 @@ def fasta(spark: SparkSession, path: str) -> DataFrame:
     own = F.last("head", ignorenulls=True).over(Window.partitionBy("path", "part", "block").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0))
     named = rows.withColumn("own", own).join(carried, ["path", "part", "block"]).withColumn("contig", F.coalesce("own", "carried"))
     return named.where("head IS NULL").select("contig", "line_no", F.col("value").alias("seq"))
+
+
+#: Splits of files whose state at their start is sent to all tasks; with more of them lines are placed by shuffles.
+MOST_SPLITS = 1 << 18
+
+
+def _raw(spark: SparkSession, path: str) -> DataFrame:
+    rows = spark.read.option("lineSep", "\n").text(path)
+    return rows.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("part"), "value")
+
+
+def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, list[str]]]:
+    """path, part and lines (cut at their ends) of rows that come by splits."""
+    for batch in batches:
+        paths, parts, values = (batch.column(k).to_pylist() for k in range(3))
+        at = 0
+        for k in range(1, len(values) + 1):
+            if k == len(values) or parts[k] != parts[at] or paths[k] != paths[at]:
+                yield paths[at], parts[at], [x.rstrip() for x in values[at:k]]
+                at = k
+
+
+def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each split: its lines, its bases, and its last header with the bases ahead of it."""
+    found: dict[tuple[str, int], list] = {}
+    for path, part, lines in _stretches(batches):
+        own = found.setdefault((path, part), [0, 0, None, None])
+        for x in lines:
+            own[0] += 1
+            if x.startswith(">"):
+                own[2], own[3] = x[1:].split()[0] if x[1:].split() else "", own[1]
+            else:
+                own[1] += len(x)
+    rows = [(*k, *v) for k, v in found.items()]
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64()]
+    yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(kinds)], names=["path", "part", "n", "bases", "head", "ahead"])
+
+
+def placed_fasta(spark: SparkSession, path: str) -> DataFrame:
+    """path, part, line_no, contig, offset and seq of the lines of sequences, which stay where they were read; headers come too, with a null seq.
+
+    Files are read twice: first for a few numbers of each split, from which the line, contig and base at which each
+    begins are told, then with these sent to all tasks. Lines are neither shuffled nor sorted.
+    """
+    totals = settled(_raw(spark, path).mapInArrow(_totals, "path string, part long, n long, bases long, head string, ahead long").groupBy("path", "part").agg(*(F.max(c).alias(c) for c in ("n", "bases", "head", "ahead"))))
+    if totals.count() > MOST_SPLITS:
+        raise ValueError(f"more than {MOST_SPLITS} splits: use fasta(), which places lines by shuffles, or larger splits")
+    by = Window.partitionBy("path").orderBy("part")
+    before = by.rowsBetween(Window.unboundedPreceding, -1)
+    begun = totals.withColumn("_n", F.coalesce(F.sum("n").over(before), F.lit(0))).withColumn("_bases", F.coalesce(F.sum("bases").over(before), F.lit(0)))
+    begun = begun.withColumn("_head", F.last("head", ignorenulls=True).over(before)).withColumn("_at", F.last(F.col("_bases") + F.col("ahead"), ignorenulls=True).over(before))
+    rows = begun.select("path", "part", "_n", "_head", (F.col("_bases") - F.coalesce("_at", F.lit(0))).alias("_offset")).collect()  # MOST_SPLITS at most
+    shared = spark.sparkContext.broadcast({(r["path"], r["part"]): (r["_n"], r["_head"], r["_offset"]) for r in rows})
+    schema = pa.schema([("path", pa.string()), ("part", pa.int64()), ("line_no", pa.int64()), ("contig", pa.string()), ("offset", pa.int64()), ("seq", pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, state = None, (0, None, 0)
+        for path_, part, lines in _stretches(batches):
+            if (path_, part) != key:
+                key, state = (path_, part), shared.value[path_, part]
+            number, contig, offset = state
+            out = []
+            for x in lines:
+                number += 1
+                if x.startswith(">"):
+                    contig, offset = x[1:].split()[0] if x[1:].split() else "", 0
+                    out.append((number, contig, 0, None))
+                elif x:
+                    out.append((number, contig, offset, x))
+                    offset += len(x)
+            state = number, contig, offset
+            yield pa.RecordBatch.from_arrays([pa.array([path_] * len(out), pa.string()), pa.array([part] * len(out), pa.int64()), *(pa.array([r[c] for r in out], schema.field(c + 2).type) for c in range(4))], schema=schema)
+
+    return _raw(spark, path).mapInArrow(run, "path string, part long, line_no long, contig string, offset long, seq string")

@@ -5,6 +5,9 @@ file; when all are done the driver copies them one behind the other, a piece at
 readers see all of it or nothing. Compressed files are gzip members one behind the other, each of the lines of one
 block; as a block is told by columns of the lines, not by partitions, the bytes are the same for any number of these.
 
+Lines that already lie in the order of what they were read from need not be dealt: in_place() writes a part for each
+stretch of them, and the commit orders these.
+
 The path must be one that executors and driver share.
 """
 
@@ -12,7 +15,7 @@ from __future__ import annotations
 
 import gzip
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -27,9 +30,10 @@ PIECE = 1 << 22
 
 
 @dataclass
-class Part(WriterCommitMessage):
-    partition: int
-    path: str
+class Parts(WriterCommitMessage):
+    """What a task has written: an order and a path of each part."""
+
+    found: list[tuple[tuple, str]]
 
 
 def _system(path: str) -> tuple[fs.FileSystem, str]:
@@ -38,46 +42,53 @@ def _system(path: str) -> tuple[fs.FileSystem, str]:
 
 class _Writer(DataSourceArrowWriter):
     def __init__(self, options: dict[str, str], overwrite: bool) -> None:
-        self.path, self.packed, self.overwrite = options["path"], options.get("compression", "none") == "gzip", overwrite
+        self.path, self.packed, self.overwrite, self.placed = options["path"], options.get("compression", "none") == "gzip", overwrite, options.get("placed") == "true"
         self.folder = f"{self.path}.parts-{uuid.uuid4().hex[:12]}"
         system, name = _system(self.path)
         if not overwrite and system.get_file_info(name).type != fs.FileType.NotFound:
             raise FileExistsError(f"{self.path} exists")
 
-    def write(self, batches: Iterator[pa.RecordBatch]) -> Part:
+    def write(self, batches: Iterator[pa.RecordBatch]) -> Parts:
         task = TaskContext.get()
-        path = f"{self.folder}/{task.partitionId()}-{task.taskAttemptId()}"
-        system, name = _system(path)
-        system.create_dir(name.rsplit("/", 1)[0])
-        with system.open_output_stream(name, compression=None) as out:
-            held: list[str] = []
-            block = None
-            for batch in batches:
-                values, blocks = batch.column("value").to_pylist(), batch.column("block").to_pylist()
-                at = 0
-                if self.packed:
-                    for k, b in enumerate(blocks):
-                        if b != block:
-                            self._put(out, held + values[at:k])
-                            held, at, block = [], k, b
-                    held += values[at:]
-                else:
-                    self._put(out, values)
-            self._put(out, held)
-        return Part(task.partitionId(), path)
+        system, folder = _system(self.folder)
+        system.create_dir(folder)
+        parts, out, held, block, stretch = [], None, [], None, None
+        for batch in batches:
+            values, blocks = batch.column("value").to_pylist(), batch.column("block").to_pylist()
+            stretches = batch.column("stretch").to_pylist() if self.placed else [None] * len(values)
+            at = 0
+            for k in [k for k in range(len(values)) if k == 0 or blocks[k] != blocks[k - 1] or stretches[k] != stretches[k - 1]]:
+                if out is None or stretches[k] != stretch or (self.packed and blocks[k] != block):
+                    self._put(out, held + values[at:k])
+                    held, at, block = [], k, blocks[k]
+                if out is None or stretches[k] != stretch:
+                    if out:
+                        out.close()
+                    stretch, path = stretches[k], f"{folder}/{task.partitionId()}-{task.taskAttemptId()}-{len(parts)}"
+                    parts.append(((stretch["path"], stretch["part"]) if self.placed else (task.partitionId(),), path))
+                    out = system.open_output_stream(path, compression=None)
+            if self.packed:
+                held += values[at:]
+            else:
+                self._put(out, held + values[at:])
+                held = []
+        self._put(out, held)
+        if out:
+            out.close()
+        return Parts(parts)
 
     def _put(self, out, lines: list[str]) -> None:
         if lines:
             data = ("\n".join(lines) + "\n").encode()
             out.write(gzip.compress(data, mtime=0) if self.packed else data)
 
-    def commit(self, messages: list[Part | None]) -> None:
+    def commit(self, messages: list[Parts | None]) -> None:
         system, name = _system(self.path)
         whole = f"{_system(self.folder)[1]}/whole"
         system.create_dir(_system(self.folder)[1])
         with system.open_output_stream(whole, compression=None) as out:
-            for part in sorted((m for m in messages if m is not None), key=lambda m: m.partition):
-                with system.open_input_stream(_system(part.path)[1], compression=None) as data:
+            for _, part in sorted(p for m in messages if m is not None for p in m.found):
+                with system.open_input_stream(part, compression=None) as data:
                     while piece := data.read(PIECE):
                         out.write(piece)
         if self.overwrite and system.get_file_info(name).type == fs.FileType.Directory:
@@ -85,7 +96,7 @@ class _Writer(DataSourceArrowWriter):
         system.move(whole, name)
         self._cleared()
 
-    def abort(self, messages: list[Part | None]) -> None:
+    def abort(self, messages: list[Parts | None]) -> None:
         self._cleared()
 
     def _cleared(self) -> None:
@@ -105,12 +116,25 @@ class OneFile(DataSource):
         return _Writer(dict(self.options), overwrite)
 
 
-def written(lines: DataFrame, path: str, blocks: list[str], within: list[str], compression: str | None = None, force: bool = False, partitions: int | None = None) -> None:
+def written(lines: DataFrame, path: str, blocks: list[str], within: list[str], compression: str | None = None, force: bool = False, partitions: int | None = None, watch: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """`value` of the lines to one file, in the order of `blocks`, then `within`; blocks are what a gzip member holds.
 
+    watch: what is to be done with the lines where they are dealt and sorted, as observing them, so that they are seen once.
+
     A block should have some ten thousand lines: it is what a task holds of a compressed file.
     """
     lines.sparkSession.dataSource.register(OneFile)
     dealt = lines.repartitionByRange(partitions, *blocks) if partitions else lines.repartitionByRange(*blocks)
-    rows = dealt.sortWithinPartitions(*blocks, *within).select(F.to_json(F.struct(*blocks)).alias("block"), "value")
+    ordered = dealt.sortWithinPartitions(*blocks, *within)
+    rows = (watch(ordered) if watch else ordered).select(F.to_json(F.struct(*blocks)).alias("block"), "value")
     rows.write.format("onefile").option("compression", compression or "none").mode("overwrite" if force else "append").save(path)
+
+
+def in_place(lines: DataFrame, path: str, compression: str | None = None, force: bool = False) -> None:
+    """`value` of lines that lie as they were read, to one file, in the order of their stretches (path, part) and in each as they come.
+
+    block: what a gzip member holds, of one stretch. Nothing is shuffled or sorted but the names of parts.
+    """
+    lines.sparkSession.dataSource.register(OneFile)
+    rows = lines.select(F.col("block").cast("string").alias("block"), F.struct("path", "part").alias("stretch"), "value")
+    rows.write.format("onefile").option("compression", compression or "none").option("placed", "true").mode("overwrite" if force else "append").save(path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from strandlake.functions.columns import chrom_rank, contig_key
@@ -69,12 +69,18 @@ def dropped(genes: DataFrame, path: str, force: bool = False) -> None:
     _tsv(genes, columns, ["seqname", "start", "gene_id"], path, True, force)
 
 
-def annotation(kept: DataFrame, path: str, header: Sequence[str] = (), force: bool = False) -> None:
-    """The header's lines, then the nine fields of the features that stay, in their order."""
+def annotation(kept: DataFrame, path: str, header: Sequence[str] = (), force: bool = False, observed: tuple[Observation, dict[str, Column]] | None = None) -> None:
+    """The header's lines, then the nine fields of the features that stay, in their order.
+
+    observed: gets, for each name, how many of the written features fulfil a condition, counted as they are written.
+    """
     head = kept.sparkSession.createDataFrame([(0, k, line) for k, line in enumerate(header)], "part int, at long, value string")
     fields = [F.coalesce(F.col(c).cast("string"), F.lit(".")) for c in FIELDS]
-    rows = head.unionByName(kept.select(F.lit(1).alias("part"), F.col("line_no").alias("at"), F.concat_ws("\t", *fields).alias("value")))
-    onefile.written(rows.withColumn("block", F.expr(f"at div {BLOCK_LINES}")), path, ["part", "block"], ["at"], "gzip", force)
+    flags = observed[1] if observed else {}
+    rows = kept.select(F.lit(1).alias("part"), F.col("line_no").alias("at"), F.concat_ws("\t", *fields).alias("value"), *(F.coalesce(c, F.lit(False)).alias(f"_{n}") for n, c in flags.items()))
+    rows = head.unionByName(rows, allowMissingColumns=True).withColumn("block", F.expr(f"at div {BLOCK_LINES}"))
+    watch = (lambda df: df.observe(observed[0], *(F.count_if(f"_{n}").alias(n) for n in flags))) if observed else None
+    onefile.written(rows, path, ["part", "block"], ["at"], "gzip", force, watch=watch)
 
 
 def fasta(lines: DataFrame, order: DataFrame, path: str, force: bool = False, compression: str | None = None) -> None:
