@@ -198,7 +198,7 @@ QUERIES = {
     "sc_notes": lambda s, p: _files(s, p).select("filename", fc.notes(F.concat(F.lit("k="), fc.kmer_of(F.col("filename")).cast("string")), fc.track_of(F.col("filename"))).alias("notes")),
     "sc_names": lambda s, p: _files(s, p).select("path", fc.basename(F.col("path")).alias("base"), fc.product_prefix(F.col("filename"), ".fa").alias("prefix"), F.substring_index("filename", ".", 1).alias("first")),
     "sc_lists": lambda s, p: d.table(s, p, "part").select("p_partkey", F.explode(fc.parse_list(F.concat(F.lit(" a"), (F.col("p_partkey") % 5).cast("string"), F.when(F.col("p_partkey") % 2 == 0, " , ,b,").otherwise(",c ,")))).alias("item")),
-    "sc_metric": lambda s, p: d.table(s, p, "lineitem").select("l_orderkey", "l_linenumber", fc.whole_metric((F.col("l_quantity") / 2).cast("string")).alias("metric")),
+    "sc_metric": lambda s, p: d.table(s, p, "lineitem").select("l_orderkey", "l_linenumber", fc.whole_metric(F.when(F.col("l_linenumber") == 3, "nan").when(F.col("l_linenumber") == 4, "12x").when(F.col("l_linenumber") == 5, F.lit(None)).otherwise((F.col("l_quantity") / 2).cast("string"))).alias("metric")),
     "sq_offsets": lambda s, p: sq.with_offsets(d.lines(s, p)).select("contig", F.col("line_no").cast("long").alias("line_no"), "offset"),
     "sq_mask": _masked,
     "sq_kmers": lambda s, p: sq.kmers(d.table(s, p, "documents"), F.col("text"), K).groupBy("n").agg(F.count(F.lit(1)).alias("kmers"), F.max("value").alias("value")),
@@ -216,6 +216,7 @@ QUERIES = {
     "rg_either_name": _track_names,
     "rg_report_rename": lambda s, p: am.renamed(d.contigs(s, p).select("k", F.col("chrom").alias("name")), am.report_names(_report(s, p)), "name"),
     "mf_manifest": _manifest,
+    "rg_first_seen": lambda s, p: am.first_of_each(d.table(s, p, "orders").select("o_custkey", "o_orderkey", "o_orderpriority"), ["o_custkey"], "o_orderkey"),
     "rg_preference": lambda s, p: am.preferred(_registry(s, p).select("assembly", "source", "row_no", "url"), ["assembly"], "source", ["ensembl", "ucsc", "ncbi"]),
     "rg_select": lambda s, p: am.selected(_registry(s, p), F.lit("asm1"), F.lit("ensembl"), F.lit("primary"), "latest"),
     "rg_rename": _renamed,
@@ -272,7 +273,7 @@ ORACLE = {
     "sc_notes": f"WITH {_FILES} SELECT filename, notes FROM nn",
     "sc_names": f"WITH {_FILES} SELECT path, filename AS base, string_split(filename, '.fa')[1] AS prefix, w[1] AS first FROM nm JOIN (SELECT k, w FROM g) USING (k)",
     "sc_lists": "SELECT p_partkey, unnest(CASE WHEN p_partkey % 2 = 0 THEN ['a' || (p_partkey % 5), 'b'] ELSE ['a' || (p_partkey % 5), 'c'] END) AS item FROM part",
-    "sc_metric": "SELECT l_orderkey, l_linenumber, round_even(l_quantity / 2, 0)::BIGINT AS metric FROM lineitem",
+    "sc_metric": "SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber IN (3, 4, 5) THEN 0 ELSE round_even(l_quantity / 2, 0) END::BIGINT AS metric FROM lineitem",
     "sq_offsets": f"{_OFFSETS} SELECT contig, line_no, \"offset\" FROM o",
     "sq_mask": f"""{_OFFSETS}, dn AS (SELECT doc_id AS contig, length(text) AS n FROM documents), mk AS (SELECT contig, n // 10 AS s, n // 5 AS e FROM dn UNION ALL SELECT contig, n // 6, n // 4 FROM dn UNION ALL SELECT contig, n - n // 8, 1000000000 FROM dn WHERE n - n // 8 <> -1),
 z AS (SELECT contig, line_no, "offset", seq, list({{'s': greatest(s - "offset", 0), 'e': least(e - "offset", length(seq))}}) FILTER (s IS NOT NULL) AS ms FROM o LEFT JOIN (SELECT * FROM mk WHERE s < e) mk USING (contig) GROUP BY ALL)
@@ -296,6 +297,7 @@ SELECT chrom, start, "end", 'PAR' AS part, chrom AS raw_name FROM par UNION ALL
     "rg_either_name": f"{d.with_('contigs')} SELECT k::VARCHAR AS chrom, k, CASE WHEN k % 3 <> 0 AND k % 2 = 1 THEN k::VARCHAR WHEN k % 3 <> 0 OR k % 10 = 0 THEN 'chr' || k END AS track_name FROM contigs",
     "rg_report_rename": f"{d.with_('contigs')} SELECT k, coalesce(CASE WHEN n_nationkey = 9 THEN 'chrM' WHEN n_nationkey % 3 = 0 THEN 'chr' || n_nationkey ELSE n_nationkey::VARCHAR END, chrom) AS name FROM contigs LEFT JOIN nation ON chrom = n_nationkey::VARCHAR",
     "mf_manifest": _MANIFEST,
+    "rg_first_seen": "SELECT o_custkey, o_orderkey, o_orderpriority FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey, o_orderpriority) = 1",
     "rg_preference": """WITH r AS (SELECT 'asm' || (s_nationkey % 5) AS assembly, ['ensembl', 'ucsc', 'ncbi', 'other'][s_suppkey % 4 + 1] AS source, 'url' || s_suppkey AS url, s_suppkey AS row_no FROM supplier), q AS (SELECT *, list_position(['ensembl', 'ucsc', 'ncbi'], source) AS pos FROM r)
 SELECT assembly, source, row_no, url FROM q WHERE pos > 0 QUALIFY row_number() OVER (PARTITION BY assembly ORDER BY pos, source, row_no) = 1""",
     "rg_select": "SELECT 'asm1' AS assembly, 'ensembl' AS source, 'primary' AS flavour, '1' AS is_latest, (s_suppkey % 9 + 100)::VARCHAR AS release, 'url' || s_suppkey AS url, s_suppkey AS row_no FROM supplier WHERE s_nationkey % 5 = 1 AND s_suppkey % 4 = 0 AND s_suppkey % 2 = 0 AND s_suppkey % 3 = 0",

@@ -36,7 +36,7 @@ QUERIES = {
     "va_unknown_contigs": lambda s, p: va.unknown_contigs(d.masks(s, p), d.genome(s, p)),
     "va_name_differences": lambda s, p: va.name_differences(d.features(s, p), d.genome(s, p)),
     "va_missing_primaries": lambda s, p: va.missing_primaries(d.contigs(s, p)),
-    "va_without_track": lambda s, p: va.without_track(d.contigs(s, p), d.runs(s, p).where("h >= 95")),
+    "va_without_track": lambda s, p: va.without_track(d.contigs(s, p), d.runs(s, p).where("h >= 60 AND start < 1400")),
     "va_pair_problems": _pairs,
     "va_postconditions": _post,
     "va_partial_overlaps": lambda s, p: va.partial_overlaps(_judged(s, p)),
@@ -50,7 +50,7 @@ SELECT seqname, count(*) AS n_in, count(*) FILTER (feature <> 'exon') AS n_out F
     "va_unknown_contigs": f"{d.with_('genome', 'masks')} SELECT chrom, count(*) AS n FROM masks WHERE chrom NOT IN (SELECT chrom FROM genome) GROUP BY chrom",
     "va_name_differences": f"{d.with_('genome', 'features')}, f AS (SELECT DISTINCT replace(seqname, 'chr', '') AS name FROM features), g AS (SELECT replace(chrom, 'chr', '') AS name FROM genome) SELECT name, 'annotation' AS side FROM f WHERE name NOT IN (SELECT name FROM g) UNION ALL SELECT name, 'genome' FROM g WHERE name NOT IN (SELECT name FROM f)",
     "va_missing_primaries": f"{d.with_('contigs')} SELECT name FROM (SELECT i::VARCHAR AS name FROM range(1, 23) t(i) UNION ALL SELECT unnest(['X', 'Y'])) WHERE name NOT IN (SELECT replace(chrom, 'chr', '') FROM contigs)",
-    "va_without_track": f"{d.with_('contigs', 'runs')} SELECT chrom FROM contigs WHERE chrom NOT IN (SELECT chrom FROM runs WHERE h >= 95)",
+    "va_without_track": f"{d.with_('contigs', 'runs')} SELECT chrom FROM contigs WHERE chrom NOT IN (SELECT chrom FROM runs WHERE h >= 60 AND start < 1400)",
     "va_pair_problems": f"{d.with_('contigs', 'regions')} SELECT chrom || ':0' AS source, chrom || ':9' AS target, chrom || ':9' AS region, 0::BIGINT AS n FROM contigs WHERE k % 3 = 0",
     "va_postconditions": f"""{_j()}, k2 AS (SELECT * FROM kept WHERE feature <> 'exon'), t AS (SELECT seqname, sum(n) AS n_in, sum(n) FILTER (EXISTS (SELECT 1 FROM j x WHERE x.hit AND x.seqname = j.seqname AND x.gene_id = j.gene_id)) AS n_gone FROM j GROUP BY seqname)
 SELECT seqname, n_in::BIGINT AS n_in, coalesce(n_gone, 0)::BIGINT AS n_gone, coalesce(n_out, 0)::BIGINT AS n_out FROM t LEFT JOIN (SELECT seqname, sum(n) AS n_out FROM k2 GROUP BY seqname) USING (seqname) WHERE n_in - coalesce(n_gone, 0) <> coalesce(n_out, 0)""",

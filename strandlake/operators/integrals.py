@@ -49,7 +49,7 @@ def between(tracks: list[Track], labels: DataFrame, by: list[str], measures: dic
     kinds = dict(marks.dtypes)
     edges = reduce(DataFrame.unionByName, (_edges(t, channels) for t in tracks))
     edges = edges.select("chrom", "at", *channels, F.lit(0).alias("sign"), *(F.lit(None).cast(kinds[k]).alias(k) for k in keys))
-    rows = edges.unionByName(marks).withColumn("_tile", F.expr(f"at div {tile}L")).repartition("chrom", "_tile")
+    rows = iv.in_tiles(edges.unionByName(marks), ["chrom"], "at", tile).repartition("chrom", "_tile")
 
     near, tiles = Window.partitionBy("chrom", "_tile"), Window.partitionBy("chrom").orderBy("_tile")
     within, before = near.orderBy("at"), tiles.rowsBetween(Window.unboundedPreceding, -1)

@@ -6,6 +6,8 @@ tiles of fixed width, and what a tile needs to know of those before it comes fro
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +22,16 @@ def clip(intervals: DataFrame, contigs: DataFrame) -> DataFrame:
     return cut.where("start < end").drop("_bp")
 
 
+def in_tiles(rows: DataFrame, keys: list[str], at: str, tile: int = TILE) -> DataFrame:
+    """Rows with the tile of a place; those without a key or place go.
+
+    They would find no partner in the joins by tile that follow. If it were left to these to leave them out, the rows
+    and the summaries told from them would be different to Spark, and be shuffled apart.
+    """
+    tiled = rows.withColumn("_tile", F.expr(f"{at} div {tile}L"))
+    return tiled.where(reduce(lambda c, k: c & F.col(k).isNotNull(), keys, F.col("_tile").isNotNull()))
+
+
 def _blocks(intervals: DataFrame, keys: list[str], tile: int) -> DataFrame:
     """Merged intervals of each tile: keys, start, end, reach (the largest end of all that is before it, or null), and joins.
 
@@ -27,7 +39,7 @@ def _blocks(intervals: DataFrame, keys: list[str], tile: int) -> DataFrame:
     within the reach goes on with. Rows of one start are one before they are shuffled by tile, so that a tile has no
     more rows than bases.
     """
-    firsts = intervals.withColumn("_tile", F.expr(f"start div {tile}")).groupBy(*keys, "_tile", "start").agg(F.max("end").alias("end"))
+    firsts = in_tiles(intervals, keys, "start", tile).groupBy(*keys, "_tile", "start").agg(F.max("end").alias("end"))
     within = Window.partitionBy(*keys, "_tile").orderBy("start")
     ahead = F.max("end").over(within.rowsBetween(Window.unboundedPreceding, -1))
     opened = firsts.withColumn("_new", F.coalesce((F.col("start") > ahead).cast("int"), F.lit(1)))
@@ -81,7 +93,7 @@ def reaching(intervals: DataFrame, order: list[str], tile: int = TILE) -> DataFr
     are left are an index in which either is found by a search for one end.
     """
     ones = intervals.groupBy("chrom", "start", "end").agg(F.min(F.struct(*order)).alias("_o")).select("chrom", "start", "end", "_o.*")
-    tiled = ones.withColumn("_tile", F.expr(f"start div {tile}"))
+    tiled = in_tiles(ones, ["chrom"], "start", tile)
     within = Window.partitionBy("chrom", "_tile").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
     before = Window.partitionBy("chrom").orderBy("_tile").rowsBetween(Window.unboundedPreceding, -1)
     far = tiled.groupBy("chrom", "_tile").agg(F.max("end").alias("_end")).select("chrom", "_tile", F.max("_end").over(before).alias("_far"))
@@ -98,7 +110,7 @@ def first_reaching(points: DataFrame, index: DataFrame, name: str = "found", til
     kept = [c for c in points.columns if c not in ("chrom", "at")]
     found = F.struct(*(c for c in index.columns if c != "chrom"))
     rows = index.select("chrom", F.col("end").alias("at"), found.alias(name)).unionByName(points, allowMissingColumns=True)
-    rows = rows.withColumn("_tile", F.expr(f"at div {tile}")).withColumn("_point", F.col(name).isNull())
+    rows = in_tiles(rows, ["chrom"], "at", tile).withColumn("_point", F.col(name).isNull()).repartition("chrom", "_tile")
     within = Window.partitionBy("chrom", "_tile").orderBy(F.desc("at"), "_point").rowsBetween(Window.unboundedPreceding, 0)
     behind = Window.partitionBy("chrom").orderBy(F.desc("_tile")).rowsBetween(Window.unboundedPreceding, -1)
     firsts = rows.groupBy("chrom", "_tile").agg(F.min_by(name, F.when(F.col(name).isNotNull(), F.col("at"))).alias("_first"))
@@ -158,7 +170,7 @@ def closed_span(intervals: DataFrame, contigs: DataFrame, tile: int = TILE) -> D
 
     The one before is the previous row by (start, end), not the furthest so far.
     """
-    tiled = intervals.select("chrom", "start", "end").withColumn("_tile", F.expr(f"start div {tile}"))
+    tiled = in_tiles(intervals.select("chrom", "start", "end"), ["chrom"], "start", tile).repartition("chrom", "_tile")
     within = Window.partitionBy("chrom", "_tile").orderBy("start", "end")
     last = tiled.groupBy("chrom", "_tile").agg(F.max(F.struct("start", "end")).alias("_last"))
     last = last.withColumn("_from", F.lag("_last").over(Window.partitionBy("chrom").orderBy("_tile"))).drop("_last")
