@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandlake.llm.common import marked, released, settled
+from strandlake.llm.common import carried, marked, released, restored, settled
 from strandlake.llm.graph import components
 
 _K = np.uint64(0x9E3779B97F4A7C15)
@@ -375,14 +375,22 @@ def _labels(links: DataFrame) -> DataFrame:
     return components(links).select(F.col("node").alias("name"), "label")
 
 
+def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """name, label after further links (a, b): only labels and names that these tie together go through rounds of components."""
+    known = lambda side: labels.select(F.col("name").alias(side), F.col("label").alias(f"label_{side}"))
+    ends = links.join(known("a"), "a", "left").join(known("b"), "b", "left").select(F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b"))
+    lower = components(ends.where("a <> b").distinct()).select(F.col("node").alias("old"), F.col("label").alias("least"))
+    fresh = links.select(F.explode(F.array("a", "b")).alias("name")).distinct().join(labels, "name", "left_anti").select("name", F.col("name").alias("label"))
+    return settled(labels.unionByName(fresh).join(lower, F.col("label") == F.col("old"), "left").select("name", F.coalesce("least", "label").alias("label")))
+
+
 def _tied(docs: DataFrame, sets: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """name, label of the classes with links to others: what links connect has one label."""
     prefixes = settled(_prefixes(sets, percent))
     holders = _holders(prefixes)
     found = settled(_candidates(_first_tiles(holders), percent, 0))
     seen = found.where("a IS NOT NULL")
-    links = settled(_verified(seen, prefixes, classes, docs, words, percent))
-    labels = _labels(links)
+    labels = _labels(settled(_verified(seen, prefixes, classes, docs, words, percent)))
     crowd = CROWD
     while True:
         by_cid = labels.join(classes.select("name", "cid"), "name").select("cid", "label").distinct()
@@ -391,8 +399,7 @@ def _tied(docs: DataFrame, sets: DataFrame, classes: DataFrame, words: int, perc
         more = settled(_verified(pairs, prefixes, classes, docs, words, percent)) if not pairs.isEmpty() else None
         tied = more is not None and not more.isEmpty()
         if tied:
-            links, seen = links.unionByName(more), seen.unionByName(pairs)
-            labels = _labels(links)
+            labels, seen = _relabelled(labels, more), seen.unionByName(pairs)
         if found.where("a IS NULL").isEmpty():
             return labels
         if not tied:
@@ -493,14 +500,14 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     ones = named.groupBy("label").agg(F.min(F.struct("id", "version")).alias("one"), F.count(F.lit(1)).alias("n")).where("n > 1").select("label", "one")
     judged = named.join(ones, "label").groupBy("id", "version").agg(F.bool_or((F.col("id") == F.col("one.id")) & (F.col("version") == F.col("one.version"))).alias("stays"), F.count(F.lit(1)).alias("n"))
     several = settled(judged.where("NOT stays OR n > 1").select("id", "version", "stays"))  # a row that stays alone needs no look
-    own = [c for c in docs.columns]
-    keyed = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
+    own = ["_row"]
+    keyed = carried(docs, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id"))
     checked = marked(keyed, "_id", several.select(F.col("id").alias("_id")), "_maybe")
-    unsure = checked.where("_maybe").withColumn("_version", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    unsure = checked.where("_maybe").withColumn("_version", F.xxhash64(F.coalesce(F.col("_row.text"), F.lit(""))))
     stays = several.select(F.col("id").alias("_id"), F.col("version").alias("_version"), "stays").hint("shuffle_hash")
     judged = unsure.join(stays, ["_id", "_version"], "left").where("coalesce(stays, true)")
     left = judged.where("stays IS NULL").select(*own).unionByName(judged.where("stays").dropDuplicates(["_id", "_version"]).select(*own))
-    return checked.where("NOT _maybe").select(*own).unionByName(left)
+    return restored(checked.where("NOT _maybe").select(*own).unionByName(left), docs.columns)
 
 
 def oracle_links(words: int, percent: int) -> str:
