@@ -54,21 +54,22 @@ def applied(docs: DataFrame, bitmaps: DataFrame, text: str = "text") -> DataFram
     Only texts whose id may have a bitmap are shuffled to it.
     """
     known = settled(bitmaps.select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"), F.col("words").alias("_words")))
-    kept = carried(docs, "doc_id", F.col(text).alias("_text")).withColumn("_id", F.col("doc_id"))
+    whole_text = F.col("_row").getField(text)  # not a column beside it, as rows are shuffled
+    kept = carried(docs, "doc_id").withColumn("_id", F.col("doc_id"))
     rows = marked(kept, "_id", known.select("_id"), "_maybe").drop("_id")
-    whole = rows.where("NOT _maybe").withColumn("n_lines", F.size(_lines(F.col("_text"))).cast("long")).withColumn("n_dropped", F.lit(0).cast("long"))
-    found = rows.where("_maybe").withColumn("_v", _version(F.col("_text")))
+    whole = rows.where("NOT _maybe").withColumn("n_lines", F.size(_lines(whole_text)).cast("long")).withColumn("n_dropped", F.lit(0).cast("long"))
+    found = rows.where("_maybe").withColumn("_v", _version(whole_text))
     joined = found.join(known.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_v") == F.col("_version")), "left")
-    cut = joined.withColumn("_lines", _lines(F.col("_text"))).withColumn(
+    cut = joined.withColumn("_lines", _lines(whole_text)).withColumn(
         "_kept", F.expr("if(_words IS NULL, _lines, filter(_lines, (x, i) -> coalesce(shiftright(try_element_at(_words, cast(i div 64 AS int)), cast(i % 64 AS int)) & 1, 1) = 1))")
     )
     cut = (
         cut.withColumn("n_lines", F.size("_lines").cast("long"))
         .withColumn("n_dropped", (F.size("_lines") - F.size("_kept")).cast("long"))
-        .withColumn("_text", F.when(F.col("_words").isNull(), F.col("_text")).otherwise(F.array_join("_kept", "\n")))
+        .withColumn("_text", F.when(F.col("_words").isNull(), whole_text).otherwise(F.array_join("_kept", "\n")))
     )
     left = ["_row", "_text", "n_lines", "n_dropped"]
-    both = whole.select(*left).unionByName(cut.select(*left))
+    both = whole.withColumn("_text", whole_text).select(*left).unionByName(cut.select(*left))
     own = [F.col("_text").alias(c) if c == text else F.col("_row").getField(c).alias(c) for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]
     return both.select(*own, "n_lines", "n_dropped")
 

@@ -58,14 +58,14 @@ def scheduled(docs: DataFrame, weights: dict[str, int], others: int, block_rows:
     if len(weights) > MOST_SOURCES or sum(weights.values()) + others > MOST_WEIGHT or min([others, *weights.values()]) < 1:
         raise ValueError(f"at most {MOST_SOURCES} weights from 1 on, with a sum of at most {MOST_WEIGHT}")
     new = ["component", "block", "slot", "seq", "release", "deadline"]
-    known_columns = [c for c in ("doc_id", "source", "text") if c in docs.columns]
-    rows = carried(docs, *known_columns).withColumn("component", _component(weights)).withColumn("_key", shuffle_key(F.col("doc_id"), seed))
+    ties = ["doc_id", "source", *(["_row.text"] if "text" in docs.columns else [])]
+    rows = carried(docs, "doc_id", "source").withColumn("component", _component(weights)).withColumn("_key", shuffle_key(F.col("doc_id"), seed))
     weight = F.create_map(*[F.lit(x) for k, v in {**weights, OTHERS: others}.items() for x in (k, v)])
     components = rows.groupBy("component").agg(F.count(F.lit(1)).alias("n")).select("component", F.element_at(weight, F.col("component")).cast("long").alias("a"), F.expr(f"(n + {block_rows - 1}L) div {block_rows}L").alias("b"))
     known = components.agg(F.collect_list(F.struct("component", "a", "b")).alias("_cs")).select("_cs", F.explode("_cs").alias("c"))
     known = known.select("_cs", F.col("c.component").alias("component"), F.col("c.a").alias("_a"), F.expr("array_sort(array_distinct(concat(array(0L), transform(_cs, c -> c.b div c.a), transform(_cs, c -> c.b div c.a + 1))))").alias("_firsts"))
     placed = (
-        ranked(rows, "component", "_key", known_columns)
+        ranked(rows, "component", "_key", ties)
         .withColumn("block", F.expr(f"(rank - 1) div {block_rows}L"))
         .withColumn("seq", F.expr(f"cast((rank - 1) % {block_rows}L as int)"))
         .join(F.broadcast(known), "component")  # a row for each weight
