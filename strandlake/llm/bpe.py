@@ -21,93 +21,11 @@ from pyspark.sql import functions as F
 
 #: Pre-tokens remembered by each Python worker in each of two halves of its memory, of at most so many characters. When
 #: one half is full it becomes the older one; what is met again there moves on, and the rest is forgotten with it.
-REMEMBERED, REMEMBERED_CHARS = 150_000, 40
+REMEMBERED, REMEMBERED_CHARS = 250_000, 40
 #: Ranks are sent to the executors in one broadcast variable; a larger vocabulary is refused.
 MOST_RANKS = 1 << 18
 
 
-def pair_ranks(ranks: dict[bytes, int]) -> list[int]:
-    """The rank of each pair of bytes, or -1."""
-    return [ranks.get(bytes((a, b)), -1) for a in range(256) for b in range(256)]
-
-
-def merge_word(piece: bytes, ranks: dict[bytes, int], pairs: list[int]) -> tuple[int, ...]:
-    """merge() of a pre-token of at most 64 bytes, whose list and buckets are words of a bit for each place.
-
-    live has the places where pieces start, so that a successor is the next set bit.
-    """
-    get = ranks.get
-    whole = get(piece)
-    if whole is not None:
-        return (whole,)
-    n = len(piece)
-    now = [pairs[a << 8 | b] for a, b in zip(piece, piece[1:], strict=False)]
-    now.append(-1)
-    buckets: dict[int, int] = {}
-    low: dict[int, int] = {}
-    top = 0
-    place = 1
-    for rank in now:
-        if rank >= 0:
-            if rank in buckets:
-                buckets[rank] |= place
-            else:
-                buckets[rank] = place
-                word = rank >> 6
-                top |= 1 << word
-                low[word] = low.get(word, 0) | 1 << (rank & 63)
-        place <<= 1
-    live = (1 << n) - 1
-    while top:
-        word = (top & -top).bit_length() - 1
-        bits = low[word]
-        bit = bits & -bits
-        rank = word << 6 | bit.bit_length() - 1
-        bucket = buckets[rank]
-        first = bucket & -bucket
-        if first == bucket:
-            del buckets[rank]
-            low[word] = bits ^ bit
-            if bits == bit:
-                top ^= 1 << word
-        else:
-            buckets[rank] = bucket ^ first
-        i = first.bit_length() - 1
-        if now[i] != rank:
-            continue  # stale
-        rest = live >> i + 1
-        j = i + (rest & -rest).bit_length()
-        live ^= 1 << j
-        now[i] = now[j] = -1
-        rest = live >> j
-        k = j + (rest & -rest).bit_length() - 1 if rest else n
-        new = []
-        if k < n:
-            rest = live >> k + 1
-            new.append((i, get(piece[i : k + (rest & -rest).bit_length() if rest else n])))
-        if i:
-            h = (live & first - 1).bit_length() - 1
-            now[h] = -1
-            new.append((h, get(piece[h:k])))
-        for i, rank in new:
-            if rank is not None:
-                now[i] = rank
-                if rank in buckets:
-                    buckets[rank] |= 1 << i
-                else:
-                    buckets[rank] = 1 << i
-                    word = rank >> 6
-                    low[word] = low.get(word, 0) | 1 << (rank & 63)
-                    top |= 1 << word
-    ids, i = [], 0
-    while i < n:
-        rest = live >> i + 1
-        k = i + (rest & -rest).bit_length() if rest else n
-        ids.append(ranks[piece[i:k]])
-        i = k
-    return tuple(ids)
-
-
 def merge(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
     """The ids of one pre-token.
 
@@ -187,7 +105,7 @@ class Encoder(dict):
         import regex
 
         super().__init__()
-        self.ranks, self.split, self.pairs = ranks, regex.compile(pattern).findall, pair_ranks(ranks)
+        self.ranks, self.split = ranks, regex.compile(pattern).findall
         self.older: dict[str, tuple[int, ...]] = {}
         self.bytes = {i: b for b, i in ranks.items()}
         self.names = {i: str(i) for i in self.bytes}
@@ -196,7 +114,7 @@ class Encoder(dict):
         ids = self.older.get(piece)
         if ids is None:
             raw = piece.encode("utf-8", "surrogatepass")
-            ids = merge_word(raw, self.ranks, self.pairs) if len(raw) <= 64 else merge(raw, self.ranks)
+            ids = merge(raw, self.ranks)
         if len(piece) <= REMEMBERED_CHARS:
             self[piece] = ids
         return ids
