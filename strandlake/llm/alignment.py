@@ -344,17 +344,18 @@ def _aligned(sides: _Sides, table: _Table, texts: list[str | None]) -> Iterator[
     yield from rows
 
 
-_WORKER: dict[tuple[int, int], tuple[_Sides, _Table]] = {}
+_WORKER: dict[tuple[int, int], tuple[_Sides, _Table, tuple[bytes, bytes]]] = {}
 
 
 def _worker(model_a, model_b) -> tuple[_Sides, _Table]:
-    """One for each Python worker, not for each task."""
-    key = (model_a.id, model_b.id) if hasattr(model_a, "id") else (id(model_a.value), id(model_b.value))
+    """One for each Python worker, not for each task; it holds both files, so that their ids name them."""
+    files = model_a.value, model_b.value
+    key = (id(files[0]), id(files[1]))
     if key not in _WORKER:
         _WORKER.clear()
-        sides = _Sides(model_a.value, model_b.value)
-        _WORKER[key] = (sides, _Table(sides))
-    return _WORKER[key]
+        sides = _Sides(*files)
+        _WORKER[key] = (sides, _Table(sides), files)
+    return _WORKER[key][:2]
 
 
 _STORED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), *((c, pa.int64()) for c in ("n_a", "n_b", "n_groups", "n_links")), ("groups_sha256", pa.string()), ("pairs", pa.binary())])

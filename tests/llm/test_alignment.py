@@ -201,3 +201,17 @@ def test_search_of_huge_components(spark):
         scored = sorted((-sum(x * y for x, y in zip(exact[0 if q == 0 else 4][1], w)), i) for i, w in exact if i != q)
         want += [(q, n, i, min(max(-s, -(2**63)), 2**63 - 1)) for n, (s, i) in enumerate(scored, 1)]
     assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_the_registered_alignment_by_brute_force(spark, sides):
+    import os
+
+    from strandlake.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("no tables")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    want = {r["doc_id"]: w for r, w in zip(docs, _want(sides, [r["text"] for r in docs]))}
+    got = {r["doc_id"]: tuple(r)[1:] for r in queries.op11_alignment(spark, sf).collect()}
+    assert got == want

@@ -15,7 +15,7 @@ def duck():
     if not os.path.isdir(SF):
         pytest.skip("no tables")
     c = duckdb.connect()
-    for t in ("documents", "pages", "labels"):
+    for t in ("documents", "pages", "labels", "embeddings"):
         c.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return c
 
