@@ -5,16 +5,21 @@ the pieces whose union with their successor has this rank; two levels of bitmaps
 use, so that the next rank is found with two find-first-set steps however many ranks there are. Entries are not
 taken out when a neighbour merges: a popped entry whose pair no longer has this rank is skipped. Time is
 O(n log n) for a pre-token of n bytes, so that one of a million letters is no trouble.
+
+Short pre-tokens that a worker has not met before share one queue, thousands at a time: their pieces are arrays, the
+upper bitmap tells which words of 64 ranks are in use, and of the bucket of a word each pre-token merges its least rank,
+all of them in one step. Pre-tokens don't touch each other, so that each merges in its own order.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from heapq import heappop, heappush
 from itertools import chain
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +29,8 @@ from pyspark.sql import functions as F
 REMEMBERED, REMEMBERED_CHARS = 250_000, 40
 #: Ranks are sent to the executors in one broadcast variable; a larger vocabulary is refused.
 MOST_RANKS = 1 << 18
+#: Characters of texts that are split before their new pre-tokens are merged; new pre-tokens that share a queue, at least and at most.
+SPLIT_CHARS, FEWEST, MOST = 3_000_000, 2_000, 60_000
 
 
 def merge(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
@@ -98,6 +105,78 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
     return tuple(ids)
 
 
+class Merges:
+    """The ids of many short pre-tokens at once. A token is named by its place among all ranks."""
+
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        ordered = sorted(ranks, key=ranks.__getitem__)
+        places = {b: k for k, b in enumerate(ordered)}
+        self.ids = np.array([ranks[b] for b in ordered], np.int64)
+        self.single = np.array([places[bytes([i])] for i in range(256)], np.int32)
+        self.end = len(ordered)  # stands between pre-tokens, and makes no pair
+        keys, unions = [1 << 62], [-1]
+        for k, b in enumerate(ordered):
+            for j in range(1, len(b)):
+                x, y = places.get(b[:j]), places.get(b[j:])
+                if x is not None and y is not None:
+                    keys.append(x << 20 | y)
+                    unions.append(k)
+        order = np.argsort(keys)
+        self.keys, self.unions = np.array(keys, np.int64)[order], np.array(unions, np.int32)[order]
+
+    def rank(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Places of the unions of tokens x and y, -1 for those that are no token."""
+        key = x.astype(np.int64) << 20 | y
+        at = np.searchsorted(self.keys, key)
+        return np.where(self.keys[at] == key, self.unions[at], -1)
+
+    def merged(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        token = self.single[np.frombuffer(b"\0" + b"\0".join(pieces) + b"\0", np.uint8)]
+        ends = np.concatenate(([0], np.cumsum(lengths + 1)))
+        token[ends] = self.end
+        n = len(token)
+        owner = np.concatenate(([0], np.repeat(np.arange(len(pieces)), lengths + 1)))
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        alive = np.ones(n, bool)
+        alive[ends] = False
+        now = np.full(n, -1, np.int32)
+        now[:-1] = self.rank(token[:-1], token[1:])
+        buckets: dict[int, list[np.ndarray]] = {}
+        top, new = 0, np.flatnonzero(now >= 0)
+        while True:
+            if len(new):
+                words = now[new] >> 6
+                order = np.argsort(words, kind="stable")
+                new, words = new[order], words[order]
+                starts = np.flatnonzero(np.concatenate(([True], words[1:] != words[:-1])))
+                cuts = [*starts.tolist(), len(new)]
+                for word, x, y in zip(words[starts].tolist(), cuts, cuts[1:], strict=False):
+                    buckets.setdefault(word, []).append(new[x:y])
+                    top |= 1 << word
+            if not top:
+                break
+            word = (top & -top).bit_length() - 1
+            at = np.concatenate(buckets.pop(word))
+            at = at[now[at] >> 6 == word]  # others are stale
+            key = np.sort(owner[at] << 38 | (now[at].astype(np.int64) & 63) << 32 | at)
+            first = np.ones(len(key), bool)
+            first[1:] = key[1:] >> 38 != key[:-1] >> 38
+            i, rest = key[first] & 0xFFFFFFFF, key[~first] & 0xFFFFFFFF
+            if len(rest):
+                buckets[word] = [rest]
+            else:
+                top ^= 1 << word
+            j, h = after[i], before[i]
+            k = after[j]
+            token[i], after[i], before[k], alive[j], now[j] = now[i], k, i, False, -1
+            now[i], now[h] = self.rank(token[i], token[k]), self.rank(token[h], token[i])
+            new = np.concatenate((i[now[i] >= 0], h[now[h] >= 0]))
+        ids = self.ids[token[alive]].tolist()
+        cuts = np.concatenate(([0], np.cumsum(np.bincount(owner[alive], minlength=len(pieces))))).tolist()
+        return [tuple(ids[x:y]) for x, y in zip(cuts, cuts[1:], strict=False)]
+
+
 class Encoder(dict):
     """Ids of pre-tokens, remembered."""
 
@@ -106,6 +185,7 @@ class Encoder(dict):
 
         super().__init__()
         self.ranks, self.split = ranks, regex.compile(pattern).findall
+        self.merges = Merges(ranks)
         self.older: dict[str, tuple[int, ...]] = {}
         self.bytes = {i: b for b, i in ranks.items()}
         self.names = {i: str(i) for i in self.bytes}
@@ -119,13 +199,47 @@ class Encoder(dict):
             self[piece] = ids
         return ids
 
+    def learn(self, pieces: set[str]) -> None:
+        """Merges new pre-tokens together, if they are many; else, and if they are long, each is merged where it is met."""
+        fresh = [x for x in pieces if x not in self and x not in self.older and len(x) <= REMEMBERED_CHARS]
+        if len(fresh) < FEWEST:
+            return
+        for at in range(0, len(fresh), MOST):
+            parted = []
+            for piece in fresh[at : at + MOST]:
+                raw = piece.encode("utf-8", "surrogatepass")
+                if (whole := self.ranks.get(raw)) is not None:
+                    self[piece] = (whole,)
+                else:
+                    parted.append((piece, raw))
+            if parted:
+                self.update(zip((x for x, _ in parted), self.merges.merged([raw for _, raw in parted]), strict=True))
+
     def encode(self, text: str | None) -> list[int]:
-        if not text:
-            return []
-        if len(self) > REMEMBERED:
-            self.older = dict(self)
-            self.clear()
-        return list(chain.from_iterable(map(self.__getitem__, self.split(text))))
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: Iterable[str | None]) -> list[list[int]]:
+        """The ids of each text; null and empty ones have none."""
+        coded: list[list[int]] = []
+        waiting: list[list[str]] = []
+        chars = 0
+
+        def flush() -> None:
+            if len(self) > REMEMBERED:
+                self.older = dict(self)
+                self.clear()
+            self.learn(set().union(*waiting))
+            coded.extend(list(chain.from_iterable(map(self.__getitem__, x))) for x in waiting)
+            waiting.clear()
+
+        for text in texts:
+            waiting.append(self.split(text) if text else [])
+            chars += len(text or "")
+            if chars >= SPLIT_CHARS:
+                flush()
+                chars = 0
+        flush()
+        return coded
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.bytes.__getitem__, ids))
@@ -164,7 +278,7 @@ class Codec:
         def encode(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
             coder = _encoder(shared, pattern)
             for batch in texts:
-                yield pd.Series([coder.encode(x) for x in batch], dtype=object)
+                yield pd.Series(coder.encode_all(batch), dtype=object)
 
         @F.pandas_udf("binary")
         def decode(ids: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -186,7 +300,7 @@ class Codec:
         def both(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             coder = _encoder(shared, pattern)
             for batch in texts:
-                rows = [(x := coder.encode(text), len(x), hashlib.sha256(coder.decode(x)).hexdigest()) for text in batch]
+                rows = [(x, len(x), hashlib.sha256(coder.decode(x)).hexdigest()) for x in coder.encode_all(batch)]
                 yield pd.DataFrame(rows, columns=["token_ids", "n_tokens", "decoded_sha256"])
 
         self._encode, self._decode, self._digest, self._both = encode, decode, digest, both

@@ -61,6 +61,30 @@ def test_bpe_of_long_pretokens(coders):
     assert own.decode(own.encode(text)) == text.encode()
 
 
+def test_new_pretokens_share_a_queue(coders, monkeypatch):
+    own, other = coders
+    draw = random.Random(5)
+    words = ["".join(draw.choices("abcdeinorst ABé漢😀019!?'\n", k=draw.randint(1, 30))) for _ in range(9000)] + ["aaaaaaa", "a" * 39, "x" * 300, "<|endoftext|>"]
+    texts = [None, "", *(" ".join(words[k : k + 40]) for k in range(0, len(words), 40))]
+    calls = []
+    plain = bpe.merge
+    monkeypatch.setattr(bpe, "merge", lambda piece, ranks: calls.append(piece) or plain(piece, ranks))
+    for fewest, most, chars in ((2_000, 60_000, 3_000_000), (0, 7, 500), (0, 60_000, 1)):
+        for name, value in (("FEWEST", fewest), ("MOST", most), ("SPLIT_CHARS", chars)):
+            monkeypatch.setattr(bpe, name, value)
+        coder = bpe.Encoder(own.ranks, tokenizers.PATTERN)
+        assert coder.encode_all(texts) == [other.encode_ordinary(x or "") for x in texts]
+        assert all(len(x.decode()) > bpe.REMEMBERED_CHARS for x in calls)  # only long ones are merged one at a time
+    pieces = [bytes(draw.choices(b"ab \x00\xff\xc3", k=draw.randint(1, 40))) for _ in range(3000)]
+    assert own.merges.merged(pieces) == [plain(x, own.ranks) if x not in own.ranks else (own.ranks[x],) for x in pieces]
+
+
+def test_a_union_of_a_lesser_rank_goes_first():
+    ranks = {bytes([i]): 1000 + i for i in range(256)} | {b"ab": 700, b"abc": 3, b"cd": 90, b"bc": 800, b"dd": 89, b"ddd": 1}
+    pieces = [b"abcd", b"abab", b"cdab", b"ddddd", b"abcabcdd", b"d", b"xyz"]
+    assert bpe.Merges(ranks).merged(pieces) == [bpe.merge(x, ranks) for x in pieces]
+
+
 def test_bpe_rows(spark):
     rows = [(1, "the cat"), (2, None), (3, ""), (1, "the cat"), (4, "x" * 50_000)]
     out = bpe.digests(spark.createDataFrame(rows, "doc_id long, text string"), PATH, tokenizers.PATTERN).collect()
