@@ -47,8 +47,9 @@ ORDERS = (("df", "tok"), ("df", "h1"), ("lg", "h2"))
 NO_ID = (1 << 63) - 1
 #: Texts whose sets a Python task holds at a time.
 SETS = 1000
-#: Bits of a set's parity; rows of a side of a tile; holders of a shingle of which all pairs are looked at at once; pairs for each row of a tile.
-PARITY, TILE, FEW, CROWD = 256, 1024, 8, 4
+#: Bits of a set's parity; rows of a side of a tile; holders of a shingle of which all pairs are looked at at once; pairs for
+#: each row of a tile in the first of the later rounds, and by how much more the next one takes: few rounds end it.
+PARITY, TILE, FEW, CROWD, WIDER = 256, 1024, 8, 4, 16
 
 
 class _Hashes(dict):
@@ -319,16 +320,18 @@ def _first_tiles(holders: DataFrame) -> DataFrame:
 def _later_tiles(holders: DataFrame, labels: DataFrame) -> DataFrame:
     """Tiles of the shingles whose holders have different labels: those without the most frequent label (apart) by all of them.
 
-    labels: cid, label; a class that is not there is its own. Of shingles with FEW holders all pairs have been seen.
+    holders: of shingles with more than FEW; of others all pairs have been seen. labels: cid, label; a class that is not
+    there is its own. Shingles are counted first and both sides come from one scan, so that plans stay small: planning
+    again after each stage takes the driver's memory.
     """
-    named = holders.where(F.col("df") > min(FEW, TILE)).join(labels, "cid", "left").withColumn("label", F.coalesce("label", F.col("cid").cast("string").cast("binary")))
+    named = holders.join(labels, "cid", "left").withColumn("label", F.coalesce("label", F.col("cid").cast("string").cast("binary")))
     counts = named.groupBy("tok", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("tok").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("kinds"))
-    counts = counts.where("kinds > 1").select(F.bitwise_not("tok").alias("key"), F.col("top.label").alias("top"), F.expr(f"(all + {TILE - 1}L) div {TILE}L").alias("js"), F.expr(f"(all - top.n + {TILE - 1}L) div {TILE}L").alias("is"))
+    counts = settled(counts.where("kinds > 1").select(F.bitwise_not("tok").alias("key"), F.col("top.label").alias("top"), F.expr(f"(all + {TILE - 1}L) div {TILE}L").alias("js"), F.expr(f"(all - top.n + {TILE - 1}L) div {TILE}L").alias("is")))
     rows = named.withColumn("key", F.bitwise_not("tok")).join(counts, "key").withColumn("apart", F.col("label") != F.col("top"))
-    left = rows.where("apart").withColumn("i", F.expr("pmod(xxhash64(cid, 7), is)")).withColumn("j", F.explode(F.expr("sequence(0L, js - 1)"))).withColumn("side", F.lit(0))
-    right = rows.withColumn("j", F.expr("pmod(xxhash64(cid, 5), js)")).withColumn("i", F.explode(F.expr("sequence(0L, is - 1)"))).withColumn("side", F.lit(1))
-    columns = ["tok", "i", "j", "side", "label", "apart", *_HOLDER]
-    return left.select(*columns).unionByName(right.select(*columns))
+    left = "transform(filter(sequence(0L, js - 1), x -> apart), x -> named_struct('i', pmod(xxhash64(cid, 7), is), 'j', x, 'side', 0))"
+    right = "transform(sequence(0L, is - 1), x -> named_struct('i', x, 'j', pmod(xxhash64(cid, 5), js), 'side', 1))"
+    dealt = rows.withColumn("place", F.explode(F.expr(f"concat({left}, {right})")))
+    return dealt.select("tok", "place.i", "place.j", "place.side", "label", "apart", *_HOLDER)
 
 
 def _verified(pairs: DataFrame, prefixes: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -391,10 +394,11 @@ def _tied(docs: DataFrame, sets: DataFrame, classes: DataFrame, words: int, perc
     found = settled(_candidates(_first_tiles(holders), percent, 0))
     seen = found.where("a IS NOT NULL")
     labels = _labels(settled(_verified(seen, prefixes, classes, docs, words, percent)))
+    crowded = settled(holders.where(F.col("df") > min(FEW, TILE)))
     crowd = CROWD
     while True:
-        by_cid = labels.join(classes.select("name", "cid"), "name").select("cid", "label").distinct()
-        found = settled(_candidates(_later_tiles(holders, by_cid), percent, crowd).join(seen, ["a", "b"], "left_anti"))
+        by_cid = settled(labels.join(classes.select("name", "cid"), "name").select("cid", "label").distinct())
+        found = settled(_candidates(_later_tiles(crowded, by_cid), percent, crowd).join(seen, ["a", "b"], "left_anti"))
         pairs = found.where("a IS NOT NULL")
         more = settled(_verified(pairs, prefixes, classes, docs, words, percent)) if not pairs.isEmpty() else None
         tied = more is not None and not more.isEmpty()
@@ -402,8 +406,7 @@ def _tied(docs: DataFrame, sets: DataFrame, classes: DataFrame, words: int, perc
             labels, seen = _relabelled(labels, more), seen.unionByName(pairs)
         if found.where("a IS NULL").isEmpty():
             return labels
-        if not tied:
-            crowd = 1 << 40  # nothing more to tie: all that is left
+        crowd = crowd * WIDER if tied else 1 << 40  # nothing more to tie: all that is left
 
 
 def joined(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:

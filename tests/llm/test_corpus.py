@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from strandlake.llm import linededup, mixing, ngramjoin, sharding, suffixes
 
@@ -339,6 +340,32 @@ def test_a_large_group_of_near_copies(spark):
     assert {got[k] for k, _ in rows} == {0} and all(got[k] == k for k, _ in apart)
 
 
+def test_later_rounds_are_few_and_their_plans_small(spark, monkeypatch):
+    """Candidates that always leave something out and always tie something still end soon."""
+    crowds, plans = [], []
+    tiles = ngramjoin._later_tiles
+
+    def later(holders, labels):
+        dealt = tiles(holders, labels)
+        plans.append(dealt._jdf.queryExecution().optimizedPlan().toString().count("Join"))
+        return dealt
+
+    def candidates(dealt, percent, crowd):
+        crowds.append(crowd)
+        whole = crowd >= 2 * ngramjoin.TILE
+        n = len(crowds)
+        return spark.createDataFrame([(n, n + 1)] if whole else [(n, n + 1), (None, None)], "a long, b long")
+
+    def verified(pairs, *_):
+        return pairs.select(*(F.col(c).cast("string").cast("binary").alias(c) for c in ("a", "b")))
+
+    for name, stub in (("_later_tiles", later), ("_candidates", candidates), ("_verified", verified)):
+        monkeypatch.setattr(ngramjoin, name, stub)
+    rows = [(k, " ".join(f"w{j}" for j in range(60)) + f" x{k}") for k in range(12)]
+    assert ngramjoin.joined(_frame(spark, rows), 3, 90).count() == 12
+    assert crowds == [0, 4, 64, 1024, 16384] and max(plans) <= 2
+
+
 @pytest.mark.parametrize(("words", "percent", "tile"), [(3, 60, 1024), (2, 60, 3), (3, 90, 2)])
 def test_links_by_brute_force(spark, words, percent, tile):
     r = random.Random(words * percent + tile)
