@@ -14,10 +14,12 @@ from the start. Shingles in one set only can't link and stay behind.
 Candidates meet at the prefix shingles of the first order, in tiles of bounded size. There a pair must also fit by
 its sizes, by the places of the shingle in both prefixes, by bitmaps of the prefixes under the other orders, and by
 the parity of its shingles in 256 bits: sets whose parities differ in more bits than sets that link may differ in
-shingles don't link. What is left is verified on the texts. Of a crowded tile only candidates enough to tie it
-together as likely links would come first; classes that true links connect need not meet again, so that a large group
-of near copies costs some pairs for each member, not their square. Further rounds take what is still apart, until a
-round leaves nothing out.
+shingles don't link. What is left is verified on the texts. Near copies share most of their prefixes, so that a pair
+would be found many times: of shingles that the same classes hold only the first is kept, and of crowded shingles a
+pair is taken where no common one is seen before. Of a crowded tile only candidates enough to tie it together as
+likely links would come first; classes that true links connect need not meet again, so that a large group of near
+copies costs some pairs for each member, not their square. Further rounds take what is still apart, until a round
+leaves nothing out.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandlake.llm.common import carried, marked, released, restored, settled
@@ -45,11 +47,12 @@ REMEMBERED = 100_000
 ORDERS = (("df", "tok"), ("df", "h1"), ("lg", "h2"))
 #: A null doc_id counts as this one, the largest.
 NO_ID = (1 << 63) - 1
-#: Texts whose sets a Python task holds at a time.
-SETS = 1000
+#: Texts whose sets a Python task holds at a time, and pairs of tiles.
+SETS, PAIRS = 1000, 100_000
 #: Bits of a set's parity; rows of a side of a tile; holders of a shingle of which all pairs are looked at at once; pairs for
-#: each row of a tile in the first of the later rounds, and by how much more the next one takes: few rounds end it.
-PARITY, TILE, FEW, CROWD, WIDER = 256, 1024, 8, 4, 16
+#: each row of a tile in the first of the later rounds, and by how much more the next one takes: few rounds end it;
+#: crowded shingles before one that a row carries.
+PARITY, TILE, FEW, CROWD, WIDER, BEFORE = 256, 1024, 8, 4, 16, 8
 
 
 class _Hashes(dict):
@@ -149,7 +152,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
     """For each class that may link: cid, n, parity, prefix0 (tok, pos), prefix1, prefix2, and bitmaps of the last two in 64 bits.
 
-    Prefixes hold shingles that another row holds too; pos is the place in the whole set's order, from 1, or less.
+    Prefixes hold shingles that another row holds too, prefix0 by its order in each band; pos is the place in the whole set's order, from 1, or less.
     """
     small = sets.where("main AND n > 0").select("id", "name")
     copies = small.join(small.groupBy("name").agg(F.min("id").alias("rep")), "name").where("id <> rep").select("id", "name")
@@ -168,7 +171,8 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
     fields = {"tok": "x.tok", "df": "x.df", "lg": "cast(floor(log2(x.df)) AS long)", "h1": "xxhash64(x.tok, 1)", "h2": "xxhash64(x.tok, 2)"}
     for k, order in enumerate(ORDERS):
         ranked = f"transform(array_sort(transform(low, x -> struct({', '.join(f'{fields[f]} AS f{j}' for j, f in enumerate(order))}, x.tok AS tok))), x -> x.tok)"
-        sized = sized.withColumn(f"prefix{k}", F.expr(f"if(counted >= p, if(take > 0, slice({ranked}, 1, take), cast(array() AS array<bigint>)), transform(shared, x -> x.tok))"))
+        every = "array_sort(transform(shared, x -> struct(x.df AS df, x.tok AS tok)))" if k == 0 else "shared"
+        sized = sized.withColumn(f"prefix{k}", F.expr(f"if(counted >= p, if(take > 0, slice({ranked}, 1, take), cast(array() AS array<bigint>)), transform({every}, x -> x.tok))"))
     kept = sized.where(" AND ".join(f"size(prefix{k}) > 0" for k in range(len(ORDERS))))
     kept = kept.withColumn("prefix0", F.expr("transform(prefix0, (x, i) -> struct(x AS tok, if(counted >= p, alone + i + 1, 1L) AS pos))"))
     whole = kept.groupBy("cid").agg(*(F.flatten(F.collect_list(f"prefix{k}")).alias(f"prefix{k}") for k in range(len(ORDERS))))
@@ -179,11 +183,22 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
 _HOLDER = ("cid", "n", "pos", "parity", "bits1", "bits2")
 
 
-def _holders(prefixes: DataFrame) -> DataFrame:
-    """A row for each class and prefix shingle of the first order that other classes have there too: tok, df (how many), _HOLDER."""
-    rows = prefixes.select("cid", "n", "parity", "bits1", "bits2", F.explode("prefix0").alias("x")).select(F.bitwise_not("x.tok").alias("key"), F.col("x.pos").alias("pos"), "cid", "n", "parity", "bits1", "bits2")
-    counts = prefixes.select(F.explode("prefix0.tok").alias("tok")).groupBy("tok").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select(F.bitwise_not("tok").alias("key"), "df")
-    return settled(rows.join(counts, "key").select(F.bitwise_not("key").alias("tok"), "df", *_HOLDER))
+def _holders(prefixes: DataFrame, percent: int) -> DataFrame:
+    """A row for each class and prefix shingle of the first order that other classes have there too: tok, df (how many), _HOLDER, before.
+
+    Of shingles of a band that the same classes have only the first in the order stays: the first that any two sets
+    share is never another, and only there must they fit by their places. Shingles of two classes whose sizes don't fit
+    go. before: of the crowded shingles that a class has in a band, the last ones before a crowded one.
+    """
+    places = prefixes.select("cid", "n", F.posexplode("prefix0").alias("rank", "x")).select("cid", "n", "rank", "x.tok", "x.pos")
+    who = [F.bit_xor(F.xxhash64("cid", F.lit(k))).alias(f"who{k}") for k in range(2)]  # 128 bits name the set of classes
+    counts = places.groupBy("tok").agg(F.count(F.lit(1)).alias("df"), F.sum("pos").alias("place"), F.min("n").alias("least"), F.max("n").alias("most"), *who)
+    counts = counts.where(f"df > 2 OR (df = 2 AND 100 * least >= {percent} * most)")
+    firsts = counts.groupBy(F.col("tok").bitwiseAND(F.lit(3)), "df", "who0", "who1").agg(F.min(F.struct("place", "tok")).alias("first")).select(F.bitwise_not("first.tok").alias("key"), "df")
+    rows = places.select("cid", "rank", "pos", F.bitwise_not("tok").alias("key")).join(firsts, "key").select("cid", "rank", "pos", F.bitwise_not("key").alias("tok"), "df")
+    rows = rows.join(prefixes.select("cid", "n", "parity", "bits1", "bits2"), "cid").withColumn("crowded", F.col("df") > min(FEW, TILE))
+    own = Window.partitionBy("cid", F.col("tok").bitwiseAND(F.lit(3)), "crowded").orderBy("rank").rowsBetween(-BEFORE, -1)
+    return settled(rows.select("tok", "df", *_HOLDER, F.when(F.col("crowded"), F.collect_list("tok").over(own)).alias("before")))
 
 
 class _Side:
@@ -195,6 +210,7 @@ class _Side:
         self.parity = np.frombuffer(b"".join(rows["parity"]), np.uint64).reshape(len(rows), PARITY // 64)
         self.label = rows["code"].to_numpy()
         self.apart = rows["apart"].to_numpy()
+        self.before = [frozenset(x) for x in rows["before"]] if rows["before"].notna().all() else None
 
 
 def _fits(a: _Side, x, b: _Side, y, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -228,9 +244,10 @@ class _Forest(dict):
 def _candidates(tiles: DataFrame, percent: int, crowd: int) -> DataFrame:
     """a, b: pairs of classes that may link, a < b, of rows that meet in a tile and have different labels; and a null pair if that is not all.
 
-    tiles: tok, i, j, side, label, apart, _HOLDER. In tiles of one side (0) each pair of rows is one; else those of
-    side 0 with those of side 1, and of two rows that are apart the one of side 0 must be less. Of a tile where more
-    than `crowd` pairs for each row may link come only those that tie labels together as all of them would.
+    tiles: tok, i, j, side, label, apart, before, _HOLDER. In tiles of one side (0) each pair of rows is one; else those
+    of side 0 with those of side 1, and of two rows that are apart the one of side 0 must be less. Two rows with a
+    shingle before in common are no pair here: they meet there as well. Of a tile where more than `crowd` pairs for each
+    row may link come only those that tie labels together as all of them would.
     """
 
     def few(rows: pd.DataFrame) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -246,7 +263,7 @@ def _candidates(tiles: DataFrame, percent: int, crowd: int) -> DataFrame:
             rights.append(side.cid[x[ok] + d])
         return lefts, rights
 
-    def many(rows: pd.DataFrame) -> tuple[list[tuple[int, int]], bool]:
+    def many(rows: pd.DataFrame) -> tuple[list[np.ndarray], list[np.ndarray], bool]:
         zero = rows["side"].to_numpy() == 0
         one = zero.all()
         a = _Side(rows if one else rows[zero])
@@ -262,12 +279,23 @@ def _candidates(tiles: DataFrame, percent: int, crowd: int) -> DataFrame:
                 continue
             ok, away = _fits(a, x, b, y, percent)
             y, away = y[ok], away[ok]
+            if len(y) and a.before is not None and b.before is not None:
+                fresh = [a.before[x].isdisjoint(b.before[k]) for k in y.tolist()]
+                y, away = y[fresh], away[fresh]
+            room -= len(y)
             if room >= 0:
-                found += [(int(a.cid[x]), k) for k in b.cid[y].tolist()]
-                room -= len(y)
+                found.append((x, y))
+            else:
+                found.clear()
             y = y[np.argsort(away, kind="stable")]
-            tree += [(int(a.cid[x]), int(b.cid[k])) for k in y.tolist() if forest.tie(int(a.label[x]), int(b.label[k]))]
-        return (found, True) if room >= 0 else (tree, False)
+            tree += [(x, k) for k in y.tolist() if forest.tie(int(a.label[x]), int(b.label[k]))]
+        if room < 0:
+            return [a.cid[[x for x, _ in tree]]], [b.cid[[k for _, k in tree]]], False
+        return [np.full(len(y), a.cid[x]) for x, y in found], [b.cid[y] for _, y in found], True
+
+    def paired(lefts: list[np.ndarray], rights: list[np.ndarray]) -> pd.DataFrame:
+        x, y = np.concatenate(lefts), np.concatenate(rights)
+        return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)}).drop_duplicates()
 
     def solve(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
         rows = rows.reset_index(drop=True)
@@ -279,15 +307,15 @@ def _candidates(tiles: DataFrame, percent: int, crowd: int) -> DataFrame:
         lefts, rights = few(rows[small].reset_index(drop=True)) if small.any() else ([], [])
         whole = True
         for _, part in rows[~small].groupby("group", sort=False):
-            pairs, fully = many(part)
+            x, y, fully = many(part)
             whole &= fully
-            if pairs:
-                x, y = np.array(pairs, np.int64).T
-                lefts.append(x)
-                rights.append(y)
+            lefts += x
+            rights += y
+            if sum(map(len, lefts)) > PAIRS:  # a crowded tile's pairs are handed on before the next one's are found
+                yield paired(lefts, rights)
+                lefts, rights = [], []
         if lefts:
-            x, y = np.concatenate(lefts), np.concatenate(rights)
-            yield pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)}).drop_duplicates()
+            yield paired(lefts, rights)
         if not whole:
             yield pd.DataFrame({"a": [None], "b": [None]}, dtype="Int64")
 
@@ -314,7 +342,7 @@ def _candidates(tiles: DataFrame, percent: int, crowd: int) -> DataFrame:
 def _first_tiles(holders: DataFrame) -> DataFrame:
     """The holders of each shingle, in tiles of one side."""
     i = F.expr(f"pmod(xxhash64(cid, tok), (df + {TILE - 1}L) div {TILE}L)").alias("i")  # other classes meet at each shingle
-    return holders.select("tok", i, F.lit(0).cast("long").alias("j"), F.lit(0).alias("side"), F.col("cid").alias("label"), F.lit(False).alias("apart"), *_HOLDER)
+    return holders.select("tok", i, F.lit(0).cast("long").alias("j"), F.lit(0).alias("side"), F.col("cid").alias("label"), F.lit(False).alias("apart"), F.lit(None).cast("array<long>").alias("before"), *_HOLDER)
 
 
 def _later_tiles(holders: DataFrame, labels: DataFrame) -> DataFrame:
@@ -331,7 +359,7 @@ def _later_tiles(holders: DataFrame, labels: DataFrame) -> DataFrame:
     left = "transform(filter(sequence(0L, js - 1), x -> apart), x -> named_struct('i', pmod(xxhash64(cid, 7), is), 'j', x, 'side', 0))"
     right = "transform(sequence(0L, is - 1), x -> named_struct('i', x, 'j', pmod(xxhash64(cid, 5), js), 'side', 1))"
     dealt = rows.withColumn("place", F.explode(F.expr(f"concat({left}, {right})")))
-    return dealt.select("tok", "place.i", "place.j", "place.side", "label", "apart", *_HOLDER)
+    return dealt.select("tok", "place.i", "place.j", "place.side", "label", "apart", "before", *_HOLDER)
 
 
 def _verified(pairs: DataFrame, prefixes: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -390,7 +418,7 @@ def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
 def _tied(docs: DataFrame, sets: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """name, label of the classes with links to others: what links connect has one label."""
     prefixes = settled(_prefixes(sets, percent))
-    holders = _holders(prefixes)
+    holders = _holders(prefixes, percent)
     found = settled(_candidates(_first_tiles(holders), percent, 0))
     seen = found.where("a IS NOT NULL")
     labels = _labels(settled(_verified(seen, prefixes, classes, docs, words, percent)))

@@ -140,8 +140,7 @@ def test_long_texts_are_cut(spark, monkeypatch):
 
 
 def test_memory_of_a_very_long_text():
-    import tracemalloc
-
+    
     import pyarrow as pa
 
     r = np.random.default_rng(3)
@@ -340,6 +339,41 @@ def test_a_large_group_of_near_copies(spark):
     assert {got[k] for k, _ in rows} == {0} and all(got[k] == k for k, _ in apart)
 
 
+def test_near_copies_are_candidates_few_times(spark, monkeypatch):
+    """Two texts that share most shingles are not one candidate for each: neither copies of two, nor a crowd that doesn't quite link."""
+    r = random.Random(8)
+    rows = []
+    for family, copies, changes in [*((k, 2, 1) for k in range(20)), (20, 24, 3)]:
+        places = r.sample(range(5, 295, 3), copies * changes)  # no two changes touch a shingle in common
+        for k in range(copies):
+            words = [f"w{family}_{j}" for j in range(300)]
+            for j in places[k * changes : (k + 1) * changes]:
+                words[j] = f"u{len(rows)}_{j}"
+            rows.append((len(rows), " ".join(words)))
+    made, tiled = [], []
+    run, first = type(rows_frame := _frame(spark, rows)).mapInPandas, ngramjoin._first_tiles
+
+    def counted(self, f, schema, *more):
+        out = run(self, f, schema, *more)
+        if schema == "a long, b long":
+            out = ngramjoin.settled(out)
+            made.append((out.count(), out.distinct().count()))
+        return out
+
+    def tiles(holders):
+        tiled.append(holders.where("df = 2").count())
+        return first(holders)
+
+    monkeypatch.setattr(type(rows_frame), "mapInPandas", counted)
+    monkeypatch.setattr(ngramjoin, "_first_tiles", tiles)
+    got = ngramjoin.joined(rows_frame, 3, 90).collect()
+    assert sorted(map(tuple, got)) == _components(rows, 3, 90)
+    assert len({x["component_id"] for x in got}) == 44
+    later = made[1:]
+    assert sum(pairs for _, pairs in later) > 50 and all(n <= 2 * pairs for n, pairs in later)
+    assert tiled[0] <= 3 * 40
+
+
 def test_later_rounds_are_few_and_their_plans_small(spark, monkeypatch):
     """Candidates that always leave something out and always tie something still end soon."""
     crowds, plans = [], []
