@@ -3,9 +3,11 @@
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -140,7 +142,8 @@ def test_long_texts_are_cut(spark, monkeypatch):
 
 
 def test_memory_of_a_very_long_text():
-    
+    import tracemalloc
+
     import pyarrow as pa
 
     r = np.random.default_rng(3)
@@ -374,6 +377,28 @@ def test_near_copies_are_candidates_few_times(spark, monkeypatch):
     assert tiled[0] <= 3 * 40
 
 
+def test_pairs_of_crowded_tiles_are_handed_on(spark):
+    """All pairs of two crowded tiles come, in pieces, and a worker holds no more than those of a tile as numbers."""
+    n, held = 700, []
+
+    class Tiles:
+        repartition = sortWithinPartitions = lambda self, *_: self
+        mapInPandas = lambda self, f, _: held.append(f) or self
+        distinct = lambda self: self
+
+    ngramjoin._candidates(Tiles(), 80, 1 << 40)
+    one = {"i": 0, "j": 0, "side": 0, "apart": False, "n": 300, "pos": 1, "parity": bytes(32), "bits1": 1, "bits2": 1}
+    rows = pd.concat([pd.DataFrame({"tok": t, "cid": range(n), "label": range(n), "before": [[]] * n} | one) for t in (4, 8)])
+    tracemalloc.start()
+    try:
+        sizes = [len(x) for x in held[0](iter([rows]))]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sizes == [n * (n - 1) // 2] * 2
+    assert peak < 40e6
+
+
 def test_later_rounds_are_few_and_their_plans_small(spark, monkeypatch):
     """Candidates that always leave something out and always tie something still end soon."""
     crowds, plans = [], []
