@@ -108,6 +108,16 @@ def test_mean_tracks_against_bases(spark):
         assert sorted((r["chrom"], r["start"], r["end"], r["score"]) for r in got) == want
 
 
+def test_means_inside_ramps_are_not_shuffled(spark, monkeypatch):
+    contigs = spark.createDataFrame([("a", 9_000), ("b", 2_000)], "chrom string, raw_bp long")
+    unique = _df(spark, [("a", 0, 700), ("a", 1_400, 2_100), ("a", 2_800, 9_000), ("b", 40, 700)])
+    merged, run_length = [], tr.run_length
+    monkeypatch.setattr(tr, "run_length", lambda runs, *a: merged.append(runs.count()) or run_length(runs, *a))
+    got = tr.multi_mean(unique, contigs, 500).collect()
+    assert len(got) > 2_000
+    assert sum(merged) < 600  # "b" has 460 bases of its own before base 499
+
+
 def test_thresholds_are_single_precision(spark):
     runs = spark.createDataFrame([("a", 0, 5, 0.9), ("a", 5, 8, float("nan")), ("a", 8, 12, 0.95)], "chrom string, start long, end long, score float")
     assert _rows(tr.islands(runs, 0.9)) == [("a", 0, 5), ("a", 8, 12)]
