@@ -144,6 +144,15 @@ def test_a_feature_is_one_point_of_the_search(frames, monkeypatch, rule):
     assert seen == [len(LINES)]
 
 
+def test_survivors_are_found_without_pairs(frames, monkeypatch):
+    features, genome, par, extra = frames
+    masks = ma.variant_mask("XY-noYPAR", par, extra, genome, Y)
+    monkeypatch.setattr(an.iv, "overlap_pairs", None)
+    spans = [(c if c in ("7", "X") else Y, a, b) for c, own in _mask("XY-noYPAR").items() for a, b, _ in own]
+    want = [k for k, x in enumerate(LINES, 1) if any(x[0].removeprefix("chr") == c and x[2] - 1 < b and x[3] > a for c, a, b in spans)]
+    assert _lines(an.survivors_on_mask(features, masks)) == want
+
+
 @pytest.mark.parametrize("variant", list(ma.COMPLEMENT))
 def test_summary_by_gene_is_that_of_kept_features(frames, variant):
     j, masks = _judged(frames, variant, "any", "drop")
