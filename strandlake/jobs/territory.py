@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from strandlake.jobs.tracks import _SUMS, THRESHOLDS, conditions
 from strandlake.functions.columns import label_rank
+from strandlake.functions.lineage import stored
 from strandlake.operators import intervals as iv
 from strandlake.operators import territory as te
 from strandlake.sources import derived as d
@@ -49,14 +50,18 @@ def _copy(s, p):
     return te.copied(_region(s, p), _pairs(s, p), _COPIED_METRICS)
 
 
-def _faulty(s, p):
+def _faulty(wide):
     """The contig table with faults put in where the label says so."""
-    return _chrom(s, p).withColumn("t90_bp", F.when(F.col("chrom").endswith("3"), F.col("t50_bp") + 1).otherwise(F.col("t90_bp"))).withColumn("gap_bp", F.when(F.col("chrom").endswith("4"), F.lit(-1)).otherwise(F.col("gap_bp")))
+    return wide.withColumn("t90_bp", F.when(F.col("chrom").endswith("3"), F.col("t50_bp") + 1).otherwise(F.col("t90_bp"))).withColumn("gap_bp", F.when(F.col("chrom").endswith("4"), F.lit(-1)).otherwise(F.col("gap_bp")))
 
 
 def _additivity(s, p):
-    owners = d.regions(s, p).select("region", "chrom")
-    return te.additivity(_region(s, p).join(owners, "region"), _faulty(s, p), "chrom")
+    """Contigs and their regions are labels of one sweep, each with sums of its own."""
+    c, sets, runs = _inputs(s, p)
+    regions = d.regions(s, p).select(F.lit("region").alias("level"), "chrom", "region", "start", "end")
+    whole = c.select(F.lit("chrom").alias("level"), "chrom", F.lit("").alias("region"), F.lit(0).cast("long").alias("start"), F.col("raw_bp").alias("end"))
+    rows = stored(_scored(regions.unionByName(whole), ["level", "chrom", "region"], sets, runs))
+    return te.additivity(rows.where("level = 'region'"), _faulty(rows.where("level = 'chrom'")), "chrom")
 
 
 _XY = [d.X_KEY, f"chr{d.Y_KEY}"]
@@ -99,7 +104,7 @@ QUERIES = {
     "te_group": _group,
     "te_copy_pair": _copy,
     "te_long": lambda s, p: te.long_form(_chrom(s, p), ["chrom"]),
-    "te_violations": lambda s, p: te.violations(_faulty(s, p), ["chrom"]),
+    "te_violations": lambda s, p: te.violations(_faulty(_chrom(s, p)), ["chrom"]),
     "te_additivity": _additivity,
 }
 
